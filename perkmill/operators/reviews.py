@@ -137,8 +137,9 @@ def review_ledger(balances: DataFrame, p: Params, job: str = JOB) -> DataFrame:
         "review_campaign_id",
         F.concat(
             F.lit("review rule "), F.col("review_campaign_id").cast("string"), F.lit(", review "),
-            F.col("review_id").cast("string"), F.lit(", characters "), F.col("chars").cast("string"),
-            F.lit(", likes "), F.col("num_like").cast("string"),
+            F.col("review_id").cast("string"),
+            F.when(F.col("review_type") == REVIEW_LIKE, F.concat(F.lit(", likes "), F.col("num_like").cast("string")))
+            .otherwise(F.concat(F.lit(", characters "), F.col("chars").cast("string"))),
         ).alias("description"),
     )
     return ledger.ledger_rows(rows, job, ONCE_PER, p)
