@@ -59,3 +59,10 @@ def match_windows(rows: DataFrame, rules: DataFrame) -> DataFrame:
         .filter(inside_window())
         .drop("rule_month", "from_at", "to_at")
     )
+
+
+def in_any_window(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """Rows (from `with_local_time`) that at least one rule window holds."""
+    windows = rules_by_month(rules.select("from_date", "to_date").distinct())
+    same_month = rows["rule_month"] == windows["rule_month"]
+    return rows.join(windows, same_month & inside_window(), "left_semi")

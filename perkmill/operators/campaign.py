@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.localtime import match_windows, with_local_time
+from ..functions.localtime import in_any_window, match_windows, with_local_time
 from ..functions.money import amount, percent_exact, percent_points
 from ..functions.running import running_totals
 from ..functions.text import id_list
@@ -23,7 +23,7 @@ from ..params import (
 )
 from . import ledger
 from .accounts import one_per_customer, tier_percent
-from .pricing import order_products
+from .pricing import SUBORDER_KEY, order_products
 
 JOB = "campaign"
 
@@ -101,13 +101,14 @@ def priced(item: DataFrame) -> DataFrame:
     return item.filter(F.col("price") > 0)
 
 
+def root_orders(suborder: DataFrame, orders: DataFrame, p: Params) -> DataFrame:
+    """Complete root suborders of complete orders, with the order's columns."""
+    joined = complete_roots(suborder).join(complete_orders(orders), "order_id")
+    return with_local_time(joined, "created_at", p.tz_offset_hours).drop("created_at")
+
+
 def in_complete_orders(items: DataFrame, suborder: DataFrame, orders: DataFrame, p: Params) -> DataFrame:
-    """Item rows of complete root suborders of complete orders, with the order's columns."""
-    return with_local_time(
-        items.join(complete_roots(suborder), ["order_id", "suborder_id"]).join(complete_orders(orders), "order_id"),
-        "created_at",
-        p.tz_offset_hours,
-    ).drop("created_at")
+    return items.join(root_orders(suborder, orders, p), SUBORDER_KEY)
 
 
 def campaign_items(
@@ -149,11 +150,14 @@ def campaign_order_agg(
 ) -> DataFrame:
     """Quantity and price extremes per rule and order over the items the rule accepts.
 
-    Items shrink to one row per order, suborder and product before any join, and the rows a rule
-    multiplies are folded again before they leave the task.
+    Items fold to one row per suborder and product, and orders outside every window drop, before
+    the two meet; the rows a rule multiplies are folded again before they leave the task.
     """
-    lines = in_complete_orders(order_products(priced(item), bundle), suborder, orders, p)
-    per_rule = match_windows(global_item_exclusions(lines, product, p), rules.filter("usable"))
+    rules = rules.filter("usable")
+    lines = order_products(priced(item), bundle).join(
+        in_any_window(root_orders(suborder, orders, p), rules), SUBORDER_KEY
+    )
+    per_rule = match_windows(global_item_exclusions(lines, product, p), rules)
     order_columns = ["order_id", "customer_id", "customer_email", "grand_total"]
     rule_columns = ["rule_id", "campaign_id", "action_name", "action", "value", "max_value"]
     bounds = ["total_min", "total_max", "count_min", "count_max"]

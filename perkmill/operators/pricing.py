@@ -33,25 +33,40 @@ def goods_value(item: DataFrame, bundle: DataFrame) -> DataFrame:
     """Sum of effective price times effective quantity per suborder.
 
     The bundle terms are one factor, (1 - saving) * bundle qty, for all items of a
-    (suborder, bundle), so items are summed before they meet the bundle: the sum starts on the
-    map side and a suborder or bundle with very many rows never lands in one task.
+    (suborder, bundle), so bundled items are summed before they meet the bundle, and items
+    without a bundle skip that join. Sums start on the map side: a suborder or bundle with very
+    many rows never lands in one task.
     """
-    value = F.col("price").cast("decimal(18,4)") * F.col("qty")
-    per_bundle = item.groupBy("order_id", *BUNDLE_KEY).agg(F.sum(value).cast(_VALUE).alias("value"))
+    value = F.sum(F.col("price").cast("decimal(18,4)") * F.col("qty")).cast(_VALUE)
+    single, bundled = _split(item)
     term = (1 - F.col("saving").cast("decimal(8,4)")) * F.col("qty")
-    factor = (
-        bundle.filter(F.col("bundle_id").isNotNull())
-        .groupBy(*BUNDLE_KEY)
-        .agg(F.sum(term).cast(_FACTOR).alias("factor"), F.lit(True).alias("bundled"))
+    factor = bundle.groupBy(*BUNDLE_KEY).agg(
+        F.sum(term).cast(_FACTOR).alias("factor"), F.lit(True).alias("found")
+    )
+    in_bundle = (
+        bundled.groupBy("order_id", *BUNDLE_KEY)
+        .agg(value.alias("value"))
+        .join(factor, BUNDLE_KEY, "left")
+        .select(
+            *SUBORDER_KEY,
+            F.when(F.col("found"), F.col("value") * F.col("factor")).otherwise(F.col("value")).alias("value"),
+        )
     )
-    total = F.when(F.col("bundled").isNotNull(), F.col("value") * F.col("factor")).otherwise(F.col("value"))
     return (
-        per_bundle.join(factor, BUNDLE_KEY, "left")
+        single.groupBy(*SUBORDER_KEY)
+        .agg(value.alias("value"))
+        .unionByName(in_bundle)
         .groupBy(*SUBORDER_KEY)
-        .agg(F.sum(total).alias("goods"))
+        .agg(F.sum("value").alias("goods"))
     )
 
 
+def _split(item: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Items that cannot be in a bundle, and the others."""
+    whole = F.col("bundle_id").isNotNull() & F.col("bundle_type").isNotNull()
+    return item.filter(~whole), item.filter(whole)
+
+
 def _fee(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0))
 
@@ -77,34 +92,33 @@ def suborder_amount(eligible: DataFrame, item: DataFrame, bundle: DataFrame) ->
 
 
 def order_products(item: DataFrame, bundle: DataFrame) -> DataFrame:
-    """Per order, suborder and product: quantity and price extremes after bundle terms.
+    """Per suborder and product: quantity and price extremes after bundle terms.
 
-    Items are reduced before the bundle join, as in `goods_value`. A saving above 1 would turn
-    the extremes around, hence least and greatest.
+    Items fold before the bundle join, as in `goods_value`. A saving above 1 would turn the
+    extremes around, hence least and greatest.
     """
-    per_product = item.groupBy("order_id", *BUNDLE_KEY, "product_id").agg(
-        F.sum("qty").alias("qty"),
-        F.min("price").alias("low"),
-        F.max("price").alias("high"),
-    )
+    folds = [F.sum("qty").alias("qty"), F.min("price").alias("low"), F.max("price").alias("high")]
     keep = 1 - F.col("saving").cast("decimal(8,4)")
-    terms = (
-        bundle.filter(F.col("bundle_id").isNotNull())
-        .groupBy(*BUNDLE_KEY)
-        .agg(
-            F.sum("qty").alias("bundle_qty"),
-            F.min(keep).alias("keep_low"),
-            F.max(keep).alias("keep_high"),
-            F.lit(True).alias("bundled"),
-        )
+    terms = bundle.groupBy(*BUNDLE_KEY).agg(
+        F.sum("qty").alias("bundle_qty"),
+        F.min(keep).alias("keep_low"),
+        F.max(keep).alias("keep_high"),
+        F.lit(True).alias("found"),
     )
-    bundled = F.col("bundled").isNotNull()
+    single, bundled = _split(item)
     corners = [F.col(p) * F.col(k) for p in ("low", "high") for k in ("keep_low", "keep_high")]
-    return per_product.join(terms, BUNDLE_KEY, "left").select(
-        "order_id",
-        "suborder_id",
-        "product_id",
-        F.when(bundled, F.col("qty") * F.col("bundle_qty")).otherwise(F.col("qty")).alias("qty"),
-        F.when(bundled, F.least(*corners)).otherwise(F.col("low")).alias("min_price"),
-        F.when(bundled, F.greatest(*corners)).otherwise(F.col("high")).alias("max_price"),
+    plain = single.groupBy(*SUBORDER_KEY, "product_id").agg(*folds)
+    return plain.select(
+        *SUBORDER_KEY, "product_id", "qty", F.col("low").alias("min_price"), F.col("high").alias("max_price")
+    ).unionByName(
+        bundled.groupBy("order_id", *BUNDLE_KEY, "product_id")
+        .agg(*folds)
+        .join(terms, BUNDLE_KEY, "left")
+        .select(
+            *SUBORDER_KEY,
+            "product_id",
+            F.when(F.col("found"), F.col("qty") * F.col("bundle_qty")).otherwise(F.col("qty")).alias("qty"),
+            F.when(F.col("found"), F.least(*corners)).otherwise(F.col("low")).alias("min_price"),
+            F.when(F.col("found"), F.greatest(*corners)).otherwise(F.col("high")).alias("max_price"),
+        )
     )

@@ -47,19 +47,16 @@ def accrual_judged(t: Tables, p: Params) -> DataFrame:
     return accrual.judge(guarded, t["company"], t["company_tier_rule"], t["tier_rule"])
 
 
-def accrual_hot(t: Tables, p: Params) -> DataFrame | None:
-    return hot_keys(accrual.unpaid_suborders(t["suborder"], t["orders"], t["account_attr"], p), CUSTOMER)
-
-
-def accrued_suborders(judged: DataFrame, p: Params, hot: DataFrame | None) -> DataFrame:
+def accrual_state(t: Tables, p: Params) -> tuple[DataFrame, DataFrame]:
+    """Judged suborders, written once for their several readers, and the accrued ones."""
+    judged = cut(accrual_judged(t, p))
+    hot = hot_keys(judged, CUSTOMER)
     balances = accrual.running_point_balance(accrual.suborder_points(judged), hot)
-    return accrual.freeship_milestone(balances, p, hot)
+    return judged, accrual.freeship_milestone(balances, p, hot)
 
 
 def run_accrual(t: Tables, p: Params) -> JobResult:
-    # Ledger, stamps, balances and rejects all read the judged suborders: write them once.
-    judged = cut(accrual_judged(t, p))
-    accrued = accrued_suborders(judged, p, hot_keys(judged, CUSTOMER))
+    judged, accrued = accrual_state(t, p)
     return JobResult(
         accrual.accrual_ledger(accrued, p),
         accrual.account_changes(accrued),
@@ -85,10 +82,14 @@ def campaign_winners(t: Tables, active: DataFrame, p: Params) -> DataFrame:
     return campaign.one_campaign_per_order(campaign.already_campaign_rewarded(matched, t["ledger"]))
 
 
+def campaign_state(t: Tables, active: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
+    """Judged orders, written once, and their ledger rows."""
+    judged = cut(campaign.judge(campaign_winners(t, active, p), t["account"], t["tier_rule"]))
+    return judged, campaign.campaign_ledger(judged, p, hot_keys(judged, CUSTOMER))
+
+
 def run_campaign(t: Tables, p: Params) -> JobResult:
-    winners = campaign_winners(t, campaign_rules(t, p), p)
-    judged = cut(campaign.judge(winners, t["account"], t["tier_rule"]))
-    rows = campaign.campaign_ledger(judged, p, hot_keys(judged, CUSTOMER))
+    judged, rows = campaign_state(t, campaign_rules(t, p), p)
     return JobResult(rows, ledger.changes(ledger.added(rows)), campaign.reject_rows(judged))
 
 
@@ -101,15 +102,22 @@ def review_matches(t: Tables, p: Params) -> DataFrame:
     return reviews.matched_reviews(inside, t["review_action"], rules, p)
 
 
-def run_reviews(t: Tables, p: Params) -> JobResult:
-    deduped = reviews.review_dedup(review_matches(t, p), t["ledger"])
-    judged = cut(reviews.judge(deduped, t["account"]))
-    balances = reviews.review_balance(judged, hot_keys(judged, CUSTOMER))
-    rows = reviews.review_ledger(balances, p)
-    rejects = ledger.rejects(judged, reviews.JOB, "review_id", F.col("reason"))
+def review_state(matched: DataFrame, t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Judged reviews, written once, and the paid ones with running balances."""
+    judged = cut(reviews.judge(reviews.review_dedup(matched, t["ledger"]), t["account"]))
+    return judged, reviews.review_balance(judged, hot_keys(judged, CUSTOMER))
+
+
+def _review_result(judged: DataFrame, balances: DataFrame, job: str, p: Params) -> JobResult:
+    rows = reviews.review_ledger(balances, p, job)
+    rejects = ledger.rejects(judged, job, "review_id", F.col("reason"))
     return JobResult(rows, ledger.changes(ledger.added(rows)), rejects)
 
 
+def run_reviews(t: Tables, p: Params) -> JobResult:
+    return _review_result(*review_state(review_matches(t, p), t), reviews.JOB, p)
+
+
 def editor_matches(t: Tables, p: Params) -> DataFrame:
     rules = reviews.active_review_rules(t["review_rule"], p)
     imported = reviews.editor_reviews(
@@ -120,15 +128,12 @@ def editor_matches(t: Tables, p: Params) -> DataFrame:
 
 def run_editor_reviews(t: Tables, p: Params) -> JobResult:
     matched = cut(editor_matches(t, p))
-    members = reviews.review_dedup(matched.filter(F.col("customer_id").isNotNull()), t["ledger"])
-    judged = cut(reviews.judge(members, t["account"]))
-    balances = reviews.review_balance(judged, hot_keys(judged, CUSTOMER))
-    rows = reviews.review_ledger(balances, p, reviews.EDITOR_JOB)
-    rejects = ledger.rejects(judged, reviews.EDITOR_JOB, "review_id", F.col("reason"))
-    log = reviews.editor_review_rewards(balances).unionByName(
+    judged, balances = review_state(matched.filter(F.col("customer_id").isNotNull()), t)
+    result = _review_result(judged, balances, reviews.EDITOR_JOB, p)
+    result.tables["review_reward_log"] = reviews.editor_review_rewards(balances).unionByName(
         reviews.guest_review_outbox(matched, t["review_reward_log"])
     )
-    return JobResult(rows, ledger.changes(ledger.added(rows)), rejects, {"review_reward_log": log})
+    return result
 
 
 # --- first orders
@@ -156,9 +161,14 @@ def referral_rewards(t: Tables, p: Params) -> DataFrame:
     return referral.referral_reward(referral.already_referred(used, t["ledger"]))
 
 
-def run_referral(t: Tables, p: Params) -> JobResult:
+def referral_state(t: Tables, p: Params) -> tuple[DataFrame, DataFrame]:
+    """Rewards, written once, and their ledger rows."""
     rewards = cut(referral_rewards(t, p))
-    rows = referral.referral_ledger(rewards, p, hot_keys(rewards, CUSTOMER))
+    return rewards, referral.referral_ledger(rewards, p, hot_keys(rewards, CUSTOMER))
+
+
+def run_referral(t: Tables, p: Params) -> JobResult:
+    rewards, rows = referral_state(t, p)
     return JobResult(rows, ledger.changes(ledger.added(rows)), referral.reject_rows(rewards))
 
 
@@ -177,13 +187,16 @@ def run_freeship_backfill(t: Tables, p: Params) -> JobResult:
     return JobResult(tiers.backfill_ledger(owed, p), tiers.backfill_changes(owed), no_rejects(owed))
 
 
-def run_email_list(t: Tables, p: Params, entries: DataFrame, list_id: str) -> JobResult:
-    """`entries` come from `sources.email_list`. An entry the ledger holds under the same list
-    is not granted again."""
-    fresh = email_grant.not_granted(email_grant.email_list_ingest(entries), t["ledger"], list_id)
-    known = cut(email_grant.known_entries(fresh, t["account"]))
-    grants = email_grant.email_list_grant(known, hot_keys(known, CUSTOMER))
-    rows = email_grant.email_list_ledger(grants, list_id, p)
+def email_grants(entries: DataFrame, account: DataFrame) -> DataFrame:
+    known = cut(email_grant.known_entries(entries, account))
+    return email_grant.email_list_grant(known, hot_keys(known, CUSTOMER))
+
+
+def run_email_list(t: Tables, p: Params, raw: DataFrame, list_id: str) -> JobResult:
+    """`raw` comes from `sources.email_list`. An entry the ledger holds under the same list is
+    not granted again."""
+    fresh = email_grant.not_granted(email_grant.email_list_ingest(raw), t["ledger"], list_id)
+    rows = email_grant.email_list_ledger(email_grants(fresh, t["account"]), list_id, p)
     return JobResult(rows, ledger.changes(ledger.added(rows)), no_rejects(rows))
 
 

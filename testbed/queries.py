@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perkmill.functions.localtime import match_windows, ntz, with_local_time
-from perkmill.functions.running import hot_keys
 from perkmill.operators import accounts, accrual, campaign, email_grant, ledger, order_count, pricing, referral, reviews, tiers
 from perkmill.params import ATTR_COMPANY, CHEAPEST, HIGHEST, PROMO_FPOINT, PROMO_FREESHIP, Params
 from perkmill.plans import jobs
@@ -19,7 +18,6 @@ from .tables import PARAMS, Shop
 
 Query = Callable[[Shop, Params], DataFrame]
 QUERIES: dict[str, Query] = {}
-CUSTOMER = ["customer_id"]
 
 
 def query(fn: Query) -> Query:
@@ -94,15 +92,13 @@ def suborder_points(t: Shop, p: Params) -> DataFrame:
     return out(df, "suborder_id customer_id amount:d company_code:s points")
 
 
-@query
-def running_point_balance(t: Shop, p: Params) -> DataFrame:
-    points = accrual.suborder_points(jobs.accrual_judged(t, p))
-    df = accrual.running_point_balance(points, jobs.accrual_hot(t, p))
-    return out(df, "suborder_id customer_id points balance_before balance_after accrue_after")
+def _accrued(t: Shop, p: Params) -> DataFrame:
+    return jobs.accrual_state(t, p)[1]
 
 
-def _accrued(t: Shop, p: Params) -> DataFrame:
-    return jobs.accrued_suborders(jobs.accrual_judged(t, p), p, jobs.accrual_hot(t, p))
+@query
+def running_point_balance(t: Shop, p: Params) -> DataFrame:
+    return out(_accrued(t, p), "suborder_id customer_id points balance_before balance_after accrue_after")
 
 
 @query
@@ -215,8 +211,7 @@ _reward_query("reward_promo_freeship", PROMO_FREESHIP)
 
 
 def _campaign_rows(t: Shop, p: Params) -> DataFrame:
-    hot = hot_keys(campaign.complete_orders(t["orders"]), CUSTOMER)
-    return campaign.campaign_ledger(_campaign_judged(t, p), p, hot)
+    return jobs.campaign_state(t, _active(t, p), p)[1]
 
 
 @query
@@ -275,17 +270,13 @@ def _deduped(t: Shop, p: Params) -> DataFrame:
 
 @query
 def review_dedup(t: Shop, p: Params) -> DataFrame:
-    return out(_deduped(t, p), "review_campaign_id review_id customer_id product_id")
-
-
-def _review_balances(t: Shop, p: Params, deduped: DataFrame) -> DataFrame:
-    hot = hot_keys(t["review"].filter("status_id = 1"), CUSTOMER)
-    return reviews.review_balance(reviews.judge(deduped, t["account"]), hot)
+    df = reviews.review_dedup(jobs.review_matches(t, p), t["ledger"])
+    return out(df, "review_campaign_id review_id customer_id product_id")
 
 
 @query
 def review_ledger(t: Shop, p: Params) -> DataFrame:
-    df = reviews.review_ledger(_review_balances(t, p, _deduped(t, p)), p)
+    df = reviews.review_ledger(jobs.review_state(jobs.review_matches(t, p), t)[1], p)
     return out(df, LEDGER + "review_id product_id review_campaign_id description:s")
 
 
@@ -298,7 +289,7 @@ def editor_reviews(t: Shop, p: Params) -> DataFrame:
 @query
 def editor_review_rewards(t: Shop, p: Params) -> DataFrame:
     members = jobs.editor_matches(t, p).filter(F.col("customer_id").isNotNull())
-    balances = _review_balances(t, p, reviews.review_dedup(members, t["ledger"]))
+    _, balances = jobs.review_state(members, t)
     log = reviews.editor_review_rewards(balances).select("author_id", "review_id", "status", "editor_type").distinct()
     df = reviews.review_ledger(balances, p, reviews.EDITOR_JOB).join(log, "review_id")
     return out(df, LEDGER + "review_id product_id review_campaign_id author_id status:s editor_type:s")
@@ -378,7 +369,7 @@ def referral_reward(t: Shop, p: Params) -> DataFrame:
 
 
 def _referral_rows(t: Shop, p: Params) -> DataFrame:
-    return referral.referral_ledger(jobs.referral_rewards(t, p), p, hot_keys(_referral_orders(t, p), CUSTOMER))
+    return jobs.referral_state(t, p)[1]
 
 
 @query
@@ -421,8 +412,7 @@ def email_list_ingest(t: Shop, p: Params) -> DataFrame:
 
 
 def _grants(t: Shop, p: Params) -> DataFrame:
-    known = email_grant.known_entries(email_grant.email_list_ingest(t["email_list"]), t["account"])
-    return email_grant.email_list_grant(known, hot_keys(known, CUSTOMER))
+    return jobs.email_grants(email_grant.email_list_ingest(t["email_list"]), t["account"])
 
 
 @query
