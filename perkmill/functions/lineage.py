@@ -1,26 +1,33 @@
-"""Cutting lineage through the cluster's shared checkpoint folder."""
+"""Cutting lineage with a table in the folder all executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: list[str] = []
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="perkmill-checkpoint-"))
-    else:
+
+def shared_folder(spark: SparkSession) -> str:
+    """`spark.checkpoint.dir`; only a local session without it gets a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="perkmill-"))
+    return _LOCAL[0]
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Writes `df` out once, for a result that several later steps read."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Writes `df` once, for a result that several later steps read, and reads it back.
+
+    A columnar table, so each reader scans only the columns it needs, and a lost executor costs
+    a re-read, not a re-run of what came before.
+    """
+    path = f"{shared_folder(df.sparkSession)}/perkmill/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.localtime import ntz
@@ -28,15 +28,19 @@ def eligible_suborders(
     )
 
 
-def unpaid_suborders(suborder: DataFrame, orders: DataFrame, attr: DataFrame, p: Params) -> DataFrame:
-    """`eligible_suborders` before items are looked at; the amount's inner join on items
-    drops a suborder without countable ones."""
-    unpaid = suborder.filter(
+def _unpaid(p: Params) -> Column:
+    return (
         F.col("parent_id").isNull()
         & (F.col("status") == "complete")
         & (F.col("delivery_timestamp") >= ntz(p.since_midnight(p.accrual_days)))
         & (F.col("f_point_amount") == 0)
-    ).select(*SUBORDER_KEY, *FEES)
+    )
+
+
+def unpaid_suborders(suborder: DataFrame, orders: DataFrame, attr: DataFrame, p: Params) -> DataFrame:
+    """`eligible_suborders` before items are looked at; the amount's inner join on items
+    drops a suborder without countable ones."""
+    unpaid = suborder.filter(_unpaid(p)).select(*SUBORDER_KEY, *FEES)
     buyers = orders.filter(F.col("customer_id").isNotNull()).select("order_id", "customer_id")
     unconfirmed = (
         attr.filter((F.col("attribute_id") == ATTR_NOT_CONFIRMED) & F.col("value").isNotNull())
@@ -167,14 +171,20 @@ def accrual_ledger(accrued: DataFrame, p: Params) -> DataFrame:
     return ledger.ledger_rows(rows, JOB, ["type", "suborder_id"], p)
 
 
-def suborder_stamp(suborder: DataFrame, points: DataFrame) -> DataFrame:
-    """The suborder table with the points paid on each suborder."""
+def suborder_stamp(suborder: DataFrame, points: DataFrame, p: Params) -> DataFrame:
+    """The suborder table with the points paid on each suborder.
+
+    Only rows that could be paid are joined; the long tail of old ones passes without a shuffle.
+    """
+    payable = F.coalesce(_unpaid(p), F.lit(False))
     paid = points.select(*SUBORDER_KEY, "points")
-    return (
-        suborder.join(paid, SUBORDER_KEY, "left")
+    stamped = (
+        suborder.filter(payable)
+        .join(paid, SUBORDER_KEY, "left")
         .withColumn("f_point_amount", F.coalesce("points", "f_point_amount").cast("int"))
         .select(*suborder.columns)
     )
+    return suborder.filter(~payable).unionByName(stamped)
 
 
 def account_changes(accrued: DataFrame) -> DataFrame:

@@ -157,18 +157,21 @@ def campaign_order_agg(
     lines = order_products(priced(item), bundle).join(
         in_any_window(root_orders(suborder, orders, p), rules), SUBORDER_KEY
     )
-    per_rule = match_windows(global_item_exclusions(lines, product, p), rules)
-    order_columns = ["order_id", "customer_id", "customer_email", "grand_total"]
-    rule_columns = ["rule_id", "campaign_id", "action_name", "action", "value", "max_value"]
-    bounds = ["total_min", "total_max", "count_min", "count_max"]
+    tests = rules.select("rule_id", "from_date", "to_date", *[f"{n}_{s}" for n in ITEM_FILTERS for s in ("in", "out")])
+    per_rule = match_windows(global_item_exclusions(lines, product, p), tests)
+    terms = rules.select(
+        "rule_id", "campaign_id", "action_name", "action", "value", "max_value",
+        "total_min", "total_max", "count_min", "count_max",
+    )
     return (
         rule_item_filter(per_rule)
-        .groupBy(*order_columns, *rule_columns, *bounds)
+        .groupBy("rule_id", "order_id", "customer_id", "customer_email", "grand_total")
         .agg(
             F.sum("qty").cast("long").alias("qty"),
             F.min("min_price").alias("min_price"),
             F.max("max_price").alias("max_price"),
         )
+        .join(terms, "rule_id")
     )
 
 

@@ -35,8 +35,10 @@ def ledger_rows(df: DataFrame, job: str, key: list[str], p: Params) -> DataFrame
     )
 
 
-def append_new(stored: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows whose job key the stored ledger does not hold yet."""
+def append_new(stored: DataFrame, rows: DataFrame, jobs: list[str] | None = None) -> DataFrame:
+    """Rows whose job key the stored ledger does not hold yet. Naming the `jobs` of `rows` lets a
+    ledger partitioned by job skip the others' files."""
+    stored = stored if jobs is None else stored.filter(F.col("job").isin(*jobs))
     held = stored.filter(F.col("job_key").isNotNull()).select("job", "job_key").distinct()
     return rows.join(held, ["job", "job_key"], "left_anti")
 

@@ -115,13 +115,11 @@ def order_count_ledger(judged: DataFrame, p: Params) -> DataFrame:
 def finish_warm_up(ordinals: DataFrame, rules: DataFrame, p: Params) -> DataFrame:
     """Customers past the last rewarded ordinal: their index gets there and an order is left over."""
     last = p.warm_up_orders
-    beyond = ordinals.filter(F.col("ordinal") > last).select("customer_id", "start_index").distinct()
-    full_run = reachable(rules, p).filter(F.col("ordinal") == last)
+    full_run = reachable(rules, p).filter(F.col("ordinal") == last).agg(F.max("lowest_start")).scalar()
     return (
-        beyond.withColumn("ordinal", F.lit(last))
-        .join(full_run, "ordinal", "left")
-        .filter(F.col("start_index") >= F.coalesce("lowest_start", F.lit(last)))
+        ordinals.filter((F.col("ordinal") > last) & (F.col("start_index") >= F.coalesce(full_run, F.lit(last))))
         .select("customer_id")
+        .distinct()
     )
 
 

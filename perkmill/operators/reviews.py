@@ -33,8 +33,8 @@ def active_review_rules(rules: DataFrame, p: Params) -> DataFrame:
 
 
 def approved_reviews(review: DataFrame, p: Params) -> DataFrame:
-    """Approved reviews with their character count in place of the text."""
-    return review.filter(F.col("status_id") == 1).select(
+    """Approved reviews of customers with their character count in place of the text."""
+    return review.filter((F.col("status_id") == 1) & F.col("customer_id").isNotNull()).select(
         "review_id",
         "product_id",
         "customer_id",

@@ -15,13 +15,9 @@ BACKFILL_JOB = "freeship backfill"
 def tier_classify(account: DataFrame, tier_rule: DataFrame, p: Params) -> DataFrame:
     """Accounts past the year-point floor with the level they belong to: 1 below the begin of
     level 2, else 2. Without a rule for level 2 everyone counts as level 2."""
-    second = tier_rule.filter(F.col("level_id") == 2).select("level_id", F.col("num_point_begin_level").alias("second_from"))
-    return (
-        account.filter(F.col("fpoint_accrue_year") >= p.upgrade_floor)
-        .withColumn("level_id", F.lit(2))
-        .join(second, "level_id", "left")
-        .withColumn("new_level", F.when(F.col("fpoint_accrue_year") < F.col("second_from"), 1).otherwise(2))
-        .drop("level_id", "second_from")
+    second_from = tier_rule.filter(F.col("level_id") == 2).agg(F.max("num_point_begin_level")).scalar()
+    return account.filter(F.col("fpoint_accrue_year") >= p.upgrade_floor).withColumn(
+        "new_level", F.when(F.col("fpoint_accrue_year") < second_from, 1).otherwise(2)
     )
 
 

@@ -61,7 +61,7 @@ def run_accrual(t: Tables, p: Params) -> JobResult:
         accrual.accrual_ledger(accrued, p),
         accrual.account_changes(accrued),
         accrual.reject_rows(judged),
-        {"suborder": accrual.suborder_stamp(t["suborder"], accrual.suborder_points(judged))},
+        {"suborder": accrual.suborder_stamp(t["suborder"], accrual.suborder_points(judged), p)},
     )
 
 
@@ -98,7 +98,8 @@ def run_campaign(t: Tables, p: Params) -> JobResult:
 
 def review_matches(t: Tables, p: Params) -> DataFrame:
     rules = reviews.active_review_rules(t["review_rule"], p)
-    inside = reviews.reviews_in_window(t["review"], t["account"], rules, p)
+    # Reviews without an account are told apart by `judge`, on the few that match.
+    inside = reviews.in_rule_windows(reviews.approved_reviews(t["review"], p), rules, p)
     return reviews.matched_reviews(inside, t["review_action"], rules, p)
 
 
@@ -140,8 +141,8 @@ def run_editor_reviews(t: Tables, p: Params) -> JobResult:
 
 
 def order_ordinals(t: Tables, p: Params) -> DataFrame:
-    candidates = order_count.new_customer_orders(t["orders"], t["suborder"], t["account"], p)
-    return order_count.order_ordinal(candidates, t["ledger"], hot_keys(t["orders"], CUSTOMER))
+    candidates = cut(order_count.new_customer_orders(t["orders"], t["suborder"], t["account"], p))
+    return order_count.order_ordinal(candidates, t["ledger"], hot_keys(candidates, CUSTOMER))
 
 
 def run_order_count(t: Tables, p: Params) -> JobResult:

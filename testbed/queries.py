@@ -115,7 +115,7 @@ def accrual_ledger(t: Shop, p: Params) -> DataFrame:
 @query
 def suborder_stamp(t: Shop, p: Params) -> DataFrame:
     points = accrual.suborder_points(jobs.accrual_judged(t, p))
-    return out(accrual.suborder_stamp(t["suborder"], points), "suborder_id order_id status:s f_point_amount")
+    return out(accrual.suborder_stamp(t["suborder"], points, p), "suborder_id order_id status:s f_point_amount")
 
 
 # --- campaigns
