@@ -55,7 +55,7 @@ def company_tier_percent(
         .agg(F.count("*").alias("rules"), F.max("percent_point_collect").alias("company_percent"))
         .filter((F.col("rules") == 1) & F.col("company_percent").isNotNull())
         .drop("rules")
-        .join(company.select("company_id").distinct(), "company_id", "left_semi")
+        .join(company.select("company_id"), "company_id", "left_semi")
     )
     return (
         tier_percent(account, tier_rule)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -499,8 +500,14 @@ def reject_report(t: Shop, p: Params) -> DataFrame:
     return out(df, "job:s customer_id ref_id reason:s")
 
 
+@lru_cache(maxsize=8)
+def shop(spark: SparkSession, sf_dir: str) -> Shop:
+    """Tables are resolved once per session, not once per query."""
+    return Shop(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn: Query):
-        return lambda spark, sf_dir: fn(Shop(spark, sf_dir), PARAMS)
+        return lambda spark, sf_dir: fn(shop(spark, sf_dir), PARAMS)
 
     return {name: bind(fn) for name, fn in QUERIES.items()}
