@@ -1,0 +1,142 @@
+"""Referrals, tiers, backfill, email lists and ledger helpers."""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+from decimal import Decimal as D
+
+import pytest
+
+from perkmill.functions import running
+from perkmill.operators import email_grant, ledger, referral, tiers
+from perkmill.plans import jobs
+from perkmill.sources.email_list import read_email_list
+
+
+def account(cid, **extra):
+    return {"customer_id": cid, "email": f"c{cid}@x.test", "fpoint": D("12.9"), "vip_level": 0, "num_freeship": 2,
+            "fpoint_accrue_year": 0, "num_rewarded_freeship": 0, "refer_code": f"R{cid}", "refer_status": 1,
+            "refer_rule": 1, **extra}
+
+
+def order(oid, code, customer=1, total="1000.10", **extra):
+    return {"order_id": oid, "customer_id": customer, "status": "complete", "grand_total": D(total),
+            "created_at": datetime(2024, 2, 1), "coupon_code": code, **extra}
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_referral(table, params, monkeypatch, split):
+    if split:
+        monkeypatch.setattr(jobs, "hot_keys", lambda df, keys: running.hot_keys(df, keys, 1))
+    since = datetime(2024, 1, 16)
+    t = {
+        "account": table("account", [
+            account(1), account(2, refer_rule=2), account(3, refer_status=0), account(4, refer_rule=3),
+            account(5, refer_rule=None), account(9, refer_code="SHARED"), account(8, refer_code="SHARED", refer_rule=2),
+            account(7, refer_code="SHARED", refer_status=0), account(6, email=None)]),
+        "orders": table("orders", [
+            order(10, "R1", customer=1), order(11, "R1"), order(12, "R2"), order(13, "R3"), order(14, "R4"),
+            order(15, "R5"), order(16, "SHARED"), order(17, None), order(18, "r1"), order(19, "R1", status="open"),
+            order(20, "R1", customer=None), order(21, "R1", created_at=since), order(22, "R2"),
+            order(23, "R1", created_at=since - timedelta(seconds=1)), order(24, "R1"), order(25, "R6"), order(26, "R2")]),
+        "refer_rule": table("refer_rule", [
+            {"refer_rule_id": 1, "action": "add", "value": 30, "status": 1},
+            {"refer_rule_id": 2, "action": "percent", "value": 3, "status": 1},
+            {"refer_rule_id": 3, "action": "add", "value": 9, "status": 0}]),
+        "ledger": table("ledger", [
+            {"order_id": 24, "action": "add refer fpoint"}, {"order_id": 11, "action": "something else"}]),
+    }
+    result = jobs.run_referral(t, params)
+    got = {r["order_id"]: (r["customer_id"], r["value"], r["amount_before"], r["amount_after"]) for r in result.ledger.collect()}
+    assert got == {
+        10: (1, 30.0, 12.9, 42.9), 11: (1, 30.0, 42.9, 72.9), 21: (1, 30.0, 72.9, 102.9),
+        12: (2, 30.003, 12.9, 42.903), 22: (2, 30.003, 42.903, 72.906), 26: (2, 30.003, 72.906, 102.909),
+        16: (8, 30.003, 12.9, 42.903),
+    }
+    assert [(r["ref_id"], r["reason"]) for r in result.rejects.collect()] == [(25, "no email")]
+
+
+def test_tier_upgrade(table, params):
+    rules = [{"level_id": 0, "num_freeship_award": 0, "num_point_begin_level": 0},
+             {"level_id": 1, "num_freeship_award": 2, "num_point_begin_level": 40_000},
+             {"level_id": 2, "num_freeship_award": 5, "num_point_begin_level": 50_000}]
+    years = {1: 29_999, 2: 30_000, 3: 49_999, 4: 50_000}
+    accounts = [account(c, fpoint_accrue_year=y) for c, y in years.items()]
+    accounts += [account(5, fpoint_accrue_year=60_000, vip_level=1), account(6, fpoint_accrue_year=60_000, vip_level=2),
+                 account(7, fpoint_accrue_year=30_000, vip_level=2)]
+    t = {"account": table("account", accounts), "tier_rule": table("tier_rule", rules)}
+    result = jobs.run_tier_upgrade(t, params)
+    after = {r["customer_id"]: (r["vip_level"], r["num_freeship"]) for r in ledger.apply_changes(t["account"], result.changes).collect()}
+    assert after == {1: (0, 2), 2: (1, 4), 3: (1, 4), 4: (2, 7), 5: (2, 7), 6: (2, 2), 7: (2, 2)}
+    rows = [(r["customer_id"], r["type"], r["value"], r["amount_after"]) for r in result.ledger.collect()]
+    assert sorted(rows) == [
+        (2, "freeship", 2.0, 4.0), (2, "vip level", 1.0, 1.0), (3, "freeship", 2.0, 4.0), (3, "vip level", 1.0, 1.0),
+        (4, "freeship", 5.0, 7.0), (4, "vip level", 2.0, 2.0), (5, "freeship", 5.0, 7.0), (5, "vip level", 1.0, 2.0)]
+    without = {"account": t["account"], "tier_rule": table("tier_rule", rules[:2])}
+    result = jobs.run_tier_upgrade(without, params)
+    assert result.ledger.isEmpty()
+    assert {r["customer_id"] for r in result.rejects.collect()} == {2, 3, 4, 5}
+
+
+def test_freeship_backfill(table, params):
+    cases = {1: (9_999, 0), 2: (10_000, 0), 3: (35_000, 1), 4: (35_000, 3), 5: (35_000, 4), 6: (0, 0)}
+    t = {"account": table("account", [account(c, fpoint_accrue_year=y, num_rewarded_freeship=n) for c, (y, n) in cases.items()])}
+    result = jobs.run_freeship_backfill(t, params)
+    assert sorted((r["customer_id"], r["value"], r["amount_after"]) for r in result.ledger.collect()) == [(2, 1.0, 3.0), (3, 2.0, 4.0)]
+    after = ledger.apply_changes(t["account"], result.changes)
+    assert {r["customer_id"]: (r["num_freeship"], r["num_rewarded_freeship"]) for r in after.collect()} == {
+        1: (2, 0), 2: (3, 1), 3: (4, 3), 4: (2, 3), 5: (2, 4), 6: (2, 0)}
+    assert jobs.run_freeship_backfill({"account": after}, params).ledger.isEmpty()
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_email_list(spark, table, params, tmp_path, monkeypatch, split):
+    if split:
+        monkeypatch.setattr(jobs, "hot_keys", lambda df, keys: running.hot_keys(df, keys, 1))
+    path = tmp_path / "list.csv"
+    path.write_text(
+        "Free shipping,,,\nno,name,phone,email\n1,a,0, C1@X.test \n2,b,0,c2@x.test,extra\n3,c,0,c1@ x.test\n"
+        "4,d,0,nobody@x.test\n5,e,0,\n6,f\n7,g,0,both@x.test\n8,h,0,c1@x.test\n", encoding="utf-8")
+    raw = read_email_list(spark, str(path))
+    assert sorted(r["email"] for r in email_grant.email_list_ingest(raw).collect()) == [
+        "both@x.test", "c1@x.test", "c1@x.test", "c1@x.test", "c2@x.test", "nobody@x.test"]
+    t = {"account": table("account", [account(1), account(2), account(9, email="both@x.test"), account(8, email="BOTH@x.test")]),
+         "ledger": table("ledger", [])}
+    result = jobs.run_email_list(t, params, raw, "may")
+    rows = result.ledger.collect()
+    assert sorted((r["customer_id"], r["amount_before"], r["amount_after"]) for r in rows) == [
+        (1, 2.0, 3.0), (1, 3.0, 4.0), (1, 4.0, 5.0), (2, 2.0, 3.0), (8, 2.0, 3.0)]
+    after = ledger.apply_changes(t["account"], result.changes)
+    assert {r["customer_id"]: r["num_freeship"] for r in after.collect()} == {1: 5, 2: 3, 8: 3, 9: 2}
+    again = {"account": after, "ledger": result.ledger}
+    assert jobs.run_email_list(again, params, raw, "may").ledger.isEmpty()
+    assert jobs.run_email_list(again, params, raw, "june").ledger.count() == 5
+
+
+def test_append_new_and_apply_changes(table, params):
+    stored = table("ledger", [{"job": "a", "job_key": "1"}, {"job": "a", "job_key": None}, {"customer_id": 5}])
+    rows = table("ledger", [{"job": "a", "job_key": "1"}, {"job": "b", "job_key": "1"}, {"job": "a", "job_key": "2"}])
+    assert sorted((r["job"], r["job_key"]) for r in ledger.append_new(stored, rows).collect()) == [("a", "2"), ("b", "1")]
+    assert sorted((r["job"], r["job_key"]) for r in ledger.append_new(stored, rows, ["a", "b"]).collect()) == [("a", "2"), ("b", "1")]
+    accounts = table("account", [account(1), account(2)])
+    paid = table("ledger", [
+        {"customer_id": 1, "type": "fpoint", "value": 0.1}, {"customer_id": 1, "type": "fpoint", "value": 0.2},
+        {"customer_id": 1, "type": "freeship", "value": 2.0}, {"customer_id": 1, "type": "vip level", "value": 1.0}])
+    after = ledger.apply_changes(accounts, ledger.changes(ledger.added(paid)))
+    assert after.schema == accounts.schema
+    assert {r["customer_id"]: (r["fpoint"], r["num_freeship"], r["vip_level"]) for r in after.collect()} == {
+        1: (D("13.2000"), 4, 0), 2: (D("12.9000"), 2, 0)}
+
+
+def test_referrer_choice_does_not_multiply_orders(table, params):
+    """Many owners of one code are folded before orders are joined."""
+    accounts = table("account", [account(c, refer_code="HOT") for c in range(50, 0, -1)])
+    rules = table("refer_rule", [{"refer_rule_id": 1, "action": "add", "value": 1, "status": 1}])
+    orders = table("orders", [order(i, "HOT") for i in range(200)])
+    used = referral.referral_orders(orders, accounts, rules, params).collect()
+    assert len(used) == 200 and {r["customer_id"] for r in used} == {1}
+
+
+def test_classify_without_second_level(table, params):
+    accounts = table("account", [account(1, fpoint_accrue_year=30_000)])
+    assert tiers.tier_classify(accounts, table("tier_rule", []), params).first()["new_level"] == 2
