@@ -1,0 +1,149 @@
+"""A whole day over the given tables: chained snapshots, idempotence, conservation, re-runs."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from perkmill.plans import daily
+from perkmill.plans.jobs import JOBS
+from perkmill.schemas import LEDGER, schema_of
+from perkmill.sources.store import Store
+from perkmill.sources.tables import parquet_tables
+from testbed.tables import PARAMS, Shop
+
+
+@pytest.fixture(scope="module")
+def inputs(spark, sf_dir, tmp_path_factory):
+    """The bindings as contract tables on disk; the joined campaign binding is split again."""
+    shop = Shop(spark, sf_dir)
+    rules = shop["campaign_rule"].withColumn("campaign_id", F.col("rule_id") * 100 + F.col("campaign_id"))
+    frames = {
+        "campaign": rules,
+        "campaign_action": rules.withColumn("action_id", F.col("rule_id")),
+        "campaign_rule": rules.withColumn("action_id", F.col("rule_id")),
+    }
+    root = str(tmp_path_factory.mktemp("inputs"))
+    names = [
+        "account_attr", "orders", "suborder", "suborder_item", "suborder_bundle", "product", "tier_rule", "company",
+        "company_tier_rule", "campaign", "campaign_action", "campaign_rule", "campaign_rule_filter", "review",
+        "review_action", "review_editor_log", "review_editor", "review_rule", "review_reward_log",
+        "order_count_rule", "refer_rule",
+    ]
+    for name in names:
+        df = frames.get(name, shop[name] if name not in frames else None)
+        columns = [
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema_of(name)
+        ]
+        df.select(*columns).write.parquet(f"{root}/{name}")
+    return shop, parquet_tables(spark, root, names)
+
+
+@pytest.fixture(scope="module")
+def ran(spark, inputs, tmp_path_factory):
+    shop, tables = inputs
+    store = Store(spark, str(tmp_path_factory.mktemp("store")))
+    store.start("0", shop["account"], shop["ledger"])
+    last = daily.run_day(store, "day1", "0", tables, PARAMS)
+    return store, tables, last
+
+
+def sums(df):
+    by_type = df.groupBy("customer_id", "type").agg(F.sum("value").alias("v")).collect()
+    return {(r["customer_id"], r["type"]): round(r["v"], 4) for r in by_type}
+
+
+def balances(df):
+    return {r["customer_id"]: r for r in df.collect()}
+
+
+def test_every_job_paid_something(ran):
+    store, _, last = ran
+    assert last == f"day1-{len(daily.ORDER) - 1:02d}"
+    jobs = {r["job"] for r in store.ledger_before("day2").filter("job is not null").select("job").distinct().collect()}
+    # The binding imports the very reviews their members wrote, which the review job has paid.
+    assert jobs == set(daily.ORDER) - {"editor review"}
+    assert store.written("review_reward_log", "day1-05").filter("status = 'not rewarded'").count() > 0
+
+
+def test_ledger_explains_every_balance(ran):
+    store, _, _ = ran
+    previous = "0"
+    for number, job in enumerate(daily.ORDER):
+        run = f"day1-{number:02d}"
+        rows = store.written("ledger", run)
+        before, after, paid = balances(store.account(previous)), balances(store.account(run)), sums(rows)
+        touched = {r["customer_id"] for r in rows.collect()}
+        assert before.keys() == after.keys()
+        for cid in touched:
+            b, a = before[cid], after[cid]
+            start = float(b["fpoint"]) if job != "accrual" else float(int(b["fpoint"]))
+            assert float(a["fpoint"]) == pytest.approx(start + paid.get((cid, "fpoint"), 0))
+            assert a["num_freeship"] == b["num_freeship"] + paid.get((cid, "freeship"), 0)
+            assert a["vip_level"] == b["vip_level"] + paid.get((cid, "vip level"), 0)
+        assert {c for c in after if after[c] != before[c]} <= touched | {
+            c for c in after if job in ("accrual", "order count")
+        }
+        previous = run
+
+
+def test_running_balances_are_continuous(ran):
+    """Per run, customer and type: rows chain, the first starting at the stored balance."""
+    store, _, _ = ran
+    previous = "0"
+    for number, job in enumerate(daily.ORDER):
+        run = f"day1-{number:02d}"
+        before = balances(store.account(previous))
+        chains = {}
+        for r in store.written("ledger", run).collect():
+            chains.setdefault((r["customer_id"], r["type"]), []).append((r["amount_before"], r["amount_after"]))
+        for (cid, kind), steps in chains.items():
+            steps.sort()
+            column = {"fpoint": "fpoint", "freeship": "num_freeship", "vip level": "vip_level"}[kind]
+            at = float(before[cid][column])
+            if job == "accrual" and kind == "fpoint":
+                at = float(int(at))
+            for low, high in steps:
+                assert low == pytest.approx(at), (job, cid, kind)
+                at = high
+        previous = run
+
+
+def test_second_day_adds_nothing(ran):
+    store, tables, last = ran
+    again = {
+        **tables,
+        "suborder": store.written("suborder", "day1-00"),
+        "review_reward_log": store.written("review_reward_log", "day1-05").unionByName(tables["review_reward_log"]),
+    }
+    end = daily.run_day(store, "day2", last, again, PARAMS)
+    new = store.ledger_before("day3").join(store.ledger_before("day2"), ["job", "job_key"], "left_anti")
+    assert new.filter("job is not null").isEmpty()
+    assert store.written("review_reward_log", "day2-05").isEmpty()
+    assert sorted(map(tuple, store.account(end).drop("finish_warm_up_period", "num_rewarded_freeship").collect())) == sorted(
+        map(tuple, store.account(last).drop("finish_warm_up_period", "num_rewarded_freeship").collect()))
+
+
+def test_failed_run_is_repeated_under_its_id(spark, ran, tmp_path):
+    """Left-over ledger rows of a run that wrote no account snapshot are not read by its repeat."""
+    store, tables, _ = ran
+    copy = Store(spark, str(tmp_path))
+    copy.start("0", store.account("0"), store.written("ledger", "0"))
+    t = copy.tables(tables, "day1-00", "0")
+    JOBS["campaign"](t, PARAMS).ledger.write.parquet(copy.folder("ledger", "day1-00"))
+    daily.run_job(copy, "campaign", "day1-00", "0", tables, PARAMS)
+    first = JOBS["campaign"](copy.tables(tables, "day1-00", "0"), PARAMS).ledger
+    got = copy.written("ledger", "day1-00").select(LEDGER.names)
+    assert sorted(map(str, got.collect())) == sorted(map(str, first.collect())) and not first.isEmpty()
+
+
+def test_on_demand_backfill(spark, ran, tmp_path):
+    store, tables, last = ran
+    daily.run_job(store, "freeship backfill", "day9-00", last, tables, PARAMS)
+    paid = sums(store.written("ledger", "day9-00"))
+    before, after = balances(store.account(last)), balances(store.account("day9-00"))
+    assert paid
+    for (cid, _), value in paid.items():
+        assert after[cid]["num_freeship"] == before[cid]["num_freeship"] + value
+        assert after[cid]["num_rewarded_freeship"] == after[cid]["fpoint_accrue_year"] // 10_000
