@@ -24,45 +24,45 @@ def with_local_time(df: DataFrame, utc: str, hours: int) -> DataFrame:
 
 
 def rules_by_month(rules: DataFrame) -> DataFrame:
-    """One row per rule and calendar month its window touches.
+    """One row per rule and calendar month its window touches; `month_no` 0 is the first.
 
-    Lets rows meet their rules on an equality, so a rule table too large to broadcast still
-    joins by hash or sort; `inside_window` then tests the exact bounds.
+    Rows then meet their rules on an equality, and `inside_window` tests the exact bounds. Cut
+    the result (`lineage.cut`) before joining rows to it: Spark then knows its true size, and
+    broadcasts it while it is small instead of shuffling the rows by month.
     """
+    months = F.sequence(
+        F.trunc(F.col("from_at").cast("date"), "month"),
+        F.trunc(F.col("to_at").cast("date"), "month"),
+        F.make_ym_interval(months=F.lit(1)),
+    )
     return (
         rules.filter(F.col("from_date") <= F.col("to_date"))
         .withColumn("from_at", F.col("from_date").cast("timestamp_ntz"))
         .withColumn("to_at", F.col("to_date").cast("timestamp_ntz"))
         .drop("from_date", "to_date")
-        .withColumn(
-            "rule_month",
-            F.explode(
-                F.sequence(
-                    F.trunc(F.col("from_at").cast("date"), "month"),
-                    F.trunc(F.col("to_at").cast("date"), "month"),
-                    F.make_ym_interval(months=F.lit(1)),
-                )
-            ),
-        )
+        .select("*", F.posexplode(months).alias("month_no", "rule_month"))
     )
 
 
+def once_per_rule(monthly: DataFrame) -> DataFrame:
+    return monthly.filter(F.col("month_no") == 0).drop("month_no", "rule_month", "from_at", "to_at")
+
+
 def inside_window() -> Column:
     """Both ends of a rule window count."""
     return F.col("local_at").between(F.col("from_at"), F.col("to_at"))
 
 
-def match_windows(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """Every row (from `with_local_time`) with every rule whose window holds it."""
+def match_windows(rows: DataFrame, monthly: DataFrame) -> DataFrame:
+    """Every row (from `with_local_time`) with every rule (from `rules_by_month`) whose window
+    holds it."""
     return (
-        rows.join(rules_by_month(rules), "rule_month")
-        .filter(inside_window())
-        .drop("rule_month", "from_at", "to_at")
+        rows.join(monthly, "rule_month").filter(inside_window()).drop("rule_month", "month_no", "from_at", "to_at")
     )
 
 
-def in_any_window(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """Rows (from `with_local_time`) that at least one rule window holds."""
-    windows = rules_by_month(rules.select("from_date", "to_date").distinct())
+def in_any_window(rows: DataFrame, monthly: DataFrame) -> DataFrame:
+    """Rows that at least one rule window holds."""
+    windows = monthly.select("rule_month", "from_at", "to_at")
     same_month = rows["rule_month"] == windows["rule_month"]
     return rows.join(windows, same_month & inside_window(), "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.localtime import in_any_window, match_windows, with_local_time
+from ..functions.localtime import in_any_window, match_windows, once_per_rule, with_local_time
 from ..functions.money import amount, percent_exact, percent_points
 from ..functions.running import running_totals
 from ..functions.text import id_list
@@ -112,10 +112,10 @@ def in_complete_orders(items: DataFrame, suborder: DataFrame, orders: DataFrame,
 
 
 def campaign_items(
-    item: DataFrame, suborder: DataFrame, orders: DataFrame, rules: DataFrame, p: Params
+    item: DataFrame, suborder: DataFrame, orders: DataFrame, monthly: DataFrame, p: Params
 ) -> DataFrame:
     """Priced items with every rule whose window holds the order's local creation time."""
-    return match_windows(in_complete_orders(priced(item), suborder, orders, p), rules)
+    return match_windows(in_complete_orders(priced(item), suborder, orders, p), monthly)
 
 
 def global_item_exclusions(items: DataFrame, product: DataFrame, p: Params) -> DataFrame:
@@ -145,7 +145,7 @@ def campaign_order_agg(
     suborder: DataFrame,
     orders: DataFrame,
     product: DataFrame,
-    rules: DataFrame,
+    monthly: DataFrame,
     p: Params,
 ) -> DataFrame:
     """Quantity and price extremes per rule and order over the items the rule accepts.
@@ -153,16 +153,14 @@ def campaign_order_agg(
     Items fold to one row per suborder and product, and orders outside every window drop, before
     the two meet; the rows a rule multiplies are folded again before they leave the task.
     """
-    rules = rules.filter("usable")
+    monthly = monthly.filter("usable").drop("usable")
+    item_tests = [f"{n}_{side}" for n in ITEM_FILTERS for side in ("in", "out")]
     lines = order_products(priced(item), bundle).join(
-        in_any_window(root_orders(suborder, orders, p), rules), SUBORDER_KEY
+        in_any_window(root_orders(suborder, orders, p), monthly), SUBORDER_KEY
     )
-    tests = rules.select("rule_id", "from_date", "to_date", *[f"{n}_{s}" for n in ITEM_FILTERS for s in ("in", "out")])
+    tests = monthly.select("rule_id", *item_tests, "month_no", "rule_month", "from_at", "to_at")
     per_rule = match_windows(global_item_exclusions(lines, product, p), tests)
-    terms = rules.select(
-        "rule_id", "campaign_id", "action_name", "action", "value", "max_value",
-        "total_min", "total_max", "count_min", "count_max",
-    )
+    terms = once_per_rule(monthly).drop(*item_tests)
     return (
         rule_item_filter(per_rule)
         .groupBy("rule_id", "order_id", "customer_id", "customer_email", "grand_total")

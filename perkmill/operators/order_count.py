@@ -67,13 +67,23 @@ def reachable(rules: DataFrame, p: Params) -> DataFrame:
     return joined.select("ordinal", lowest.alias("lowest_start"))
 
 
-def order_count_rewards(ordinals: DataFrame, rules: DataFrame, p: Params) -> DataFrame:
-    """Orders whose ordinal is reachable, with each running rule for it."""
+def payable_rules(rules: DataFrame, p: Params) -> DataFrame:
+    """Running rules of the rewarded ordinals, with the start index they are reachable from. Cut
+    the few rows before joining orders to them, so that Spark knows how few."""
     terms = rules.filter((F.col("end_status") == 0) & F.col("type").isin(FPOINT, FREESHIP)).select(
-        F.col("rule_id"), F.col("type"), F.col("number_order").alias("ordinal"), F.col("value")
+        "rule_id", "type", F.col("number_order").alias("ordinal"), "value"
+    )
+    return terms.join(reachable(rules, p), "ordinal")
+
+
+def order_count_rewards(ordinals: DataFrame, payable: DataFrame, p: Params) -> DataFrame:
+    """Orders whose ordinal is reachable, with each running rule for it."""
+    return (
+        ordinals.filter(F.col("ordinal") <= p.warm_up_orders)
+        .join(payable, "ordinal")
+        .filter(F.col("start_index") >= F.col("lowest_start"))
+        .drop("lowest_start")
     )
-    payable = terms.join(reachable(rules, p), "ordinal")
-    return ordinals.join(payable, "ordinal").filter(F.col("start_index") >= F.col("lowest_start")).drop("lowest_start")
 
 
 def judge(rewards: DataFrame, account: DataFrame) -> DataFrame:

@@ -43,22 +43,22 @@ def approved_reviews(review: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def in_rule_windows(reviews: DataFrame, rules: DataFrame, p: Params) -> DataFrame:
-    return match_windows(with_local_time(reviews, "created_at", p.tz_offset_hours).drop("created_at"), rules).drop(
+def in_rule_windows(reviews: DataFrame, monthly: DataFrame, p: Params) -> DataFrame:
+    return match_windows(with_local_time(reviews, "created_at", p.tz_offset_hours).drop("created_at"), monthly).drop(
         "local_at"
     )
 
 
-def reviews_in_window(review: DataFrame, account: DataFrame, rules: DataFrame, p: Params) -> DataFrame:
+def reviews_in_window(review: DataFrame, account: DataFrame, monthly: DataFrame, p: Params) -> DataFrame:
     """Approved reviews of account holders with every rule whose window holds them."""
     holders = account.select("customer_id").distinct()
-    return in_rule_windows(approved_reviews(review, p), rules, p).join(holders, "customer_id", "left_semi")
+    return in_rule_windows(approved_reviews(review, p), monthly, p).join(holders, "customer_id", "left_semi")
 
 
-def review_like_count(action: DataFrame, rules: DataFrame, p: Params) -> DataFrame:
+def review_like_count(action: DataFrame, monthly: DataFrame, p: Params) -> DataFrame:
     """Likes per rule and review, counted inside the rule's window; reviews without any are absent."""
     likes = action.filter(F.col("type") == REVIEW_LIKE).select("review_id", "created_at")
-    windows = rules.select("review_campaign_id", "from_date", "to_date")
+    windows = monthly.select("review_campaign_id", "month_no", "rule_month", "from_at", "to_at")
     return (
         match_windows(with_local_time(likes, "created_at", p.tz_offset_hours).drop("created_at"), windows)
         .groupBy("review_campaign_id", "review_id")
@@ -80,9 +80,9 @@ def review_rule_match(reviews: DataFrame) -> DataFrame:
     return reviews.filter(measure.between(F.col("min_value"), F.col("max_value")))
 
 
-def matched_reviews(reviews: DataFrame, action: DataFrame, rules: DataFrame, p: Params) -> DataFrame:
+def matched_reviews(reviews: DataFrame, action: DataFrame, monthly: DataFrame, p: Params) -> DataFrame:
     """Reviews (with rule columns) that match. Likes are only counted for like rules."""
-    like_rules = rules.filter(F.col("review_type") == REVIEW_LIKE)
+    like_rules = monthly.filter(F.col("review_type") == REVIEW_LIKE)
     return review_rule_match(with_likes(reviews, review_like_count(action, like_rules, p)))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lineage import cut
+from ..functions.localtime import rules_by_month
 from ..functions.running import hot_keys
 from ..operators import accrual, campaign, email_grant, ledger, order_count, referral, reviews, tiers
 from ..operators.pricing import countable_items, suborder_amount
@@ -73,10 +74,14 @@ def campaign_rules(t: Tables, p: Params) -> DataFrame:
     return campaign.active_campaign_rules(rules, t["campaign_rule_filter"], p)
 
 
+def campaign_months(active: DataFrame, p: Params) -> DataFrame:
+    return cut(rules_by_month(campaign.combine_filters(active, p)))
+
+
 def campaign_winners(t: Tables, active: DataFrame, p: Params) -> DataFrame:
     per_rule = campaign.campaign_order_agg(
         t["suborder_item"], t["suborder_bundle"], t["suborder"], t["orders"], t["product"],
-        campaign.combine_filters(active, p), p,
+        campaign_months(active, p), p,
     )
     matched = campaign.rule_order_match(per_rule)
     return campaign.one_campaign_per_order(campaign.already_campaign_rewarded(matched, t["ledger"]))
@@ -96,8 +101,12 @@ def run_campaign(t: Tables, p: Params) -> JobResult:
 # --- reviews
 
 
+def review_months(t: Tables, p: Params) -> DataFrame:
+    return cut(rules_by_month(reviews.active_review_rules(t["review_rule"], p)))
+
+
 def review_matches(t: Tables, p: Params) -> DataFrame:
-    rules = reviews.active_review_rules(t["review_rule"], p)
+    rules = review_months(t, p)
     # Reviews without an account are told apart by `judge`, on the few that match.
     inside = reviews.in_rule_windows(reviews.approved_reviews(t["review"], p), rules, p)
     return reviews.matched_reviews(inside, t["review_action"], rules, p)
@@ -120,7 +129,7 @@ def run_reviews(t: Tables, p: Params) -> JobResult:
 
 
 def editor_matches(t: Tables, p: Params) -> DataFrame:
-    rules = reviews.active_review_rules(t["review_rule"], p)
+    rules = review_months(t, p)
     imported = reviews.editor_reviews(
         t["review_editor_log"], t["review"], t["review_editor"], t["account"], p
     )
@@ -147,7 +156,8 @@ def order_ordinals(t: Tables, p: Params) -> DataFrame:
 
 def run_order_count(t: Tables, p: Params) -> JobResult:
     ordinals = cut(order_ordinals(t, p))
-    rewards = order_count.order_count_rewards(ordinals, t["order_count_rule"], p)
+    payable = cut(order_count.payable_rules(t["order_count_rule"], p))
+    rewards = order_count.order_count_rewards(ordinals, payable, p)
     judged = order_count.judge(rewards, t["account"])
     rows = order_count.order_count_ledger(judged, p)
     finished = order_count.finish_warm_up(ordinals, t["order_count_rule"], p)

@@ -10,7 +10,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkmill.functions.localtime import match_windows, ntz, with_local_time
+from perkmill.functions.lineage import cut
+from perkmill.functions.localtime import match_windows, ntz, rules_by_month, with_local_time
 from perkmill.operators import accounts, accrual, campaign, email_grant, ledger, order_count, pricing, referral, reviews, tiers
 from perkmill.params import ATTR_COMPANY, CHEAPEST, HIGHEST, PROMO_FPOINT, PROMO_FREESHIP, Params
 from perkmill.plans import jobs
@@ -126,15 +127,15 @@ def _active(t: Shop, p: Params) -> DataFrame:
     return campaign.active_campaign_rules(t["campaign_rule"], t["campaign_rule_filter"], p)
 
 
-def _rules(t: Shop, p: Params) -> DataFrame:
-    return campaign.combine_filters(_active(t, p), p)
+def _months(t: Shop, p: Params) -> DataFrame:
+    return jobs.campaign_months(_active(t, p), p)
 
 
 @query
 def active_campaign_rules(t: Shop, p: Params) -> DataFrame:
     """Running rules and filters, with the orders created in each rule's window."""
     active = _active(t, p)
-    windows = active.select("rule_id", "from_date", "to_date").distinct()
+    windows = cut(rules_by_month(active.select("rule_id", "from_date", "to_date").distinct()))
     orders = with_local_time(t["orders"].select("order_id", "created_at"), "created_at", p.tz_offset_hours)
     counts = match_windows(orders, windows).groupBy("rule_id").agg(F.count("*").alias("orders_in_window"))
     df = active.join(counts, "rule_id", "left").withColumn("orders_in_window", F.coalesce("orders_in_window", F.lit(0)))
@@ -147,7 +148,7 @@ def active_campaign_rules(t: Shop, p: Params) -> DataFrame:
 
 @query
 def campaign_items(t: Shop, p: Params) -> DataFrame:
-    df = campaign.campaign_items(t["suborder_item"], t["suborder"], t["orders"], _rules(t, p), p)
+    df = campaign.campaign_items(t["suborder_item"], t["suborder"], t["orders"], _months(t, p), p)
     return out(df, "rule_id order_id suborder_id product_id price:d qty customer_id grand_total:d")
 
 
@@ -160,14 +161,14 @@ def global_item_exclusions(t: Shop, p: Params) -> DataFrame:
 
 @query
 def rule_item_filter(t: Shop, p: Params) -> DataFrame:
-    items = campaign.campaign_items(t["suborder_item"], t["suborder"], t["orders"], _rules(t, p), p)
+    items = campaign.campaign_items(t["suborder_item"], t["suborder"], t["orders"], _months(t, p), p)
     df = campaign.rule_item_filter(campaign.global_item_exclusions(items, t["product"], p))
     return out(df, "rule_id order_id suborder_id product_id")
 
 
 def _order_agg(t: Shop, p: Params) -> DataFrame:
     return campaign.campaign_order_agg(
-        t["suborder_item"], t["suborder_bundle"], t["suborder"], t["orders"], t["product"], _rules(t, p), p
+        t["suborder_item"], t["suborder_bundle"], t["suborder"], t["orders"], t["product"], _months(t, p), p
     )
 
 
@@ -223,15 +224,12 @@ def campaign_ledger(t: Shop, p: Params) -> DataFrame:
 # --- reviews
 
 
-def _review_rules(t: Shop, p: Params) -> DataFrame:
-    return reviews.active_review_rules(t["review_rule"], p)
-
-
 @query
 def active_review_rules(t: Shop, p: Params) -> DataFrame:
     """Running rules, with the approved reviews written in each rule's window."""
-    rules = _review_rules(t, p)
-    inside = reviews.in_rule_windows(t["review"].filter("status_id = 1").select("created_at"), rules, p)
+    rules = reviews.active_review_rules(t["review_rule"], p)
+    written = t["review"].filter("status_id = 1").select("created_at")
+    inside = reviews.in_rule_windows(written, jobs.review_months(t, p), p)
     counts = inside.groupBy("review_campaign_id").agg(F.count("*").alias("reviews_in_window"))
     df = rules.join(counts, "review_campaign_id", "left").withColumn(
         "reviews_in_window", F.coalesce("reviews_in_window", F.lit(0))
@@ -246,12 +244,12 @@ def review_char_count(t: Shop, p: Params) -> DataFrame:
 
 
 def _inside(t: Shop, p: Params) -> DataFrame:
-    return reviews.reviews_in_window(t["review"], t["account"], _review_rules(t, p), p)
+    return reviews.reviews_in_window(t["review"], t["account"], jobs.review_months(t, p), p)
 
 
 @query
 def review_like_count(t: Shop, p: Params) -> DataFrame:
-    likes = reviews.review_like_count(t["review_action"], _review_rules(t, p), p)
+    likes = reviews.review_like_count(t["review_action"], jobs.review_months(t, p), p)
     return out(reviews.with_likes(_inside(t, p), likes), "review_campaign_id review_id num_like")
 
 
@@ -316,7 +314,8 @@ def order_ordinal(t: Shop, p: Params) -> DataFrame:
 
 
 def _count_rewards(t: Shop, p: Params, rules: DataFrame) -> DataFrame:
-    df = order_count.order_count_rewards(jobs.order_ordinals(t, p), rules, p)
+    payable = cut(order_count.payable_rules(rules, p))
+    df = order_count.order_count_rewards(jobs.order_ordinals(t, p), payable, p)
     return out(df, "order_id customer_id start_index ordinal rule_id type:s value")
 
 
@@ -332,7 +331,8 @@ def order_count_rewards_stalled(t: Shop, p: Params) -> DataFrame:
 
 
 def _count_rows(t: Shop, p: Params, ordinals: DataFrame) -> DataFrame:
-    rewards = order_count.order_count_rewards(ordinals, t["order_count_rule"], p)
+    payable = cut(order_count.payable_rules(t["order_count_rule"], p))
+    rewards = order_count.order_count_rewards(ordinals, payable, p)
     return order_count.order_count_ledger(order_count.judge(rewards, t["account"]), p)
 
 
@@ -481,7 +481,7 @@ def local_window(t: Shop, p: Params) -> DataFrame:
     """Local creation time of every order, both look-backs of a mid-day run, and the number of
     campaign rules open at that time."""
     p = replace(p, as_of=datetime(2001, 8, 2, 15, 30))
-    windows = t["campaign_rule"].select("rule_id", "from_date", "to_date")
+    windows = cut(rules_by_month(t["campaign_rule"].select("rule_id", "from_date", "to_date")))
     orders = with_local_time(t["orders"].select("order_id", "created_at"), "created_at", p.tz_offset_hours)
     opened = match_windows(orders, windows).groupBy("order_id").agg(F.count("*").alias("rules_open"))
     df = orders.join(opened, "order_id", "left").select(
