@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.sql.maxMetadataStringLength", "4000")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
