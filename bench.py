@@ -47,6 +47,8 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        # Call sites for error messages cost driver time per column expression.
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

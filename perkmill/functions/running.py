@@ -37,7 +37,8 @@ def running_totals(
     column means descending. Without hot keys this is one window. With them, a hot key's rows are
     cut into id ranges, each range is totalled by itself, and the sum of the ranges before it is
     added: no task sees more than `chunk_ids` rows of a key, and the rows of one key that meet in
-    a window are one per range. `hot` may list keys by a part of `keys`.
+    a window are one per range. `hot` may list keys by a part of `keys`. With hot keys `df` is read
+    twice, so hand over one that is cheap to read again (`lineage.cut`).
     """
     ordering = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in order]
     until_here = (Window.unboundedPreceding, Window.currentRow)
@@ -48,7 +49,7 @@ def running_totals(
     *lead, last = order
     lead_of = {f"_lead{i}": c for i, c in enumerate(lead)}
     parts = [*keys, *lead_of, "_chunk"]
-    rows = cut(df).join(hot.withColumn("_hot", F.lit(True)), hot.columns, "left")
+    rows = df.join(hot.withColumn("_hot", F.lit(True)), hot.columns, "left")
     # Rows of ordinary keys keep null parts, hence stay together and take no offset.
     rows = rows.withColumns(
         {name: F.when(F.col("_hot"), F.col(c.removeprefix("-"))) for name, c in lead_of.items()}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 from ..functions.localtime import ntz
 from ..functions.money import amount, percent_points, whole
 from ..functions.running import running_totals
@@ -109,6 +110,8 @@ def freeship_milestone(balances: DataFrame, p: Params, hot: DataFrame | None = N
     Once a customer has reached a milestone the rewarded count equals the milestone count of the
     previous suborder, also when it was higher before.
     """
+    if hot is not None:
+        balances = cut(balances)
     step = F.lit(p.freeship_step)
     reached = F.floor(F.col("accrue_after") / step)
     reached_before = F.floor(F.col("accrue_before") / step)

@@ -462,6 +462,12 @@ select row_no, email, customer_id, cast(num_freeship + nth - 1 as bigint) as fre
         finish_warm_up_period="case when a.customer_id in (select customer_id from o_finished) then 1 "
         "else a.finish_warm_up_period end",
     ),
+    "apply_ledger_referral": _snapshot(
+        fpoint="a.fpoint + coalesce((select sum(reward) from o_refer_unpaid r where r.customer_id = a.customer_id), 0)",
+    ),
+    "apply_ledger_review": _snapshot(
+        fpoint="a.fpoint + coalesce((select sum(value) from o_review_first r where r.customer_id = a.customer_id), 0)",
+    ),
     "apply_ledger_tier_upgrade": _snapshot(
         "left join o_upgrades u on u.customer_id = a.customer_id",
         vip_level="coalesce(u.new_level, a.vip_level)",

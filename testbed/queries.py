@@ -451,6 +451,17 @@ def apply_ledger_order_count(t: Shop, p: Params) -> DataFrame:
     return _snapshot(t["account"], order_count.account_changes(_count_rows(t, p, ordinals), finished))
 
 
+@query
+def apply_ledger_referral(t: Shop, p: Params) -> DataFrame:
+    return _snapshot(t["account"], ledger.changes(ledger.added(_referral_rows(t, p))))
+
+
+@query
+def apply_ledger_review(t: Shop, p: Params) -> DataFrame:
+    rows = reviews.review_ledger(jobs.review_state(jobs.review_matches(t, p), t)[1], p)
+    return _snapshot(t["account"], ledger.changes(ledger.added(rows)))
+
+
 @query
 def apply_ledger_tier_upgrade(t: Shop, p: Params) -> DataFrame:
     return _snapshot(t["account"], tiers.upgrade_changes(_upgrades(t, p)))

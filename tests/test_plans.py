@@ -10,20 +10,12 @@ import pytest
 from perkmill.operators import accrual, campaign, reviews
 from perkmill.operators.pricing import goods_value, order_products
 from perkmill.schemas import schema_of
-from testbed.queries import QUERIES, queries
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
-def test_no_query_pairs_rows_without_a_key(spark, sf_dir, name):
-    text = plan(queries()[name](spark, sf_dir))
-    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
-    assert "Python" not in text and "Pandas" not in text
-
-
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("tables"))
