@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 def review_chars(text: str, buffer: int) -> Column:
     """Characters other than space, line feed and carriage return, plus the buffer."""
-    return (F.length(F.translate(F.col(text), " \n\r", "")) + F.lit(buffer)).cast("bigint")
+    kept = F.col(text)
+    for blank in (" ", "\n", "\r"):
+        kept = F.replace(kept, F.lit(blank), F.lit(""))
+    return (F.length(kept) + F.lit(buffer)).cast("bigint")
 
 
 def clean_email(raw: str) -> Column:
