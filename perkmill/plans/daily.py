@@ -17,7 +17,7 @@ def run_job(
     store: Store, job: str, run_id: str, previous: str, inputs: Mapping[str, DataFrame], p: Params
 ) -> None:
     tables = store.tables(inputs, run_id, previous)
-    store.commit(run_id, tables, JOBS[job](tables, p))
+    store.commit(run_id, job, tables, JOBS[job](tables, p))
 
 
 def run_day(

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..operators.ledger import append_new, apply_changes
 from ..plans.jobs import JobResult
-from ..schemas import LEDGER, schema_of
+from ..schemas import LEDGER, REJECTS, schema_of
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,7 @@ class Store:
         rows = ledger.select(
             *[(F.col(f.name) if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER]
         )
-        rows.write.mode("overwrite").parquet(self.folder("ledger", run_id))
+        self._write_ledger(run_id, rows)
         account.select(
             *[F.col(f.name).cast(f.dataType) for f in schema_of("account")]
         ).write.mode("overwrite").parquet(self.folder("account", run_id))
@@ -45,10 +45,16 @@ class Store:
         """Ledger rows of earlier runs; later folders are pruned."""
         schema = T.StructType([*LEDGER.fields, T.StructField("run_id", T.StringType())])
         stored = self.spark.read.schema(schema).parquet(f"{self.root}/ledger")
-        return stored.filter(F.col("run_id") < run_id).drop("run_id")
+        return stored.filter(F.col("run_id") < run_id).select(*LEDGER.names)
+
+    def _write_ledger(self, run_id: str, rows: DataFrame) -> None:
+        """Split by job: a check against one job's rows does not read the others'."""
+        rows.write.mode("overwrite").partitionBy("job").parquet(self.folder("ledger", run_id))
 
     def written(self, table: str, run_id: str) -> DataFrame:
-        return self.spark.read.parquet(self.folder(table, run_id))
+        """What a run wrote to a table."""
+        schema = {"ledger": LEDGER, "rejects": REJECTS}.get(table) or schema_of(table)
+        return self.spark.read.schema(schema).parquet(self.folder(table, run_id)).select(*schema.names)
 
     def tables(self, inputs: Mapping[str, DataFrame], run_id: str, previous: str) -> dict[str, DataFrame]:
         """Inputs of a run: the shop's tables with the last snapshot and the ledger so far."""
@@ -58,11 +64,10 @@ class Store:
             "ledger": self.ledger_before(run_id),
         }
 
-    def commit(self, run_id: str, tables: Mapping[str, DataFrame], result: JobResult) -> None:
-        new = append_new(tables["ledger"], result.ledger)
-        new.write.mode("overwrite").parquet(self.folder("ledger", run_id))
+    def commit(self, run_id: str, job: str, tables: Mapping[str, DataFrame], result: JobResult) -> None:
+        self._write_ledger(run_id, append_new(tables["ledger"], result.ledger, [job]))
         result.rejects.write.mode("overwrite").parquet(self.folder("rejects", run_id))
         for name, df in result.tables.items():
-            df.write.mode("overwrite").parquet(self.folder(name, run_id))
+            df.select(*[F.col(f.name).cast(f.dataType) for f in schema_of(name)]).write.mode("overwrite").parquet(self.folder(name, run_id))
         snapshot = apply_changes(tables["account"], result.changes)
         snapshot.write.mode("overwrite").parquet(self.folder("account", run_id))
