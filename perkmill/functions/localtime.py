@@ -7,6 +7,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..params import Params
+
+RULE_YEARS = 20
+
 
 def ntz(moment: datetime) -> Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
@@ -16,25 +20,29 @@ def local_time(utc: str, hours: int) -> Column:
     return F.col(utc).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hours))
 
 
-def with_local_time(df: DataFrame, utc: str, hours: int) -> DataFrame:
+def _month(at: str, p: Params) -> Column:
+    """Month of a local time. All before `RULE_YEARS` ago is one month, and so is all after the
+    run, so that an open-ended rule has a bounded number of them."""
+    first = F.lit(f"{p.as_of.year - RULE_YEARS}-01-01").cast("date")
+    last = F.add_months(F.lit(f"{p.as_of:%Y-%m}-01").cast("date"), 1)
+    return F.least(F.greatest(F.trunc(F.col(at).cast("date"), "month"), first), last)
+
+
+def with_local_time(df: DataFrame, utc: str, p: Params) -> DataFrame:
     """Adds `local_at` and the month it falls in, the equi-join key of `rules_by_month`."""
-    return df.withColumn("local_at", local_time(utc, hours)).withColumn(
-        "rule_month", F.trunc(F.col("local_at").cast("date"), "month")
+    return df.withColumn("local_at", local_time(utc, p.tz_offset_hours)).withColumn(
+        "rule_month", _month("local_at", p)
     )
 
 
-def rules_by_month(rules: DataFrame) -> DataFrame:
-    """One row per rule and calendar month its window touches; `month_no` 0 is the first.
+def rules_by_month(rules: DataFrame, p: Params) -> DataFrame:
+    """One row per rule and month its window touches; `month_no` 0 is the first.
 
     Rows then meet their rules on an equality, and `inside_window` tests the exact bounds. Cut
     the result (`lineage.cut`) before joining rows to it: Spark then knows its true size, and
     broadcasts it while it is small instead of shuffling the rows by month.
     """
-    months = F.sequence(
-        F.trunc(F.col("from_at").cast("date"), "month"),
-        F.trunc(F.col("to_at").cast("date"), "month"),
-        F.make_ym_interval(months=F.lit(1)),
-    )
+    months = F.sequence(_month("from_at", p), _month("to_at", p), F.make_ym_interval(months=F.lit(1)))
     return (
         rules.filter(F.col("from_date") <= F.col("to_date"))
         .withColumn("from_at", F.col("from_date").cast("timestamp_ntz"))

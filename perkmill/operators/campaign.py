@@ -104,7 +104,7 @@ def priced(item: DataFrame) -> DataFrame:
 def root_orders(suborder: DataFrame, orders: DataFrame, p: Params) -> DataFrame:
     """Complete root suborders of complete orders, with the order's columns."""
     joined = complete_roots(suborder).join(complete_orders(orders), "order_id")
-    return with_local_time(joined, "created_at", p.tz_offset_hours).drop("created_at")
+    return with_local_time(joined, "created_at", p).drop("created_at")
 
 
 def in_complete_orders(items: DataFrame, suborder: DataFrame, orders: DataFrame, p: Params) -> DataFrame:

@@ -44,7 +44,7 @@ def approved_reviews(review: DataFrame, p: Params) -> DataFrame:
 
 
 def in_rule_windows(reviews: DataFrame, monthly: DataFrame, p: Params) -> DataFrame:
-    return match_windows(with_local_time(reviews, "created_at", p.tz_offset_hours).drop("created_at"), monthly).drop(
+    return match_windows(with_local_time(reviews, "created_at", p).drop("created_at"), monthly).drop(
         "local_at"
     )
 
@@ -60,7 +60,7 @@ def review_like_count(action: DataFrame, monthly: DataFrame, p: Params) -> DataF
     likes = action.filter(F.col("type") == REVIEW_LIKE).select("review_id", "created_at")
     windows = monthly.select("review_campaign_id", "month_no", "rule_month", "from_at", "to_at")
     return (
-        match_windows(with_local_time(likes, "created_at", p.tz_offset_hours).drop("created_at"), windows)
+        match_windows(with_local_time(likes, "created_at", p).drop("created_at"), windows)
         .groupBy("review_campaign_id", "review_id")
         .agg(F.count("*").alias("num_like"))
     )

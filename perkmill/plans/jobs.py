@@ -75,7 +75,7 @@ def campaign_rules(t: Tables, p: Params) -> DataFrame:
 
 
 def campaign_months(active: DataFrame, p: Params) -> DataFrame:
-    return cut(rules_by_month(campaign.combine_filters(active, p)))
+    return cut(rules_by_month(campaign.combine_filters(active, p), p))
 
 
 def campaign_winners(t: Tables, active: DataFrame, p: Params) -> DataFrame:
@@ -102,7 +102,7 @@ def run_campaign(t: Tables, p: Params) -> JobResult:
 
 
 def review_months(t: Tables, p: Params) -> DataFrame:
-    return cut(rules_by_month(reviews.active_review_rules(t["review_rule"], p)))
+    return cut(rules_by_month(reviews.active_review_rules(t["review_rule"], p), p))
 
 
 def review_matches(t: Tables, p: Params) -> DataFrame:

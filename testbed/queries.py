@@ -135,8 +135,8 @@ def _months(t: Shop, p: Params) -> DataFrame:
 def active_campaign_rules(t: Shop, p: Params) -> DataFrame:
     """Running rules and filters, with the orders created in each rule's window."""
     active = _active(t, p)
-    windows = cut(rules_by_month(active.select("rule_id", "from_date", "to_date").distinct()))
-    orders = with_local_time(t["orders"].select("order_id", "created_at"), "created_at", p.tz_offset_hours)
+    windows = cut(rules_by_month(active.select("rule_id", "from_date", "to_date").distinct(), p))
+    orders = with_local_time(t["orders"].select("order_id", "created_at"), "created_at", p)
     counts = match_windows(orders, windows).groupBy("rule_id").agg(F.count("*").alias("orders_in_window"))
     df = active.join(counts, "rule_id", "left").withColumn("orders_in_window", F.coalesce("orders_in_window", F.lit(0)))
     return out(
@@ -492,8 +492,8 @@ def local_window(t: Shop, p: Params) -> DataFrame:
     """Local creation time of every order, both look-backs of a mid-day run, and the number of
     campaign rules open at that time."""
     p = replace(p, as_of=datetime(2001, 8, 2, 15, 30))
-    windows = cut(rules_by_month(t["campaign_rule"].select("rule_id", "from_date", "to_date")))
-    orders = with_local_time(t["orders"].select("order_id", "created_at"), "created_at", p.tz_offset_hours)
+    windows = cut(rules_by_month(t["campaign_rule"].select("rule_id", "from_date", "to_date"), p))
+    orders = with_local_time(t["orders"].select("order_id", "created_at"), "created_at", p)
     opened = match_windows(orders, windows).groupBy("order_id").agg(F.count("*").alias("rules_open"))
     df = orders.join(opened, "order_id", "left").select(
         "order_id",

@@ -223,3 +223,20 @@ def test_random_orders_follow_the_model(table, params, monkeypatch):
         assert got.keys() == expected.keys()
         for oid, value in expected.items():
             assert got[oid] == pytest.approx(value), oid
+
+
+def test_windows_far_from_the_run(table, params):
+    """Open ends, old and future orders: months fold, bounds stay exact."""
+    ages, never = datetime(1970, 1, 1), datetime(9999, 12, 31)
+    times = {1: datetime(1980, 5, 5), 2: datetime(1999, 5, 5), 3: datetime(2024, 1, 5), 4: datetime(2024, 4, 5),
+             5: datetime(2031, 5, 5), 6: datetime(2031, 5, 7)}
+    spans = {1: (ages, never), 2: (datetime(1999, 5, 1), datetime(2024, 1, 1)), 3: (datetime(2031, 5, 6), never),
+             4: (datetime(1980, 1, 1), datetime(1980, 5, 5))}
+    parts = []
+    for rid, (starts, ends) in spans.items():
+        window, terms, link = rule(rid, ends=ends)
+        parts.append(({**window, "from_date": starts}, terms, link))
+    t = simple(table, [order(i, at=at) for i, at in times.items()], [limit(r) for r in spans], parts)
+    assert winners(t, params) == {1: 1, 2: 2, 3: 1, 4: 1, 5: 1, 6: 3}
+    months = jobs.campaign_months(jobs.campaign_rules(t, params), params)
+    assert months.count() < 4 * 12 * 22
