@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,11 @@ def local_time(utc: str, hours: int) -> Column:
     return F.col(utc).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hours))
 
 
+def local_since(utc: str, moment: datetime, p: Params) -> Column:
+    """Local time at or after `moment`, as a bound on the stored column that reaches the scan."""
+    return F.col(utc) >= ntz(moment - timedelta(hours=p.tz_offset_hours))
+
+
 def _month(at: str, p: Params) -> Column:
     """Month of a local time. All before `RULE_YEARS` ago is one month, and so is all after the
     run, so that an open-ended rule has a bounded number of them."""
@@ -69,6 +74,15 @@ def match_windows(rows: DataFrame, monthly: DataFrame) -> DataFrame:
     )
 
 
+def within_span(rows: DataFrame, utc: str, monthly: DataFrame, p: Params) -> DataFrame:
+    """Rows between the first start and the last end of all windows: a coarse bound on the stored
+    column, which lets the scan skip what no rule can reach."""
+    shift = F.make_dt_interval(hours=F.lit(p.tz_offset_hours))
+    first = monthly.agg(F.min("from_at") - shift).scalar()
+    last = monthly.agg(F.max("to_at") - shift).scalar()
+    return rows.filter(F.col(utc).between(first, last))
+
+
 def in_any_window(rows: DataFrame, monthly: DataFrame) -> DataFrame:
     """Rows that at least one rule window holds."""
     windows = monthly.select("rule_month", "from_at", "to_at")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.localtime import in_any_window, match_windows, once_per_rule, with_local_time
+from ..functions.localtime import in_any_window, match_windows, once_per_rule, with_local_time, within_span
 from ..functions.money import amount, percent_exact, percent_points
 from ..functions.running import running_totals
 from ..functions.text import id_list
@@ -155,8 +155,9 @@ def campaign_order_agg(
     """
     monthly = monthly.filter("usable").drop("usable")
     item_tests = [f"{n}_{side}" for n in ITEM_FILTERS for side in ("in", "out")]
+    reachable = within_span(orders, "created_at", monthly, p)
     lines = order_products(priced(item), bundle).join(
-        in_any_window(root_orders(suborder, orders, p), monthly), SUBORDER_KEY
+        in_any_window(root_orders(suborder, reachable, p), monthly), SUBORDER_KEY
     )
     tests = monthly.select("rule_id", *item_tests, "month_no", "rule_month", "from_at", "to_at")
     per_rule = match_windows(global_item_exclusions(lines, product, p), tests)

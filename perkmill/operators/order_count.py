@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.localtime import local_time, ntz
+from ..functions.localtime import local_since
 from ..functions.money import amount
 from ..functions.running import running_totals
 from ..params import ACTION_ORDER_COUNT, FPOINT, FREESHIP, Params
@@ -18,13 +18,13 @@ JOB = "order count"
 def new_customer_orders(orders: DataFrame, suborder: DataFrame, account: DataFrame, p: Params) -> DataFrame:
     """Complete recent orders, with a complete suborder, of new customers still warming up."""
     new = account.filter(
-        (local_time("created_at", p.tz_offset_hours) >= ntz(p.new_customer_from))
+        local_since("created_at", p.new_customer_from, p)
         & (F.col("finish_warm_up_period") == 0)
     ).select("customer_id")
     recent = orders.filter(
         (F.col("status") == "complete")
         & (F.col("grand_total") > 0)
-        & (local_time("created_at", p.tz_offset_hours) >= ntz(p.since_instant(p.order_count_days)))
+        & local_since("created_at", p.since_instant(p.order_count_days), p)
     ).select("order_id", "customer_id", "customer_email")
     delivered = suborder.filter(F.col("status") == "complete").select("order_id")
     return recent.join(new, "customer_id", "left_semi").join(delivered, "order_id", "left_semi")

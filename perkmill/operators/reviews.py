@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.localtime import match_windows, with_local_time
+from ..functions.localtime import match_windows, with_local_time, within_span
 from ..functions.money import amount
 from ..functions.running import running_totals
 from ..functions.text import review_chars
@@ -44,9 +44,8 @@ def approved_reviews(review: DataFrame, p: Params) -> DataFrame:
 
 
 def in_rule_windows(reviews: DataFrame, monthly: DataFrame, p: Params) -> DataFrame:
-    return match_windows(with_local_time(reviews, "created_at", p).drop("created_at"), monthly).drop(
-        "local_at"
-    )
+    reachable = within_span(reviews, "created_at", monthly, p)
+    return match_windows(with_local_time(reachable, "created_at", p).drop("created_at"), monthly).drop("local_at")
 
 
 def reviews_in_window(review: DataFrame, account: DataFrame, monthly: DataFrame, p: Params) -> DataFrame:
@@ -57,7 +56,9 @@ def reviews_in_window(review: DataFrame, account: DataFrame, monthly: DataFrame,
 
 def review_like_count(action: DataFrame, monthly: DataFrame, p: Params) -> DataFrame:
     """Likes per rule and review, counted inside the rule's window; reviews without any are absent."""
-    likes = action.filter(F.col("type") == REVIEW_LIKE).select("review_id", "created_at")
+    likes = within_span(action.filter(F.col("type") == REVIEW_LIKE), "created_at", monthly, p).select(
+        "review_id", "created_at"
+    )
     windows = monthly.select("review_campaign_id", "month_no", "rule_month", "from_at", "to_at")
     return (
         match_windows(with_local_time(likes, "created_at", p).drop("created_at"), windows)

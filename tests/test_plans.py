@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 from dataclasses import replace
+from datetime import datetime
 
 import pytest
 
-from perkmill.operators import accrual, campaign, reviews
+from perkmill.operators import accrual, campaign, order_count, reviews
 from perkmill.operators.pricing import goods_value, order_products
+from perkmill.plans import jobs
 from perkmill.schemas import schema_of
 
 
@@ -72,3 +74,14 @@ def test_old_suborders_are_stamped_without_a_shuffle(stored, params):
         if "FileScan" in line:
             break
     assert not any("Exchange" in line for line in branch)
+
+
+def test_rule_span_reaches_the_scan(spark, stored, table, params):
+    rules = table("review_rule", [{"review_campaign_id": 1, "end_status": 0, "from_date": datetime(2024, 1, 1),
+                                   "to_date": datetime(2024, 2, 1)}])
+    monthly = jobs.review_months({"review_rule": rules}, params)
+    inside = reviews.in_rule_windows(reviews.approved_reviews(stored("review"), params), monthly, params)
+    line = scan(plan(inside), "detail")
+    assert "created_at" in line.split("DataFilters")[1].split("Format")[0] and "subquery" in line
+    new = order_count.new_customer_orders(stored("orders"), stored("suborder"), stored("account"), params)
+    assert "GreaterThanOrEqual(created_at,2024-01-01T02:00)" in scan(plan(new), "grand_total")
