@@ -244,12 +244,16 @@ def judge(winners: DataFrame, account: DataFrame, tier_rule: DataFrame) -> DataF
     )
 
 
+def payable(judged: DataFrame) -> DataFrame:
+    return judged.filter(F.col("reason").isNull())
+
+
 def campaign_ledger(judged: DataFrame, p: Params, hot: DataFrame | None = None) -> DataFrame:
     """Ledger rows with the running balance per customer and reward type, rules descending,
     then order id."""
     start = F.when(F.col("reward_type") == FREESHIP, amount(F.col("num_freeship"))).otherwise(amount(F.col("fpoint")))
     paid = running_totals(
-        judged.filter(F.col("reason").isNull()),
+        payable(judged),
         ["customer_id", "reward_type"],
         ["-rule_id", "order_id"],
         {"paid": F.col("reward")},

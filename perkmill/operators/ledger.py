@@ -51,11 +51,15 @@ def not_in_ledger(df: DataFrame, ledger: DataFrame, held: Column, on: list[str])
     return df.join(ledger.filter(held).select(*on).distinct(), on, "left_anti")
 
 
-def added(ledger: DataFrame) -> DataFrame:
-    """Account changes of a job whose ledger rows are plain additions."""
-    total = lambda kind: F.sum(F.when(F.col("type") == kind, amount(F.col("value"))))
-    return ledger.groupBy("customer_id").agg(
-        total(FPOINT).alias("add_fpoint"), total(FREESHIP).cast("long").alias("add_freeship")
+def added(rows: DataFrame, value: str = "value", kind: str | Column = "type") -> DataFrame:
+    """Account changes of a job that only adds, from its ledger rows or, cheaper, from the rewards
+    before their running balances."""
+    kind = F.col(kind) if isinstance(kind, str) else kind
+    total = lambda name: F.sum(F.when(kind == name, amount(F.col(value))))
+    return changes(
+        rows.groupBy("customer_id").agg(
+            total(FPOINT).alias("add_fpoint"), total(FREESHIP).cast("long").alias("add_freeship")
+        )
     )
 
 

@@ -135,7 +135,7 @@ def finish_warm_up(ordinals: DataFrame, rules: DataFrame, p: Params) -> DataFram
 
 def account_changes(rows: DataFrame, finished: DataFrame) -> DataFrame:
     flags = finished.withColumn("set_finish_warm_up", F.lit(1))
-    return ledger.changes(ledger.added(rows).join(flags, "customer_id", "full"))
+    return ledger.changes(ledger.added(rows).drop("set_finish_warm_up").join(flags, "customer_id", "full"))
 
 
 def reject_rows(judged: DataFrame) -> DataFrame:

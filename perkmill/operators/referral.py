@@ -57,11 +57,13 @@ def referral_reward(unpaid: DataFrame) -> DataFrame:
     return unpaid.withColumn("reward", reward)
 
 
+def payable(rewards: DataFrame) -> DataFrame:
+    return rewards.filter(F.col("email").isNotNull())
+
+
 def referral_ledger(rewards: DataFrame, p: Params, hot: DataFrame | None = None) -> DataFrame:
     start = amount(F.col("fpoint"))
-    paid = running_totals(
-        rewards.filter(F.col("email").isNotNull()), ["customer_id"], ["order_id"], {"paid": F.col("reward")}, hot
-    )
+    paid = running_totals(payable(rewards), ["customer_id"], ["order_id"], {"paid": F.col("reward")}, hot)
     rows = paid.select(
         "customer_id",
         F.col("email").alias("account"),

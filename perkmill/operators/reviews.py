@@ -107,11 +107,15 @@ def judge(deduped: DataFrame, account: DataFrame) -> DataFrame:
     return deduped.join(state, "customer_id", "left").withColumn("reason", reason)
 
 
+def payable(judged: DataFrame) -> DataFrame:
+    return judged.filter(F.col("reason").isNull())
+
+
 def review_balance(judged: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Running balance per customer over rule id, then review id."""
     start, value = amount(F.col("fpoint")), amount(F.col("value"))
     return running_totals(
-        judged.filter(F.col("reason").isNull()),
+        payable(judged),
         ["customer_id"],
         ["review_campaign_id", "review_id"],
         {"paid": value},

@@ -17,7 +17,7 @@ from ..functions.localtime import rules_by_month
 from ..functions.running import hot_keys
 from ..operators import accrual, campaign, email_grant, ledger, order_count, referral, reviews, tiers
 from ..operators.pricing import countable_items, suborder_amount
-from ..params import Params
+from ..params import FPOINT, Params
 from ..schemas import REJECTS
 
 Tables = Mapping[str, DataFrame]
@@ -95,7 +95,8 @@ def campaign_state(t: Tables, active: DataFrame, p: Params) -> tuple[DataFrame,
 
 def run_campaign(t: Tables, p: Params) -> JobResult:
     judged, rows = campaign_state(t, campaign_rules(t, p), p)
-    return JobResult(rows, ledger.changes(ledger.added(rows)), campaign.reject_rows(judged))
+    added = ledger.added(campaign.payable(judged), "reward", "reward_type")
+    return JobResult(rows, added, campaign.reject_rows(judged))
 
 
 # --- reviews
@@ -121,7 +122,7 @@ def review_state(matched: DataFrame, t: Tables) -> tuple[DataFrame, DataFrame]:
 def _review_result(judged: DataFrame, balances: DataFrame, job: str, p: Params) -> JobResult:
     rows = reviews.review_ledger(balances, p, job)
     rejects = ledger.rejects(judged, job, "review_id", F.col("reason"))
-    return JobResult(rows, ledger.changes(ledger.added(rows)), rejects)
+    return JobResult(rows, ledger.added(reviews.payable(judged), kind=F.lit(FPOINT)), rejects)
 
 
 def run_reviews(t: Tables, p: Params) -> JobResult:
@@ -180,7 +181,8 @@ def referral_state(t: Tables, p: Params) -> tuple[DataFrame, DataFrame]:
 
 def run_referral(t: Tables, p: Params) -> JobResult:
     rewards, rows = referral_state(t, p)
-    return JobResult(rows, ledger.changes(ledger.added(rows)), referral.reject_rows(rewards))
+    added = ledger.added(referral.payable(rewards), "reward", F.lit(FPOINT))
+    return JobResult(rows, added, referral.reject_rows(rewards))
 
 
 # --- tiers, backfill, email list
@@ -208,7 +210,7 @@ def run_email_list(t: Tables, p: Params, raw: DataFrame, list_id: str) -> JobRes
     not granted again."""
     fresh = email_grant.not_granted(email_grant.email_list_ingest(raw), t["ledger"], list_id)
     rows = email_grant.email_list_ledger(email_grants(fresh, t["account"]), list_id, p)
-    return JobResult(rows, ledger.changes(ledger.added(rows)), no_rejects(rows))
+    return JobResult(rows, ledger.added(rows), no_rejects(rows))
 
 
 JOBS = {

@@ -440,7 +440,7 @@ def apply_ledger(t: Shop, p: Params) -> DataFrame:
 @query
 def apply_ledger_campaign(t: Shop, p: Params) -> DataFrame:
     """Accounts after campaigns: sums per reward type."""
-    return _snapshot(t["account"], ledger.changes(ledger.added(_campaign_rows(t, p))))
+    return _snapshot(t["account"], ledger.added(_campaign_rows(t, p)))
 
 
 @query
@@ -453,13 +453,13 @@ def apply_ledger_order_count(t: Shop, p: Params) -> DataFrame:
 
 @query
 def apply_ledger_referral(t: Shop, p: Params) -> DataFrame:
-    return _snapshot(t["account"], ledger.changes(ledger.added(_referral_rows(t, p))))
+    return _snapshot(t["account"], ledger.added(_referral_rows(t, p)))
 
 
 @query
 def apply_ledger_review(t: Shop, p: Params) -> DataFrame:
     rows = reviews.review_ledger(jobs.review_state(jobs.review_matches(t, p), t)[1], p)
-    return _snapshot(t["account"], ledger.changes(ledger.added(rows)))
+    return _snapshot(t["account"], ledger.added(rows))
 
 
 @query
@@ -475,7 +475,7 @@ def apply_ledger_backfill(t: Shop, p: Params) -> DataFrame:
 @query
 def apply_ledger_email_list(t: Shop, p: Params) -> DataFrame:
     rows = email_grant.email_list_ledger(_grants(t, p), "spring", p)
-    return _snapshot(t["account"], ledger.changes(ledger.added(rows)))
+    return _snapshot(t["account"], ledger.added(rows))
 
 
 @query

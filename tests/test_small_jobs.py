@@ -122,7 +122,7 @@ def test_append_new_and_apply_changes(table, params):
     paid = table("ledger", [
         {"customer_id": 1, "type": "fpoint", "value": 0.1}, {"customer_id": 1, "type": "fpoint", "value": 0.2},
         {"customer_id": 1, "type": "freeship", "value": 2.0}, {"customer_id": 1, "type": "vip level", "value": 1.0}])
-    after = ledger.apply_changes(accounts, ledger.changes(ledger.added(paid)))
+    after = ledger.apply_changes(accounts, ledger.added(paid))
     assert after.schema == accounts.schema
     assert {r["customer_id"]: (r["fpoint"], r["num_freeship"], r["vip_level"]) for r in after.collect()} == {
         1: (D("13.2000"), 4, 0), 2: (D("12.9000"), 2, 0)}
