@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 def one_per_customer(account: DataFrame, columns: list[str]) -> DataFrame:
     """One row per customer id, with the number of account rows found under it.
 
-    Column values are only meaningful where `account_rows` is 1.
+    Column values are only meaningful where `account_rows` is 1. Cut the result before rows are
+    joined to it: adaptive execution splits a hot customer only where both sides of the join come
+    straight from a shuffle, not out of an aggregate.
     """
     return account.groupBy("customer_id").agg(
         F.count("*").alias("account_rows"), *[F.any_value(c).alias(c) for c in columns]

@@ -43,18 +43,16 @@ def unpaid_suborders(suborder: DataFrame, orders: DataFrame, attr: DataFrame, p:
     drops a suborder without countable ones."""
     unpaid = suborder.filter(_unpaid(p)).select(*SUBORDER_KEY, *FEES)
     buyers = orders.filter(F.col("customer_id").isNotNull()).select("order_id", "customer_id")
-    unconfirmed = (
-        attr.filter((F.col("attribute_id") == ATTR_NOT_CONFIRMED) & F.col("value").isNotNull())
-        .select("customer_id")
-        .distinct()
-    )
+    unconfirmed = attr.filter(
+        (F.col("attribute_id") == ATTR_NOT_CONFIRMED) & F.col("value").isNotNull()
+    ).select("customer_id")
     return unpaid.join(buyers, "order_id").join(unconfirmed, "customer_id", "left_anti")
 
 
 def account_unique_guard(amounts: DataFrame, account: DataFrame, attr: DataFrame) -> DataFrame:
     """Adds account state and `guard_rows`, the number of (account, company attribute) rows of
     the customer. Only suborders with exactly one may be paid."""
-    state = one_per_customer(account, STATE).join(company_of(attr, ATTR_COMPANY), "customer_id", "left")
+    state = cut(one_per_customer(account, STATE).join(company_of(attr, ATTR_COMPANY), "customer_id", "left"))
     return (
         amounts.join(state, "customer_id", "left")
         .withColumn(

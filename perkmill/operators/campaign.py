@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 from ..functions.localtime import in_any_window, match_windows, once_per_rule, with_local_time, within_span
 from ..functions.money import amount, percent_exact, percent_points
 from ..functions.running import running_totals
@@ -221,7 +222,7 @@ def reward_promo_freeship() -> Column:
 
 def judge(winners: DataFrame, account: DataFrame, tier_rule: DataFrame) -> DataFrame:
     """Adds account state, the reward and its type, and the reason an order cannot be paid."""
-    state = one_per_customer(account, ["fpoint", "vip_level", "num_freeship"])
+    state = cut(one_per_customer(account, ["fpoint", "vip_level", "num_freeship"]))
     name = F.col("action_name")
     reward = (
         F.when(name == CHEAPEST, reward_cheapest_pct())

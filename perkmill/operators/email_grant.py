@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 from ..functions.running import running_totals
 from ..functions.text import clean_email
 from ..params import ACTION_FREESHIP, FREESHIP, Params
@@ -31,7 +32,7 @@ def _entry_key(list_id: str) -> Column:
 
 def known_entries(entries: DataFrame, account: DataFrame) -> DataFrame:
     """Entries whose email has an account; one several accounts share goes to the lowest id."""
-    return entries.join(by_email(account, ["num_freeship"], lower=True), "email")
+    return entries.join(cut(by_email(account, ["num_freeship"], lower=True)), "email")
 
 
 def email_list_grant(known: DataFrame, hot: DataFrame | None = None) -> DataFrame:

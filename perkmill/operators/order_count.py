@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 from ..functions.localtime import local_since
 from ..functions.money import amount
 from ..functions.running import running_totals
@@ -42,7 +43,7 @@ def order_ordinal(candidates: DataFrame, stored: DataFrame, hot: DataFrame | Non
     )
     numbered = running_totals(unpaid, ["customer_id"], ["order_id"], {"nth": F.lit(1)}, hot)
     return (
-        numbered.join(reached, "customer_id", "left")
+        numbered.join(cut(reached), "customer_id", "left")
         .withColumn("start_index", F.coalesce("start_index", F.lit(0).cast("long")))
         .withColumn("ordinal", F.col("start_index") + F.col("nth"))
         .drop("nth")
@@ -88,7 +89,7 @@ def order_count_rewards(ordinals: DataFrame, payable: DataFrame, p: Params) -> D
 
 def judge(rewards: DataFrame, account: DataFrame) -> DataFrame:
     """Adds account state and the reason a reward cannot be paid."""
-    state = one_per_customer(account, ["fpoint", "num_freeship"])
+    state = cut(one_per_customer(account, ["fpoint", "num_freeship"]))
     reason = F.when(F.col("account_rows") > 1, "duplicate account").when(F.col("customer_email").isNull(), "no email")
     return rewards.join(state, "customer_id").withColumn("reason", reason)
 

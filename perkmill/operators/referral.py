@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 from ..functions.localtime import ntz
 from ..functions.money import amount, percent_exact
 from ..functions.running import running_totals
@@ -42,7 +43,7 @@ def referral_orders(orders: DataFrame, account: DataFrame, refer_rule: DataFrame
         & (F.col("status") == "complete")
         & (F.col("created_at") >= ntz(p.since_midnight(p.referral_days)))
     ).select("order_id", "grand_total", F.col("coupon_code").alias("refer_code"))
-    return used.join(referrers(account, refer_rule), "refer_code")
+    return used.join(cut(referrers(account, refer_rule)), "refer_code")
 
 
 def already_referred(candidates: DataFrame, stored: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 from ..functions.localtime import match_windows, with_local_time, within_span
 from ..functions.money import amount
 from ..functions.running import running_totals
@@ -89,16 +90,17 @@ def matched_reviews(reviews: DataFrame, action: DataFrame, monthly: DataFrame, p
 
 def review_dedup(matched: DataFrame, stored: DataFrame) -> DataFrame:
     """At most one reward per customer, product and rule: none if the ledger has one, else the
-    lowest review id. An aggregate, so a product with very many reviews folds on the map side."""
-    unpaid = ledger.not_in_ledger(matched, stored, F.col("review_campaign_id").isNotNull(), ONCE_PER)
+    lowest review id. An aggregate first, so a product with very many reviews folds on the map
+    side and meets the ledger as one row."""
     carried = [c for c in matched.columns if c not in ONCE_PER and c != "review_id"]
     first = F.min(F.struct("review_id", *carried)).alias("first")
-    return unpaid.groupBy(*ONCE_PER).agg(first).select(*ONCE_PER, "first.*")
+    firsts = matched.groupBy(*ONCE_PER).agg(first).select(*ONCE_PER, "first.*")
+    return ledger.not_in_ledger(firsts, stored, F.col("review_campaign_id").isNotNull(), ONCE_PER)
 
 
 def judge(deduped: DataFrame, account: DataFrame) -> DataFrame:
     """Adds account state and the reason a review cannot be paid."""
-    state = one_per_customer(account, ["email", "fpoint"])
+    state = cut(one_per_customer(account, ["email", "fpoint"]))
     reason = (
         F.when(F.coalesce("account_rows", F.lit(0)) == 0, "no account")
         .when(F.col("account_rows") > 1, "duplicate account")
@@ -168,7 +170,7 @@ def editor_reviews(
         .select("review_id", "log.*")
     )
     approved = review.filter(F.col("status_id") == 1).select("review_id", "product_id", "created_at")
-    members = by_email(account, []).withColumnRenamed("email", "author")
+    members = cut(by_email(account, [])).withColumnRenamed("email", "author")
     return one_log.join(approved, "review_id").join(members, "author", "left")
 
 
