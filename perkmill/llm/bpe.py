@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import exact_text, read, small_batches
+from .common import exact_text, read, ready_for_python
 
 #: Words whose tokens a Python worker remembers; the memory starts anew when it's full.
 REMEMBERED = 200_000
@@ -107,14 +107,14 @@ class Codec:
         return " ".join(self.strings[i] for i in ids)
 
 
-_CODEC: dict[int, Codec] = {}
+_CODEC: list = [None, None]
 
 
 def _codec(raw) -> Codec:
-    if id(raw) not in _CODEC:
-        _CODEC.clear()
-        _CODEC[id(raw)] = Codec(raw.value)
-    return _CODEC[id(raw)]
+    """The codec of a broadcast file, built once in a Python worker."""
+    if _CODEC[0] is not raw:
+        _CODEC[:] = raw, Codec(raw.value)
+    return _CODEC[1]
 
 
 TOKENS = "ids binary, n_tokens bigint, decoded string"
@@ -123,7 +123,7 @@ TOKENS = "ids binary, n_tokens bigint, decoded string"
 def tokens(spark: SparkSession, text: Column, vocab_path: str) -> Column:
     """Struct `ids` (little-endian unsigned 32-bit), `n_tokens`, `decoded` of a text; null is the empty
     text, which has no tokens. Texts of any length are encoded whole."""
-    small_batches(spark)
+    ready_for_python(spark)
     raw = spark.sparkContext.broadcast(Path(vocab_path).read_bytes())
 
     @F.arrow_udf(TOKENS)
@@ -142,7 +142,7 @@ def tokens(spark: SparkSession, text: Column, vocab_path: str) -> Column:
 
 def decoded(spark: SparkSession, ids: Column, vocab_path: str) -> Column:
     """The text of packed ids (null or empty: the empty text)."""
-    small_batches(spark)
+    ready_for_python(spark)
     raw = spark.sparkContext.broadcast(Path(vocab_path).read_bytes())
 
     @F.arrow_udf("string")

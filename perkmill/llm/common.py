@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +18,20 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batch to `BATCH_ROWS` rows; a smaller setting stays."""
+_SHIPPED: list = [None]
+
+
+def ready_for_python(spark: SparkSession) -> None:
+    """Gives executors this package, by Spark's own file server, and lowers the session's Arrow batch
+    to `BATCH_ROWS` rows (a smaller setting stays)."""
+    if _SHIPPED[0] is not spark.sparkContext:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="perkmill-")) / "perkmill.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for path in sorted(package.rglob("*.py")):
+                z.write(path, path.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _SHIPPED[0] = spark.sparkContext
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > BATCH_ROWS:

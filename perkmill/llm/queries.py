@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op9_bpe
+from .langid import op1_langid
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_langid": op1_langid,
         "op9_bpe": op9_bpe,
     }
 
