@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op9_bpe
 from .langid import op1_langid
+from .simhash import op8_simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_langid": op1_langid,
+        "op8_simhash": op8_simhash,
         "op9_bpe": op9_bpe,
     }
 
