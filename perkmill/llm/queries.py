@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op9_bpe
 from .langid import op1_langid
+from .secrets import op2_secrets
 from .simhash import op8_simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_langid": op1_langid,
+        "op2_secrets": op2_secrets,
         "op8_simhash": op8_simhash,
         "op9_bpe": op9_bpe,
     }
