@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from .common import exact_text, read, ready_for_python
 
-#: Words whose tokens a Python worker remembers; the memory starts anew when it's full.
-REMEMBERED = 200_000
+#: Words whose tokens a Python worker remembers in each of two generations: when the younger one is
+#: full, it becomes the older one, and words move back from there when they're met again.
+REMEMBERED = 250_000
 
 # Fixed: Unicode's White_Space characters.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -54,6 +55,7 @@ class Codec:
         self.spaces = re.compile(f"[{SPACE}]+")
         self.letters = byte_characters()
         self.known: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
 
     def word(self, word: str) -> list[int]:
         """Token ids of one word. The heap holds (rank, left place, left id, right id); an entry whose
@@ -92,13 +94,15 @@ class Codec:
                 out.append((self.special[part].to_bytes(4, "little"), part))
                 continue
             words = self.words(self.normal(part))
-            known = self.known
+            if len(self.known) >= REMEMBERED:
+                self.known, self.older = {}, self.known
+            known, older = self.known, self.older
             for w in {*words}.difference(known):
-                if len(known) >= REMEMBERED:
-                    # Words of this text that were known are looked up below.
-                    self.known = known = {x: known[x] for x in {*words} if x in known}
-                ids = self.word(w)
-                known[w] = b"".join(i.to_bytes(4, "little") for i in ids), self.decode(ids)
+                found = older.get(w)
+                if not found:
+                    ids = self.word(w)
+                    found = b"".join([i.to_bytes(4, "little") for i in ids]), self.decode(ids)
+                known[w] = found
             out.extend([known[w] for w in words])
         return out
 
