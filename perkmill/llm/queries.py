@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op9_bpe
 from .langid import op1_langid
+from .pii import op5_pii
 from .quality import op3_quality
 from .secrets import op2_secrets
 from .simhash import op8_simhash
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_langid": op1_langid,
         "op2_secrets": op2_secrets,
         "op3_quality": op3_quality,
+        "op5_pii": op5_pii,
         "op8_simhash": op8_simhash,
         "op9_bpe": op9_bpe,
     }
