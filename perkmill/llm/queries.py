@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op9_bpe
 from .langid import op1_langid
+from .mixing import op4_mixing
 from .pii import op5_pii
 from .quality import op3_quality
 from .secrets import op2_secrets
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_langid": op1_langid,
         "op2_secrets": op2_secrets,
         "op3_quality": op3_quality,
+        "op4_mixing": op4_mixing,
         "op5_pii": op5_pii,
         "op8_simhash": op8_simhash,
         "op9_bpe": op9_bpe,
