@@ -13,6 +13,7 @@ from .pii import op5_pii
 from .quality import op3_quality
 from .secrets import op2_secrets
 from .simhash import op8_simhash
+from .vptree import op6_vptree
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality": op3_quality,
         "op4_mixing": op4_mixing,
         "op5_pii": op5_pii,
+        "op6_vptree": op6_vptree,
         "op8_simhash": op8_simhash,
         "op9_bpe": op9_bpe,
     }
