@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op9_bpe
 from .langid import op1_langid
+from .maintext import op7_maintext
 from .mixing import op4_mixing
 from .pii import op5_pii
 from .quality import op3_quality
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_mixing": op4_mixing,
         "op5_pii": op5_pii,
         "op6_vptree": op6_vptree,
+        "op7_maintext": op7_maintext,
         "op8_simhash": op8_simhash,
         "op9_bpe": op9_bpe,
     }
