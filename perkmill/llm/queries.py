@@ -15,6 +15,7 @@ from .quality import op3_quality
 from .secrets import op2_secrets
 from .simhash import op8_simhash
 from .vptree import op6_vptree
+from .warc import op10_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -28,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_maintext": op7_maintext,
         "op8_simhash": op8_simhash,
         "op9_bpe": op9_bpe,
+        "op10_warc": op10_warc,
     }
 
 
