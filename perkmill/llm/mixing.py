@@ -112,6 +112,7 @@ def mix(docs: DataFrame, tokens: str, source: str, doc_id: str, target: float =
         F.ceil(F.sqrt("docs")).alias("cells"),
         F.expr("budget div tokens").alias("passes"),
         F.expr("budget % tokens").alias("rest"),
+        (F.col("budget") / F.col("tokens")).alias("length"),
         (F.col("docs") * F.col("budget") / F.col("tokens")).alias("size"),
     )
     plan = cut(plan)
@@ -120,7 +121,7 @@ def mix(docs: DataFrame, tokens: str, source: str, doc_id: str, target: float =
     # In [0, 1): the place in this pass of the source; rows with the same id differ by their number.
     place = F.xxhash64(F.lit(SEED), "source", "pass", "id", "row").bitwiseAND(F.lit(2**52 - 1)) / float(2**52)
     placed = placed.withColumn("place", place).withColumn("cell", F.floor(F.col("place") * F.col("cells")))
-    whole = placed.filter(F.col("pass") < F.col("passes")).select("row", "pass", "place", "source", "passes", "rest")
+    whole = placed.filter(F.col("pass") < F.col("passes")).select("row", "pass", "place", "length")
     last = placed.filter((F.col("pass") == F.col("passes")) & (F.col("rest") > 0))
     cells = last.groupBy("source", "cell").agg(F.sum("tokens").alias("in_cell"))
     before = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -128,9 +129,10 @@ def mix(docs: DataFrame, tokens: str, source: str, doc_id: str, target: float =
     within = Window.partitionBy("source", "cell").orderBy("place", "row").rowsBetween(Window.unboundedPreceding, 0)
     started = last.join(starts, ["source", "cell"]).filter(F.col("before") < F.col("rest"))
     part = started.withColumn("upto", F.col("before") + F.sum("tokens").over(within)).filter(F.col("upto") <= F.col("rest"))
-    # A source's whole passes, then its part of one, spread over the blocks in this order.
+    # A source's whole passes, then its part of one, stretch over all blocks in this order.
     chosen = whole.unionByName(part.select(whole.columns))
-    return chosen.select("row", F.col("pass").cast("int").alias("pass"), F.least(F.floor(F.col("place") * blocks), F.lit(blocks - 1)).cast("bigint").alias("block"))
+    block = F.floor((F.col("pass") + F.col("place")) / F.col("length") * blocks)
+    return chosen.select("row", F.col("pass").cast("int").alias("pass"), F.least(block, F.lit(blocks - 1)).cast("bigint").alias("block"))
 
 
 def numbered(docs: DataFrame, source: str, doc_id: str, text: str) -> DataFrame:
