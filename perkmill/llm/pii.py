@@ -41,8 +41,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: A candidate: a token with a digit and at least five letters or digits, at most 64 characters in all.
 TOKEN = re.compile(r"(?<![^\s])[^\s]*[0-9][^\s]*")
 LONGEST = 64
-#: Digits of a match that its check refused from which on it counts as one that isn't an identifier.
-LEAST_REFUSED = 8
+#: From so many digits on, a run of digits that isn't a card counts as one that was refused.
+LEAST_REFUSED = 13
 
 
 def luhn(digits: str) -> bool:
@@ -110,7 +110,7 @@ def entities(text: str) -> list[dict]:
     base = [(k, a, b) for k, a, b, good in matched if good]
     out = [{"kind": KINDS[k], "start": a, "end": b, "name": text[a:b][:LONGEST], "patterns": patterns(text, a, b)} for k, a, b in base]
     taken = sorted((a, b) for _, a, b in base)
-    refused = sorted((a, b) for k, a, b, good in matched if not good and sum(c.isdigit() for c in text[a:b]) >= LEAST_REFUSED)
+    refused = sorted((a, b) for k, a, b, good in matched if not good and (KINDS[k] != "card" or sum(c.isdigit() for c in text[a:b]) >= LEAST_REFUSED))
     overlaps = lambda spans, a, b: (i := bisect(spans, (b, -1))) > 0 and spans[i - 1][1] > a
     for m in TOKEN.finditer(text):
         raw = m[0].strip(".,;:!?()[]{}\"'<>")
