@@ -2,24 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL: list[str] = []
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`; only a local session without it gets a temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="perkmill-"))
-    return _LOCAL[0]
+    """`spark.checkpoint.dir`; where it's unset, a folder in the warehouse, which is shared too."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ from .lineage import cut
 
 # A key with more rows than this is split over several tasks.
 HOT_ROWS = 500_000
-# Ids covered by one chunk of a hot key; ids are unique per key, so also its row bound.
-CHUNK_IDS = 1 << 20
+# Ranges that a hot key's rows are cut into, about equal in rows.
+RANGES = 256
 
 
 def hot_keys(rows: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -29,16 +29,17 @@ def running_totals(
     order: list[str],
     totals: dict[str, Column],
     hot: DataFrame | None = None,
-    chunk_ids: int = CHUNK_IDS,
+    ranges: int = RANGES,
 ) -> DataFrame:
     """Adds each of `totals` summed over its key up to and including the row.
 
     `order` must be total within a key and end in an ascending long id; a leading "-" on another
     column means descending. Without hot keys this is one window. With them, a hot key's rows are
-    cut into id ranges, each range is totalled by itself, and the sum of the ranges before it is
-    added: no task sees more than `chunk_ids` rows of a key, and the rows of one key that meet in
-    a window are one per range. `hot` may list keys by a part of `keys`. With hot keys `df` is read
-    twice, so hand over one that is cheap to read again (`lineage.cut`).
+    cut at quantiles of their ids, each range is totalled by itself, and the sum of the ranges
+    before it is added: a window sees about one in `ranges` of a key's rows however its ids lie,
+    and the rows of one key that meet in a window are one per range. `hot` may list keys by a part of
+    `keys`. With hot keys `df` is read thrice, so hand over one that is cheap to read again
+    (`lineage.cut`).
     """
     ordering = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in order]
     until_here = (Window.unboundedPreceding, Window.currentRow)
@@ -51,10 +52,15 @@ def running_totals(
     parts = [*keys, *lead_of, "_chunk"]
     rows = df.join(hot.withColumn("_hot", F.lit(True)), hot.columns, "left")
     # Rows of ordinary keys keep null parts, hence stay together and take no offset.
-    rows = rows.withColumns(
-        {name: F.when(F.col("_hot"), F.col(c.removeprefix("-"))) for name, c in lead_of.items()}
-        | {"_chunk": F.when(F.col("_hot"), F.floor(F.col(last) / F.lit(chunk_ids)))}
+    cuts = [i / ranges for i in range(1, ranges)]
+    bounds = df.join(hot, hot.columns, "left_semi").groupBy(*hot.columns).agg(
+        F.percentile_approx(F.col(last).cast("long"), cuts, 20 * ranges).alias("_bounds")
     )
+    below = F.size(F.filter("_bounds", lambda bound: bound < F.col(last)))
+    rows = rows.join(bounds, hot.columns, "left").withColumns(
+        {name: F.when(F.col("_hot"), F.col(c.removeprefix("-"))) for name, c in lead_of.items()}
+        | {"_chunk": F.when(F.col("_hot"), below)}
+    ).drop("_bounds")
     range_order = [
         F.col(name).desc() if c.startswith("-") else F.col(name).asc() for name, c in lead_of.items()
     ]

@@ -37,7 +37,7 @@ def test_running_totals(spark, seed, order, min_rows):
     hot = hot_keys(df, ["key"], min_rows)
     assert (hot is None) == (min_rows == 10_000)
     got = running_totals(
-        df, ["key"], order, {"total": F.col("delta"), "nth": F.lit(1)}, hot, chunk_ids=7_000
+        df, ["key"], order, {"total": F.col("delta"), "nth": F.lit(1)}, hot, ranges=9
     )
     assert set(got.columns) == {"key", "lead", "id", "delta", "total", "nth"}
     assert {r["id"]: (r["total"], r["nth"]) for r in got.collect()} == expected(
@@ -50,20 +50,24 @@ def test_hot_listed_by_part_of_the_keys(spark):
     df = spark.createDataFrame(data, "key long, lead int, id long, delta long")
     totals = {"total": F.col("delta")}
     plain = running_totals(df, ["key", "lead"], ["id"], totals)
-    split = running_totals(df, ["key", "lead"], ["id"], totals, hot_keys(df, ["key"], 50), chunk_ids=5_000)
+    split = running_totals(df, ["key", "lead"], ["id"], totals, hot_keys(df, ["key"], 50), ranges=5)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.select(plain.columns).collect()))
 
 
-def test_hot_key_is_spread_over_tasks(spark):
-    """The widest window partition of the split plan is bounded by the id range of a chunk."""
-    df = spark.range(20_000).select(F.lit(1).cast("long").alias("key"), F.col("id"), F.lit(1).alias("d"))
+@pytest.mark.parametrize("apart", [1, 2_000, 5_000_000])
+def test_hot_key_is_spread_over_tasks(spark, apart):
+    """Rows per range are even however far the ids lie apart, and ranges are few."""
+    df = spark.range(20_000).select(F.lit(1).cast("long").alias("key"), (F.col("id") * apart).alias("id"), F.lit(1).alias("d"))
     hot = hot_keys(df, ["key"], 1_000)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = running_totals(df, ["key"], ["id"], {"n": F.col("d")}, hot, chunk_ids=500)
+        got = running_totals(df, ["key"], ["id"], {"n": F.col("d")}, hot, ranges=40)
         sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert sum(sizes) == 20_000
     assert max(sizes) < 12_000
-    assert got.filter("n <> id + 1").isEmpty()
+    assert got.filter(f"n <> id / {apart} + 1").isEmpty()
+    cuts = df.agg(F.percentile_approx("id", [i / 40 for i in range(1, 40)], 800)).first()[0]
+    rows = [r["count"] for r in df.groupBy(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("id")))).count().collect()]
+    assert len(rows) <= 40 and max(rows) <= 600
