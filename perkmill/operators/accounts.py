@@ -2,31 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 
-def one_per_customer(account: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per customer id, with the number of account rows found under it.
 
-    Column values are only meaningful where `account_rows` is 1. Cut the result before rows are
-    joined to it: adaptive execution splits a hot customer only where both sides of the join come
-    straight from a shuffle, not out of an aggregate.
+def states_of(account: DataFrame, rows: DataFrame, columns: list[str], more: DataFrame | None = None) -> DataFrame:
+    """One row per customer of `rows` that has an account, with the number of its account rows and,
+    where that is 1, its `columns`; and what `more` holds of the customer, if given.
+
+    Only accounts of these customers are counted and carried on; the counts are hash aggregates,
+    and the columns are joined back to them. The result is written out: it's small, and adaptive
+    execution splits a hot customer of `rows` only where both sides of the join to it come straight
+    from a shuffle, not out of an aggregate.
     """
-    return account.groupBy("customer_id").agg(
-        F.count("*").alias("account_rows"), *[F.any_value(c).alias(c) for c in columns]
-    )
+    wanted = rows.select("customer_id").distinct()
+    own = account.select("customer_id", *columns).join(wanted, "customer_id", "left_semi")
+    counts = own.groupBy("customer_id").agg(F.count("*").alias("account_rows"))
+    single = own.withColumn("account_rows", F.lit(1).cast("long"))
+    states = counts.join(single, ["customer_id", "account_rows"], "left")
+    return cut(states.join(more, "customer_id", "left") if more is not None else states)
+
+
+def duplicate_account() -> Column:
+    return F.when(F.col("account_rows") > 1, "duplicate account")
 
 
-def by_email(account: DataFrame, carry: list[str], lower: bool = False) -> DataFrame:
-    """Lowest customer id per email, with that account's `carry` columns."""
+def with_account_rows(rows: DataFrame, account: DataFrame) -> DataFrame:
+    """Adds the number of account rows of each row's customer."""
+    return rows.join(states_of(account, rows, []), "customer_id", "left")
+
+
+def by_email(account: DataFrame, emails: DataFrame, lower: bool = False) -> DataFrame:
+    """Lowest customer id per email of `emails`."""
     email = F.lower("email") if lower else F.col("email")
-    return (
-        account.filter(F.col("email").isNotNull())
-        .groupBy(email.alias("email"))
-        .agg(F.min(F.struct("customer_id", *carry)).alias("owner"))
-        .select("email", "owner.*")
-    )
+    own = account.select(email.alias("email"), "customer_id").join(emails.select("email").distinct(), "email", "left_semi")
+    return own.groupBy("email").agg(F.min("customer_id").alias("customer_id"))
 
 
 def company_of(attr: DataFrame, attribute_id: int) -> DataFrame:
@@ -39,8 +51,9 @@ def company_of(attr: DataFrame, attribute_id: int) -> DataFrame:
 
 
 def tier_percent(account: DataFrame, tier_rule: DataFrame) -> DataFrame:
-    """Adds the percent of the customer's level; null when the level has no rule."""
-    tiers = tier_rule.select(F.col("level_id").alias("vip_level"), F.col("percent_point_collect").alias("percent"))
+    """Adds the percent of the customer's level; null when the level has no rule. A level listed
+    twice pays by its highest percent."""
+    tiers = tier_rule.groupBy(F.col("level_id").alias("vip_level")).agg(F.max("percent_point_collect").alias("percent"))
     return account.join(tiers, "vip_level", "left")
 
 

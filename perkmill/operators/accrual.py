@@ -11,7 +11,7 @@ from ..functions.money import amount, percent_points, whole
 from ..functions.running import running_totals
 from ..params import ACTION_ACCRUE, ACTION_FREESHIP, ATTR_COMPANY, ATTR_NOT_CONFIRMED, FPOINT, FREESHIP, Params
 from . import ledger
-from .accounts import company_of, company_tier_percent, one_per_customer
+from .accounts import company_of, company_tier_percent, states_of
 from .pricing import SUBORDER_KEY
 
 JOB = "accrual"
@@ -19,16 +19,6 @@ FEES = ["cod_fee", "shipping_fee", "discount_amount", "giftwrap_fee", "tryout_di
 STATE = ["email", "fpoint", "vip_level", "num_freeship", "fpoint_accrue_year", "num_rewarded_freeship"]
 
 
-def eligible_suborders(
-    suborder: DataFrame, orders: DataFrame, attr: DataFrame, countable: DataFrame, p: Params
-) -> DataFrame:
-    """Root suborders, complete, delivered within the look-back, not yet paid, of confirmed
-    customers, with at least one countable item."""
-    return unpaid_suborders(suborder, orders, attr, p).join(
-        countable.select(*SUBORDER_KEY).distinct(), SUBORDER_KEY, "left_semi"
-    )
-
-
 def _unpaid(p: Params) -> Column:
     return (
         F.col("parent_id").isNull()
@@ -38,10 +28,19 @@ def _unpaid(p: Params) -> Column:
     )
 
 
-def unpaid_suborders(suborder: DataFrame, orders: DataFrame, attr: DataFrame, p: Params) -> DataFrame:
-    """`eligible_suborders` before items are looked at; the amount's inner join on items
-    drops a suborder without countable ones."""
+def unpaid_suborders(
+    suborder: DataFrame, orders: DataFrame, attr: DataFrame, stored: DataFrame, stamps: DataFrame | None, p: Params
+) -> DataFrame:
+    """Root suborders, complete, delivered within the look-back, of confirmed customers, and not paid
+    yet: not stamped by the shop, by an earlier run's `stamps`, or by a ledger row.
+
+    The amount's inner join on items drops a suborder without countable ones.
+    """
     unpaid = suborder.filter(_unpaid(p)).select(*SUBORDER_KEY, *FEES)
+    paid = F.col("action").isin(ACTION_ACCRUE, ACTION_FREESHIP) & F.col("suborder_id").isNotNull()
+    unpaid = ledger.not_in_ledger(unpaid, stored, paid, ["suborder_id"])
+    if stamps is not None:
+        unpaid = unpaid.join(stamps.select(*SUBORDER_KEY).distinct(), SUBORDER_KEY, "left_anti")
     buyers = orders.filter(F.col("customer_id").isNotNull()).select("order_id", "customer_id")
     unconfirmed = attr.filter(
         (F.col("attribute_id") == ATTR_NOT_CONFIRMED) & F.col("value").isNotNull()
@@ -49,10 +48,12 @@ def unpaid_suborders(suborder: DataFrame, orders: DataFrame, attr: DataFrame, p:
     return unpaid.join(buyers, "order_id").join(unconfirmed, "customer_id", "left_anti")
 
 
-def account_unique_guard(amounts: DataFrame, account: DataFrame, attr: DataFrame) -> DataFrame:
+def account_unique_guard(amounts: DataFrame, unpaid: DataFrame, account: DataFrame, attr: DataFrame) -> DataFrame:
     """Adds account state and `guard_rows`, the number of (account, company attribute) rows of
-    the customer. Only suborders with exactly one may be paid."""
-    state = cut(one_per_customer(account, STATE).join(company_of(attr, ATTR_COMPANY), "customer_id", "left"))
+    the customer. Only suborders with exactly one may be paid. `unpaid` holds all customers of
+    `amounts`, at less cost."""
+    own = attr.join(unpaid.select("customer_id").distinct(), "customer_id", "left_semi")
+    state = states_of(account, unpaid, STATE, company_of(own, ATTR_COMPANY))
     return (
         amounts.join(state, "customer_id", "left")
         .withColumn(
@@ -172,20 +173,17 @@ def accrual_ledger(accrued: DataFrame, p: Params) -> DataFrame:
     return ledger.ledger_rows(rows, JOB, ["type", "suborder_id"], p)
 
 
-def suborder_stamp(suborder: DataFrame, points: DataFrame, p: Params) -> DataFrame:
-    """The suborder table with the points paid on each suborder.
+def suborder_stamps(points: DataFrame) -> DataFrame:
+    """The points paid on each suborder, for later runs not to pay them again."""
+    return points.select(*SUBORDER_KEY, F.col("points").cast("int").alias("f_point_amount"))
 
-    Only rows that could be paid are joined; the long tail of old ones passes without a shuffle.
-    """
-    payable = F.coalesce(_unpaid(p), F.lit(False))
-    paid = points.select(*SUBORDER_KEY, "points")
-    stamped = (
-        suborder.filter(payable)
-        .join(paid, SUBORDER_KEY, "left")
-        .withColumn("f_point_amount", F.coalesce("points", "f_point_amount").cast("int"))
-        .select(*suborder.columns)
-    )
-    return suborder.filter(~payable).unionByName(stamped)
+
+def stamped(suborder: DataFrame, stamps: DataFrame) -> DataFrame:
+    """The suborder table with the points paid on each suborder."""
+    paid = stamps.groupBy(*SUBORDER_KEY).agg(F.max("f_point_amount").alias("paid"))
+    return suborder.join(paid, SUBORDER_KEY, "left").withColumn(
+        "f_point_amount", F.coalesce("paid", "f_point_amount").cast("int")
+    ).select(*suborder.columns)
 
 
 def account_changes(accrued: DataFrame) -> DataFrame:

@@ -23,8 +23,8 @@ from ..params import (
     Params,
 )
 from . import ledger
-from .accounts import one_per_customer, tier_percent
-from .pricing import SUBORDER_KEY, order_products
+from .accounts import duplicate_account, states_of, tier_percent
+from .pricing import SUBORDER_KEY, bundles_of, items_of, order_products
 
 JOB = "campaign"
 
@@ -56,10 +56,10 @@ def combine_filters(active: DataFrame, p: Params) -> DataFrame:
     """One row per rule: all its filters hold together, so they fold into one test each.
 
     Include lists on an attribute intersect, exclude lists unite, bounds narrow. A filter of
-    unknown type, or an item filter without a list, makes the rule match nothing.
+    unknown type, or an item filter without a list or an action, makes the rule match nothing.
     """
     kind, listed = F.col("filter_type"), F.col("filter_value").isNotNull()
-    is_item = kind.isin(*ITEM_FILTERS) & listed
+    is_item = kind.isin(*ITEM_FILTERS) & listed & F.col("filter_action").isNotNull()
     bounds = {"total": kind == FILTER_GRAND_TOTAL, "count": kind == FILTER_NUM_ITEM}
     rule_columns = [c for c in active.columns if not c.startswith("filter_")]
     folds = []
@@ -151,15 +151,15 @@ def campaign_order_agg(
 ) -> DataFrame:
     """Quantity and price extremes per rule and order over the items the rule accepts.
 
-    Items fold to one row per suborder and product, and orders outside every window drop, before
-    the two meet; the rows a rule multiplies are folded again before they leave the task.
+    Orders inside some window are found and written out first; only their items are read on, and
+    fold to one row per suborder and product. The rows a rule multiplies are folded again before they
+    leave the task.
     """
     monthly = monthly.filter("usable").drop("usable")
     item_tests = [f"{n}_{side}" for n in ITEM_FILTERS for side in ("in", "out")]
     reachable = within_span(orders, "created_at", monthly, p)
-    lines = order_products(priced(item), bundle).join(
-        in_any_window(root_orders(suborder, reachable, p), monthly), SUBORDER_KEY
-    )
+    wanted = cut(in_any_window(root_orders(suborder, reachable, p), monthly))
+    lines = order_products(items_of(priced(item), wanted), bundles_of(bundle, wanted)).join(wanted, SUBORDER_KEY)
     tests = monthly.select("rule_id", *item_tests, "month_no", "rule_month", "from_at", "to_at")
     per_rule = match_windows(global_item_exclusions(lines, product, p), tests)
     terms = once_per_rule(monthly).drop(*item_tests)
@@ -221,8 +221,9 @@ def reward_promo_freeship() -> Column:
 
 
 def judge(winners: DataFrame, account: DataFrame, tier_rule: DataFrame) -> DataFrame:
-    """Adds account state, the reward and its type, and the reason an order cannot be paid."""
-    state = cut(one_per_customer(account, ["fpoint", "vip_level", "num_freeship"]))
+    """Adds account state, the reward and its type, and the reason an order cannot be paid. Hand over
+    `winners` written out."""
+    state = states_of(account, winners, ["fpoint", "vip_level", "num_freeship"])
     name = F.col("action_name")
     reward = (
         F.when(name == CHEAPEST, reward_cheapest_pct())
@@ -232,7 +233,7 @@ def judge(winners: DataFrame, account: DataFrame, tier_rule: DataFrame) -> DataF
     )
     reason = (
         F.when(F.coalesce("account_rows", F.lit(0)) == 0, "no account")
-        .when(F.col("account_rows") > 1, "duplicate account")
+        .when(duplicate_account().isNotNull(), duplicate_account())
         .when(F.col("percent").isNull(), "no tier rule")
         .when(F.col("customer_email").isNull(), "no email")
         .when(F.col("reward").isNull(), "no price")

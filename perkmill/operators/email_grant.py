@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lineage import cut
-from ..functions.running import running_totals
 from ..functions.text import clean_email
 from ..params import ACTION_FREESHIP, FREESHIP, Params
 from . import ledger
-from .accounts import by_email
+from .accounts import by_email, duplicate_account, states_of
 
 JOB = "email list"
 
@@ -20,24 +18,27 @@ def email_list_ingest(raw: DataFrame) -> DataFrame:
     return raw.withColumn("email", clean_email("email_raw")).filter(F.col("email").contains("@")).drop("email_raw")
 
 
-def not_granted(entries: DataFrame, stored: DataFrame, list_id: str) -> DataFrame:
-    """Drops entries an earlier run of the same list has granted."""
-    held = stored.filter(F.col("job") == JOB).select("job_key").distinct()
-    return entries.withColumn("job_key", _entry_key(list_id)).join(held, "job_key", "left_anti").drop("job_key")
-
-
 def _entry_key(list_id: str) -> Column:
-    return F.concat_ws("|", F.lit(list_id), F.col("row_no").cast("string"))
+    """The list, the email, and the how-manieth entry of that email: the same however the file was
+    split for reading."""
+    return F.concat_ws("|", F.lit(list_id), F.col("email"), F.col("nth").cast("string"))
 
 
 def known_entries(entries: DataFrame, account: DataFrame) -> DataFrame:
-    """Entries whose email has an account; one several accounts share goes to the lowest id."""
-    return entries.join(cut(by_email(account, ["num_freeship"], lower=True)), "email")
+    """How often the list has each email that has an account, and the reason it can't be granted; an
+    email that several customers share goes to the lowest id.
 
+    Entries fold on the map side: an email with a large part of a list is one row from then on.
+    """
+    listed = entries.groupBy("email").agg(F.count("*").alias("entries"))
+    owned = listed.join(by_email(account, listed, lower=True), "email")
+    return owned.join(states_of(account, owned, ["num_freeship"]), "customer_id").withColumn("reason", duplicate_account())
 
-def email_list_grant(known: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Credits before and after each entry, in list order (`row_no`)."""
-    return running_totals(known, ["customer_id"], ["row_no"], {"nth": F.lit(1)}, hot).withColumns(
+
+def email_list_grant(known: DataFrame) -> DataFrame:
+    """Credits before and after each entry (`nth` of its email)."""
+    one = known.filter(F.col("reason").isNull()).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("entries"))))
+    return one.withColumns(
         {
             "freeship_before": F.col("num_freeship").cast("long") + F.col("nth") - 1,
             "freeship_after": F.col("num_freeship").cast("long") + F.col("nth"),
@@ -45,6 +46,19 @@ def email_list_grant(known: DataFrame, hot: DataFrame | None = None) -> DataFram
     )
 
 
+def not_granted(grants: DataFrame, stored: DataFrame, list_id: str) -> DataFrame:
+    """Drops entries an earlier run of the same list has granted. The account holds those already, so
+    the credits of the others move down by their number."""
+    held = stored.filter((F.col("job") == JOB) & F.col("job_key").startswith(f"{list_id}|")).select("job_key").distinct()
+    keyed = grants.withColumn("job_key", _entry_key(list_id))
+    done = keyed.join(held, "job_key", "left_semi").groupBy("customer_id").agg(F.count("*").alias("done"))
+    fresh = keyed.join(held, "job_key", "left_anti").drop("job_key").join(done, "customer_id", "left")
+    down = F.coalesce("done", F.lit(0).cast("long"))
+    return fresh.withColumns(
+        {c: F.col(c) - down for c in ("freeship_before", "freeship_after")}
+    ).drop("done")
+
+
 def email_list_ledger(grants: DataFrame, list_id: str, p: Params) -> DataFrame:
     rows = grants.select(
         "customer_id",
@@ -55,7 +69,12 @@ def email_list_ledger(grants: DataFrame, list_id: str, p: Params) -> DataFrame:
         F.col("freeship_before").alias("amount_before"),
         F.col("freeship_after").alias("amount_after"),
         F.lit(list_id).alias("list_id"),
-        "row_no",
+        "email",
+        "nth",
         F.concat(F.lit("free shipping for list "), F.lit(list_id)).alias("description"),
     )
-    return ledger.ledger_rows(rows, JOB, ["list_id", "row_no"], p)
+    return ledger.ledger_rows(rows, JOB, ["list_id", "email", "nth"], p)
+
+
+def reject_rows(known: DataFrame) -> DataFrame:
+    return ledger.rejects(known, JOB, "customer_id", F.col("reason"))

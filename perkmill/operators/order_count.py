@@ -11,7 +11,7 @@ from ..functions.money import amount
 from ..functions.running import running_totals
 from ..params import ACTION_ORDER_COUNT, FPOINT, FREESHIP, Params
 from . import ledger
-from .accounts import one_per_customer
+from .accounts import duplicate_account, states_of
 
 JOB = "order count"
 
@@ -38,6 +38,7 @@ def order_ordinal(candidates: DataFrame, stored: DataFrame, hot: DataFrame | Non
     )
     reached = (
         stored.filter(F.col("index_order").isNotNull())
+        .join(candidates.select("customer_id").distinct(), "customer_id", "left_semi")
         .groupBy("customer_id")
         .agg(F.max("index_order").cast("long").alias("start_index"))
     )
@@ -89,8 +90,8 @@ def order_count_rewards(ordinals: DataFrame, payable: DataFrame, p: Params) -> D
 
 def judge(rewards: DataFrame, account: DataFrame) -> DataFrame:
     """Adds account state and the reason a reward cannot be paid."""
-    state = cut(one_per_customer(account, ["fpoint", "num_freeship"]))
-    reason = F.when(F.col("account_rows") > 1, "duplicate account").when(F.col("customer_email").isNull(), "no email")
+    state = states_of(account, rewards, ["fpoint", "num_freeship"])
+    reason = duplicate_account().when(F.col("customer_email").isNull(), "no email")
     return rewards.join(state, "customer_id").withColumn("reason", reason)
 
 

@@ -29,6 +29,25 @@ def countable_items(item: DataFrame, excluded_products: tuple[int, ...]) -> Data
     return item.filter(~F.col("product_id").isin(*excluded_products))
 
 
+def _within(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Rows between the lowest and the highest wanted id: a bound that the scan can skip by."""
+    low, high = wanted.agg(F.min(column)).scalar(), wanted.agg(F.max(column)).scalar()
+    return rows.filter(F.col(column).between(low, high))
+
+
+def items_of(item: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Items of the wanted suborders. They are looked up before anything folds or shuffles them: the
+    items of a look-back are few among those of all time. Hand over `wanted` written out, since it is
+    read for its bounds too."""
+    keys = wanted.select(*SUBORDER_KEY).distinct()
+    return _within(item, "order_id", wanted).join(keys, SUBORDER_KEY, "left_semi")
+
+
+def bundles_of(bundle: DataFrame, wanted: DataFrame) -> DataFrame:
+    keys = wanted.select("suborder_id").distinct()
+    return _within(bundle, "suborder_id", wanted).join(keys, "suborder_id", "left_semi")
+
+
 def goods_value(item: DataFrame, bundle: DataFrame) -> DataFrame:
     """Sum of effective price times effective quantity per suborder.
 
@@ -74,7 +93,8 @@ def _fee(name: str) -> Column:
 def suborder_amount(eligible: DataFrame, item: DataFrame, bundle: DataFrame) -> DataFrame:
     """Goods plus fees minus discounts, floored; null when no item has a price.
 
-    `item` holds countable items only; a suborder without any drops out.
+    `item` holds countable items only; a suborder without any drops out. Hand over `eligible` written
+    out.
     """
     total = (
         F.col("goods")
@@ -85,7 +105,7 @@ def suborder_amount(eligible: DataFrame, item: DataFrame, bundle: DataFrame) ->
         - _fee("tryout_discount")
     )
     return (
-        eligible.join(goods_value(item, bundle), SUBORDER_KEY)
+        eligible.join(goods_value(items_of(item, eligible), bundles_of(bundle, eligible)), SUBORDER_KEY)
         .withColumn("amount", F.floor(total.cast("double")).cast("double"))
         .drop("goods", "cod_fee", "shipping_fee", "discount_amount", "giftwrap_fee", "tryout_discount")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lineage import cut
@@ -11,39 +11,45 @@ from ..functions.money import amount, percent_exact
 from ..functions.running import running_totals
 from ..params import ACTION_REFER, FPOINT, Params
 from . import ledger
+from .accounts import duplicate_account, states_of
 
 JOB = "referral"
 
 
-def referrers(account: DataFrame, refer_rule: DataFrame) -> DataFrame:
-    """One owner with terms per refer code: the lowest customer id with an active code and rule.
+def referrers(used: DataFrame, account: DataFrame, refer_rule: DataFrame) -> DataFrame:
+    """One owner with terms per used refer code: the lowest customer id with an active code and rule.
 
-    Chosen before orders are joined, so a code shared by many accounts multiplies nothing.
+    Chosen before orders are joined, so a code shared by many accounts multiplies nothing. A rule
+    listed twice counts once.
     """
-    terms = refer_rule.filter(F.col("status") == 1).select(
-        F.col("refer_rule_id").alias("refer_rule"), F.col("action").alias("refer_action"), F.col("value").alias("refer_value")
+    terms = (
+        refer_rule.filter(F.col("status") == 1)
+        .groupBy(F.col("refer_rule_id").alias("refer_rule"))
+        .agg(F.min(F.struct(F.col("action").alias("refer_action"), F.col("value").alias("refer_value"))).alias("terms"))
+        .select("refer_rule", "terms.*")
     )
-    owners = account.filter((F.col("refer_status") == 1) & F.col("refer_code").isNotNull()).select(
-        "customer_id", "email", "fpoint", "refer_code", "refer_rule"
-    )
-    owner = F.struct("customer_id", "refer_rule", "refer_action", "refer_value", "email", "fpoint")
-    return (
-        owners.join(terms, "refer_rule")
-        .groupBy("refer_code")
-        .agg(F.min(owner).alias("owner"))
-        .select("refer_code", "owner.*")
+    codes = used.select("refer_code").distinct()
+    active = account.filter((F.col("refer_status") == 1) & F.col("refer_code").isNotNull()).select(
+        "customer_id", "refer_code", "refer_rule"
     )
+    running = active.join(codes, "refer_code", "left_semi").join(terms, "refer_rule")
+    owners = running.groupBy("refer_code").agg(F.min("customer_id").alias("customer_id"))
+    rules = running.groupBy("refer_code", "customer_id").agg(F.min("refer_rule").alias("refer_rule"))
+    return owners.join(rules, ["refer_code", "customer_id"]).join(terms, "refer_rule")
 
 
 def referral_orders(orders: DataFrame, account: DataFrame, refer_rule: DataFrame, p: Params) -> DataFrame:
-    """Complete recent orders with a referrer's code; `customer_id` is the referrer."""
+    """Complete recent orders with a referrer's code; `customer_id` is the referrer, with the number
+    of account rows it has."""
     used = orders.filter(
         F.col("coupon_code").isNotNull()
         & F.col("customer_id").isNotNull()
         & (F.col("status") == "complete")
         & (F.col("created_at") >= ntz(p.since_midnight(p.referral_days)))
     ).select("order_id", "grand_total", F.col("coupon_code").alias("refer_code"))
-    return used.join(cut(referrers(account, refer_rule)), "refer_code")
+    owners = referrers(used, account, refer_rule)
+    states = states_of(account, owners, ["email", "fpoint"])
+    return used.join(cut(owners.join(states, "customer_id")), "refer_code")
 
 
 def already_referred(candidates: DataFrame, stored: DataFrame) -> DataFrame:
@@ -59,7 +65,11 @@ def referral_reward(unpaid: DataFrame) -> DataFrame:
 
 
 def payable(rewards: DataFrame) -> DataFrame:
-    return rewards.filter(F.col("email").isNotNull())
+    return rewards.filter(reason().isNull())
+
+
+def reason() -> Column:
+    return duplicate_account().when(F.col("email").isNull(), "no email")
 
 
 def referral_ledger(rewards: DataFrame, p: Params, hot: DataFrame | None = None) -> DataFrame:
@@ -84,4 +94,4 @@ def referral_ledger(rewards: DataFrame, p: Params, hot: DataFrame | None = None)
 
 
 def reject_rows(rewards: DataFrame) -> DataFrame:
-    return ledger.rejects(rewards, JOB, "order_id", F.when(F.col("email").isNull(), "no email"))
+    return ledger.rejects(rewards, JOB, "order_id", reason())

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lineage import cut
 from ..functions.localtime import match_windows, with_local_time, within_span
 from ..functions.money import amount
 from ..functions.running import running_totals
@@ -13,7 +12,7 @@ from ..functions.text import review_chars
 from ..params import FPOINT, REVIEW_CHARACTER, REVIEW_LIKE, Params
 from ..schemas import REWARD_LOG
 from . import ledger
-from .accounts import by_email, one_per_customer
+from .accounts import by_email, duplicate_account, states_of
 
 JOB = "review"
 EDITOR_JOB = "editor review"
@@ -49,10 +48,9 @@ def in_rule_windows(reviews: DataFrame, monthly: DataFrame, p: Params) -> DataFr
     return match_windows(with_local_time(reachable, "created_at", p).drop("created_at"), monthly).drop("local_at")
 
 
-def reviews_in_window(review: DataFrame, account: DataFrame, monthly: DataFrame, p: Params) -> DataFrame:
-    """Approved reviews of account holders with every rule whose window holds them."""
-    holders = account.select("customer_id").distinct()
-    return in_rule_windows(approved_reviews(review, p), monthly, p).join(holders, "customer_id", "left_semi")
+def of_holders(reviews: DataFrame, account: DataFrame) -> DataFrame:
+    """Reviews whose customer has an account."""
+    return reviews.join(account.select("customer_id").distinct(), "customer_id", "left_semi")
 
 
 def review_like_count(action: DataFrame, monthly: DataFrame, p: Params) -> DataFrame:
@@ -99,11 +97,11 @@ def review_dedup(matched: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def judge(deduped: DataFrame, account: DataFrame) -> DataFrame:
-    """Adds account state and the reason a review cannot be paid."""
-    state = cut(one_per_customer(account, ["email", "fpoint"]))
+    """Adds account state and the reason a review cannot be paid. Hand over `deduped` written out."""
+    state = states_of(account, deduped, ["email", "fpoint"])
     reason = (
         F.when(F.coalesce("account_rows", F.lit(0)) == 0, "no account")
-        .when(F.col("account_rows") > 1, "duplicate account")
+        .when(duplicate_account().isNotNull(), duplicate_account())
         .when(F.col("email").isNull(), "no email")
     )
     return deduped.join(state, "customer_id", "left").withColumn("reason", reason)
@@ -170,7 +168,7 @@ def editor_reviews(
         .select("review_id", "log.*")
     )
     approved = review.filter(F.col("status_id") == 1).select("review_id", "product_id", "created_at")
-    members = cut(by_email(account, [])).withColumnRenamed("email", "author")
+    members = by_email(account, one_log.select(F.col("author").alias("email"))).withColumnRenamed("email", "author")
     return one_log.join(approved, "review_id").join(members, "author", "left")
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..params import ACTION_FREESHIP, ACTION_UPGRADE, FREESHIP, VIP_LEVEL, Params
 from . import ledger
+from .accounts import duplicate_account, with_account_rows
 
 UPGRADE_JOB = "tier upgrade"
 BACKFILL_JOB = "freeship backfill"
@@ -21,18 +22,26 @@ def tier_classify(account: DataFrame, tier_rule: DataFrame, p: Params) -> DataFr
     )
 
 
-def tier_upgrade(classified: DataFrame, tier_rule: DataFrame) -> DataFrame:
-    """Upward moves only, with the free-shipping award of the new level (null: no rule for it)."""
-    award = tier_rule.select(F.col("level_id").alias("new_level"), F.col("num_freeship_award").alias("award"))
+def tier_upgrade(classified: DataFrame, tier_rule: DataFrame, account: DataFrame) -> DataFrame:
+    """Upward moves only, with the free-shipping award of the new level (null: no rule for it) and the
+    reason one can't be made. A level listed twice awards the most."""
+    award = tier_rule.groupBy(F.col("level_id").alias("new_level")).agg(F.max("num_freeship_award").alias("award"))
+    moves = classified.filter(F.col("new_level") > F.col("vip_level")).join(award, "new_level", "left")
+    reason = duplicate_account().when(F.col("award").isNull(), "no tier rule").when(F.col("email").isNull(), "no email")
     return (
-        classified.filter(F.col("new_level") > F.col("vip_level"))
-        .join(award, "new_level", "left")
+        with_account_rows(moves, account)
         .withColumn("new_freeship", (F.col("num_freeship") + F.col("award")).cast("long"))
+        .withColumn("reason", reason)
     )
 
 
-def _payable(upgrades: DataFrame) -> DataFrame:
-    return upgrades.filter(F.col("award").isNotNull() & F.col("email").isNotNull())
+def _payable(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("reason").isNull())
+
+
+def _day(p: Params) -> Column:
+    """The run's date: a move made again on another day is another event."""
+    return F.lit(f"{p.as_of:%Y-%m-%d}")
 
 
 def tier_upgrade_ledger(upgrades: DataFrame, p: Params) -> DataFrame:
@@ -57,9 +66,9 @@ def tier_upgrade_ledger(upgrades: DataFrame, p: Params) -> DataFrame:
     rows = (
         _payable(upgrades)
         .withColumn("row", F.explode(F.array(level_row, ship_row)))
-        .select("customer_id", F.col("email").alias("account"), "new_level", "row.*")
+        .select("customer_id", F.col("email").alias("account"), "new_level", "row.*", _day(p).alias("day"))
     )
-    return ledger.ledger_rows(rows, UPGRADE_JOB, ["customer_id", "type", "new_level"], p)
+    return ledger.ledger_rows(rows, UPGRADE_JOB, ["customer_id", "type", "new_level", "day"], p)
 
 
 def upgrade_changes(upgrades: DataFrame) -> DataFrame:
@@ -71,24 +80,26 @@ def upgrade_changes(upgrades: DataFrame) -> DataFrame:
 
 
 def upgrade_rejects(upgrades: DataFrame) -> DataFrame:
-    reason = F.when(F.col("award").isNull(), "no tier rule").when(F.col("email").isNull(), "no email")
-    return ledger.rejects(upgrades, UPGRADE_JOB, "customer_id", reason)
+    return ledger.rejects(upgrades, UPGRADE_JOB, "customer_id", F.col("reason")).distinct()
 
 
 def freeship_backfill(account: DataFrame, p: Params) -> DataFrame:
-    """Free-shipping credits owed for the year points collected so far."""
+    """Free-shipping credits owed for the year points collected so far, and the reason some can't be
+    given."""
     reached = F.floor(F.col("fpoint_accrue_year") / F.lit(p.freeship_step)).cast("long")
-    return (
+    owed = (
         account.filter(F.col("fpoint_accrue_year") > 0)
         .withColumn("reached", reached)
         .withColumn("owed", F.col("reached") - F.col("num_rewarded_freeship"))
         .filter((F.col("reached") > 0) & (F.col("owed") > 0))
         .withColumn("freeship_after", F.col("num_freeship") + F.col("owed"))
     )
+    reason = duplicate_account().when(F.col("email").isNull(), "no email")
+    return with_account_rows(owed, account).withColumn("reason", reason)
 
 
 def backfill_ledger(owed: DataFrame, p: Params) -> DataFrame:
-    rows = owed.filter(F.col("email").isNotNull()).select(
+    rows = _payable(owed).select(
         "customer_id",
         F.col("email").alias("account"),
         F.lit(ACTION_FREESHIP).alias("action"),
@@ -98,15 +109,20 @@ def backfill_ledger(owed: DataFrame, p: Params) -> DataFrame:
         F.col("freeship_after").alias("amount_after"),
         "reached",
         F.concat(F.lit("free shipping owed, year points "), F.col("fpoint_accrue_year").cast("string")).alias("description"),
+        _day(p).alias("day"),
     )
-    return ledger.ledger_rows(rows, BACKFILL_JOB, ["customer_id", "reached"], p)
+    return ledger.ledger_rows(rows, BACKFILL_JOB, ["customer_id", "reached", "day"], p)
 
 
 def backfill_changes(owed: DataFrame) -> DataFrame:
     return ledger.changes(
-        owed.filter(F.col("email").isNotNull()).select(
+        _payable(owed).select(
             "customer_id",
             F.col("freeship_after").alias("set_freeship"),
             F.col("reached").alias("set_rewarded_freeship"),
         )
     )
+
+
+def backfill_rejects(owed: DataFrame) -> DataFrame:
+    return ledger.rejects(owed, BACKFILL_JOB, "customer_id", F.col("reason")).distinct()

@@ -1,7 +1,9 @@
 """The nine reward jobs, each from tables to ledger rows, account changes and rejects.
 
-`t` maps table names (`schemas.INPUTS`, plus "ledger") to DataFrames. Every job ends in lazy
-frames; only the hot-key probes and, when a key is hot, the lineage cuts run on the way.
+`t` maps table names (`schemas.INPUTS`, plus "ledger" and, with a store, "suborder_stamp") to
+DataFrames. A job writes out its candidates, those not paid yet, and the accounts of their customers,
+since several of its results read them; ledger rows, account changes and stamps all come from these.
+What it returns is lazy.
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ from ..functions.running import hot_keys
 from ..operators import accrual, campaign, email_grant, ledger, order_count, referral, reviews, tiers
 from ..operators.pricing import countable_items, suborder_amount
 from ..params import FPOINT, Params
-from ..schemas import REJECTS
 
 Tables = Mapping[str, DataFrame]
 CUSTOMER = ["customer_id"]
@@ -33,18 +34,29 @@ class JobResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def no_rejects(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame([], REJECTS)
+# --- base accrual
 
 
-# --- base accrual
+def unpaid_suborders(t: Tables, p: Params) -> DataFrame:
+    return cut(
+        accrual.unpaid_suborders(
+            t["suborder"], t["orders"], t["account_attr"], t["ledger"], t.get("suborder_stamp"), p
+        )
+    )
 
 
-def accrual_judged(t: Tables, p: Params) -> DataFrame:
-    unpaid = accrual.unpaid_suborders(t["suborder"], t["orders"], t["account_attr"], p)
+def accrual_amounts(t: Tables, unpaid: DataFrame, p: Params) -> DataFrame:
     items = countable_items(t["suborder_item"], p.excluded_products)
-    amounts = suborder_amount(unpaid, items, t["suborder_bundle"])
-    guarded = accrual.account_unique_guard(amounts, t["account"], t["account_attr"])
+    return suborder_amount(unpaid, items, t["suborder_bundle"])
+
+
+def accrual_guarded(t: Tables, p: Params) -> DataFrame:
+    unpaid = unpaid_suborders(t, p)
+    return accrual.account_unique_guard(accrual_amounts(t, unpaid, p), unpaid, t["account"], t["account_attr"])
+
+
+def accrual_judged(t: Tables, p: Params) -> DataFrame:
+    guarded = accrual_guarded(t, p)
     return accrual.judge(guarded, t["company"], t["company_tier_rule"], t["tier_rule"])
 
 
@@ -62,7 +74,7 @@ def run_accrual(t: Tables, p: Params) -> JobResult:
         accrual.accrual_ledger(accrued, p),
         accrual.account_changes(accrued),
         accrual.reject_rows(judged),
-        {"suborder": accrual.suborder_stamp(t["suborder"], accrual.suborder_points(judged), p)},
+        {"suborder_stamp": accrual.suborder_stamps(accrual.suborder_points(judged))},
     )
 
 
@@ -88,9 +100,10 @@ def campaign_winners(t: Tables, active: DataFrame, p: Params) -> DataFrame:
 
 
 def campaign_state(t: Tables, active: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
-    """Judged orders, written once, and their ledger rows."""
-    judged = cut(campaign.judge(campaign_winners(t, active, p), t["account"], t["tier_rule"]))
-    return judged, campaign.campaign_ledger(judged, p, hot_keys(judged, CUSTOMER))
+    """Judged orders and their ledger rows."""
+    winners = cut(campaign_winners(t, active, p))
+    judged = campaign.judge(winners, t["account"], t["tier_rule"])
+    return judged, campaign.campaign_ledger(judged, p, hot_keys(winners, CUSTOMER))
 
 
 def run_campaign(t: Tables, p: Params) -> JobResult:
@@ -106,17 +119,21 @@ def review_months(t: Tables, p: Params) -> DataFrame:
     return cut(rules_by_month(reviews.active_review_rules(t["review_rule"], p), p))
 
 
+def reviews_inside(t: Tables, rules: DataFrame, p: Params) -> DataFrame:
+    # Reviews without an account are told apart by `judge`, on the few that match.
+    return reviews.in_rule_windows(reviews.approved_reviews(t["review"], p), rules, p)
+
+
 def review_matches(t: Tables, p: Params) -> DataFrame:
     rules = review_months(t, p)
-    # Reviews without an account are told apart by `judge`, on the few that match.
-    inside = reviews.in_rule_windows(reviews.approved_reviews(t["review"], p), rules, p)
-    return reviews.matched_reviews(inside, t["review_action"], rules, p)
+    return reviews.matched_reviews(reviews_inside(t, rules, p), t["review_action"], rules, p)
 
 
 def review_state(matched: DataFrame, t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Judged reviews, written once, and the paid ones with running balances."""
-    judged = cut(reviews.judge(reviews.review_dedup(matched, t["ledger"]), t["account"]))
-    return judged, reviews.review_balance(judged, hot_keys(judged, CUSTOMER))
+    """Judged reviews and the paid ones with running balances."""
+    fresh = cut(reviews.review_dedup(matched, t["ledger"]))
+    judged = reviews.judge(fresh, t["account"])
+    return judged, reviews.review_balance(judged, hot_keys(fresh, CUSTOMER))
 
 
 def _review_result(judged: DataFrame, balances: DataFrame, job: str, p: Params) -> JobResult:
@@ -189,7 +206,8 @@ def run_referral(t: Tables, p: Params) -> JobResult:
 
 
 def run_tier_upgrade(t: Tables, p: Params) -> JobResult:
-    upgrades = tiers.tier_upgrade(tiers.tier_classify(t["account"], t["tier_rule"], p), t["tier_rule"])
+    classified = tiers.tier_classify(t["account"], t["tier_rule"], p)
+    upgrades = tiers.tier_upgrade(classified, t["tier_rule"], t["account"])
     return JobResult(
         tiers.tier_upgrade_ledger(upgrades, p), tiers.upgrade_changes(upgrades), tiers.upgrade_rejects(upgrades)
     )
@@ -197,20 +215,16 @@ def run_tier_upgrade(t: Tables, p: Params) -> JobResult:
 
 def run_freeship_backfill(t: Tables, p: Params) -> JobResult:
     owed = tiers.freeship_backfill(t["account"], p)
-    return JobResult(tiers.backfill_ledger(owed, p), tiers.backfill_changes(owed), no_rejects(owed))
-
-
-def email_grants(entries: DataFrame, account: DataFrame) -> DataFrame:
-    known = cut(email_grant.known_entries(entries, account))
-    return email_grant.email_list_grant(known, hot_keys(known, CUSTOMER))
+    return JobResult(tiers.backfill_ledger(owed, p), tiers.backfill_changes(owed), tiers.backfill_rejects(owed))
 
 
 def run_email_list(t: Tables, p: Params, raw: DataFrame, list_id: str) -> JobResult:
     """`raw` comes from `sources.email_list`. An entry the ledger holds under the same list is
     not granted again."""
-    fresh = email_grant.not_granted(email_grant.email_list_ingest(raw), t["ledger"], list_id)
-    rows = email_grant.email_list_ledger(email_grants(fresh, t["account"]), list_id, p)
-    return JobResult(rows, ledger.added(rows), no_rejects(rows))
+    known = cut(email_grant.known_entries(email_grant.email_list_ingest(raw), t["account"]))
+    fresh = email_grant.not_granted(email_grant.email_list_grant(known), t["ledger"], list_id)
+    rows = email_grant.email_list_ledger(fresh, list_id, p)
+    return JobResult(rows, ledger.added(rows), email_grant.reject_rows(known))
 
 
 JOBS = {

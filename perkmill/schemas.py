@@ -76,6 +76,12 @@ REJECTS = _struct("job string, customer_id long, ref_id long, reason string")
 
 REWARD_LOG = _struct(INPUTS["review_reward_log"])
 
+# What runs write for later runs to read, besides ledger and account.
+STORED: dict[str, str] = {
+    "suborder_stamp": "order_id long, suborder_id long, f_point_amount int",
+    "review_reward_log": INPUTS["review_reward_log"],
+}
+
 
 def schema_of(table: str) -> T.StructType:
-    return _struct(INPUTS[table])
+    return _struct(INPUTS.get(table) or STORED[table])

@@ -3,17 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Fixed layout: the address is in the fourth column.
 COLUMNS = "a string, b string, c string, email_raw string"
 
 
 def read_email_list(spark: SparkSession, path: str) -> DataFrame:
-    """`row_no` and `email_raw` of every row, title rows included.
-
-    `row_no` rises in file order. A file read again with the same split size gets the same numbers.
-    """
-    return spark.read.csv(path, schema=COLUMNS).select(
-        F.monotonically_increasing_id().alias("row_no"), "email_raw"
-    )
+    """`email_raw` of every row, title rows included."""
+    return spark.read.csv(path, schema=COLUMNS).select("email_raw")

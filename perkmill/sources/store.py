@@ -1,14 +1,17 @@
-"""Versioned account snapshots and the append-only ledger, as parquet folders per run.
+"""Account snapshots and changes, the append-only ledger, and stamps, as parquet folders per run.
 
-Run ids sort in run order. A run reads the snapshot of the run before it and ledger rows of
-earlier runs only, and writes whole folders of its own, so a run that failed half-way is simply
-run again under the same id. The account folder is written last and marks the run as done.
+Run ids sort in run order. A run reads what earlier runs wrote and writes whole folders of its own, so
+a run that failed half-way is simply run again under the same id. Its changes to accounts are written
+last and mark it as done. A full snapshot is written once a day (`snapshot`); the accounts after any run
+are the last snapshot with the changes since.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..operators.ledger import append_new, apply_changes
 from ..plans.jobs import JobResult
-from ..schemas import LEDGER, REJECTS, schema_of
+from ..schemas import CHANGES, LEDGER, REJECTS, STORED, schema_of
 
 
 @dataclass(frozen=True)
@@ -34,18 +37,43 @@ class Store:
             *[(F.col(f.name) if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER]
         )
         self._write_ledger(run_id, rows)
+        for name in ["changes", "rejects", *STORED]:
+            nothing = self.spark.createDataFrame([], self._schema(name))
+            nothing.write.mode("overwrite").parquet(self.folder(name, run_id))
         account.select(
             *[F.col(f.name).cast(f.dataType) for f in schema_of("account")]
         ).write.mode("overwrite").parquet(self.folder("account", run_id))
 
+    def _schema(self, table: str) -> T.StructType:
+        return {"ledger": LEDGER, "rejects": REJECTS, "changes": CHANGES}.get(table) or schema_of(table)
+
+    def _runs(self, table: str) -> list[str]:
+        """Runs that have written to a table, in order; from the file listing alone."""
+        files = self.spark.read.schema(self._schema(table)).parquet(f"{self.root}/{table}").inputFiles()
+        return sorted({unquote(m[1]) for f in files if (m := re.search(r"/run_id=([^/]+)/", f))})
+
     def account(self, run_id: str) -> DataFrame:
-        return self.spark.read.schema(schema_of("account")).parquet(self.folder("account", run_id))
+        """Accounts after a run."""
+        base = max(r for r in self._runs("account") if r <= run_id)
+        df = self.spark.read.schema(schema_of("account")).parquet(self.folder("account", base))
+        for run in self._runs("changes"):
+            if base < run <= run_id:
+                df = apply_changes(df, self.written("changes", run))
+        return df
+
+    def snapshot(self, run_id: str) -> None:
+        """Writes the accounts after a run, so that later ones start from there."""
+        if run_id not in self._runs("account"):
+            self.account(run_id).write.mode("overwrite").parquet(self.folder("account", run_id))
+
+    def before(self, table: str, run_id: str) -> DataFrame:
+        """Rows that earlier runs wrote to a table; later folders are pruned."""
+        schema = self._schema(table)
+        stored = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("run_id", T.StringType())]))
+        return stored.parquet(f"{self.root}/{table}").filter(F.col("run_id") < run_id).select(*schema.names)
 
     def ledger_before(self, run_id: str) -> DataFrame:
-        """Ledger rows of earlier runs; later folders are pruned."""
-        schema = T.StructType([*LEDGER.fields, T.StructField("run_id", T.StringType())])
-        stored = self.spark.read.schema(schema).parquet(f"{self.root}/ledger")
-        return stored.filter(F.col("run_id") < run_id).select(*LEDGER.names)
+        return self.before("ledger", run_id)
 
     def _write_ledger(self, run_id: str, rows: DataFrame) -> None:
         """Split by job: a check against one job's rows does not read the others'."""
@@ -53,15 +81,20 @@ class Store:
 
     def written(self, table: str, run_id: str) -> DataFrame:
         """What a run wrote to a table."""
-        schema = {"ledger": LEDGER, "rejects": REJECTS}.get(table) or schema_of(table)
+        schema = self._schema(table)
         return self.spark.read.schema(schema).parquet(self.folder(table, run_id)).select(*schema.names)
 
     def tables(self, inputs: Mapping[str, DataFrame], run_id: str, previous: str) -> dict[str, DataFrame]:
-        """Inputs of a run: the shop's tables with the last snapshot and the ledger so far."""
+        """Inputs of a run: the shop's tables, with the accounts after the run before it and what all
+        earlier runs paid: ledger, suborder stamps and reward log."""
+        log = self.before("review_reward_log", run_id)
+        given = inputs.get("review_reward_log")
         return {
             **{name: inputs[name] for name in inputs},
             "account": self.account(previous),
             "ledger": self.ledger_before(run_id),
+            "suborder_stamp": self.before("suborder_stamp", run_id),
+            "review_reward_log": log if given is None else log.unionByName(given.select(*log.columns)),
         }
 
     def commit(self, run_id: str, job: str, tables: Mapping[str, DataFrame], result: JobResult) -> None:
@@ -69,5 +102,4 @@ class Store:
         result.rejects.write.mode("overwrite").parquet(self.folder("rejects", run_id))
         for name, df in result.tables.items():
             df.select(*[F.col(f.name).cast(f.dataType) for f in schema_of(name)]).write.mode("overwrite").parquet(self.folder(name, run_id))
-        snapshot = apply_changes(tables["account"], result.changes)
-        snapshot.write.mode("overwrite").parquet(self.folder("account", run_id))
+        result.changes.write.mode("overwrite").parquet(self.folder("changes", run_id))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import INPUTS, schema_of
 
@@ -27,7 +28,7 @@ def jdbc_table(
     **options: str,
 ) -> DataFrame:
     """One table of the contract from a live database, read by `readers` ranges of `split_on`."""
-    return (
+    loaded = (
         spark.read.format("jdbc")
         .options(
             url=url,
@@ -39,5 +40,12 @@ def jdbc_table(
             **options,
         )
         .load()
-        .select(*[field.name for field in schema_of(name)])
     )
+    return as_contract(loaded, name)
+
+
+def as_contract(df: DataFrame, name: str) -> DataFrame:
+    """The contract's columns in its types. A timestamp with a zone keeps its instant, as UTC."""
+    kinds = dict(df.dtypes)
+    utc = lambda c: F.to_utc_timestamp(c, F.current_timezone()) if kinds[c] == "timestamp" else F.col(c)
+    return df.select(*[utc(f.name).cast(f.dataType).alias(f.name) for f in schema_of(name)])

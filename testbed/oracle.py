@@ -437,7 +437,7 @@ select {_ledger("'add more freeship'", "'freeship'", 'owed', 'num_freeship', 'nu
        {_b('reached')}, concat('free shipping owed, year points ', fpoint_accrue_year) as description from o_owed""",
     "email_list_ingest": "select row_no, email from o_entries",
     "email_list_grant": """
-select row_no, email, customer_id, cast(num_freeship + nth - 1 as bigint) as freeship_before,
+select email, nth, customer_id, cast(num_freeship + nth - 1 as bigint) as freeship_before,
        cast(num_freeship + nth as bigint) as freeship_after from o_grants""",
     "apply_ledger": _snapshot(
         """left join (select customer_id, sum(points) as points, sum(freeship_grant) as grants,
@@ -502,6 +502,10 @@ where not exists (select 1 from fx_account a join fx_tier_rule t on t.level_id =
                   where a.customer_id = w.customer_id)""",
 }
 
+# A second run over the same tables pays nothing.
+SELECTS["accrual_paid_once"] = SELECTS["accrual_ledger"]
+SELECTS["apply_ledger_twice"] = SELECTS["apply_ledger"]
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_blocks(sql, ALL | BLOCKS) for name, sql in SELECTS.items()}

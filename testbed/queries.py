@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,9 @@ from perkmill.plans import jobs
 
 from .tables import PARAMS, Shop
 
+# The reviews are from 2024: a run after them, so that a rule's window spans months of its own.
+REVIEW_PARAMS = replace(PARAMS, as_of=datetime(2024, 2, 2))
+
 Query = Callable[[Shop, Params], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -45,9 +48,8 @@ LEDGER = "customer_id account:s action:s type:s value:d amount_before:d amount_a
 
 @query
 def eligible_suborders(t: Shop, p: Params) -> DataFrame:
-    countable = pricing.countable_items(t["suborder_item"], p.excluded_products)
-    df = accrual.eligible_suborders(t["suborder"], t["orders"], t["account_attr"], countable, p)
-    return out(df, "suborder_id order_id customer_id")
+    """Unpaid suborders with a countable item: those that get an amount."""
+    return out(_amounts(t, p), "suborder_id order_id customer_id")
 
 
 @query
@@ -57,9 +59,7 @@ def bundle_price(t: Shop, p: Params) -> DataFrame:
 
 
 def _amounts(t: Shop, p: Params) -> DataFrame:
-    unpaid = accrual.unpaid_suborders(t["suborder"], t["orders"], t["account_attr"], p)
-    items = pricing.countable_items(t["suborder_item"], p.excluded_products)
-    return pricing.suborder_amount(unpaid, items, t["suborder_bundle"])
+    return jobs.accrual_amounts(t, jobs.unpaid_suborders(t, p), p)
 
 
 @query
@@ -69,7 +69,7 @@ def suborder_amount(t: Shop, p: Params) -> DataFrame:
 
 @query
 def account_unique_guard(t: Shop, p: Params) -> DataFrame:
-    df = accrual.account_unique_guard(_amounts(t, p), t["account"], t["account_attr"])
+    df = jobs.accrual_guarded(t, p)
     verdict = F.when(F.col("guard_rows") == 1, "ok").otherwise("reject")
     return out(df.withColumn("verdict", verdict), "suborder_id customer_id amount:d guard_rows verdict:s")
 
@@ -116,8 +116,38 @@ def accrual_ledger(t: Shop, p: Params) -> DataFrame:
 
 @query
 def suborder_stamp(t: Shop, p: Params) -> DataFrame:
-    points = accrual.suborder_points(jobs.accrual_judged(t, p))
-    return out(accrual.suborder_stamp(t["suborder"], points, p), "suborder_id order_id status:s f_point_amount")
+    """The suborder table as a second run sees it."""
+    stamps = accrual.suborder_stamps(accrual.suborder_points(jobs.accrual_judged(t, p)))
+    return out(accrual.stamped(t["suborder"], stamps), "suborder_id order_id status:s f_point_amount")
+
+
+def _twice(t: Shop, p: Params) -> tuple[DataFrame, DataFrame]:
+    """Ledger rows and accounts of two accrual runs over the same untouched tables, the second with
+    what the first paid."""
+    first = jobs.run_accrual(t, p)
+    paid = cut(first.ledger)
+    account = ledger.apply_changes(t["account"], first.changes)
+    again = {name: t[name] for name in ACCRUAL_INPUTS} | {
+        "account": cut(account),
+        "ledger": t["ledger"].unionByName(paid),
+    }
+    second = jobs.run_accrual(again, p)
+    return paid.unionByName(second.ledger), ledger.apply_changes(again["account"], second.changes)
+
+
+ACCRUAL_INPUTS = [
+    "suborder", "orders", "account_attr", "suborder_item", "suborder_bundle", "company", "company_tier_rule", "tier_rule",
+]
+
+
+@query
+def accrual_paid_once(t: Shop, p: Params) -> DataFrame:
+    return out(_twice(t, p)[0], LEDGER + "order_id suborder_id company_code:s description:s")
+
+
+@query
+def apply_ledger_twice(t: Shop, p: Params) -> DataFrame:
+    return _snapshot(_twice(t, p)[1], None)
 
 
 # --- campaigns
@@ -194,8 +224,7 @@ def one_campaign_per_order(t: Shop, p: Params) -> DataFrame:
 
 
 def _campaign_judged(t: Shop, p: Params) -> DataFrame:
-    winners = jobs.campaign_winners(t, _active(t, p), p)
-    return campaign.judge(winners, t["account"], t["tier_rule"])
+    return jobs.campaign_state(t, _active(t, p), p)[0]
 
 
 def _reward_query(name: str, action: str) -> None:
@@ -244,7 +273,7 @@ def review_char_count(t: Shop, p: Params) -> DataFrame:
 
 
 def _inside(t: Shop, p: Params) -> DataFrame:
-    return reviews.reviews_in_window(t["review"], t["account"], jobs.review_months(t, p), p)
+    return reviews.of_holders(jobs.reviews_inside(t, jobs.review_months(t, p), p), t["account"])
 
 
 @query
@@ -387,7 +416,7 @@ def tier_classify(t: Shop, p: Params) -> DataFrame:
 
 
 def _upgrades(t: Shop, p: Params) -> DataFrame:
-    return tiers.tier_upgrade(tiers.tier_classify(t["account"], t["tier_rule"], p), t["tier_rule"])
+    return tiers.tier_upgrade(tiers.tier_classify(t["account"], t["tier_rule"], p), t["tier_rule"], t["account"])
 
 
 @query
@@ -413,20 +442,21 @@ def email_list_ingest(t: Shop, p: Params) -> DataFrame:
 
 
 def _grants(t: Shop, p: Params) -> DataFrame:
-    return jobs.email_grants(email_grant.email_list_ingest(t["email_list"]), t["account"])
+    entries = email_grant.email_list_ingest(t["email_list"])
+    return email_grant.email_list_grant(email_grant.known_entries(entries, t["account"]))
 
 
 @query
 def email_list_grant(t: Shop, p: Params) -> DataFrame:
-    return out(_grants(t, p), "row_no email:s customer_id freeship_before freeship_after")
+    return out(_grants(t, p), "email:s nth customer_id freeship_before freeship_after")
 
 
 # --- across jobs
 
 
-def _snapshot(account: DataFrame, change: DataFrame) -> DataFrame:
+def _snapshot(account: DataFrame, change: DataFrame | None) -> DataFrame:
     return out(
-        ledger.apply_changes(account, change),
+        ledger.apply_changes(account, change) if change is not None else account,
         "customer_id email:s fpoint:d num_freeship fpoint_accrue_year num_rewarded_freeship vip_level finish_warm_up_period",
     )
 
@@ -507,8 +537,23 @@ def local_window(t: Shop, p: Params) -> DataFrame:
 
 @query
 def reject_report(t: Shop, p: Params) -> DataFrame:
-    df = accrual.reject_rows(jobs.accrual_judged(t, p)).unionByName(campaign.reject_rows(_campaign_judged(t, p)))
-    return out(df, "job:s customer_id ref_id reason:s")
+    """Rejects of all jobs."""
+    known = email_grant.known_entries(email_grant.email_list_ingest(t["email_list"]), t["account"])
+    ordinals = jobs.order_ordinals(t, p)
+    payable = cut(order_count.payable_rules(t["order_count_rule"], p))
+    counted = order_count.judge(order_count.order_count_rewards(ordinals, payable, p), t["account"])
+    reviewed = jobs.review_state(jobs.review_matches(t, REVIEW_PARAMS), t)[0]
+    parts = [
+        accrual.reject_rows(jobs.accrual_judged(t, p)),
+        campaign.reject_rows(_campaign_judged(t, p)),
+        order_count.reject_rows(counted),
+        referral.reject_rows(jobs.referral_rewards(t, p)),
+        ledger.rejects(reviewed, reviews.JOB, "review_id", F.col("reason")),
+        tiers.upgrade_rejects(_upgrades(t, p)),
+        tiers.backfill_rejects(tiers.freeship_backfill(t["account"], p)),
+        email_grant.reject_rows(known),
+    ]
+    return out(reduce(DataFrame.unionByName, parts), "job:s customer_id ref_id reason:s")
 
 
 @lru_cache(maxsize=8)
@@ -519,6 +564,7 @@ def shop(spark: SparkSession, sf_dir: str) -> Shop:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn: Query):
-        return lambda spark, sf_dir: fn(shop(spark, sf_dir), PARAMS)
+        params = REVIEW_PARAMS if "review" in fn.__name__ else PARAMS
+        return lambda spark, sf_dir: fn(shop(spark, sf_dir), params)
 
     return {name: bind(fn) for name, fn in QUERIES.items()}

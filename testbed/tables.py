@@ -7,8 +7,10 @@ from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from perkmill.params import Params
+from perkmill.schemas import LEDGER
 
 from .bindings import BINDINGS
 
@@ -98,6 +100,9 @@ class Shop(Mapping):
         for name in raw:
             self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").createOrReplaceTempView(f"testbed_{name}")
         df = self.spark.sql(with_blocks(sql, raw | SPARK_FORMS))
+        if binding == "fx_prior_ledger":
+            have = set(df.columns)
+            df = df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER])
         if binding == "fx_account":
             df = df.withColumn("created_at", df.created_on.cast("timestamp_ntz"))
         return df

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from perkmill.functions import running
-from perkmill.operators import accrual
+from perkmill.operators import accrual, ledger
 from perkmill.plans import jobs
 
 RECENT = datetime(2024, 2, 20)
@@ -41,6 +41,7 @@ def shop(table, accounts, attrs, suborders, items, bundles=(), company_rules=())
         "tier_rule": table("tier_rule", TIERS),
         "company": table("company", [{"company_id": "C1"}, {"company_id": "C2"}]),
         "company_tier_rule": table("company_tier_rule", list(company_rules)),
+        "ledger": table("ledger", []),
     }
 
 
@@ -213,6 +214,26 @@ def test_balances_follow_the_model(table, params, monkeypatch, split):
     assert {c: (int(r["set_fpoint"]), r["set_accrue_year"], r["set_freeship"], r["set_rewarded_freeship"])
             for c, r in changes.items()} == {c: (e[2], e[3], e[5], e[6]) for c, e in last.items()}
 
-    stamped = accrual.suborder_stamp(t["suborder"], accrual.suborder_points(judged), params)
+    stamped = accrual.stamped(t["suborder"], accrual.suborder_stamps(accrual.suborder_points(judged)))
     got = {r["suborder_id"]: r["f_point_amount"] for r in stamped.collect()}
     assert got == {s: dict((e[0], e[1]) for e in expected).get(s, 0) for s, _, _ in subs}
+
+
+def test_paid_suborders_are_not_paid_again(table, params):
+    """By the ledger alone and by the stamps alone; balances stay."""
+    t = shop(table, [account(1), account(2)], [company(1), company(2)], [(1, 1, {}), (2, 1, {}), (3, 2, {})],
+             [item(1, "500000"), item(2, "90000"), item(3, "7000")])
+    first = jobs.run_accrual(t, params)
+    after = ledger.apply_changes(t["account"], first.changes)
+    assert first.ledger.count() >= 3
+    for held in ({"ledger": first.ledger}, {"suborder_stamp": first.tables["suborder_stamp"]}):
+        again = jobs.run_accrual({**t, "account": after, **held}, params)
+        assert again.ledger.isEmpty() and again.tables["suborder_stamp"].isEmpty()
+        assert sorted(ledger.apply_changes(after, again.changes).collect()) == sorted(after.collect())
+
+
+def test_level_listed_twice_pays_once(table, params):
+    t = shop(table, [account(1)], [company(1)], [(1, 1, {})], [item(1, "500000")])
+    once = jobs.run_accrual(t, params).ledger.collect()
+    t["tier_rule"] = t["tier_rule"].unionAll(t["tier_rule"])
+    assert jobs.run_accrual(t, params).ledger.collect() == once

@@ -121,6 +121,7 @@ def test_item_filters(table, params):
     assert matched(limit(1)) == {1, 2, 3}  # 4 to 6: excluded SKU, excluded category, unknown SKU
     assert matched(limit(1, "sku", action="include", value="a, 'b'")) == {1, 2}
     assert matched(limit(1, "sku", action="exclude", value="a")) == {2, 3}
+    assert matched(limit(1, "sku", value="a")) == set()  # neither include nor exclude: the rule matches nothing
     assert matched(limit(1, "category_main_id", action="exclude", value="X")) == {2}  # unknown category drops
     assert matched(limit(1, "sku", action="include", value="a,b"), limit(1, "sku", action="include", value="b,c")) == {2}
     assert matched(limit(1, "sku", action="include", value="a"), limit(1, "sku", action="include", value="b")) == set()

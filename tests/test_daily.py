@@ -111,18 +111,32 @@ def test_running_balances_are_continuous(ran):
 
 
 def test_second_day_adds_nothing(ran):
+    """The very same tables are given again: what was paid is known from the store alone."""
     store, tables, last = ran
-    again = {
-        **tables,
-        "suborder": store.written("suborder", "day1-00"),
-        "review_reward_log": store.written("review_reward_log", "day1-05").unionByName(tables["review_reward_log"]),
-    }
-    end = daily.run_day(store, "day2", last, again, PARAMS)
+    end = daily.run_day(store, "day2", last, tables, PARAMS)
     new = store.ledger_before("day3").join(store.ledger_before("day2"), ["job", "job_key"], "left_anti")
     assert new.filter("job is not null").isEmpty()
-    assert store.written("review_reward_log", "day2-05").isEmpty()
-    assert sorted(map(tuple, store.account(end).drop("finish_warm_up_period", "num_rewarded_freeship").collect())) == sorted(
-        map(tuple, store.account(last).drop("finish_warm_up_period", "num_rewarded_freeship").collect()))
+    assert store.written("review_reward_log", "day2-05").isEmpty() and store.written("suborder_stamp", "day2-00").isEmpty()
+    assert sorted(map(str, store.account(end).collect())) == sorted(map(str, store.account(last).collect()))
+
+
+def test_one_snapshot_a_day(ran):
+    store, _, _ = ran
+    assert [r for r in store._runs("account") if r.startswith(("0", "day1"))] == ["0", f"day1-{len(daily.ORDER) - 1:02d}"]
+    assert store.written("suborder_stamp", "day1-00").count() < store.written("ledger", "day1-00").count() + 1
+
+
+def test_email_list_in_the_store(spark, ran, tmp_path):
+    store, tables, last = ran
+    copy = Store(spark, str(tmp_path))
+    copy.start("0", store.account(last), store.ledger_before("day2"))
+    email = store.account(last).filter("email is not null").first()["email"]
+    raw = spark.createDataFrame([(email,), (email,)], "email_raw string")
+    for run, previous in (("day1-00", "0"), ("day2-00", "day1-00")):
+        daily.run_email_list(copy, run, previous, tables, PARAMS, raw, "may")
+    assert copy.written("ledger", "day1-00").count() == 2 and copy.written("ledger", "day2-00").isEmpty()
+    of = lambda run: {r["customer_id"]: r["num_freeship"] for r in copy.account(run).collect()}
+    assert sum(of("day2-00").values()) == sum(of("0").values()) + 2
 
 
 def test_failed_run_is_repeated_under_its_id(spark, ran, tmp_path):

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import re
-from dataclasses import replace
 from datetime import datetime
 
 import pytest
 
 from perkmill.operators import accrual, campaign, order_count, reviews
-from perkmill.operators.pricing import goods_value, order_products
+from perkmill.operators.accounts import states_of
+from perkmill.operators.pricing import bundles_of, goods_value, items_of, order_products
 from perkmill.plans import jobs
 from perkmill.schemas import schema_of
 
@@ -34,8 +34,8 @@ def scan(text: str, column: str) -> str:
     return next(line for line in text.splitlines() if "FileScan" in line and column in line)
 
 
-def test_filters_and_columns_reach_the_scan(stored, params):
-    unpaid = accrual.unpaid_suborders(stored("suborder"), stored("orders"), stored("account_attr"), params)
+def test_filters_and_columns_reach_the_scan(stored, table, params):
+    unpaid = accrual.unpaid_suborders(stored("suborder"), stored("orders"), stored("account_attr"), table("ledger", []), None, params)
     line = scan(plan(unpaid), "delivery_timestamp")
     for pushed in ("IsNull(parent_id)", "EqualTo(status,complete)", "GreaterThanOrEqual(delivery_timestamp",
                    "EqualTo(f_point_amount,0)"):
@@ -46,14 +46,35 @@ def test_filters_and_columns_reach_the_scan(stored, params):
     assert "coupon_code" not in orders.split("ReadSchema")[1]
 
 
-def test_items_fold_before_the_shuffle(stored):
-    item, bundle = stored("suborder_item"), stored("suborder_bundle")
+def test_items_are_looked_up_before_they_fold_or_shuffle(stored):
+    """Below the first aggregate or exchange of items lie the id bound and the semi-join."""
+    wanted = stored("suborder").select("order_id", "suborder_id")
+    item, bundle = items_of(stored("suborder_item"), wanted), bundles_of(stored("suborder_bundle"), wanted)
     for df in (goods_value(item, bundle), order_products(item, bundle)):
         lines = plan(df).splitlines()
-        for at, line in enumerate(lines):
-            if "Exchange hashpartitioning" in line:
-                below = next(x for x in lines[at + 1:] if re.search(r"Aggregate|FileScan", x))
-                assert "Aggregate" in below and "partial_" in below
+        scans = [at for at, line in enumerate(lines) if "FileScan" in line and "price" in line]
+        assert scans
+        for at in scans:
+            assert re.search(r"DataFilters: .*order_id.*subquery", lines[at])
+            # On the way up from the scan: the lines above it that start further left.
+            way, left = [], lines[at].index("FileScan")
+            for line in reversed(lines[:at]):
+                start = re.search(r"[A-Z*]", line).start()
+                if start < left:
+                    way.append(line)
+                    left = start
+            assert "LeftSemi" in next(x for x in way if re.search("Aggregate|Exchange|Join", x))
+
+
+def test_accounts_are_not_sorted_or_folded_whole(stored):
+    """Only counts of the wanted customers are aggregated, by hash."""
+    account, rows = stored("account"), stored("orders").select("customer_id")
+    wanted = rows.distinct()
+    own = account.select("customer_id", "email", "fpoint").join(wanted, "customer_id", "left_semi")
+    text = plan(own.groupBy("customer_id").count())
+    assert "SortAggregate" not in text
+    states = states_of(account, rows, ["email", "fpoint"])
+    assert states.columns == ["customer_id", "account_rows", "email", "fpoint"]
 
 
 def test_review_text_is_not_shuffled(stored, params):
@@ -64,18 +85,6 @@ def test_review_text_is_not_shuffled(stored, params):
     assert not any("detail" in line for line in lines[:first])
 
 
-def test_old_suborders_are_stamped_without_a_shuffle(stored, params):
-    points = stored("suborder").selectExpr("order_id", "suborder_id", "cast(1 as bigint) as points")
-    df = accrual.suborder_stamp(stored("suborder"), points.hint("merge"), replace(params, accrual_days=5))
-    first = plan(df).split("Union")[1].splitlines()
-    branch = []
-    for line in first[1:]:
-        branch.append(line)
-        if "FileScan" in line:
-            break
-    assert not any("Exchange" in line for line in branch)
-
-
 def test_rule_span_reaches_the_scan(spark, stored, table, params):
     rules = table("review_rule", [{"review_campaign_id": 1, "end_status": 0, "from_date": datetime(2024, 1, 1),
                                    "to_date": datetime(2024, 2, 1)}])
