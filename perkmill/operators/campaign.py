@@ -55,8 +55,9 @@ def active_campaign_rules(rules: DataFrame, filters: DataFrame, p: Params) -> Da
 def combine_filters(active: DataFrame, p: Params) -> DataFrame:
     """One row per rule: all its filters hold together, so they fold into one test each.
 
-    Include lists on an attribute intersect, exclude lists unite, bounds narrow. A filter of
-    unknown type, or an item filter without a list or an action, makes the rule match nothing.
+    Bounds narrow; of lists only their number is kept here (`<attribute>_in`, `<attribute>_out`), their
+    values are rows of `rule_lists`. A filter of unknown type, or an item filter without a list or an
+    action, makes the rule match nothing.
     """
     kind, listed = F.col("filter_type"), F.col("filter_value").isNotNull()
     is_item = kind.isin(*ITEM_FILTERS) & listed & F.col("filter_action").isNotNull()
@@ -65,24 +66,25 @@ def combine_filters(active: DataFrame, p: Params) -> DataFrame:
     folds = []
     for name in ITEM_FILTERS:
         of_name = is_item & (kind == name)
-        included = F.collect_list(F.when(of_name & (F.col("filter_action") == "include"), id_list("filter_value")))
-        excluded = F.collect_list(F.when(of_name & (F.col("filter_action") != "include"), id_list("filter_value")))
-        folds += [included.alias(f"{name}_in"), F.flatten(excluded).alias(f"{name}_out")]
+        included = F.col("filter_action") == "include"
+        folds += [F.count_if(of_name & included).alias(f"{name}_in"), F.count_if(of_name & ~included).alias(f"{name}_out")]
     for name, of_name in bounds.items():
         low = F.when(of_name, F.coalesce("filter_min", F.lit(0)))
         high = F.when(of_name, F.coalesce("filter_max", F.lit(p.campaign_max)))
         folds += [F.max(low).alias(f"{name}_min"), F.min(high).alias(f"{name}_max")]
     known = is_item | bounds["total"] | bounds["count"]
     folds.append(F.bool_and(F.coalesce(known, F.lit(False))).alias("usable"))
-    return (
-        active.groupBy(*rule_columns)
-        .agg(*folds)
-        .withColumns(
-            {
-                f"{n}_in": F.reduce(f"{n}_in", F.try_element_at(f"{n}_in", F.lit(1)), F.array_intersect)
-                for n in ITEM_FILTERS
-            }
-        )
+    return active.groupBy(*rule_columns).agg(*folds)
+
+
+def rule_lists(active: DataFrame) -> DataFrame:
+    """The values of the rules' item lists: per rule, attribute and value, how many include lists and
+    how many exclude lists hold it. An include passes where all of them do."""
+    kind, action = F.col("filter_type"), F.col("filter_action")
+    listed = active.filter(kind.isin(*ITEM_FILTERS) & F.col("filter_value").isNotNull() & action.isNotNull())
+    values = listed.select("rule_id", kind.alias("attribute"), action.alias("side"), F.explode(F.array_distinct(id_list("filter_value"))).alias("value"))
+    return values.groupBy("rule_id", "attribute", "value").agg(
+        F.count_if(F.col("side") == "include").alias("in_lists"), F.count_if(F.col("side") != "include").alias("out_lists")
     )
 
 
@@ -127,17 +129,21 @@ def global_item_exclusions(items: DataFrame, product: DataFrame, p: Params) -> D
     return items.join(kept.select("product_id", *ITEM_FILTERS), "product_id")
 
 
-def _item_passes(name: str) -> Column:
-    value, included, excluded = F.col(name), F.col(f"{name}_in"), F.col(f"{name}_out")
-    return (included.isNull() | F.array_contains(included, value)) & (
-        (F.size(excluded) == 0) | ~F.array_contains(excluded, value)
-    )
+def rule_item_filter(items: DataFrame, lists: DataFrame) -> DataFrame:
+    """Keeps (item, rule) rows whose item passes all item filters of the rule: its value is in every
+    include list on the attribute and in no exclude list. A null value passes neither.
 
-
-def rule_item_filter(items: DataFrame) -> DataFrame:
-    """Keeps (item, rule) rows whose item passes all item filters of the rule."""
-    passes = [_item_passes(name) for name in ITEM_FILTERS]
-    return items.filter(passes[0] & passes[1] & passes[2])
+    Values are looked up by an equality, so a rule's list may be of any length.
+    """
+    for name in ITEM_FILTERS:
+        own = lists.filter(F.col("attribute") == name).select(
+            "rule_id", F.col("value").alias(name), F.col("in_lists").alias("_in"), F.col("out_lists").alias("_out")
+        )
+        zero = F.lit(0).cast("long")
+        included = F.coalesce("_in", zero) == F.col(f"{name}_in")
+        excluded = (F.col(f"{name}_out") > 0) & (F.col(name).isNull() | (F.coalesce("_out", zero) > 0))
+        items = items.join(own, ["rule_id", name], "left").filter(included & ~excluded).drop("_in", "_out")
+    return items
 
 
 def campaign_order_agg(
@@ -147,6 +153,7 @@ def campaign_order_agg(
     orders: DataFrame,
     product: DataFrame,
     monthly: DataFrame,
+    lists: DataFrame,
     p: Params,
 ) -> DataFrame:
     """Quantity and price extremes per rule and order over the items the rule accepts.
@@ -164,7 +171,7 @@ def campaign_order_agg(
     per_rule = match_windows(global_item_exclusions(lines, product, p), tests)
     terms = once_per_rule(monthly).drop(*item_tests)
     return (
-        rule_item_filter(per_rule)
+        rule_item_filter(per_rule, lists)
         .groupBy("rule_id", "order_id", "customer_id", "customer_email", "grand_total")
         .agg(
             F.sum("qty").cast("long").alias("qty"),

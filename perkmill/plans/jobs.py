@@ -86,6 +86,10 @@ def campaign_rules(t: Tables, p: Params) -> DataFrame:
     return campaign.active_campaign_rules(rules, t["campaign_rule_filter"], p)
 
 
+def campaign_lists(active: DataFrame) -> DataFrame:
+    return cut(campaign.rule_lists(active))
+
+
 def campaign_months(active: DataFrame, p: Params) -> DataFrame:
     return cut(rules_by_month(campaign.combine_filters(active, p), p))
 
@@ -93,7 +97,7 @@ def campaign_months(active: DataFrame, p: Params) -> DataFrame:
 def campaign_winners(t: Tables, active: DataFrame, p: Params) -> DataFrame:
     per_rule = campaign.campaign_order_agg(
         t["suborder_item"], t["suborder_bundle"], t["suborder"], t["orders"], t["product"],
-        campaign_months(active, p), p,
+        campaign_months(active, p), campaign_lists(active), p,
     )
     matched = campaign.rule_order_match(per_rule)
     return campaign.one_campaign_per_order(campaign.already_campaign_rewarded(matched, t["ledger"]))

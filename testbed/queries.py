@@ -192,13 +192,15 @@ def global_item_exclusions(t: Shop, p: Params) -> DataFrame:
 @query
 def rule_item_filter(t: Shop, p: Params) -> DataFrame:
     items = campaign.campaign_items(t["suborder_item"], t["suborder"], t["orders"], _months(t, p), p)
-    df = campaign.rule_item_filter(campaign.global_item_exclusions(items, t["product"], p))
+    lists = jobs.campaign_lists(_active(t, p))
+    df = campaign.rule_item_filter(campaign.global_item_exclusions(items, t["product"], p), lists)
     return out(df, "rule_id order_id suborder_id product_id")
 
 
 def _order_agg(t: Shop, p: Params) -> DataFrame:
     return campaign.campaign_order_agg(
-        t["suborder_item"], t["suborder_bundle"], t["suborder"], t["orders"], t["product"], _months(t, p), p
+        t["suborder_item"], t["suborder_bundle"], t["suborder"], t["orders"], t["product"],
+        _months(t, p), jobs.campaign_lists(_active(t, p)), p,
     )
 
 

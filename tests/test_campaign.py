@@ -241,3 +241,16 @@ def test_windows_far_from_the_run(table, params):
     assert winners(t, params) == {1: 1, 2: 2, 3: 1, 4: 1, 5: 1, 6: 3}
     months = jobs.campaign_months(jobs.campaign_rules(t, params), params)
     assert months.count() < 4 * 12 * 22
+
+
+def test_long_lists_are_not_copied_per_month(table, params):
+    """A rule of 20,000 SKUs over two years: its months carry counts, its values are rows."""
+    listed = ",".join(f"s{i}" for i in range(20_000))
+    t = simple(table, [order(1), order(2)], [limit(1, "sku", action="include", value=listed)],
+               product=[product(1, "s19999", "X", "1"), product(2, "other", "X", "1")],
+               suborder_item=[item(1, product=1), item(2, product=2)])
+    active = jobs.campaign_rules(t, params)
+    months = jobs.campaign_months(active, params)
+    assert not any("array" in kind for _, kind in months.dtypes)
+    assert jobs.campaign_lists(active).count() == 20_000
+    assert winners(t, params) == {1: 1}
