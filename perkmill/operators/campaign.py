@@ -110,15 +110,15 @@ def root_orders(suborder: DataFrame, orders: DataFrame, p: Params) -> DataFrame:
     return with_local_time(joined, "created_at", p).drop("created_at")
 
 
-def in_complete_orders(items: DataFrame, suborder: DataFrame, orders: DataFrame, p: Params) -> DataFrame:
-    return items.join(root_orders(suborder, orders, p), SUBORDER_KEY)
+def wanted_suborders(suborder: DataFrame, orders: DataFrame, monthly: DataFrame, p: Params) -> DataFrame:
+    """Complete root suborders that some rule's window holds."""
+    reachable = within_span(orders, "created_at", monthly, p)
+    return in_any_window(root_orders(suborder, reachable, p), monthly)
 
 
-def campaign_items(
-    item: DataFrame, suborder: DataFrame, orders: DataFrame, monthly: DataFrame, p: Params
-) -> DataFrame:
+def campaign_items(item: DataFrame, wanted: DataFrame, monthly: DataFrame) -> DataFrame:
     """Priced items with every rule whose window holds the order's local creation time."""
-    return match_windows(in_complete_orders(priced(item), suborder, orders, p), monthly)
+    return match_windows(items_of(priced(item), wanted).join(wanted, SUBORDER_KEY), monthly)
 
 
 def global_item_exclusions(items: DataFrame, product: DataFrame, p: Params) -> DataFrame:
@@ -164,8 +164,7 @@ def campaign_order_agg(
     """
     monthly = monthly.filter("usable").drop("usable")
     item_tests = [f"{n}_{side}" for n in ITEM_FILTERS for side in ("in", "out")]
-    reachable = within_span(orders, "created_at", monthly, p)
-    wanted = cut(in_any_window(root_orders(suborder, reachable, p), monthly))
+    wanted = cut(wanted_suborders(suborder, orders, monthly, p))
     lines = order_products(items_of(priced(item), wanted), bundles_of(bundle, wanted)).join(wanted, SUBORDER_KEY)
     tests = monthly.select("rule_id", *item_tests, "month_no", "rule_month", "from_at", "to_at")
     per_rule = match_windows(global_item_exclusions(lines, product, p), tests)

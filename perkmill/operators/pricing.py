@@ -7,21 +7,23 @@ from pyspark.sql import functions as F
 
 BUNDLE_KEY = ["suborder_id", "bundle_id", "bundle_type"]
 SUBORDER_KEY = ["order_id", "suborder_id"]
-# Narrow enough that a product of two stays exact within 38 digits.
-_VALUE = "decimal(22,4)"
-_FACTOR = "decimal(15,4)"
+# Narrow enough that price times quantity stays exact within 38 digits.
+_PRICE, _QTY = "decimal(22,8)", "decimal(15,0)"
 
 
 def bundle_price(item: DataFrame, bundle: DataFrame) -> DataFrame:
-    """Item rows with the price and quantity that count once a bundle row applies."""
+    """Item rows with the price and quantity that count once a bundle row applies. Items without a
+    bundle skip the join."""
     terms = bundle.select(*BUNDLE_KEY, "saving", F.col("qty").alias("bundle_qty"), F.lit(True).alias("bundled"))
+    whole = F.col("bundle_id").isNotNull() & F.col("bundle_type").isNotNull()
+    priced = lambda price, qty: {"eff_price": price.cast(_PRICE), "eff_qty": qty.cast("long")}
+    single = item.filter(~whole).withColumns(priced(F.col("price"), F.col("qty")))
     in_bundle = F.col("bundled").isNotNull()
-    return (
-        item.join(terms, BUNDLE_KEY, "left")
-        .withColumn("eff_price", F.when(in_bundle, (1 - F.col("saving")) * F.col("price")).otherwise(F.col("price")))
-        .withColumn("eff_qty", F.when(in_bundle, F.col("bundle_qty") * F.col("qty")).otherwise(F.col("qty")))
-        .drop("saving", "bundle_qty", "bundled")
-    )
+    kept = (1 - F.col("saving").cast("decimal(8,4)")) * F.col("price").cast("decimal(18,4)")
+    price = F.when(in_bundle, kept).otherwise(F.col("price"))
+    qty = F.when(in_bundle, F.col("bundle_qty").cast("long") * F.col("qty")).otherwise(F.col("qty"))
+    joined = item.filter(whole).join(terms, BUNDLE_KEY, "left").withColumns(priced(price, qty))
+    return single.unionByName(joined.select(single.columns))
 
 
 def countable_items(item: DataFrame, excluded_products: tuple[int, ...]) -> DataFrame:
@@ -49,41 +51,9 @@ def bundles_of(bundle: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def goods_value(item: DataFrame, bundle: DataFrame) -> DataFrame:
-    """Sum of effective price times effective quantity per suborder.
-
-    The bundle terms are one factor, (1 - saving) * bundle qty, for all items of a
-    (suborder, bundle), so bundled items are summed before they meet the bundle, and items
-    without a bundle skip that join. Sums start on the map side: a suborder or bundle with very
-    many rows never lands in one task.
-    """
-    value = F.sum(F.col("price").cast("decimal(18,4)") * F.col("qty")).cast(_VALUE)
-    single, bundled = _split(item)
-    term = (1 - F.col("saving").cast("decimal(8,4)")) * F.col("qty")
-    factor = bundle.groupBy(*BUNDLE_KEY).agg(
-        F.sum(term).cast(_FACTOR).alias("factor"), F.lit(True).alias("found")
-    )
-    in_bundle = (
-        bundled.groupBy("order_id", *BUNDLE_KEY)
-        .agg(value.alias("value"))
-        .join(factor, BUNDLE_KEY, "left")
-        .select(
-            *SUBORDER_KEY,
-            F.when(F.col("found"), F.col("value") * F.col("factor")).otherwise(F.col("value")).alias("value"),
-        )
-    )
-    return (
-        single.groupBy(*SUBORDER_KEY)
-        .agg(value.alias("value"))
-        .unionByName(in_bundle)
-        .groupBy(*SUBORDER_KEY)
-        .agg(F.sum("value").alias("goods"))
-    )
-
-
-def _split(item: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Items that cannot be in a bundle, and the others."""
-    whole = F.col("bundle_id").isNotNull() & F.col("bundle_type").isNotNull()
-    return item.filter(~whole), item.filter(whole)
+    """Sum of effective price times effective quantity per suborder; sums start on the map side."""
+    value = F.col("eff_price") * F.col("eff_qty").cast(_QTY)
+    return bundle_price(item, bundle).groupBy(*SUBORDER_KEY).agg(F.sum(value).alias("goods"))
 
 
 def _fee(name: str) -> Column:
@@ -112,33 +82,7 @@ def suborder_amount(eligible: DataFrame, item: DataFrame, bundle: DataFrame) ->
 
 
 def order_products(item: DataFrame, bundle: DataFrame) -> DataFrame:
-    """Per suborder and product: quantity and price extremes after bundle terms.
-
-    Items fold before the bundle join, as in `goods_value`. A saving above 1 would turn the
-    extremes around, hence least and greatest.
-    """
-    folds = [F.sum("qty").alias("qty"), F.min("price").alias("low"), F.max("price").alias("high")]
-    keep = 1 - F.col("saving").cast("decimal(8,4)")
-    terms = bundle.groupBy(*BUNDLE_KEY).agg(
-        F.sum("qty").alias("bundle_qty"),
-        F.min(keep).alias("keep_low"),
-        F.max(keep).alias("keep_high"),
-        F.lit(True).alias("found"),
-    )
-    single, bundled = _split(item)
-    corners = [F.col(p) * F.col(k) for p in ("low", "high") for k in ("keep_low", "keep_high")]
-    plain = single.groupBy(*SUBORDER_KEY, "product_id").agg(*folds)
-    return plain.select(
-        *SUBORDER_KEY, "product_id", "qty", F.col("low").alias("min_price"), F.col("high").alias("max_price")
-    ).unionByName(
-        bundled.groupBy("order_id", *BUNDLE_KEY, "product_id")
-        .agg(*folds)
-        .join(terms, BUNDLE_KEY, "left")
-        .select(
-            *SUBORDER_KEY,
-            "product_id",
-            F.when(F.col("found"), F.col("qty") * F.col("bundle_qty")).otherwise(F.col("qty")).alias("qty"),
-            F.when(F.col("found"), F.least(*corners)).otherwise(F.col("low")).alias("min_price"),
-            F.when(F.col("found"), F.greatest(*corners)).otherwise(F.col("high")).alias("max_price"),
-        )
+    """Per suborder and product: quantity and price extremes after bundle terms."""
+    return bundle_price(item, bundle).groupBy(*SUBORDER_KEY, "product_id").agg(
+        F.sum("eff_qty").alias("qty"), F.min("eff_price").alias("min_price"), F.max("eff_price").alias("max_price")
     )

@@ -178,20 +178,26 @@ def active_campaign_rules(t: Shop, p: Params) -> DataFrame:
 
 @query
 def campaign_items(t: Shop, p: Params) -> DataFrame:
-    df = campaign.campaign_items(t["suborder_item"], t["suborder"], t["orders"], _months(t, p), p)
-    return out(df, "rule_id order_id suborder_id product_id price:d qty customer_id grand_total:d")
+    return out(_campaign_items(t, p), "rule_id order_id suborder_id product_id price:d qty customer_id grand_total:d")
+
+
+def _campaign_items(t: Shop, p: Params) -> DataFrame:
+    months = _months(t, p)
+    wanted = cut(campaign.wanted_suborders(t["suborder"], t["orders"], months, p))
+    return campaign.campaign_items(t["suborder_item"], wanted, months)
 
 
 @query
 def global_item_exclusions(t: Shop, p: Params) -> DataFrame:
-    items = campaign.in_complete_orders(campaign.priced(t["suborder_item"]), t["suborder"], t["orders"], p)
+    sold = campaign.root_orders(t["suborder"], t["orders"], p)
+    items = campaign.priced(t["suborder_item"]).join(sold, pricing.SUBORDER_KEY)
     df = campaign.global_item_exclusions(items, t["product"], p)
     return out(df, "order_id suborder_id product_id sku:s category_main_id:s category_mid_id:s")
 
 
 @query
 def rule_item_filter(t: Shop, p: Params) -> DataFrame:
-    items = campaign.campaign_items(t["suborder_item"], t["suborder"], t["orders"], _months(t, p), p)
+    items = _campaign_items(t, p)
     lists = jobs.campaign_lists(_active(t, p))
     df = campaign.rule_item_filter(campaign.global_item_exclusions(items, t["product"], p), lists)
     return out(df, "rule_id order_id suborder_id product_id")
