@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from perkmill.functions.lineage import scratch  # noqa: E402
 from testbed.queries import queries  # noqa: E402
 
 HEADLINE = [
@@ -57,8 +58,9 @@ def main() -> None:
 
     def run(name: str) -> float:
         start = time.perf_counter()
-        todo[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return round(time.perf_counter() - start, 3)
+        with scratch(spark):
+            todo[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            return round(time.perf_counter() - start, 3)
 
     first = {name: run(name) for name in names}
     times = {name: run(name) for name in names}

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OPEN: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """`spark.checkpoint.dir`; where it's unset, a folder in the warehouse, which is shared too."""
@@ -20,4 +24,19 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/perkmill/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _OPEN:
+        _OPEN[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was cut inside; nothing that reads it may be left to run."""
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.remove(made)
+        for path in map(spark._jvm.org.apache.hadoop.fs.Path, made):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

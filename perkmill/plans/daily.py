@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
+from ..functions.lineage import scratch
 from ..operators import email_grant
 from ..params import Params
 from ..sources.store import Store
@@ -24,9 +25,10 @@ def run_job(
     p: Params,
     run: Callable[[Mapping[str, DataFrame], Params], JobResult] | None = None,
 ) -> None:
-    """`run` stands in for the job of that name."""
-    tables = store.tables(inputs, run_id, previous)
-    store.commit(run_id, job, tables, (run or JOBS[job])(tables, p))
+    """`run` stands in for the job of that name. What the job wrote on the way is deleted."""
+    with scratch(store.spark):
+        tables = store.tables(inputs, run_id, previous)
+        store.commit(run_id, job, tables, (run or JOBS[job])(tables, p))
 
 
 def run_email_list(

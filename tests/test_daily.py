@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
+from urllib.parse import urlsplit
+
 import pytest
 from pyspark.sql import functions as F
 
+from perkmill.functions.lineage import cut, shared_folder
 from perkmill.plans import daily
 from perkmill.plans.jobs import JOBS
 from perkmill.schemas import schema_of
@@ -126,6 +130,18 @@ def test_one_snapshot_a_day(ran):
     assert store.written("suborder_stamp", "day1-00").count() < store.written("ledger", "day1-00").count() + 1
 
 
+def test_nothing_is_left_of_a_job(spark, ran, tmp_path):
+    """What a job writes on the way goes with it, and nothing else does."""
+    store, tables, _ = ran
+    copy = Store(spark, str(tmp_path))
+    copy.start("0", store.account("0"), store.written("ledger", "0"))
+    kept = cut(spark.range(3))
+    folder = urlsplit(f"{shared_folder(spark)}/perkmill").path
+    before = set(os.listdir(folder))
+    daily.run_job(copy, "accrual", "day1-00", "0", tables, PARAMS)
+    assert set(os.listdir(folder)) == before and kept.count() == 3
+
+
 def test_email_list_in_the_store(spark, ran, tmp_path):
     store, tables, last = ran
     copy = Store(spark, str(tmp_path))
