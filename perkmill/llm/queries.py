@@ -15,7 +15,7 @@ from .quality import op3_quality
 from .secrets import op2_secrets
 from .simhash import op8_simhash
 from .vptree import op6_vptree
-from .warc import op10_warc
+from .warc import OP10_SQL, op10_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -34,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_warc": OP10_SQL}

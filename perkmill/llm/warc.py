@@ -23,7 +23,7 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from perkmill.functions.lineage import cut, shared_folder
@@ -250,14 +250,47 @@ INDEXED = pa.schema([*[f for f in RUN if f.name != "run"], pa.field("index_part"
 
 
 def archived(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Writes `pages` to archives in the shared folder and returns the index of what they hold."""
+    """Writes `pages` to archives in the shared folder and returns the index of what they hold, with
+    each capture's `position` in the order of all (from 1)."""
     path = f"{shared_folder(spark)}/perkmill/{uuid.uuid4().hex}-warc"
     rows = write_archives(pages, path)
-    return merged_index(cut(read_archives(spark, path)), rows)
+    index = cut(merged_index(cut(read_archives(spark, path)), rows))
+    # A row for each range: their sizes add up to where each begins.
+    sizes = index.groupBy("index_part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("index_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("index_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    position = (F.col("start") + F.col("index_row") + 1).cast("bigint")
+    return index.join(starts, "index_part").withColumn("position", position).drop("start")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as an archive holds it, with its place in the captures' order."""
     return archived(spark, read(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "index_part", "index_row"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "position"
     )
+
+
+# For pages with distinct page_ids and URLs with a scheme.
+OP10_SQL = f"""
+with payloads as (
+  select page_id, coalesce(url, '') as url, coalesce(html, '') as payload,
+         max(page_id) over (partition by coalesce(html, '')) as top
+  from pages),
+parts as (
+  select *, sha1(payload) as digest,
+         list_reverse(string_split(regexp_replace(lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]*)', 1)), '^www\\.', ''), '.')) as host,
+         regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) as path,
+         regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) as query
+  from payloads),
+named as (
+  select *, lower(array_to_string(host, ',') || ')' || case when path = '' then '/' else path end
+                  || case when query = '' then '' else '?' || query end) as url_key,
+         strftime(make_timestamp(({FIRST_CAPTURE} + page_id) * 1000000), '%Y-%m-%dT%H:%M:%SZ') as captured
+  from parts)
+select page_id, cast(octet_length(encode(payload)) as bigint) as payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('{BASE32}', 1 + (
+         (cast('0x' || substr(digest, 1 + 5 * cast(floor(i / 4) as int), 5) as int) >> cast(15 - 5 * (i % 4) as int)) & 31), 1)), '') as payload_digest,
+       case when page_id = top then 'response' else 'revisit' end as record_type,
+       case when page_id = top then null else top end as refers_to,
+       url_key, captured, row_number() over (order by url_key, captured, page_id) as position
+from named"""

@@ -4,6 +4,8 @@ import hashlib
 import io
 import random
 
+import duckdb
+
 from perkmill.functions.lineage import shared_folder
 from perkmill.llm import warc
 
@@ -28,8 +30,18 @@ def summary(rows):
 def test_query(spark, sf_dir):
     got = warc.op10_warc(spark, sf_dir).collect()
     assert summary(got) == brute([tuple(r) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html").collect()])
-    keys = [(r.url_key, r.captured, r.page_id) for r in sorted(got, key=lambda r: (r.index_part, r.index_row))]
-    assert keys == sorted(keys)
+    keys = [(r.url_key, r.captured, r.page_id) for r in sorted(got, key=lambda r: r.position)]
+    assert keys == sorted(keys) and [r.position for r in sorted(got, key=lambda r: r.position)] == list(range(1, len(got) + 1))
+
+
+def test_query_equals_its_sql(spark, sf_dir):
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{sf_dir}/pages.parquet'")
+    answer = con.execute(warc.OP10_SQL)
+    names = [d[0] for d in answer.description]
+    got = warc.op10_warc(spark, sf_dir)
+    assert sorted(names) == sorted(got.columns)
+    assert sorted(map(str, answer.fetchall())) == sorted(str(tuple(r)) for r in got.select(names).collect())
 
 
 def test_copies_many_files_and_ranges(spark, monkeypatch):
