@@ -58,6 +58,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def row_key(df: DataFrame, text: str) -> Column:
+    """Names a row by its content: the same in every reading of a table, so what's found of a row is
+    joined back to it without writing its text again. Rows that are alike in everything share a name."""
+    others = [F.col(f"`{c}`") for c in df.columns if c != text]
+    rest = F.hex(F.xxhash64(*others)) if others else F.lit("")
+    return F.concat(F.sha2(exact_text(text), 256), F.when(F.col(text).isNull(), "-").otherwise("+"), rest)
+
+
 def exact_text(column: str | Column) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

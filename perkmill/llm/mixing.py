@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from perkmill.functions.lineage import cut
 
-from .common import exact_text, free, read
+from .common import exact_text, free, read, row_key
 
 #: Entropy to reach, as a share of that of equal weights; most passes over a source.
 TARGET_ENTROPY, MOST_PASSES = 0.985, 4.0
@@ -141,15 +141,23 @@ def numbered(docs: DataFrame, source: str, doc_id: str, text: str) -> DataFrame:
 
 
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", target: float = TARGET_ENTROPY, most_passes: float = MOST_PASSES, cover: bool = True) -> DataFrame:
-    """The rows of `docs` that the mix holds, as often as it holds them, with their columns."""
-    row, tokens = free(docs, "row_number", "tokens")
-    kept = cut(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(tokens, n_tokens(F.col(text))))
-    narrow = kept.select(F.col(row).alias("row"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(tokens).alias("tokens"))
-    chosen = mix(narrow, "tokens", "source", "doc_id", target, most_passes, cover)
-    times = chosen.groupBy(F.col("row").alias(row)).agg(F.count(F.lit(1)).alias("times"))
-    again = free(kept, "times")[0]
-    out = kept.join(times.withColumnRenamed("times", again), row).withColumn(again, F.explode(F.array_repeat(F.lit(0), F.col(again).cast("int"))))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of `docs` that the mix holds, as often as it holds them, with their columns. `docs` is
+    read twice. Rows that are alike in everything are repeated together."""
+    key, times = free(docs, "row_key", "times")
+    keyed = docs.withColumn(key, row_key(docs, text))
+    rows = cut(
+        keyed.select(
+            F.col(key).alias("key"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
+            n_tokens(F.col(text)).alias("tokens"), F.monotonically_increasing_id().alias("row"),
+        )
+    )
+    chosen = mix(rows, "tokens", "source", "doc_id", target, most_passes, cover).join(rows.select("row", "key"), "row")
+    often = cut(chosen.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("times")))
+    alike = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    one = keyed if alike.isEmpty() else keyed.dropDuplicates([key])
+    # The narrow side is hashed, so that texts needn't be sorted.
+    out = one.join(often.select(F.col("key").alias(key), F.col("times").alias(times)).hint("shuffle_hash"), key)
+    return out.withColumn(times, F.explode(F.array_repeat(F.lit(0), F.col(times)))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -170,6 +170,27 @@ def with_spans(rows: DataFrame, entity: str, row: str) -> DataFrame:
     return met.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
 
+def all_spans(entity: str, named: str) -> Column:
+    """Base spans and discoveries (`rank`, `start`, `end`) by kind, then start."""
+    seeds = F.filter(entity, lambda e: e["kind"].isin(*KINDS))
+    ranks = F.array(*[F.lit(k) for k in KINDS])
+    base = F.transform(seeds, lambda e: F.struct((F.array_position(ranks, e["kind"]) - 1).cast("int").alias("rank"), e["start"].alias("start"), e["end"].alias("end")))
+    found = F.coalesce(F.col(named), F.array().cast("array<struct<start:bigint,end:bigint>>"))
+    return F.concat(base, F.transform(found, lambda s: F.struct(F.lit(len(KINDS)).alias("rank"), s["start"].alias("start"), s["end"].alias("end"))))
+
+
+def redetected(docs: DataFrame, text: str) -> tuple[DataFrame, str]:
+    """`docs` and a column with every span of each row. What contexts tell of a text is joined to it by
+    the text's digest, and the rest found again, so that no text is written on the way: `docs` is read
+    twice."""
+    spark = docs.sparkSession
+    entity, key, spans = free(docs, "entity", "text_key", "spans")
+    keyed = docs.withColumn(key, F.sha2(exact_text(text), 256)).withColumn(entity, found(spark, F.col(text)))
+    rows = cut(keyed.select(key, entity).filter(F.size(entity) > 0))
+    named = cut(with_spans(rows, entity, key).select(F.col("row").alias(key), F.col("spans").alias(spans)))
+    return keyed.join(named.hint("shuffle_hash"), key, "left").withColumn(spans, all_spans(entity, spans)).drop(entity, key), spans
+
+
 def detected(docs: DataFrame, text: str, keep: list[str]) -> tuple[DataFrame, str]:
     """`keep` and a column with every span (`rank`, `start`, `end`) of each row, by kind, then start.
 
@@ -180,11 +201,7 @@ def detected(docs: DataFrame, text: str, keep: list[str]) -> tuple[DataFrame, st
     entity, row, spans = free(docs, "entity", "row", "spans")
     rows = cut(docs.select(*[F.col(f"`{c}`") for c in keep], found(spark, F.col(text)).alias(entity), F.monotonically_increasing_id().alias(row)))
     named = cut(with_spans(rows, entity, row).select(F.col("row").alias(row), F.col("spans").alias(spans)))
-    seeds = F.filter(entity, lambda e: e["kind"].isin(*KINDS))
-    ranks = F.array(*[F.lit(k) for k in KINDS])
-    base = F.transform(seeds, lambda e: F.struct((F.array_position(ranks, e["kind"]) - 1).cast("int").alias("rank"), e["start"].alias("start"), e["end"].alias("end")))
-    more = F.transform(F.coalesce(F.col(spans), F.array().cast("array<struct<start:bigint,end:bigint>>")), lambda s: F.struct(F.lit(len(KINDS)).alias("rank"), s["start"].alias("start"), s["end"].alias("end")))
-    return rows.join(named, row, "left").withColumn(spans, F.concat(base, more)).drop(entity, row), spans
+    return rows.join(named, row, "left").withColumn(spans, all_spans(entity, spans)).drop(entity, row), spans
 
 
 def personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -200,7 +217,7 @@ def masked(docs: DataFrame, text: str = "text", length: str | None = None) -> Da
     """`docs` with every span in `text` replaced by its kind in brackets; of overlapping spans the one
     that starts first (then the longest) is replaced whole and the rest of the others left out.
     `length` names a column that holds the text's code points; it follows. A null text stays null."""
-    out, spans = detected(docs, text, docs.columns)
+    out, spans = redetected(docs, text)
     labels = F.array(*[F.lit(f"[{k.upper()}]") for k in (*KINDS, CONTEXT)])
     order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("last"), s["rank"].alias("rank"))))
 

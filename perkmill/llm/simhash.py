@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from perkmill.functions.lineage import cut
 
-from .common import exact_text, free, read, ready_for_python
+from .common import exact_text, free, read, ready_for_python, row_key
 
 SHINGLE_WORDS, SEED, MOST_BITS = 3, 42, 3
 BYTES = 8
@@ -183,14 +183,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
 
 def one_of_each(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of `docs`, one of each component: that with the smallest doc_id, nulls last, and of
-    rows with the same one any single one. Columns stay as they are."""
-    fp, row = free(docs, "fp", "row")
-    # The row numbers are written with the rows, so every later read sees the same ones.
-    kept = cut(docs.withColumn(fp, fingerprint(spark, F.col(text))).withColumn(row, F.monotonically_increasing_id()))
+    rows with the same one any single one. Columns stay as they are. `docs` is read twice."""
+    (row,) = free(docs, "row")
+    keyed = docs.withColumn(row, row_key(docs, text))
     key = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(row).alias("row"))
-    found = with_components(spark, kept.select(key.alias("key"), F.col(fp).alias("fp")))
-    first = found.filter(F.col("key") == F.col("low")).select(F.col("key.row").alias(row))
-    return kept.join(first, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    prints = cut(keyed.select(key.alias("key"), fingerprint(spark, F.col(text)).alias("fp")))
+    found = with_components(spark, prints).filter(F.col("key") == F.col("low"))
+    first = cut(found.groupBy(F.col("key.row").alias(row)).agg(F.count(F.lit(1)).alias("rows")))
+    # The narrow side is hashed, so that texts needn't be sorted.
+    kept = keyed.join(first.select(row).hint("shuffle_hash"), row, "left_semi")
+    if not first.filter(F.col("rows") > 1).isEmpty():
+        kept = kept.dropDuplicates([row])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
