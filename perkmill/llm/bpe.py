@@ -10,7 +10,6 @@ import heapq
 import json
 import re
 import unicodedata
-from itertools import chain
 from pathlib import Path
 
 import pyarrow as pa
@@ -22,7 +21,7 @@ from .common import exact_text, read, ready_for_python
 
 #: Words whose tokens a Python worker remembers in each of two generations: when the younger one is
 #: full, it becomes the older one, and words move back from there when they're met again.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 
 # Fixed: Unicode's White_Space characters.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -35,6 +34,11 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in shown else chr(next(above)) for b in range(256)]
 
 
+def _latin(kind: str) -> str:
+    """The characters below 256 of a kind: among these the standard library's faster patterns do."""
+    return "".join(c for c in map(chr, range(256)) if unicodedata.category(c)[0] == kind)
+
+
 class Codec:
     """Encodes as a tokenizers file of this kind says: special tokens in the text first, then NFC,
     single spaces, lower case, words by its pattern, bytes as characters, merges."""
@@ -50,12 +54,16 @@ class Codec:
         for rank, (left, right) in enumerate(m.split(" ") if isinstance(m, str) else m for m in model["merges"]):
             self.merges[self.vocab[left], self.vocab[right]] = rank, self.vocab[left + right]
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(pattern).findall
+        # White space only parts words, so it isn't made single spaces first.
+        self.words = regex.compile(pattern.replace(r"\s", SPACE)).findall
+        latin = {r"\s": SPACE, r"\p{L}": _latin("L"), r"\p{N}": _latin("N")}
+        for name, chars in latin.items():
+            pattern = pattern.replace(name, chars)
+        self.latin_words = re.compile(pattern).findall
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.spaces = re.compile(f"[{SPACE}]+")
         self.letters = byte_characters()
-        self.known: dict[str, tuple[bytes, str]] = {}
-        self.older: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def word(self, word: str) -> list[int]:
         """Token ids of one word. The heap holds (rank, left place, left id, right id); an entry whose
@@ -81,34 +89,38 @@ class Codec:
                     heapq.heappush(heap, (m[0], a, ids[a], ids[b]))
         return [x for x in ids if x >= 0]
 
-    def normal(self, text: str) -> str:
-        text = self.spaces.sub(" ", unicodedata.normalize("NFC", text))
+    def split(self, text: str) -> list[str]:
+        """Words of a text without special tokens, normalized."""
+        text = unicodedata.normalize("NFC", text)
         # A word-final sigma is lowered by context in Python, by itself here.
-        return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
-
-    def pieces(self, text: str) -> list[tuple[bytes, str]]:
-        """For each word or special token its packed ids and their strings."""
-        out: list[tuple[bytes, str]] = []
+        text = "".join(c.lower() for c in text) if "Σ" in text else text.lower()
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.words(text)
+        return self.latin_words(text)
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text, packed as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = []
         for k, part in enumerate(self.at_special.split(text) if self.special else [text]):
             if k % 2:
-                out.append((self.special[part].to_bytes(4, "little"), part))
+                out.append(self.special[part].to_bytes(4, "little"))
                 continue
-            words = self.words(self.normal(part))
+            words = self.split(part)
             if len(self.known) >= REMEMBERED:
                 self.known, self.older = {}, self.known
             known, older = self.known, self.older
             for w in {*words}.difference(known):
-                found = older.get(w)
-                if not found:
-                    ids = self.word(w)
-                    found = b"".join([i.to_bytes(4, "little") for i in ids]), self.decode(ids)
-                known[w] = found
+                known[w] = older.get(w) or b"".join([i.to_bytes(4, "little") for i in self.word(w)])
             out.extend([known[w] for w in words])
-        return out
+        return b"".join(out)
 
-    def decode(self, ids: list[int]) -> str:
-        """Vocabulary strings, put together as a file without a decoder has them: a space between."""
-        return " ".join(self.strings[i] for i in ids)
+    def decode(self, ids: bytes) -> str:
+        """Vocabulary strings of packed ids, put together as a file without a decoder has them: a space
+        between."""
+        strings = self.strings
+        return " ".join([strings[i] for i in memoryview(ids).cast("I")])
 
 
 _CODEC: list = [None, None]
@@ -133,11 +145,8 @@ def tokens(spark: SparkSession, text: Column, vocab_path: str) -> Column:
     @F.arrow_udf(TOKENS)
     def run(texts: pa.Array) -> pa.Array:
         codec = _codec(raw)
-        ids, decoded = [], []
-        for text in texts.to_pylist():
-            pieces = codec.pieces(text)
-            ids.append(b"".join([p[0] for p in pieces]))
-            decoded.append(" ".join([p[1] for p in pieces]))
+        ids = [codec.encode(text) for text in texts.to_pylist()]
+        decoded = [codec.decode(x) for x in ids]
         counts = pa.array([len(x) // 4 for x in ids], pa.int64())
         return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), counts, pa.array(decoded, pa.string())], ["ids", "n_tokens", "decoded"])
 
@@ -152,7 +161,7 @@ def decoded(spark: SparkSession, ids: Column, vocab_path: str) -> Column:
     @F.arrow_udf("string")
     def run(packed: pa.Array) -> pa.Array:
         codec = _codec(raw)
-        return pa.array([codec.decode(list(chain(memoryview(x or b"").cast("I")))) for x in packed.to_pylist()], pa.string())
+        return pa.array([codec.decode(x or b"") for x in packed.to_pylist()], pa.string())
 
     return run(ids)
 

@@ -22,7 +22,7 @@ UNKNOWN = "und"
 #: Texts of each language that are learned from at most, and windows of each such text.
 SAMPLE_TEXTS, SAMPLE_WINDOWS = 200, 4
 #: Bytes of a window, and windows that go through the network at a time.
-WINDOW, BATCH = 256, 256
+WINDOW, BATCH = 256, 128
 HELD_OUT_MODULUS = 5
 
 
@@ -177,7 +177,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
 
     The sample is the lowest hashes of doc_id: languages are counted first, so that only about the
     needed share of ids is gathered, and only the chosen texts leave the executors. A null language
-    isn't learned from, nor a text without letters.
+    isn't learned from, nor a text without letters; of rows with the same id and language one text is.
     """
     rows = docs.select(F.col(doc_id).alias("i"), F.col(lang).alias("l"), F.col(text).alias("t"))
     rows = rows.filter(F.col("l").isNotNull() & F.col("i").isNotNull() & ~held_out(F.col("i").cast("string")))
@@ -189,12 +189,12 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     place = (F.xxhash64("i").bitwiseAND(F.lit(2**40 - 1)) / float(2**40)).alias("p")
     near = rows.select("i", "l", place).filter(F.col("p") < F.element_at(share, F.col("l")))
     chosen: dict[str, list] = {}
-    for r in near.orderBy("p", "i").collect():
+    for r in near.distinct().orderBy("p", "i").collect():
         if len(chosen.setdefault(r.l, [])) < SAMPLE_TEXTS and r.i not in chosen[r.l]:
             chosen[r.l].append(r.i)
     ids = [i for own in chosen.values() for i in own]
     window = F.col("t").isNotNull() & F.col("t").rlike(r"\p{L}")
-    texts = rows.filter(F.col("i").isin(ids) & window).select("i", "t", "l").collect()
+    texts = rows.filter(F.col("i").isin(ids) & window).groupBy("i", "l").agg(F.min("t").alias("t")).collect()
     return fit([(r.t, r.l) for r in texts])
 
 
