@@ -5,9 +5,11 @@ from its characters, which become numbers in that alphabet. Three tests ask whet
 drawn uniformly and independently: chi-squared uniformity, runs about the middle, and correlation of
 neighbours. A token that any of them rejects (at `ALPHA`, Bonferroni) isn't random.
 
-Short tokens pass such tests easily, so a token is also tested against the opposite hypothesis, that
-its symbols come from half of the alphabet only: the share of equal pairs of symbols then has a mean
-and a spread that shrinks with length. Over all tokens of the corpus, for each doubling of length by
+Short tokens pass such tests easily, so a token is also tested against the opposite hypothesis, that it
+is made of words, names and numbers (`wordlike`, which tells tokens of 20 characters apart). Digits make
+no words; a token of digits alone is tested against a choice from half of the alphabet only: the share
+of equal pairs of symbols then has a mean and a spread that shrinks with length. A token that the battery
+rejects has a p-value of 1. Over all tokens of the corpus, for each encoding and doubling of length by
 itself, the Benjamini-Hochberg step keeps the share of false discoveries below `RATE`.
 
 Everything is Spark expressions; only the counts of p-values in fixed bins reach the driver.
@@ -22,6 +24,7 @@ from perkmill.functions.lineage import cut
 
 from .common import exact_text, let, read
 from .spans import matches
+from .wordlike import evidence
 
 # Fixed patterns of the base kinds.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -34,6 +37,8 @@ TOKEN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}+"
 ALPHA, RATE = 0.01, 0.01
 #: p-values are counted in bins of a quarter of a decade, down to 1e-20.
 BINS, PER_DECADE = 80, 4
+#: More than the length classes of an encoding.
+CLASSES = 32
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 DIGITS = "0123456789"
@@ -135,6 +140,7 @@ def verdict(t: Column) -> Column:
         (3 * least >= ALPHA).alias("random"),
         F.floor(F.log2(t["n"])).cast("int").alias("length_class"),
         F.least(F.lit(BINS), F.floor(-PER_DECADE * F.log10(p))).cast("int").alias("bin"),
+        (-F.log10(p)).alias("half"),
     )
 
 
@@ -143,6 +149,30 @@ def battery(token: Column) -> Column:
     return let(symbols(token), lambda a: let(counted(a), lambda b: let(moments(b), lambda c: let(statistics(c), verdict))))
 
 
+def judged(token: Column) -> Column:
+    """Struct `random`, `length_class` (of the token's encoding), `bin` (of its p-value; 0 if the battery
+    rejects it, which only makes the p-value larger, so that the control over all tokens holds)."""
+
+    def both(b: Column) -> Column:
+        own = F.struct(
+            let(moments(b), lambda c: let(statistics(c), verdict)).alias("t"),
+            evidence(b["x"], b["k"], [alphabet for _, alphabet, _ in ENCODINGS]).alias("words"),
+            b["k"].cast("int").alias("k"),
+        )
+        return let(own, placed)
+
+    def placed(o: Column) -> Column:
+        place = F.when(o["k"] == len(DIGITS), o["t"]["half"]).otherwise(o["words"])
+        bin_ = F.greatest(F.lit(0), F.least(F.lit(BINS), F.floor(PER_DECADE * place))).cast("int")
+        return F.struct(
+            o["t"]["random"].alias("random"),
+            (o["k"] * CLASSES + o["t"]["length_class"]).alias("length_class"),
+            F.when(o["t"]["random"], bin_).otherwise(0).alias("bin"),
+        )
+
+    return let(symbols(token), lambda a: let(counted(a), both))
+
+
 def scanned(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """`keep`, base spans and tested tokens of each row, written out: texts are read once."""
     body = exact_text(text)
@@ -154,13 +184,13 @@ def scanned(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     base = F.concat(kind(assign, 0), kind(matches(body, ACCESS), 1), kind(matches(body, HEX), 2))
     tokens = F.transform(
         matches(body, TOKEN),
-        lambda m: F.struct(m["start"].alias("start"), F.lit(3).alias("rank"), m["end"].alias("end"), battery(m["match"]).alias("t")),
+        lambda m: F.struct(m["start"].alias("start"), F.lit(3).alias("rank"), m["end"].alias("end"), judged(m["match"]).alias("t")),
     )
     return cut(docs.select(*keep, F.array_sort(base).alias("_base"), tokens.alias("_tokens")))
 
 
 def discoveries(scans: DataFrame, rate: float = RATE) -> dict[int, int]:
-    """For each length class the lowest bin whose tokens are discoveries, by Benjamini and Hochberg's
+    """For each length class of an encoding the lowest bin whose tokens are discoveries, by Benjamini and Hochberg's
     step on the bins' edges. At most a row for each class and bin reaches the driver."""
     tests = scans.select(F.explode("_tokens.t").alias("t"))
     rows = tests.groupBy("t.length_class", "t.bin").agg(F.count(F.lit(1)).alias("n")).collect()
