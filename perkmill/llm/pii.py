@@ -1,7 +1,8 @@
 """Personal data in texts: four fixed patterns, and identifiers found by their contexts.
 
 Bootstrapping: what the fixed patterns find are seeds. The words around a seed, with the seed's shape,
-make a lexical pattern. Every other token with a digit is a candidate, and has patterns of its own.
+make a lexical pattern. Every other token with a digit is a candidate, and so is every run of digit
+groups with spaces, brackets, dots or dashes between; each has patterns of its own.
 Patterns and instances (distinct strings) form a graph, whose edges Spark folds before anything else.
 A pattern scores as the share of its instances that are believed, less for few of them; an instance
 is believed as far as its patterns score on average. What a fixed pattern matched and its check
@@ -15,6 +16,7 @@ edges is summed where the edges lie. Nothing but the number of rounds is known t
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect
 from collections.abc import Iterator
@@ -38,10 +40,13 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: A candidate: a token with a digit and at least five letters or digits, at most 64 characters in all.
+#: Candidates, which need at least five letters or digits: a token with a digit, a run of digit groups.
 TOKEN = re.compile(r"(?<![^\s])[^\s]*[0-9][^\s]*")
+_GROUP = r"[0-9]++(?![\w@]|[.-]++[^\W0-9])"
+RUN = re.compile(rf"(?<![^\s\"'\[{{<:=#])[+(]*+{_GROUP}(?:[\x20\xa0().-]{{1,5}}+{_GROUP})++")
 LONGEST = 64
-#: From so many digits on, a run of digits that isn't a card counts as one that was refused.
+#: From so many digits on, a run of digits with a wrong check digit counts as a card that was refused.
+#: One whose check digit holds is open, whatever its length: cards of 15 digits are known by their contexts.
 LEAST_REFUSED = 13
 
 
@@ -79,6 +84,33 @@ def checked(text: str) -> Iterator[tuple[int, int, int, bool]]:
             yield 3, *m.span(), 8 <= sum(c.isdigit() for c in m[0]) <= 15
 
 
+def refuses(kind: int, match: str) -> bool:
+    """Whether a match whose check failed is held against its contexts."""
+    if KINDS[kind] != "card":
+        return True
+    digits = re.sub(r"[ -]", "", match)
+    return len(digits) >= LEAST_REFUSED and not luhn(digits)
+
+
+def digest(name: str) -> int:
+    """Names an instance in the graph, whatever its length."""
+    return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def runs(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Runs of at least two digit groups between the `taken` spans, which are sorted."""
+    at = 0
+    for a, b in [*taken, (len(text), len(text))]:
+        for m in RUN.finditer(text, at, max(at, a)):
+            start, end = m.span()
+            if m[0].startswith("(") and ")" not in m[0]:
+                start += 1
+            elif m[0].count("(") > m[0].count(")") and text[end : end + 1] == ")":
+                end += 1
+            yield start, end
+        at = max(at, b)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind number, start, end) by kind, then start."""
     return [(k, a, b) for k, a, b, good in checked(text) if good]
@@ -100,32 +132,50 @@ def patterns(text: str, start: int, end: int) -> list[str]:
     after = text[end : end + 40].lower().split()[:1]
     if not before:
         return []
-    own = shape(text[start : min(end, start + LONGEST)])
+    own = shape(text[start:end])
     return [f"{' '.join(before)} {own}", f"{before[-1]} {own} {' '.join(after)}"]
 
 
 def entities(text: str) -> list[dict]:
-    """Base spans and candidates of a text with their contexts; candidates overlap no base span."""
+    """Base spans and candidates of a text with their contexts; candidates overlap no base span. A token
+    that overlaps a run of digit groups has that run's start as its `place`, all others their own."""
     matched = list(checked(text))
     base = [(k, a, b) for k, a, b, good in matched if good]
-    out = [{"kind": KINDS[k], "start": a, "end": b, "name": text[a:b][:LONGEST], "patterns": patterns(text, a, b)} for k, a, b in base]
+    out = [
+        {"kind": KINDS[k], "start": a, "end": b, "place": a, "run": False, "name": digest(text[a:b][:LONGEST]), "patterns": patterns(text, a, b)}
+        for k, a, b in base
+    ]
     taken = sorted((a, b) for _, a, b in base)
-    refused = sorted((a, b) for k, a, b, good in matched if not good and (KINDS[k] != "card" or sum(c.isdigit() for c in text[a:b]) >= LEAST_REFUSED))
-    overlaps = lambda spans, a, b: (i := bisect(spans, (b, -1))) > 0 and spans[i - 1][1] > a
+    refused = sorted((a, b) for k, a, b, good in matched if not good and refuses(k, text[a:b]))
+    groups = list(runs(text, taken))
+
+    def last(spans: list[tuple[int, int]], a: int, b: int) -> tuple[int, int] | None:
+        """The last of the spans that start before `b`, if it ends after `a`."""
+        return spans[i - 1] if (i := bisect(spans, (b, -1))) > 0 and spans[i - 1][1] > a else None
+
+    def candidate(a: int, b: int, place: int, run: bool) -> None:
+        if sum(c.isalnum() for c in text[a:b]) >= 5:
+            kind = REFUSED if last(refused, a, b) else CONTEXT
+            out.append({"kind": kind, "start": a, "end": b, "place": place, "run": run, "name": digest(text[a:b]), "patterns": patterns(text, a, b)})
+
     for m in TOKEN.finditer(text):
         raw = m[0].strip(".,;:!?()[]{}\"'<>")
         a = m.start() + m[0].find(raw)
         b = a + len(raw)
-        if len(raw) > LONGEST or sum(c.isalnum() for c in raw) < 5 or overlaps(taken, a, b):
-            continue
-        kind = REFUSED if overlaps(refused, a, b) else CONTEXT
-        out.append({"kind": kind, "start": a, "end": b, "name": raw, "patterns": patterns(text, a, b)})
+        if not last(taken, a, b):
+            run = last(groups, a, b)
+            if run != (a, b):
+                candidate(a, b, run[0] if run else a, False)
+    for a, b in groups:
+        candidate(a, b, a, True)
     return out
 
 
-ENTITY = "struct<kind:string,start:bigint,end:bigint,name:string,patterns:array<string>>"
+ENTITY = "struct<kind:string,start:bigint,end:bigint,place:bigint,run:boolean,name:bigint,patterns:array<string>>"
 ENTITY_ARROW = pa.list_(
-    pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("name", pa.string()), ("patterns", pa.list_(pa.string()))])
+    pa.struct(
+        [("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("place", pa.int64()), ("run", pa.bool_()), ("name", pa.int64()), ("patterns", pa.list_(pa.string()))]
+    )
 )
 
 
@@ -143,7 +193,7 @@ def edges(rows: DataFrame, entity: str) -> DataFrame:
     """`pattern`, `name`, `known` (1 a seed, 0 refused, null open): the distinct edges of the graph."""
     one = rows.select(F.explode(entity).alias("e"))
     known = F.when(F.col("e.kind") == REFUSED, 0.0).when(F.col("e.kind") != CONTEXT, 1.0)
-    out = one.select(F.explode("e.patterns").alias("pattern"), F.xxhash64("e.name").alias("name"), known.alias("known"))
+    out = one.select(F.explode("e.patterns").alias("pattern"), F.col("e.name").alias("name"), known.alias("known"))
     return out.groupBy("pattern", "name").agg(F.max("known").alias("known"))
 
 
@@ -162,12 +212,16 @@ def scored_patterns(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 
 def with_spans(rows: DataFrame, entity: str, row: str) -> DataFrame:
-    """`row`, `spans`: identifiers that believed patterns name, for the rows that have some."""
+    """`row`, `spans`: identifiers that believed patterns name, for the rows that have some. Of a run of
+    digit groups and the tokens that overlap it the run counts, if it's named."""
     graph = cut(edges(rows, entity))
     good = scored_patterns(graph).filter((F.col("score") >= BELIEVED) & (F.col("seeds") >= LEAST_SEEDS)).select("pattern")
     one = rows.select(F.col(row).alias("row"), F.explode(entity).alias("e")).filter(F.col("e.kind") == CONTEXT)
-    met = one.select("row", "e.start", "e.end", F.explode("e.patterns").alias("pattern")).join(good, "pattern", "left_semi")
-    return met.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    met = one.select("row", "e.start", "e.end", "e.place", "e.run", F.explode("e.patterns").alias("pattern")).join(good, "pattern", "left_semi")
+    span = F.struct("start", "end")
+    places = met.groupBy("row", "place").agg(F.collect_set(span).alias("any"), F.collect_set(F.when(F.col("run"), span)).alias("runs"))
+    kept = places.select("row", F.when(F.size("runs") > 0, F.col("runs")).otherwise(F.col("any")).alias("spans"))
+    return kept.groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
 
 
 def all_spans(entity: str, named: str) -> Column:
