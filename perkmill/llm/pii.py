@@ -75,7 +75,7 @@ def checked(text: str) -> Iterator[tuple[int, int, int, bool]]:
     if "@" in text:
         yield from ((0, a, b, True) for a, b in emails(text))
     for m in IP.finditer(text):
-        yield 1, *m.span(), all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))
+        yield 1, *m.span(), all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split("."))
     for m in CARD.finditer(text):
         digits = re.sub(r"[ -]", "", m[0])
         yield 2, *m.span(), 16 <= len(digits) <= 19 and luhn(digits)
