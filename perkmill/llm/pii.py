@@ -44,7 +44,6 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TOKEN = re.compile(r"(?<![^\s])[^\s]*[0-9][^\s]*")
 _GROUP = r"[0-9]++(?![\w@]|[.-]++[^\W0-9])"
 RUN = re.compile(rf"(?<![^\s\"'\[{{<:=#])[+(]*+{_GROUP}(?:[\x20\xa0().-]{{1,5}}+{_GROUP})++")
-LONGEST = 64
 #: From so many digits on, a run of digits with a wrong check digit counts as a card that was refused.
 #: One whose check digit holds is open, whatever its length: cards of 15 digits are known by their contexts.
 LEAST_REFUSED = 13
@@ -142,7 +141,7 @@ def entities(text: str) -> list[dict]:
     matched = list(checked(text))
     base = [(k, a, b) for k, a, b, good in matched if good]
     out = [
-        {"kind": KINDS[k], "start": a, "end": b, "place": a, "run": False, "name": digest(text[a:b][:LONGEST]), "patterns": patterns(text, a, b)}
+        {"kind": KINDS[k], "start": a, "end": b, "place": a, "run": False, "name": digest(text[a:b]), "patterns": patterns(text, a, b)}
         for k, a, b in base
     ]
     taken = sorted((a, b) for _, a, b in base)

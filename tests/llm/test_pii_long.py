@@ -6,3 +6,12 @@ def test_parts_of_more_digits_than_python_reads():
     assert [k for k, _, _ in pii.base_spans(text)] == [1]
     assert pii.base_spans(f"{'0' * 5000}1.2.3.4") == [(1, 0, 5007)]
     assert pii.base_spans(f"{'0' * 5000}.1.2.3") == [(1, 0, 5006)]
+
+
+def test_long_seeds_alike_at_their_start_count_one_by_one(spark):
+    rows = [(i, f"please write to {'a' * 70}{i}@mail.example today") for i in range(6)] + [(9, "please write to a.b@c1234 today")]
+    assert len({e["name"] for i in range(6) for e in pii.entities(rows[i][1])}) == 6
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.personal_data(docs).collect()}
+    assert all(len(got[i]) == 1 and got[i][0][0] == "email" for i in range(6))
+    assert got[9] == [("context", 16, 25)]
