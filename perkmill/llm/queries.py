@@ -1,4 +1,4 @@
-"""The ten operators over the given tables, and the SQL that some of them equal."""
+"""The operators over the given tables, and the SQL that some of them equal."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bisectors import OP13_SQL, op13_bisectors
 from .bpe import op9_bpe
 from .langid import op1_langid
 from .maintext import op7_maintext
@@ -30,8 +31,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": op8_simhash,
         "op9_bpe": op9_bpe,
         "op10_warc": op10_warc,
+        "op13_bisectors": op13_bisectors,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_warc": OP10_SQL}
+    return {"op10_warc": OP10_SQL, "op13_bisectors": OP13_SQL}
