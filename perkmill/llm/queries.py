@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bisectors import OP13_SQL, op13_bisectors
 from .bpe import op9_bpe
+from .divergence import OP11_SQL, op11_divergence
 from .langid import op1_langid
 from .maintext import op7_maintext
 from .mixing import op4_mixing
@@ -31,9 +32,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": op8_simhash,
         "op9_bpe": op9_bpe,
         "op10_warc": op10_warc,
+        "op11_divergence": op11_divergence,
         "op13_bisectors": op13_bisectors,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_warc": OP10_SQL, "op13_bisectors": OP13_SQL}
+    return {"op10_warc": OP10_SQL, "op11_divergence": OP11_SQL, "op13_bisectors": OP13_SQL}
