@@ -14,6 +14,7 @@ from .maintext import op7_maintext
 from .mixing import op4_mixing
 from .pii import op5_pii
 from .quality import op3_quality
+from .ranking import op12_ranking
 from .secrets import op2_secrets
 from .simhash import op8_simhash
 from .vptree import op6_vptree
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_bpe": op9_bpe,
         "op10_warc": op10_warc,
         "op11_divergence": op11_divergence,
+        "op12_ranking": op12_ranking,
         "op13_bisectors": op13_bisectors,
     }
 
