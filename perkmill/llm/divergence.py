@@ -206,9 +206,9 @@ class Counter:
                     step = max(1, min(1 << 16, (4 << 20) // bucket))
                     for a in range(0, len(runs), step):
                         yield _batch(names, Runs([k[a : a + step] for k in runs.keys], runs.group[a : a + step], runs.n[a : a + step], runs.docs[a : a + step]))
-                none = np.zeros(len(names), np.int64)
-                yield _batch(names, Runs([np.zeros(len(names), "S1")], np.arange(len(names)), none, none))
-                self.groups = {}
+        if everything:
+            none = np.zeros(len(self.groups), np.int64)
+            yield _batch([*self.groups], Runs([np.zeros(len(none), "S1")], np.arange(len(none)), none, none))
 
     def _size(self) -> float:
         """Of what's kept by what may be."""
