@@ -16,14 +16,18 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, row_group_bytes: int | None = None) -> DataFrame:
     """Writes `df` once, for a result that several later steps read, and reads it back.
 
     A columnar table, so each reader scans only the columns it needs, and a lost executor costs
-    a re-read, not a re-run of what came before.
+    a re-read, not a re-run of what came before. A writer holds a row group, and a reader the columns
+    of one: `row_group_bytes` keeps it small where rows are long texts.
     """
     path = f"{shared_folder(df.sparkSession)}/perkmill/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
+    writer.parquet(path)
     if _OPEN:
         _OPEN[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
