@@ -22,6 +22,8 @@ from .common import exact_text, read, ready_for_python
 #: Words whose tokens a Python worker remembers in each of two generations: when the younger one is
 #: full, it becomes the older one, and words move back from there when they're met again.
 REMEMBERED = 100_000
+#: Words of a text encoded at a time; between them the memory is looked after.
+SLICE = 50_000
 
 # Fixed: Unicode's White_Space characters.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -108,12 +110,14 @@ class Codec:
                 out.append(self.special[part].to_bytes(4, "little"))
                 continue
             words = self.split(part)
-            if len(self.known) >= REMEMBERED:
-                self.known, self.older = {}, self.known
-            known, older = self.known, self.older
-            for w in {*words}.difference(known):
-                known[w] = older.get(w) or b"".join([i.to_bytes(4, "little") for i in self.word(w)])
-            out.extend([known[w] for w in words])
+            for at in range(0, len(words), SLICE):
+                own = words[at : at + SLICE]
+                if len(self.known) >= REMEMBERED:
+                    self.known, self.older = {}, self.known
+                known, older = self.known, self.older
+                for w in {*own}.difference(known):
+                    known[w] = older.get(w) or b"".join([i.to_bytes(4, "little") for i in self.word(w)])
+                out.append(b"".join([known[w] for w in own]))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:

@@ -10,8 +10,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch at most. Texts are long, and a Python worker holds a batch and its result.
-BATCH_ROWS = 1024
+#: Rows and bytes of one Arrow batch at most. Texts are long, and a Python worker holds a batch and its result.
+BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,7 +23,8 @@ _SHIPPED: list = [None]
 
 def ready_for_python(spark: SparkSession) -> None:
     """Gives executors this package, by Spark's own file server, and lowers the session's Arrow batch
-    to `BATCH_ROWS` rows (a smaller setting stays)."""
+    to `BATCH_ROWS` rows and `BATCH_BYTES` bytes (smaller settings stay). One row is a batch whatever
+    its bytes."""
     if _SHIPPED[0] is not spark.sparkContext:
         package = Path(__file__).resolve().parents[1]
         archive = Path(tempfile.mkdtemp(prefix="perkmill-")) / "perkmill.zip"
@@ -36,6 +37,10 @@ def ready_for_python(spark: SparkSession) -> None:
     now = int(spark.conf.get(key))
     if now <= 0 or now > BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def free(df: DataFrame, *names: str) -> list[str]:
