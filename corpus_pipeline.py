@@ -17,6 +17,8 @@ from perkmill.llm.common import free, read
 LEAST_SCORE = 0.3
 #: The pipeline's mix holds every source whole at least once, and none more often than this.
 MOST_PASSES = 2.0
+#: Row groups of the tables between the stages: two tasks of an executor write one each while Python workers run.
+ROW_GROUP_BYTES = 16 << 20
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,5 +67,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = cut(docs)
+            docs = cut(docs, ROW_GROUP_BYTES)
     return docs
