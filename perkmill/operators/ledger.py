@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import amount
@@ -72,7 +72,6 @@ def apply_changes(account: DataFrame, change: DataFrame) -> DataFrame:
 
     `change` has at most one row per customer (`CHANGES`).
     """
-    stored = account.schema
     after = {
         "fpoint": F.coalesce("set_fpoint", F.col("fpoint") + F.coalesce("add_fpoint", F.lit(0))),
         "num_freeship": F.coalesce("set_freeship", F.col("num_freeship") + F.coalesce("add_freeship", F.lit(0))),
@@ -83,10 +82,27 @@ def apply_changes(account: DataFrame, change: DataFrame) -> DataFrame:
     }
     joined = account.join(change, "customer_id", "left")
     return joined.select(
-        *[after.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in stored]
+        *[after.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in account.schema]
     )
 
 
+def fold_changes(changes: DataFrame) -> DataFrame:
+    """Changes of several runs (`run_id`) as one per customer: the last set value and what was added
+    after it, or where nothing was set, all that was added.
+
+    Windows hold one customer's runs since the last snapshot.
+    """
+    pairs = {"set_fpoint": "add_fpoint", "set_freeship": "add_freeship"}
+    sets = [f.name for f in CHANGES if f.name.startswith("set_")]
+    set_at = {c: F.max(F.when(F.col(c).isNotNull(), F.col("run_id"))).over(Window.partitionBy("customer_id")).alias(f"_{c}") for c in sets}
+    dated = changes.select(*CHANGES.names, "run_id", *set_at.values())
+    last = {c: F.max(F.when(F.col("run_id") == F.col(f"_{c}"), F.col(c))) for c in sets}
+    after = {add: F.sum(F.when(F.col(f"_{c}").isNull() | (F.col("run_id") > F.col(f"_{c}")), F.col(add))) for c, add in pairs.items()}
+    one = dated.groupBy("customer_id").agg(*[v.alias(k) for k, v in {**last, **after}.items()])
+    total = {c: F.col(c) + F.coalesce(add, F.lit(0)) for c, add in pairs.items()}
+    return _fit(one.withColumns(total), CHANGES)
+
+
 def rejects(df: DataFrame, job: str, ref: str, reason: Column) -> DataFrame:
     """Rows a job could not pay, with the business id and the reason (null reason: no reject)."""
     return _fit(

@@ -25,10 +25,13 @@ def run_job(
     p: Params,
     run: Callable[[Mapping[str, DataFrame], Params], JobResult] | None = None,
 ) -> None:
-    """`run` stands in for the job of that name. What the job wrote on the way is deleted."""
+    """`run` stands in for the job of that name. What the job wrote on the way is deleted. A run that has
+    ended stays as it is, so a day that broke off may be run again from its beginning."""
+    if store.is_committed(run_id):
+        return
     with scratch(store.spark):
         tables = store.tables(inputs, run_id, previous)
-        store.commit(run_id, job, tables, (run or JOBS[job])(tables, p))
+        store.commit(run_id, job, tables, (run or JOBS[job])(tables, p), previous)
 
 
 def run_email_list(

@@ -72,6 +72,10 @@ CHANGES = _struct(
     "set_finish_warm_up int"
 )
 
+# One row per run that ended, and one per bucket of accounts that a snapshot wrote.
+COMMITS = _struct("run_id string, job string, previous string")
+SNAPSHOTS = _struct("run_id string, bucket int, buckets int")
+
 REJECTS = _struct("job string, customer_id long, ref_id long, reason string")
 
 REWARD_LOG = _struct(INPUTS["review_reward_log"])

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import os
+import random
+from decimal import Decimal
+from functools import reduce
 from urllib.parse import urlsplit
 
 import pytest
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from perkmill.functions.lineage import cut, shared_folder
+from perkmill.operators.ledger import apply_changes, fold_changes
 from perkmill.plans import daily
-from perkmill.plans.jobs import JOBS
-from perkmill.schemas import schema_of
+from perkmill.plans.jobs import JOBS, JobResult
+from perkmill.schemas import CHANGES, schema_of
 from perkmill.sources.store import Store
 from perkmill.sources.tables import parquet_tables
 from testbed.tables import PARAMS, Shop
@@ -47,7 +52,7 @@ def inputs(spark, sf_dir, tmp_path_factory):
 @pytest.fixture(scope="module")
 def ran(spark, inputs, tmp_path_factory):
     shop, tables = inputs
-    store = Store(spark, str(tmp_path_factory.mktemp("store")))
+    store = Store(spark, str(tmp_path_factory.mktemp("store")), 8)
     store.start("0", shop["account"], shop["ledger"])
     last = daily.run_day(store, "day1", "0", tables, PARAMS)
     return store, tables, last
@@ -124,16 +129,17 @@ def test_second_day_adds_nothing(ran):
     assert sorted(map(str, store.account(end).collect())) == sorted(map(str, store.account(last).collect()))
 
 
-def test_one_snapshot_a_day(ran):
-    store, _, _ = ran
-    assert [r for r in store._runs("account") if r.startswith(("0", "day1"))] == ["0", f"day1-{len(daily.ORDER) - 1:02d}"]
+def test_one_snapshot_a_day(spark, ran):
+    store, _, last = ran
+    runs = {r["run_id"] for r in spark.read.parquet(f"{store.root}/snapshots").collect()}
+    assert {r for r in runs if r.startswith(("0", "day1"))} == {"0", last}
     assert store.written("suborder_stamp", "day1-00").count() < store.written("ledger", "day1-00").count() + 1
 
 
 def test_nothing_is_left_of_a_job(spark, ran, tmp_path):
     """What a job writes on the way goes with it, and nothing else does."""
     store, tables, _ = ran
-    copy = Store(spark, str(tmp_path))
+    copy = Store(spark, str(tmp_path), 4)
     copy.start("0", store.account("0"), store.written("ledger", "0"))
     kept = cut(spark.range(3))
     folder = urlsplit(f"{shared_folder(spark)}/perkmill").path
@@ -144,7 +150,7 @@ def test_nothing_is_left_of_a_job(spark, ran, tmp_path):
 
 def test_email_list_in_the_store(spark, ran, tmp_path):
     store, tables, last = ran
-    copy = Store(spark, str(tmp_path))
+    copy = Store(spark, str(tmp_path), 4)
     copy.start("0", store.account(last), store.ledger_before("day2"))
     email = store.account(last).filter("email is not null").first()["email"]
     raw = spark.createDataFrame([(email,), (email,)], "email_raw string")
@@ -158,7 +164,7 @@ def test_email_list_in_the_store(spark, ran, tmp_path):
 def test_failed_run_is_repeated_under_its_id(spark, ran, tmp_path):
     """Left-over ledger rows of a run that wrote no account snapshot are not read by its repeat."""
     store, tables, _ = ran
-    copy = Store(spark, str(tmp_path))
+    copy = Store(spark, str(tmp_path), 4)
     copy.start("0", store.account("0"), store.written("ledger", "0"))
     t = copy.tables(tables, "day1-00", "0")
     JOBS["campaign"](t, PARAMS).ledger.write.partitionBy("job").parquet(copy.folder("ledger", "day1-00"))
@@ -177,3 +183,125 @@ def test_on_demand_backfill(spark, ran, tmp_path):
     for (cid, _), value in paid.items():
         assert after[cid]["num_freeship"] == before[cid]["num_freeship"] + value
         assert after[cid]["num_rewarded_freeship"] == after[cid]["fpoint_accrue_year"] // 10_000
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+class Died(Exception):
+    pass
+
+
+@pytest.mark.parametrize("job,writes", [*[("accrual", n) for n in range(6)], ("campaign", 1)])
+def test_a_run_that_died_pays_nothing_and_the_next_pays_all(spark, ran, tmp_path, monkeypatch, job, writes):
+    """Dies after so many of the run's writes (ledger, rejects, stamps, changes, commit); another id follows."""
+    store, tables, _ = ran
+    copy = Store(spark, str(tmp_path), 4)
+    copy.start("0", store.account("0"), store.written("ledger", "0"))
+    done = []
+
+    def count(name):
+        write = getattr(DataFrameWriter, name)
+
+        def counted(self, path, *args, **kwargs):
+            if str(tmp_path) in path:
+                if len(done) == writes:
+                    raise Died
+                done.append(path)
+            return write(self, path, *args, **kwargs)
+
+        monkeypatch.setattr(DataFrameWriter, name, counted)
+
+    count("parquet")
+    whole = 5 if job == "accrual" else 4
+    if writes < whole:
+        with pytest.raises(Died):
+            daily.run_job(copy, job, "day1-00", "0", tables, PARAMS)
+    else:
+        daily.run_job(copy, job, "day1-00", "0", tables, PARAMS)
+    monkeypatch.undo()
+    assert len(done) == min(writes, whole)
+    before = copy.last_run()
+    assert before == ("day1-00" if writes >= whole else "0")
+    if writes < whole:
+        assert rows_of(copy.account("day1-00")) == rows_of(copy.account("0"))
+        with pytest.raises(ValueError, match="did not end"):
+            copy.tables(tables, "day1-01", "day1-00")
+    daily.run_job(copy, job, "day1-01", before, tables, PARAMS)
+    paid = copy.ledger_before("day2").filter(F.col("job") == job)
+    expected = JOBS[job](store.tables(tables, "0a", "0"), PARAMS).ledger
+    assert rows_of(paid) == rows_of(expected) and not expected.isEmpty()
+    start, end, added = balances(copy.account("0")), balances(copy.account("day1-01")), sums(paid)
+    for cid, kind in added:
+        if kind == "fpoint":
+            low = start[cid]["fpoint"] if job != "accrual" else int(start[cid]["fpoint"])
+            assert float(end[cid]["fpoint"]) == pytest.approx(float(low) + added[cid, kind])
+
+
+def test_a_day_that_broke_off_goes_on(spark, ran, tmp_path, monkeypatch):
+    store, tables, last = ran
+    copy = Store(spark, str(tmp_path), 4)
+    copy.start("0", store.account("0"), store.written("ledger", "0"))
+    run = daily.run_job
+
+    def breaks(store, job, *args, **kwargs):
+        if job == "referral":
+            raise Died
+        return run(store, job, *args, **kwargs)
+
+    monkeypatch.setattr(daily, "run_job", breaks)
+    with pytest.raises(Died):
+        daily.run_day(copy, "day1", "0", tables, PARAMS, ["accrual", "order count", "referral"])
+    monkeypatch.undo()
+    assert copy.last_run() == "day1-01"
+    end = daily.run_day(copy, "day1", "0", tables, PARAMS, ["accrual", "order count", "referral"])
+    with pytest.raises(ValueError, match="has ended"):
+        copy.commit(end, "referral", {}, None)
+    assert [r["job"] for r in copy.committed().orderBy("run_id").collect()] == [None, "accrual", "order count", "referral"]
+
+
+def change(spark, rows):
+    return spark.createDataFrame([tuple(r.get(f.name) for f in CHANGES) for r in rows], CHANGES)
+
+
+def test_a_snapshot_writes_only_buckets_that_changed(spark, ran, tmp_path):
+    """Ten changed customers: at most ten buckets; the accounts are those of a full rewrite."""
+    store, _, _ = ran
+    copy = Store(spark, str(tmp_path), 32)
+    copy.start("0", store.account("0"), store.written("ledger", "0"))
+    ids = [r["customer_id"] for r in copy.account("0").orderBy("customer_id").limit(10).collect()]
+    empty = {"ledger": store.written("ledger", "0").limit(0), "rejects": store.written("rejects", "0")}
+    changes = change(spark, [{"customer_id": i, "add_fpoint": Decimal(i)} for i in ids])
+    copy.commit("1", "x", empty, JobResult(empty["ledger"], changes, empty["rejects"]))
+    before = rows_of(copy.account("1"))
+    touched = copy.snapshot("1")
+    assert 1 <= len(touched) <= 10
+    assert {f"bucket={b}" for b in touched} == {f for f in os.listdir(f"{tmp_path}/account/run_id=1") if f.startswith("bucket")}
+    assert rows_of(copy.account("1")) == before
+    assert before == rows_of(apply_changes(copy.account("0"), changes))
+    assert copy.snapshot("1") == [] and rows_of(copy.account("0")) == rows_of(store.account("0"))
+
+
+def test_changes_of_runs_fold_as_if_applied_in_turn(spark):
+    account = spark.createDataFrame(
+        [(i, Decimal(100 * i), 1, 5, 7, 0) for i in range(1, 9)],
+        "customer_id long, fpoint decimal(18,4), vip_level int, num_freeship int, fpoint_accrue_year int, num_rewarded_freeship int",
+    ).withColumn("finish_warm_up_period", F.lit(0))
+    rng = random.Random(2)
+    runs = []
+    for k in range(5):
+        rows = []
+        for i in range(1, 9):
+            if rng.random() < 0.7:
+                row = {"customer_id": i}
+                for f in CHANGES.fields[1:]:
+                    if rng.random() < 0.4:
+                        row[f.name] = Decimal(rng.randint(0, 9)) if "fpoint" in f.name else rng.randint(0, 9)
+                rows.append(row)
+        runs.append(change(spark, rows))
+    turn = account
+    for c in runs:
+        turn = apply_changes(turn, c)
+    together = reduce(DataFrame.unionByName, [c.withColumn("run_id", F.lit(f"r{k}")) for k, c in enumerate(runs)])
+    assert rows_of(apply_changes(account, fold_changes(together))) == rows_of(turn)
