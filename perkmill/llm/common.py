@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch at most. Texts are long, and a Python worker holds a batch and its result.
 BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
+#: Rows that a parquet reader decodes at a time: it holds them all, and texts are long.
+READ_ROWS = 512
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,8 +25,8 @@ _SHIPPED: list = [None]
 
 def ready_for_python(spark: SparkSession) -> None:
     """Gives executors this package, by Spark's own file server, and lowers the session's Arrow batch
-    to `BATCH_ROWS` rows and `BATCH_BYTES` bytes (smaller settings stay). One row is a batch whatever
-    its bytes."""
+    to `BATCH_ROWS` rows and `BATCH_BYTES` bytes, and its parquet readers' to `READ_ROWS` rows (smaller
+    settings stay). One row is a batch whatever its bytes."""
     if _SHIPPED[0] is not spark.sparkContext:
         package = Path(__file__).resolve().parents[1]
         archive = Path(tempfile.mkdtemp(prefix="perkmill-")) / "perkmill.zip"
@@ -33,10 +35,10 @@ def ready_for_python(spark: SparkSession) -> None:
                 z.write(path, path.relative_to(package.parent))
         spark.sparkContext.addPyFile(str(archive))
         _SHIPPED[0] = spark.sparkContext
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.parquet.columnarReaderBatchSize", READ_ROWS)):
+        now = int(spark.conf.get(key))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
     if now <= 0 or now > BATCH_BYTES:
