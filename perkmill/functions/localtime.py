@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..params import Params
-
-RULE_YEARS = 20
+from .lineage import cut
 
 
 def ntz(moment: datetime) -> Column:
@@ -20,71 +20,117 @@ def local_time(utc: str, hours: int) -> Column:
     return F.col(utc).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hours))
 
 
-def local_since(utc: str, moment: datetime, p: Params) -> Column:
-    """Local time at or after `moment`, as a bound on the stored column that reaches the scan."""
-    return F.col(utc) >= ntz(moment - timedelta(hours=p.tz_offset_hours))
+def day_of(utc: str) -> str:
+    """Name of the partition column that holds the UTC day of a timestamp, in tables laid out by day."""
+    return f"{utc}_day"
+
 
+def within(df: DataFrame, utc: str, low: Column, high: Column | None = None) -> Column:
+    """`utc` from `low` on, up to `high` if given. In a table laid out by day its partitions are bounded,
+    too, so that files of other days aren't opened."""
+    day = day_of(utc) if day_of(utc) in df.columns else None
+    bound = F.col(utc) >= low
+    if day:
+        bound = bound & (F.col(day) >= F.to_date(low))
+    if high is not None:
+        bound = bound & (F.col(utc) <= high)
+        if day:
+            bound = bound & (F.col(day) <= F.to_date(high))
+    return bound
 
-def _month(at: str, p: Params) -> Column:
-    """Month of a local time. All before `RULE_YEARS` ago is one month, and so is all after the
-    run, so that an open-ended rule has a bounded number of them."""
-    first = F.lit(f"{p.as_of.year - RULE_YEARS}-01-01").cast("date")
-    last = F.add_months(F.lit(f"{p.as_of:%Y-%m}-01").cast("date"), 1)
-    return F.least(F.greatest(F.trunc(F.col(at).cast("date"), "month"), first), last)
+
+def local_since(df: DataFrame, utc: str, moment: datetime, p: Params) -> Column:
+    """Local time at or after `moment`, as a bound on the stored column that reaches the scan."""
+    return within(df, utc, ntz(moment - timedelta(hours=p.tz_offset_hours)))
 
 
 def with_local_time(df: DataFrame, utc: str, p: Params) -> DataFrame:
-    """Adds `local_at` and the month it falls in, the equi-join key of `rules_by_month`."""
-    return df.withColumn("local_at", local_time(utc, p.tz_offset_hours)).withColumn(
-        "rule_month", _month("local_at", p)
-    )
+    return df.withColumn("local_at", local_time(utc, p.tz_offset_hours))
 
 
-def rules_by_month(rules: DataFrame, p: Params) -> DataFrame:
-    """One row per rule and month its window touches; `month_no` 0 is the first.
+@dataclass(frozen=True)
+class Windows:
+    """Rules by elementary interval. All starts and ends of windows cut time into intervals that each
+    window holds whole or not at all; `rows` has a row per rule and interval of its window (`interval`
+    is its number, `part_no` 0 is a rule's first), `cuts` is the sorted array of the starts and ends.
 
-    Rows then meet their rules on an equality, and `inside_window` tests the exact bounds. Cut
-    the result (`lineage.cut`) before joining rows to it: Spark then knows its true size, and
-    broadcasts it while it is small instead of shuffling the rows by month.
+    The rows of an interval are at most the rules, and a rule's rows at most twice the rules, however
+    long its window is.
     """
-    months = F.sequence(_month("from_at", p), _month("to_at", p), F.make_ym_interval(months=F.lit(1)))
-    return (
+
+    rows: DataFrame
+    cuts: Column
+
+    def where(self, condition: Column) -> Windows:
+        return Windows(self.rows.filter(condition), self.cuts)
+
+    def select(self, *columns: str) -> Windows:
+        return Windows(self.rows.select(*columns, "interval", "part_no", "from_at", "until_at"), self.cuts)
+
+    def once(self) -> DataFrame:
+        """Each rule once, without its window."""
+        return self.rows.filter(F.col("part_no") == 0).drop("interval", "part_no", "from_at", "until_at")
+
+
+def place_in(cuts: Column, at: Column) -> Column:
+    """How many of the sorted `cuts` lie at or before `at`, by halving; null without cuts or time."""
+    halvings = F.sequence(F.lit(1), F.length(F.bin(F.size(cuts))).cast("int"))
+    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        below = (span["low"] < span["high"]) & (F.get(cuts, middle) <= at)
+        low = F.when(below, middle + 1).otherwise(span["low"])
+        high = F.when(below | (span["low"] >= span["high"]), span["high"]).otherwise(middle)
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    return F.when(at.isNotNull() & (F.size(cuts) > 0), F.aggregate(halvings, start, halve, lambda span: span["low"]))
+
+
+def _placed(df: DataFrame, cuts: Column, **times: Column) -> DataFrame:
+    """`df` with the place of each of `times` among the cuts."""
+    # A subquery may not stand inside a higher-order function, so the cuts pass through a column.
+    return df.withColumn("_cuts", cuts).withColumns({name: place_in(F.col("_cuts"), at) for name, at in times.items()}).drop("_cuts")
+
+
+def windows_of(rules: DataFrame) -> Windows:
+    """Windows from `from_date` to `to_date`, both ends within; a rule whose window is empty or open at
+    an end is in none. The rows are written out: Spark then knows their true size, and broadcasts them
+    while it is small instead of shuffling what meets them."""
+    just_after = F.col("to_date").cast("timestamp_ntz") + F.make_dt_interval(secs=F.lit(0.000001))
+    ruled = (
         rules.filter(F.col("from_date") <= F.col("to_date"))
         .withColumn("from_at", F.col("from_date").cast("timestamp_ntz"))
-        .withColumn("to_at", F.col("to_date").cast("timestamp_ntz"))
+        .withColumn("until_at", just_after)
         .drop("from_date", "to_date")
-        .select("*", F.posexplode(months).alias("month_no", "rule_month"))
     )
 
+    def cuts_of(df: DataFrame) -> Column:
+        ends = df.select(F.explode(F.array("from_at", "until_at")).alias("at"))
+        return ends.agg(F.sort_array(F.collect_set("at"))).scalar()
 
-def once_per_rule(monthly: DataFrame) -> DataFrame:
-    return monthly.filter(F.col("month_no") == 0).drop("month_no", "rule_month", "from_at", "to_at")
-
+    placed = _placed(ruled, cuts_of(ruled), _first=F.col("from_at"), _after=F.col("until_at"))
+    inside = F.sequence(F.col("_first"), F.col("_after") - 1)
+    rows = cut(placed.select("*", F.posexplode(inside).alias("part_no", "interval")).drop("_first", "_after"))
+    return Windows(rows, cuts_of(rows))
 
-def inside_window() -> Column:
-    """Both ends of a rule window count."""
-    return F.col("local_at").between(F.col("from_at"), F.col("to_at"))
 
-
-def match_windows(rows: DataFrame, monthly: DataFrame) -> DataFrame:
-    """Every row (from `with_local_time`) with every rule (from `rules_by_month`) whose window
-    holds it."""
-    return (
-        rows.join(monthly, "rule_month").filter(inside_window()).drop("rule_month", "month_no", "from_at", "to_at")
-    )
+def match_windows(rows: DataFrame, windows: Windows) -> DataFrame:
+    """Every row (with its `local_at`) with every rule whose window holds it."""
+    placed = _placed(rows, windows.cuts, interval=F.col("local_at"))
+    return placed.join(windows.rows, "interval").drop("interval", "part_no", "from_at", "until_at")
 
 
-def within_span(rows: DataFrame, utc: str, monthly: DataFrame, p: Params) -> DataFrame:
+def within_span(rows: DataFrame, utc: str, windows: Windows, p: Params) -> DataFrame:
     """Rows between the first start and the last end of all windows: a coarse bound on the stored
     column, which lets the scan skip what no rule can reach."""
     shift = F.make_dt_interval(hours=F.lit(p.tz_offset_hours))
-    first = monthly.agg(F.min("from_at") - shift).scalar()
-    last = monthly.agg(F.max("to_at") - shift).scalar()
-    return rows.filter(F.col(utc).between(first, last))
+    first = windows.rows.agg(F.min("from_at") - shift).scalar()
+    last = windows.rows.agg(F.max("until_at") - shift).scalar()
+    return rows.filter(within(rows, utc, first, last))
 
 
-def in_any_window(rows: DataFrame, monthly: DataFrame) -> DataFrame:
+def in_any_window(rows: DataFrame, windows: Windows) -> DataFrame:
     """Rows that at least one rule window holds."""
-    windows = monthly.select("rule_month", "from_at", "to_at")
-    same_month = rows["rule_month"] == windows["rule_month"]
-    return rows.join(windows, same_month & inside_window(), "left_semi")
+    placed = _placed(rows, windows.cuts, interval=F.col("local_at"))
+    return placed.join(windows.rows.select("interval").distinct(), "interval", "left_semi").drop("interval")

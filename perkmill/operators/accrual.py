@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bounds import between_ids
 from ..functions.lineage import cut
-from ..functions.localtime import ntz
+from ..functions.localtime import ntz, within
 from ..functions.money import amount, percent_points, whole
 from ..functions.running import running_totals
 from ..params import ACTION_ACCRUE, ACTION_FREESHIP, ATTR_COMPANY, ATTR_NOT_CONFIRMED, FPOINT, FREESHIP, Params
@@ -19,29 +20,32 @@ FEES = ["cod_fee", "shipping_fee", "discount_amount", "giftwrap_fee", "tryout_di
 STATE = ["email", "fpoint", "vip_level", "num_freeship", "fpoint_accrue_year", "num_rewarded_freeship"]
 
 
-def _unpaid(p: Params) -> Column:
-    return (
+def recent_suborders(suborder: DataFrame, p: Params) -> DataFrame:
+    """Root suborders, complete, delivered within the look-back, that the shop hasn't stamped."""
+    return suborder.filter(
         F.col("parent_id").isNull()
         & (F.col("status") == "complete")
-        & (F.col("delivery_timestamp") >= ntz(p.since_midnight(p.accrual_days)))
+        & within(suborder, "delivery_timestamp", ntz(p.since_midnight(p.accrual_days)))
         & (F.col("f_point_amount") == 0)
-    )
+    ).select(*SUBORDER_KEY, *FEES)
 
 
 def unpaid_suborders(
     suborder: DataFrame, orders: DataFrame, attr: DataFrame, stored: DataFrame, stamps: DataFrame | None, p: Params
 ) -> DataFrame:
-    """Root suborders, complete, delivered within the look-back, of confirmed customers, and not paid
-    yet: not stamped by the shop, by an earlier run's `stamps`, or by a ledger row.
+    """Recent suborders of confirmed customers that aren't paid yet: neither stamped by an earlier run
+    (`stamps`) nor in the ledger.
 
-    The amount's inner join on items drops a suborder without countable ones.
+    The recent ones are written out first: their ids bound what is read of ledger, stamps and
+    orders. The amount's inner join on items drops a suborder without countable ones.
     """
-    unpaid = suborder.filter(_unpaid(p)).select(*SUBORDER_KEY, *FEES)
+    recent = cut(recent_suborders(suborder, p))
     paid = F.col("action").isin(ACTION_ACCRUE, ACTION_FREESHIP) & F.col("suborder_id").isNotNull()
-    unpaid = ledger.not_in_ledger(unpaid, stored, paid, ["suborder_id"])
+    unpaid = ledger.not_in_ledger(recent, stored, paid, ["suborder_id"], [JOB], recent)
     if stamps is not None:
-        unpaid = unpaid.join(stamps.select(*SUBORDER_KEY).distinct(), SUBORDER_KEY, "left_anti")
-    buyers = orders.filter(F.col("customer_id").isNotNull()).select("order_id", "customer_id")
+        stamped = between_ids(stamps, "suborder_id", recent).select(*SUBORDER_KEY).distinct()
+        unpaid = unpaid.join(stamped, SUBORDER_KEY, "left_anti")
+    buyers = between_ids(orders, "order_id", recent).filter(F.col("customer_id").isNotNull()).select("order_id", "customer_id")
     unconfirmed = attr.filter(
         (F.col("attribute_id") == ATTR_NOT_CONFIRMED) & F.col("value").isNotNull()
     ).select("customer_id")

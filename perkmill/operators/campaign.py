@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.bounds import between_ids
 from ..functions.lineage import cut
-from ..functions.localtime import in_any_window, match_windows, once_per_rule, with_local_time, within_span
+from ..functions.localtime import Windows, in_any_window, match_windows, with_local_time, within_span
 from ..functions.money import amount, percent_exact, percent_points
 from ..functions.running import running_totals
 from ..functions.text import id_list
@@ -110,15 +111,25 @@ def root_orders(suborder: DataFrame, orders: DataFrame, p: Params) -> DataFrame:
     return with_local_time(joined, "created_at", p).drop("created_at")
 
 
-def wanted_suborders(suborder: DataFrame, orders: DataFrame, monthly: DataFrame, p: Params) -> DataFrame:
-    """Complete root suborders that some rule's window holds."""
-    reachable = within_span(orders, "created_at", monthly, p)
-    return in_any_window(root_orders(suborder, reachable, p), monthly)
+def orders_in_windows(orders: DataFrame, windows: Windows, p: Params) -> DataFrame:
+    """Complete orders that some rule's window holds."""
+    reachable = complete_orders(within_span(orders, "created_at", windows, p))
+    return in_any_window(with_local_time(reachable, "created_at", p).drop("created_at"), windows)
 
 
-def campaign_items(item: DataFrame, wanted: DataFrame, monthly: DataFrame) -> DataFrame:
+def wanted_suborders(
+    suborder: DataFrame, orders: DataFrame, windows: Windows, p: Params, stored: DataFrame | None = None
+) -> DataFrame:
+    """Complete root suborders of orders that some rule's window holds and, where the ledger is given, no
+    campaign has paid. The orders are written out first: their ids bound the scans of ledger and suborders."""
+    inside = cut(orders_in_windows(orders, windows, p))
+    unpaid = inside if stored is None else already_campaign_rewarded(inside, stored, inside)
+    return between_ids(complete_roots(suborder), "order_id", inside).join(unpaid, "order_id")
+
+
+def campaign_items(item: DataFrame, wanted: DataFrame, windows: Windows) -> DataFrame:
     """Priced items with every rule whose window holds the order's local creation time."""
-    return match_windows(items_of(priced(item), wanted).join(wanted, SUBORDER_KEY), monthly)
+    return match_windows(items_of(priced(item), wanted).join(wanted, SUBORDER_KEY), windows)
 
 
 def global_item_exclusions(items: DataFrame, product: DataFrame, p: Params) -> DataFrame:
@@ -152,23 +163,22 @@ def campaign_order_agg(
     suborder: DataFrame,
     orders: DataFrame,
     product: DataFrame,
-    monthly: DataFrame,
+    windows: Windows,
     lists: DataFrame,
     p: Params,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Quantity and price extremes per rule and order over the items the rule accepts.
 
-    Orders inside some window are found and written out first; only their items are read on, and
-    fold to one row per suborder and product. The rows a rule multiplies are folded again before they
-    leave the task.
+    Orders inside some window, and not yet paid where the ledger is given, are found and written out
+    first; only their items are read on, and fold to one row per suborder and product. The rows a rule
+    multiplies are folded again before they leave the task.
     """
-    monthly = monthly.filter("usable").drop("usable")
     item_tests = [f"{n}_{side}" for n in ITEM_FILTERS for side in ("in", "out")]
-    wanted = cut(wanted_suborders(suborder, orders, monthly, p))
+    wanted = cut(wanted_suborders(suborder, orders, windows, p, stored))
     lines = order_products(items_of(priced(item), wanted), bundles_of(bundle, wanted)).join(wanted, SUBORDER_KEY)
-    tests = monthly.select("rule_id", *item_tests, "month_no", "rule_month", "from_at", "to_at")
-    per_rule = match_windows(global_item_exclusions(lines, product, p), tests)
-    terms = once_per_rule(monthly).drop(*item_tests)
+    per_rule = match_windows(global_item_exclusions(lines, product, p), windows.select("rule_id", *item_tests))
+    terms = windows.once().drop(*item_tests)
     return (
         rule_item_filter(per_rule, lists)
         .groupBy("rule_id", "order_id", "customer_id", "customer_email", "grand_total")
@@ -189,9 +199,9 @@ def rule_order_match(per_rule: DataFrame) -> DataFrame:
     )
 
 
-def already_campaign_rewarded(matched: DataFrame, stored: DataFrame) -> DataFrame:
+def already_campaign_rewarded(matched: DataFrame, stored: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """Drops orders any campaign has paid."""
-    return ledger.not_in_ledger(matched, stored, F.col("campaign_id") > 0, ["order_id"])
+    return ledger.not_in_ledger(matched, stored, F.col("campaign_id") > 0, ["order_id"], [JOB], wanted)
 
 
 def one_campaign_per_order(unpaid: DataFrame) -> DataFrame:

@@ -11,10 +11,15 @@ from . import ledger
 from .accounts import by_email, duplicate_account, states_of
 
 JOB = "email list"
+# Fixed layout: so many rows stand above the first entry.
+TITLE_ROWS = 2
 
 
 def email_list_ingest(raw: DataFrame) -> DataFrame:
-    """Cleaned entries. Title and header rows hold no address and drop out."""
+    """Cleaned entries: the rows below the title rows that hold an address. Rows without a number
+    (`row_no`, from 1) are taken as entries."""
+    if "row_no" in raw.columns:
+        raw = raw.filter(F.col("row_no") > TITLE_ROWS)
     return raw.withColumn("email", clean_email("email_raw")).filter(F.col("email").contains("@")).drop("email_raw")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.bounds import between_ids
 from ..functions.money import amount
 from ..params import FPOINT, FREESHIP, Params
 from ..schemas import CHANGES, LEDGER, REJECTS
@@ -43,12 +44,22 @@ def append_new(stored: DataFrame, rows: DataFrame, jobs: list[str] | None = None
     return rows.join(held, ["job", "job_key"], "left_anti")
 
 
-def not_in_ledger(df: DataFrame, ledger: DataFrame, held: Column, on: list[str]) -> DataFrame:
-    """Drops rows already paid: those matching a ledger row with `held` true on `on`.
+def rows_of(stored: DataFrame, *jobs: str) -> DataFrame:
+    """Ledger rows of these jobs, and those taken over from before the engine, which name none. In a
+    ledger split by job the others' files aren't read."""
+    return stored.filter(F.col("job").isin(*jobs) | F.col("job").isNull())
 
-    Ledger keys are made distinct first, so a key the ledger repeats is shuffled once per map task.
+
+def not_in_ledger(df: DataFrame, stored: DataFrame, held: Column, on: list[str], jobs: list[str], wanted: DataFrame | None = None) -> DataFrame:
+    """Drops rows already paid: those matching a ledger row of `jobs` with `held` true on `on`.
+
+    `wanted`, if given, is `df` written out: the range of its ids (the first of `on`) bounds the ledger's
+    scan. Ledger keys are made distinct first, so a key the ledger repeats is shuffled once per map task.
     """
-    return df.join(ledger.filter(held).select(*on).distinct(), on, "left_anti")
+    paid = rows_of(stored, *jobs).filter(held)
+    if wanted is not None:
+        paid = between_ids(paid, on[0], wanted)
+    return df.join(paid.select(*on).distinct(), on, "left_anti")
 
 
 def added(rows: DataFrame, value: str = "value", kind: str | Column = "type") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bounds import between_ids
 from ..functions.lineage import cut
 from ..functions.localtime import local_since
 from ..functions.money import amount
@@ -16,28 +17,35 @@ from .accounts import duplicate_account, states_of
 JOB = "order count"
 
 
+def recent_orders(orders: DataFrame, p: Params) -> DataFrame:
+    """Complete orders of the look-back."""
+    return orders.filter(
+        (F.col("status") == "complete")
+        & (F.col("grand_total") > 0)
+        & local_since(orders, "created_at", p.since_instant(p.order_count_days), p)
+    ).select("order_id", "customer_id", "customer_email")
+
+
 def new_customer_orders(orders: DataFrame, suborder: DataFrame, account: DataFrame, p: Params) -> DataFrame:
     """Complete recent orders, with a complete suborder, of new customers still warming up."""
     new = account.filter(
-        local_since("created_at", p.new_customer_from, p)
+        local_since(account, "created_at", p.new_customer_from, p)
         & (F.col("finish_warm_up_period") == 0)
     ).select("customer_id")
-    recent = orders.filter(
-        (F.col("status") == "complete")
-        & (F.col("grand_total") > 0)
-        & local_since("created_at", p.since_instant(p.order_count_days), p)
-    ).select("order_id", "customer_id", "customer_email")
-    delivered = suborder.filter(F.col("status") == "complete").select("order_id")
-    return recent.join(new, "customer_id", "left_semi").join(delivered, "order_id", "left_semi")
+    recent = cut(recent_orders(orders, p).join(new, "customer_id", "left_semi"))
+    delivered = between_ids(suborder.filter(F.col("status") == "complete"), "order_id", recent).select("order_id")
+    return recent.join(delivered, "order_id", "left_semi")
 
 
 def order_ordinal(candidates: DataFrame, stored: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Numbers a customer's unpaid orders by id, on from the highest index the ledger holds."""
+    """Numbers a customer's unpaid orders by id, on from the highest index the ledger holds. Hand over
+    `candidates` written out."""
     unpaid = ledger.not_in_ledger(
-        candidates, stored, F.col("number_order_rule") > 0, ["customer_id", "order_id"]
+        candidates, stored, F.col("number_order_rule") > 0, ["order_id", "customer_id"], [JOB], candidates
     )
     reached = (
-        stored.filter(F.col("index_order").isNotNull())
+        between_ids(ledger.rows_of(stored, JOB), "customer_id", candidates)
+        .filter(F.col("index_order").isNotNull())
         .join(candidates.select("customer_id").distinct(), "customer_id", "left_semi")
         .groupBy("customer_id")
         .agg(F.max("index_order").cast("long").alias("start_index"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bounds import between_ids
+
 BUNDLE_KEY = ["suborder_id", "bundle_id", "bundle_type"]
 SUBORDER_KEY = ["order_id", "suborder_id"]
 # Narrow enough that price times quantity stays exact within 38 digits.
@@ -31,23 +33,17 @@ def countable_items(item: DataFrame, excluded_products: tuple[int, ...]) -> Data
     return item.filter(~F.col("product_id").isin(*excluded_products))
 
 
-def _within(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
-    """Rows between the lowest and the highest wanted id: a bound that the scan can skip by."""
-    low, high = wanted.agg(F.min(column)).scalar(), wanted.agg(F.max(column)).scalar()
-    return rows.filter(F.col(column).between(low, high))
-
-
 def items_of(item: DataFrame, wanted: DataFrame) -> DataFrame:
     """Items of the wanted suborders. They are looked up before anything folds or shuffles them: the
     items of a look-back are few among those of all time. Hand over `wanted` written out, since it is
     read for its bounds too."""
     keys = wanted.select(*SUBORDER_KEY).distinct()
-    return _within(item, "order_id", wanted).join(keys, SUBORDER_KEY, "left_semi")
+    return between_ids(item, "order_id", wanted).join(keys, SUBORDER_KEY, "left_semi")
 
 
 def bundles_of(bundle: DataFrame, wanted: DataFrame) -> DataFrame:
     keys = wanted.select("suborder_id").distinct()
-    return _within(bundle, "suborder_id", wanted).join(keys, "suborder_id", "left_semi")
+    return between_ids(bundle, "suborder_id", wanted).join(keys, "suborder_id", "left_semi")
 
 
 def goods_value(item: DataFrame, bundle: DataFrame) -> DataFrame:

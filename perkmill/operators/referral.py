@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lineage import cut
-from ..functions.localtime import ntz
+from ..functions.localtime import ntz, within
 from ..functions.money import amount, percent_exact
 from ..functions.running import running_totals
 from ..params import ACTION_REFER, FPOINT, Params
@@ -38,22 +38,28 @@ def referrers(used: DataFrame, account: DataFrame, refer_rule: DataFrame) -> Dat
     return owners.join(rules, ["refer_code", "customer_id"]).join(terms, "refer_rule")
 
 
-def referral_orders(orders: DataFrame, account: DataFrame, refer_rule: DataFrame, p: Params) -> DataFrame:
-    """Complete recent orders with a referrer's code; `customer_id` is the referrer, with the number
-    of account rows it has."""
-    used = orders.filter(
+def used_codes(orders: DataFrame, p: Params) -> DataFrame:
+    """Complete orders of the look-back that used a code."""
+    return orders.filter(
         F.col("coupon_code").isNotNull()
         & F.col("customer_id").isNotNull()
         & (F.col("status") == "complete")
-        & (F.col("created_at") >= ntz(p.since_midnight(p.referral_days)))
+        & within(orders, "created_at", ntz(p.since_midnight(p.referral_days)))
     ).select("order_id", "grand_total", F.col("coupon_code").alias("refer_code"))
+
+
+def referral_orders(orders: DataFrame, account: DataFrame, refer_rule: DataFrame, p: Params) -> DataFrame:
+    """Complete recent orders with a referrer's code; `customer_id` is the referrer, with the number
+    of account rows it has."""
+    used = used_codes(orders, p)
     owners = referrers(used, account, refer_rule)
     states = states_of(account, owners, ["email", "fpoint"])
     return used.join(cut(owners.join(states, "customer_id")), "refer_code")
 
 
 def already_referred(candidates: DataFrame, stored: DataFrame) -> DataFrame:
-    return ledger.not_in_ledger(candidates, stored, F.col("action") == ACTION_REFER, ["order_id"])
+    """Hand over `candidates` written out."""
+    return ledger.not_in_ledger(candidates, stored, F.col("action") == ACTION_REFER, ["order_id"], [JOB], candidates)
 
 
 def referral_reward(unpaid: DataFrame) -> DataFrame:

@@ -38,6 +38,8 @@ class Params:
     accrual_days: int = 30
     order_count_days: int = 60
     referral_days: int = 45
+    # Likes may arrive so late and are counted still.
+    like_lag_hours: int = 24
     # Fixed values of the business rules.
     excluded_products: tuple[int, ...] = (72984, 72985, 167338)
     excluded_skus: tuple[str, ...] = (
@@ -61,6 +63,9 @@ class Params:
         midnight = self.as_of.replace(hour=0, minute=0, second=0, microsecond=0)
         return midnight - timedelta(days=days)
 
+    def since_hours(self, hours: int) -> datetime:
+        return self.as_of - timedelta(hours=hours)
+
     def since_instant(self, days: int) -> datetime:
         """Start of a look-back counted from the run instant."""
         return self.as_of - timedelta(days=days)

@@ -14,8 +14,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bounds import between_ids
 from ..functions.lineage import cut
-from ..functions.localtime import rules_by_month
+from ..functions.localtime import Windows, windows_of
 from ..functions.running import hot_keys
 from ..operators import accrual, campaign, email_grant, ledger, order_count, referral, reviews, tiers
 from ..operators.pricing import countable_items, suborder_amount
@@ -90,17 +91,17 @@ def campaign_lists(active: DataFrame) -> DataFrame:
     return cut(campaign.rule_lists(active))
 
 
-def campaign_months(active: DataFrame, p: Params) -> DataFrame:
-    return cut(rules_by_month(campaign.combine_filters(active, p), p))
+def campaign_windows(active: DataFrame, p: Params) -> Windows:
+    return windows_of(campaign.combine_filters(active, p).filter("usable").drop("usable"))
 
 
 def campaign_winners(t: Tables, active: DataFrame, p: Params) -> DataFrame:
+    """Orders no campaign has paid, which is known before their items are read, with their rule."""
     per_rule = campaign.campaign_order_agg(
         t["suborder_item"], t["suborder_bundle"], t["suborder"], t["orders"], t["product"],
-        campaign_months(active, p), campaign_lists(active), p,
+        campaign_windows(active, p), campaign_lists(active), p, t["ledger"],
     )
-    matched = campaign.rule_order_match(per_rule)
-    return campaign.one_campaign_per_order(campaign.already_campaign_rewarded(matched, t["ledger"]))
+    return campaign.one_campaign_per_order(campaign.rule_order_match(per_rule))
 
 
 def campaign_state(t: Tables, active: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
@@ -119,23 +120,34 @@ def run_campaign(t: Tables, p: Params) -> JobResult:
 # --- reviews
 
 
-def review_months(t: Tables, p: Params) -> DataFrame:
-    return cut(rules_by_month(reviews.active_review_rules(t["review_rule"], p), p))
+def review_windows(t: Tables, p: Params) -> Windows:
+    return windows_of(reviews.active_review_rules(t["review_rule"], p))
 
 
-def reviews_inside(t: Tables, rules: DataFrame, p: Params) -> DataFrame:
+def reviews_inside(t: Tables, windows: Windows, p: Params) -> DataFrame:
     # Reviews without an account are told apart by `judge`, on the few that match.
-    return reviews.in_rule_windows(reviews.approved_reviews(t["review"], p), rules, p)
+    return reviews.in_rule_windows(reviews.approved_reviews(t["review"], p), windows, p)
+
+
+def review_likes(t: Tables, windows: Windows, p: Params, wanted: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Likes per rule and review, and what a run stores of them: with a store, from its counts and the
+    actions since; without, all likes of the `wanted` reviews."""
+    counting = reviews.like_windows(windows)
+    if "review_like" not in t:
+        return reviews.review_like_count(t["review_action"], counting, p, wanted), {}
+    total, increments, marks = reviews.likes_since(t["review_action"], counting, t["review_like"], t["review_like_mark"], p)
+    return total, {"review_like": increments, "review_like_mark": marks}
 
 
 def review_matches(t: Tables, p: Params) -> DataFrame:
-    rules = review_months(t, p)
-    return reviews.matched_reviews(reviews_inside(t, rules, p), t["review_action"], rules, p)
+    windows = review_windows(t, p)
+    inside = cut(reviews_inside(t, windows, p))
+    return reviews.matched_reviews(inside, review_likes(t, windows, p, inside)[0])
 
 
-def review_state(matched: DataFrame, t: Tables) -> tuple[DataFrame, DataFrame]:
+def review_state(fresh: DataFrame, t: Tables) -> tuple[DataFrame, DataFrame]:
     """Judged reviews and the paid ones with running balances."""
-    fresh = cut(reviews.review_dedup(matched, t["ledger"]))
+    fresh = cut(fresh)
     judged = reviews.judge(fresh, t["account"])
     return judged, reviews.review_balance(judged, hot_keys(fresh, CUSTOMER))
 
@@ -147,20 +159,31 @@ def _review_result(judged: DataFrame, balances: DataFrame, job: str, p: Params)
 
 
 def run_reviews(t: Tables, p: Params) -> JobResult:
-    return _review_result(*review_state(review_matches(t, p), t), reviews.JOB, p)
+    """Reviews not rewarded yet, which is known before their likes are counted."""
+    windows = review_windows(t, p)
+    unpaid = cut(reviews.not_rewarded(reviews_inside(t, windows, p), t["ledger"]))
+    likes, counted = review_likes(t, windows, p, unpaid)
+    result = _review_result(*review_state(reviews.first_reviews(reviews.matched_reviews(unpaid, likes)), t), reviews.JOB, p)
+    result.tables.update(counted)
+    return result
 
 
 def editor_matches(t: Tables, p: Params) -> DataFrame:
-    rules = review_months(t, p)
-    imported = reviews.editor_reviews(
-        t["review_editor_log"], t["review"], t["review_editor"], t["account"], p
-    )
-    return reviews.matched_reviews(reviews.in_rule_windows(imported, rules, p), t["review_action"], rules, p)
+    """Imported reviews that match. Only the log of approved reviews in some rule's window is read on."""
+    windows = review_windows(t, p)
+    inside = cut(reviews.in_some_window(t["review"], windows, p))
+    log = between_ids(t["review_editor_log"], "review_id", inside)
+    imported = cut(reviews.in_rule_windows(reviews.editor_reviews(log, inside, t["review_editor"], t["account"], p), windows, p))
+    return reviews.matched_reviews(imported, review_likes(t, windows, p, imported)[0])
+
+
+def editor_state(matched: DataFrame, t: Tables) -> tuple[DataFrame, DataFrame]:
+    return review_state(reviews.review_dedup(matched.filter(F.col("customer_id").isNotNull()), t["ledger"]), t)
 
 
 def run_editor_reviews(t: Tables, p: Params) -> JobResult:
     matched = cut(editor_matches(t, p))
-    judged, balances = review_state(matched.filter(F.col("customer_id").isNotNull()), t)
+    judged, balances = editor_state(matched, t)
     result = _review_result(judged, balances, reviews.EDITOR_JOB, p)
     result.tables["review_reward_log"] = reviews.editor_review_rewards(balances).unionByName(
         reviews.guest_review_outbox(matched, t["review_reward_log"])
@@ -190,7 +213,7 @@ def run_order_count(t: Tables, p: Params) -> JobResult:
 
 
 def referral_rewards(t: Tables, p: Params) -> DataFrame:
-    used = referral.referral_orders(t["orders"], t["account"], t["refer_rule"], p)
+    used = cut(referral.referral_orders(t["orders"], t["account"], t["refer_rule"], p))
     return referral.referral_reward(referral.already_referred(used, t["ledger"]))
 
 

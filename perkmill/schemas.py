@@ -84,6 +84,9 @@ REWARD_LOG = _struct(INPUTS["review_reward_log"])
 STORED: dict[str, str] = {
     "suborder_stamp": "order_id long, suborder_id long, f_point_amount int",
     "review_reward_log": INPUTS["review_reward_log"],
+    # Likes counted so far per rule, window and review, and up to when.
+    "review_like": "review_campaign_id int, from_at timestamp_ntz, until_at timestamp_ntz, review_id long, num_like long",
+    "review_like_mark": "review_campaign_id int, from_at timestamp_ntz, until_at timestamp_ntz, upto timestamp_ntz",
 }
 
 

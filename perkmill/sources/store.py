@@ -152,7 +152,7 @@ class Store:
 
     def tables(self, inputs: Mapping[str, DataFrame], run_id: str, previous: str) -> dict[str, DataFrame]:
         """Inputs of a run: the shop's tables, with the accounts after the run before it and what all
-        earlier runs paid: ledger, suborder stamps and reward log."""
+        earlier runs paid or counted: ledger, suborder stamps, reward log, likes."""
         if not self.is_committed(previous):
             raise ValueError(f"run {previous} did not end; the last that did is {self.last_run()}")
         log = self.before("review_reward_log", run_id)
@@ -161,7 +161,7 @@ class Store:
             **{name: inputs[name] for name in inputs},
             "account": self.account(previous),
             "ledger": self.ledger_before(run_id),
-            "suborder_stamp": self.before("suborder_stamp", run_id),
+            **{name: self.before(name, run_id) for name in STORED},
             "review_reward_log": log if given is None else log.unionByName(given.select(*log.columns)),
         }
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perkmill.functions.lineage import cut
-from perkmill.functions.localtime import match_windows, ntz, rules_by_month, with_local_time
+from perkmill.functions.localtime import Windows, match_windows, ntz, windows_of, with_local_time
 from perkmill.operators import accounts, accrual, campaign, email_grant, ledger, order_count, pricing, referral, reviews, tiers
 from perkmill.params import ATTR_COMPANY, CHEAPEST, HIGHEST, PROMO_FPOINT, PROMO_FREESHIP, Params
 from perkmill.plans import jobs
@@ -157,15 +157,15 @@ def _active(t: Shop, p: Params) -> DataFrame:
     return campaign.active_campaign_rules(t["campaign_rule"], t["campaign_rule_filter"], p)
 
 
-def _months(t: Shop, p: Params) -> DataFrame:
-    return jobs.campaign_months(_active(t, p), p)
+def _windows(t: Shop, p: Params) -> Windows:
+    return jobs.campaign_windows(_active(t, p), p)
 
 
 @query
 def active_campaign_rules(t: Shop, p: Params) -> DataFrame:
     """Running rules and filters, with the orders created in each rule's window."""
     active = _active(t, p)
-    windows = cut(rules_by_month(active.select("rule_id", "from_date", "to_date").distinct(), p))
+    windows = windows_of(active.select("rule_id", "from_date", "to_date").distinct())
     orders = with_local_time(t["orders"].select("order_id", "created_at"), "created_at", p)
     counts = match_windows(orders, windows).groupBy("rule_id").agg(F.count("*").alias("orders_in_window"))
     df = active.join(counts, "rule_id", "left").withColumn("orders_in_window", F.coalesce("orders_in_window", F.lit(0)))
@@ -182,9 +182,9 @@ def campaign_items(t: Shop, p: Params) -> DataFrame:
 
 
 def _campaign_items(t: Shop, p: Params) -> DataFrame:
-    months = _months(t, p)
-    wanted = cut(campaign.wanted_suborders(t["suborder"], t["orders"], months, p))
-    return campaign.campaign_items(t["suborder_item"], wanted, months)
+    windows = _windows(t, p)
+    wanted = cut(campaign.wanted_suborders(t["suborder"], t["orders"], windows, p))
+    return campaign.campaign_items(t["suborder_item"], wanted, windows)
 
 
 @query
@@ -203,10 +203,10 @@ def rule_item_filter(t: Shop, p: Params) -> DataFrame:
     return out(df, "rule_id order_id suborder_id product_id")
 
 
-def _order_agg(t: Shop, p: Params) -> DataFrame:
+def _order_agg(t: Shop, p: Params, stored: DataFrame | None = None) -> DataFrame:
     return campaign.campaign_order_agg(
         t["suborder_item"], t["suborder_bundle"], t["suborder"], t["orders"], t["product"],
-        _months(t, p), jobs.campaign_lists(_active(t, p)), p,
+        _windows(t, p), jobs.campaign_lists(_active(t, p)), p, stored,
     )
 
 
@@ -222,8 +222,7 @@ def rule_order_match(t: Shop, p: Params) -> DataFrame:
 
 @query
 def already_campaign_rewarded(t: Shop, p: Params) -> DataFrame:
-    matched = campaign.rule_order_match(_order_agg(t, p))
-    return out(campaign.already_campaign_rewarded(matched, t["ledger"]), "rule_id order_id qty grand_total:d")
+    return out(campaign.rule_order_match(_order_agg(t, p, t["ledger"])), "rule_id order_id qty grand_total:d")
 
 
 @query
@@ -266,7 +265,7 @@ def active_review_rules(t: Shop, p: Params) -> DataFrame:
     """Running rules, with the approved reviews written in each rule's window."""
     rules = reviews.active_review_rules(t["review_rule"], p)
     written = t["review"].filter("status_id = 1").select("created_at")
-    inside = reviews.in_rule_windows(written, jobs.review_months(t, p), p)
+    inside = reviews.in_rule_windows(written, jobs.review_windows(t, p), p)
     counts = inside.groupBy("review_campaign_id").agg(F.count("*").alias("reviews_in_window"))
     df = rules.join(counts, "review_campaign_id", "left").withColumn(
         "reviews_in_window", F.coalesce("reviews_in_window", F.lit(0))
@@ -281,13 +280,14 @@ def review_char_count(t: Shop, p: Params) -> DataFrame:
 
 
 def _inside(t: Shop, p: Params) -> DataFrame:
-    return reviews.of_holders(jobs.reviews_inside(t, jobs.review_months(t, p), p), t["account"])
+    return reviews.of_holders(jobs.reviews_inside(t, jobs.review_windows(t, p), p), t["account"])
 
 
 @query
 def review_like_count(t: Shop, p: Params) -> DataFrame:
-    likes = reviews.review_like_count(t["review_action"], jobs.review_months(t, p), p)
-    return out(reviews.with_likes(_inside(t, p), likes), "review_campaign_id review_id num_like")
+    inside = cut(_inside(t, p))
+    likes = reviews.review_like_count(t["review_action"], jobs.review_windows(t, p), p, inside)
+    return out(reviews.with_likes(inside, likes), "review_campaign_id review_id num_like")
 
 
 @query
@@ -300,10 +300,6 @@ def review_rule_match(t: Shop, p: Params) -> DataFrame:
     return out(jobs.review_matches(t, p), "review_campaign_id review_id customer_id product_id")
 
 
-def _deduped(t: Shop, p: Params) -> DataFrame:
-    return reviews.review_dedup(jobs.review_matches(t, p), t["ledger"])
-
-
 @query
 def review_dedup(t: Shop, p: Params) -> DataFrame:
     df = reviews.review_dedup(jobs.review_matches(t, p), t["ledger"])
@@ -312,8 +308,7 @@ def review_dedup(t: Shop, p: Params) -> DataFrame:
 
 @query
 def review_ledger(t: Shop, p: Params) -> DataFrame:
-    df = reviews.review_ledger(jobs.review_state(jobs.review_matches(t, p), t)[1], p)
-    return out(df, LEDGER + "review_id product_id review_campaign_id description:s")
+    return out(jobs.run_reviews(t, p).ledger, LEDGER + "review_id product_id review_campaign_id description:s")
 
 
 @query
@@ -324,8 +319,7 @@ def editor_reviews(t: Shop, p: Params) -> DataFrame:
 
 @query
 def editor_review_rewards(t: Shop, p: Params) -> DataFrame:
-    members = jobs.editor_matches(t, p).filter(F.col("customer_id").isNotNull())
-    _, balances = jobs.review_state(members, t)
+    _, balances = jobs.editor_state(jobs.editor_matches(t, p), t)
     log = reviews.editor_review_rewards(balances).select("author_id", "review_id", "status", "editor_type").distinct()
     df = reviews.review_ledger(balances, p, reviews.EDITOR_JOB).join(log, "review_id")
     return out(df, LEDGER + "review_id product_id review_campaign_id author_id status:s editor_type:s")
@@ -398,7 +392,7 @@ def referral_orders(t: Shop, p: Params) -> DataFrame:
 
 @query
 def already_referred(t: Shop, p: Params) -> DataFrame:
-    return out(referral.already_referred(_referral_orders(t, p), t["ledger"]), "order_id customer_id refer_code:s")
+    return out(referral.already_referred(cut(_referral_orders(t, p)), t["ledger"]), "order_id customer_id refer_code:s")
 
 
 @query
@@ -496,8 +490,7 @@ def apply_ledger_referral(t: Shop, p: Params) -> DataFrame:
 
 @query
 def apply_ledger_review(t: Shop, p: Params) -> DataFrame:
-    rows = reviews.review_ledger(jobs.review_state(jobs.review_matches(t, p), t)[1], p)
-    return _snapshot(t["account"], ledger.added(rows))
+    return _snapshot(t["account"], jobs.run_reviews(t, p).changes)
 
 
 @query
@@ -530,7 +523,7 @@ def local_window(t: Shop, p: Params) -> DataFrame:
     """Local creation time of every order, both look-backs of a mid-day run, and the number of
     campaign rules open at that time."""
     p = replace(p, as_of=datetime(2001, 8, 2, 15, 30))
-    windows = cut(rules_by_month(t["campaign_rule"].select("rule_id", "from_date", "to_date"), p))
+    windows = windows_of(t["campaign_rule"].select("rule_id", "from_date", "to_date"))
     orders = with_local_time(t["orders"].select("order_id", "created_at"), "created_at", p)
     opened = match_windows(orders, windows).groupBy("order_id").agg(F.count("*").alias("rules_open"))
     df = orders.join(opened, "order_id", "left").select(
@@ -550,13 +543,12 @@ def reject_report(t: Shop, p: Params) -> DataFrame:
     ordinals = jobs.order_ordinals(t, p)
     payable = cut(order_count.payable_rules(t["order_count_rule"], p))
     counted = order_count.judge(order_count.order_count_rewards(ordinals, payable, p), t["account"])
-    reviewed = jobs.review_state(jobs.review_matches(t, REVIEW_PARAMS), t)[0]
     parts = [
         accrual.reject_rows(jobs.accrual_judged(t, p)),
         campaign.reject_rows(_campaign_judged(t, p)),
         order_count.reject_rows(counted),
         referral.reject_rows(jobs.referral_rewards(t, p)),
-        ledger.rejects(reviewed, reviews.JOB, "review_id", F.col("reason")),
+        jobs.run_reviews(t, REVIEW_PARAMS).rejects,
         tiers.upgrade_rejects(_upgrades(t, p)),
         tiers.backfill_rejects(tiers.freeship_backfill(t["account"], p)),
         email_grant.reject_rows(known),

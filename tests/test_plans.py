@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import re
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from perkmill.operators import accrual, campaign, order_count, reviews
+from perkmill.functions.lineage import cut
+from perkmill.functions.localtime import day_of, windows_of
+from perkmill.operators import accrual, campaign, order_count, referral, reviews
 from perkmill.operators.accounts import states_of
 from perkmill.operators.pricing import bundles_of, goods_value, items_of, order_products
 from perkmill.plans import jobs
-from perkmill.schemas import schema_of
+from perkmill.schemas import LEDGER, schema_of
+from perkmill.sources.tables import DAYS, parquet_table, write_by_day
 
 
 def plan(df) -> str:
@@ -35,11 +41,11 @@ def scan(text: str, column: str) -> str:
 
 
 def test_filters_and_columns_reach_the_scan(stored, table, params):
-    unpaid = accrual.unpaid_suborders(stored("suborder"), stored("orders"), stored("account_attr"), table("ledger", []), None, params)
-    line = scan(plan(unpaid), "delivery_timestamp")
+    line = scan(plan(accrual.recent_suborders(stored("suborder"), params)), "delivery_timestamp")
     for pushed in ("IsNull(parent_id)", "EqualTo(status,complete)", "GreaterThanOrEqual(delivery_timestamp",
                    "EqualTo(f_point_amount,0)"):
         assert pushed in line
+    unpaid = accrual.unpaid_suborders(stored("suborder"), stored("orders"), stored("account_attr"), table("ledger", []), None, params)
     assert "ReadSchema: struct<order_id:bigint,customer_id:bigint>" in scan(plan(unpaid), "customer_id:bigint>")
     orders = scan(plan(campaign.complete_orders(stored("orders"))), "grand_total")
     assert "EqualTo(status,complete)" in orders and "GreaterThan(grand_total" in orders
@@ -88,9 +94,142 @@ def test_review_text_is_not_shuffled(stored, params):
 def test_rule_span_reaches_the_scan(spark, stored, table, params):
     rules = table("review_rule", [{"review_campaign_id": 1, "end_status": 0, "from_date": datetime(2024, 1, 1),
                                    "to_date": datetime(2024, 2, 1)}])
-    monthly = jobs.review_months({"review_rule": rules}, params)
-    inside = reviews.in_rule_windows(reviews.approved_reviews(stored("review"), params), monthly, params)
+    windows = jobs.review_windows({"review_rule": rules}, params)
+    inside = reviews.in_rule_windows(reviews.approved_reviews(stored("review"), params), windows, params)
     line = scan(plan(inside), "detail")
     assert "created_at" in line.split("DataFilters")[1].split("Format")[0] and "subquery" in line
+
+
+def bound_by_ids(line: str, column: str) -> bool:
+    return bool(re.search(rf"DataFilters: .*{column}\S* >= Subquery.*{column}\S* <= Subquery|DataFilters: .*{column}.*[sS]ubquery", line))
+
+
+@pytest.fixture
+def by_job(spark, table, tmp_path):
+    """A ledger split by job and run, as the store keeps it."""
+    rows = table("ledger", [{"job": j, "order_id": i} for i, j in enumerate([None, "accrual", "campaign", "referral"])])
+    rows.write.partitionBy("job").parquet(f"{tmp_path}/run_id=1")
+    fields = [f for f in LEDGER if f.name != "job"]
+    return spark.read.schema(StructType([*fields, LEDGER["job"]])).parquet(str(tmp_path))
+
+
+def test_ledger_checks_read_one_jobs_rows_within_the_candidates(stored, by_job, params):
+    """The partitions of other jobs are pruned, and ids bound the rest."""
+    ids = stored("orders")
+    checks = {
+        "campaign": campaign.already_campaign_rewarded(ids, by_job, ids),
+        "referral": referral.already_referred(ids, by_job),
+        "order count": order_count.order_ordinal(ids.select("order_id", "customer_id", "customer_email"), by_job),
+        "accrual": accrual.unpaid_suborders(stored("suborder"), ids, stored("account_attr"), by_job, None, params),
+    }
+    for job, df in checks.items():
+        lines = [x for x in plan(df).splitlines() if "FileScan" in x and "PartitionFilters: [" in x and "job#" in x]
+        assert lines
+        for line in lines:
+            filters = line.split("PartitionFilters: [")[1].split("]")[0]
+            assert f"= {job})" in filters and "isnull(job" in filters
+            assert bound_by_ids(line, "order_id|suborder_id|customer_id")
+    reviewed = reviews.not_rewarded(stored("review").withColumn("review_campaign_id", F.lit(1)), by_job)
+    assert "job#" in scan(plan(reviewed), "PartitionFilters: [(job") and "IN (review,editor review)" in plan(reviewed)
+
+
+def test_orders_and_suborders_are_bounded_by_the_candidates(stored, table, params):
+    """Of the tables that candidates are joined to, only the range of their ids is read."""
+    unpaid = accrual.unpaid_suborders(stored("suborder"), stored("orders"), stored("account_attr"), table("ledger", []), None, params)
+    assert bound_by_ids(scan(plan(unpaid), "ReadSchema: struct<order_id:bigint,customer_id:bigint>"), "order_id")
+    rules = table("campaign_rule", [])
+    windows = windows_of(rules.withColumns({"from_date": F.lit(None).cast("timestamp_ntz"), "to_date": F.lit(None).cast("timestamp_ntz")}))
+    wanted = campaign.wanted_suborders(stored("suborder"), stored("orders"), windows, params, table("ledger", []))
+    assert bound_by_ids(scan(plan(wanted), "parent_id"), "order_id")
     new = order_count.new_customer_orders(stored("orders"), stored("suborder"), stored("account"), params)
-    assert "GreaterThanOrEqual(created_at,2024-01-01T02:00)" in scan(plan(new), "grand_total")
+    assert bound_by_ids(scan(plan(new), "status"), "order_id")
+
+
+def test_the_ledger_comes_before_items(spark, stored, table, params, monkeypatch):
+    """Orders paid by a campaign are dropped before items of any order are looked up."""
+    seen = []
+
+    def spy(df, *args):
+        seen.append(plan(df))
+        return cut(df, *args)
+
+    monkeypatch.setattr(campaign, "cut", spy)
+    rules = [{"rule_id": 1, "campaign_id": 1, "action_id": 1}]
+    t = {
+        "campaign": table("campaign", [{"campaign_id": 1, "from_date": datetime(2024, 1, 1), "to_date": datetime(2024, 2, 1), "end_status": 0}]),
+        "campaign_action": table("campaign_action", [{"action_id": 1, "action_name": "cheapest", "value": 1}]),
+        "campaign_rule": table("campaign_rule", rules),
+        "campaign_rule_filter": table("campaign_rule_filter", [{"rule_id": 1, "type": "grand_total"}]),
+        "ledger": table("ledger", []),
+        **{n: stored(n) for n in ("suborder_item", "suborder_bundle", "suborder", "orders", "product")},
+    }
+    winners = jobs.campaign_winners(t, jobs.campaign_rules(t, params), params)
+    orders, wanted = seen
+    assert "price" not in orders + wanted and "LeftAnti" in wanted
+    assert "LeftAnti" not in plan(winners)
+
+
+FACTS = ["orders", "suborder", "review", "review_action"]
+
+
+def test_days_outside_look_backs_and_rules_are_not_opened(spark, table, params, tmp_path):
+    """Facts laid out by day, with files nobody can read outside the span: every job of them runs."""
+    root = str(tmp_path)
+    at = datetime(2024, 2, 20, 5)
+    rows = {
+        "orders": [{"order_id": 1, "customer_id": 1, "customer_email": "a@x.test", "status": "complete", "grand_total": Decimal(900),
+                    "created_at": at, "coupon_code": "R2"}],
+        "suborder": [{"suborder_id": 10, "order_id": 1, "status": "complete", "f_point_amount": 0, "delivery_timestamp": at}],
+        "review": [{"review_id": 1, "product_id": 1, "status_id": 1, "created_at": at, "customer_id": 1, "detail": "x" * 200}],
+        "review_action": [{"review_id": 1, "type": "like", "created_at": at}],
+    }
+    t = {}
+    for name in FACTS:
+        write_by_day(table(name, rows[name]), root, name)
+        day = tmp_path / name / f"{day_of(DAYS[name])}=2015-01-01"
+        day.mkdir()
+        (day / "part-0.parquet").write_bytes(b"not parquet")
+        t[name] = parquet_table(spark, root, name, True)
+    span = {"from_date": datetime(2024, 2, 1), "to_date": datetime(2024, 2, 25), "end_status": 0}
+    account = {"email": "a@x.test", "fpoint": Decimal(0), "vip_level": 0, "num_freeship": 0, "fpoint_accrue_year": 0,
+               "num_rewarded_freeship": 0, "created_at": datetime(2024, 1, 1), "finish_warm_up_period": 0, "refer_status": 1, "refer_rule": 1}
+    given = {
+        "account": [{"customer_id": 1, "refer_code": "R1", **account}, {"customer_id": 2, "refer_code": "R2", **account}],
+        "account_attr": [{"customer_id": 1, "attribute_id": 178, "value": ""}],
+        "suborder_item": [{"suborder_id": 10, "order_id": 1, "product_id": 1, "price": Decimal(900), "qty": 1}],
+        "product": [{"product_id": 1, "sku": "a", "category_main_id": "1", "category_mid_id": "1"}],
+        "tier_rule": [{"level_id": 0, "percent_point_collect": Decimal(1), "num_freeship_award": 0, "num_point_begin_level": 0}],
+        "campaign": [{"campaign_id": 1, **span}],
+        "campaign_action": [{"action_id": 1, "action_name": "promo_fpoint", "action": "add", "value": 5}],
+        "campaign_rule": [{"rule_id": 1, "campaign_id": 1, "action_id": 1}],
+        "campaign_rule_filter": [{"rule_id": 1, "type": "grand_total", "min_value": 0}],
+        "review_rule": [{"review_campaign_id": 1, "action_name": "likes", "review_type": "like", "value": 3, "min_value": 1, **span}],
+        "order_count_rule": [{"rule_id": 1, "type": "fpoint", "number_order": 1, "value": 7, "end_status": 0}],
+        "refer_rule": [{"refer_rule_id": 1, "action": "add", "value": 9, "status": 1}],
+        "suborder_bundle": [], "company": [], "company_tier_rule": [], "ledger": [],
+    }
+    t |= {name: table(name, r) for name, r in given.items()}
+    # Orders of delivered suborders may be of any day: they are bounded by their ids.
+    of = {"accrual": t | {"orders": table("orders", rows["orders"])}, "order count": t | {"suborder": table("suborder", rows["suborder"])}}
+    of["campaign"] = of["order count"]
+    names = ("accrual", "campaign", "review", "order count", "referral")
+    paid = {job: [r["value"] for r in jobs.JOBS[job](of.get(job, t), params).ledger.collect()] for job in names}
+    assert paid == {"accrual": [9.0], "campaign": [5.0], "review": [3.0], "order count": [7.0], "referral": [9.0]}
+    with pytest.raises(Exception, match="not a Parquet file|CANNOT_READ"):
+        t["orders"].select(F.max("grand_total")).collect()
+    windows = jobs.campaign_windows(jobs.campaign_rules(t, params), params)
+    scans = {
+        "J1": scan(plan(accrual.recent_suborders(t["suborder"], params)), "delivery_timestamp"),
+        "J2": scan(plan(campaign.orders_in_windows(t["orders"], windows, params)), "grand_total"),
+        "J6": scan(plan(referral.used_codes(t["orders"], params)), "coupon_code"),
+        "J5": scan(plan(order_count.recent_orders(t["orders"], params)), "grand_total"),
+    }
+    for job, line in scans.items():
+        filters = line.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+        assert re.search(r"_day#\d+ >= ", filters), job
+        assert ("ubquery" in filters) == (job == "J2")
+
+
+def test_look_back_of_first_orders(stored, params):
+    recent = order_count.recent_orders(stored("orders"), params)
+    assert "GreaterThanOrEqual(created_at,2024-01-01T02:00)" in scan(plan(recent), "grand_total")

@@ -1,14 +1,21 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 from datetime import datetime, timedelta
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 
 from perkmill.functions import running
+from perkmill.functions.lineage import cut
 from perkmill.operators import reviews
 from perkmill.plans import jobs
+from perkmill.plans.daily import run_job
+from perkmill.schemas import schema_of
+from perkmill.sources.store import Store
+from perkmill.sources.tables import parquet_table, write_by_day
 
 START, END = datetime(2024, 1, 1), datetime(2024, 2, 1)
 
@@ -134,3 +141,67 @@ def test_editor_reviews(table, params):
         ("both@x.test", 58, 8, "rewarded", "staff"),
         ("guest@y.test", 52, 2, "not rewarded", "staff"), ("", 55, 5, "not rewarded", "staff"),
     }
+
+
+def merged(spark, parts, name):
+    schema = schema_of(name)
+    rows = [tuple(r[n] for n in schema.names) for part in parts for r in part.collect()]
+    return spark.createDataFrame(rows, schema)
+
+
+def counts(df):
+    return {(r["review_campaign_id"], r["review_id"]): r["num_like"] for r in df.collect() if r["num_like"]}
+
+
+def test_likes_are_counted_once_and_day_by_day(spark, table, params, tmp_path):
+    """Each day reads the actions since the last, late ones too; the sums equal a full recount, also for a
+    rule that's new or whose window was changed. Older days' files aren't opened."""
+    rng = random.Random(8)
+    day = timedelta(days=1)
+    rules = [rule(1, "like"), rule(2, "like"), rule(3, "like"), rule(4)]
+    rules[1]["from_date"] = START + 10.5 * day
+    at = lambda: START - 2 * day + timedelta(seconds=rng.randint(0, 36 * 86_400))
+    actions = [like(rng.randint(1, 20), rng.choice(["like", "like", "report"]), at()) for _ in range(600)]
+    arrived = lambda a: a["created_at"] + timedelta(hours=a["review_id"])
+    increments, marks, read = [], [], []
+    for k, now in enumerate([START + 5 * day, START + 6 * day, START + 20 * day, START + 21 * day, START + 50 * day]):
+        if k == 3:  # the third rule begins, the second is changed
+            rules[1]["to_date"] = START + 25 * day
+        known = [r for r in rules if k >= 3 or r["review_campaign_id"] != 3]
+        p = replace(params, as_of=now + timedelta(hours=7))
+        root = f"{tmp_path}/{k}"
+        write_by_day(table("review_action", [a for a in actions if arrived(a) <= now]), root, "review_action")
+        action = parquet_table(spark, root, "review_action", True)
+        windows = reviews.like_windows(jobs.review_windows({"review_rule": table("review_rule", known)}, p))
+        expected = counts(reviews.review_like_count(action, windows, p))
+        if k in (1, 4):  # nothing new but the day's and the late ones
+            for folder in Path(root, "review_action").glob("*=2*"):
+                if folder.name < f"created_at_day={now - 2 * day if k == 1 else START + 18 * day:%Y-%m-%d}":
+                    for file in folder.glob("*.parquet"):
+                        file.write_bytes(b"not parquet")
+                    read.append(folder)
+        held, reached = merged(spark, increments, "review_like"), merged(spark, marks, "review_like_mark")
+        total, more, marked = reviews.likes_since(action, windows, held, reached, p)
+        assert counts(total) == expected and (expected or not k)
+        increments.append(cut(more))
+        marks.append(cut(marked))
+    assert read and increments[1].count() < 60
+
+
+def test_store_keeps_likes(spark, table, params, tmp_path):
+    """Through the store: the second day pays what a full recount would."""
+    rows = [review(i, product=i) for i in range(1, 5)]
+    actions = [like(1), like(1), like(2), like(3, at=datetime(2024, 1, 14)), like(3, at=datetime(2024, 1, 15, 20))]
+    t = shop(table, [rule(1, "like", low=2)], rows, review_reward_log=[])
+    store = Store(spark, str(tmp_path), 2)
+    store.start("0", table("account", [{**account(c), "num_freeship": 0} for c in (1, 2)]), t["ledger"])
+    given = {k: v for k, v in t.items() if k not in ("ledger", "account")}
+    previous, paid = "0", []
+    for k, now in enumerate([datetime(2024, 1, 13), datetime(2024, 1, 16), datetime(2024, 1, 17)]):
+        seen = [a for a in actions if a["created_at"] < now]
+        run_job(store, "review", f"d{k}", previous, given | {"review_action": table("review_action", seen)}, replace(params, as_of=now))
+        paid.append(sorted(r["review_id"] for r in store.written("ledger", f"d{k}").collect()))
+        previous = f"d{k}"
+    assert paid == [[1], [3], []]
+    stored = store.before("review_like", "d3").groupBy("review_id").sum("num_like").collect()
+    assert {r[0]: r[1] for r in stored} == {1: 2, 2: 1, 3: 1}  # the last like is not settled yet

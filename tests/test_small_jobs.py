@@ -12,7 +12,7 @@ from perkmill.functions import running
 from perkmill.operators import email_grant, ledger, referral, tiers
 from perkmill.plans import jobs
 from perkmill.schemas import schema_of
-from perkmill.sources.email_list import read_email_list
+from perkmill.sources.email_list import numbered_lines, read_email_list
 from perkmill.sources.tables import as_contract
 
 
@@ -98,6 +98,10 @@ def test_email_list(spark, table, params, tmp_path):
         "Free shipping,,,\nno,name,phone,email\n1,a,0, C1@X.test \n2,b,0,c2@x.test,extra\n3,c,0,c1@ x.test\n"
         "4,d,0,nobody@x.test\n5,e,0,\n6,f\n7,g,0,both@x.test\n8,h,0,c1@x.test\n", encoding="utf-8")
     raw = read_email_list(spark, str(path))
+    # An address in a title row is no entry; blank lines are rows.
+    other = tmp_path / "other.csv"
+    other.write_text("by boss@x.test,,,boss@x.test\n,,,c1@x.test\n\n,,,c2@x.test\n", encoding="utf-8")
+    assert [r["email"] for r in email_grant.email_list_ingest(read_email_list(spark, str(other))).collect()] == ["c2@x.test"]
     assert sorted(r["email"] for r in email_grant.email_list_ingest(raw).collect()) == [
         "both@x.test", "c1@x.test", "c1@x.test", "c1@x.test", "c2@x.test", "nobody@x.test"]
     t = {"account": table("account", [account(1), account(2), account(9, email="both@x.test"), account(8, email="BOTH@x.test")]),
@@ -144,7 +148,7 @@ def test_classify_without_second_level(table, params):
 
 def test_email_list_is_the_same_however_it_is_split(spark, table, params, tmp_path):
     path = tmp_path / "long.csv"
-    path.write_text("".join(f"{i},n,0,c{i % 5}@x.test\n" for i in range(4_000)), encoding="utf-8")
+    path.write_text("Free shipping\nno,name,phone,email\n" + "".join(f"{i},n,0,c{i % 5}@x.test\n" for i in range(4_000)), encoding="utf-8")
     raw = read_email_list(spark, str(path))
     t = {"account": table("account", [account(c) for c in range(5)]), "ledger": table("ledger", [])}
     first = jobs.run_email_list(t, params, raw.coalesce(1), "may")
@@ -199,3 +203,20 @@ def test_contract_types_of_a_database(spark):
     got = as_contract(df, "orders")
     assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in schema_of("orders")]
     assert got.first()["created_at"] == datetime(2024, 1, 1, 8)
+
+
+@pytest.mark.parametrize("splits", [1, 7, 40])
+def test_rows_of_a_list_by_position(spark, tmp_path, splits):
+    """The same numbers however the files are split, over several files."""
+    texts = {"a": [f"x,y,z,a{i}@x.test" if i % 3 else "" for i in range(400)], "b": ["", "only,,,b@x.test"], "c": []}
+    for name, lines in texts.items():
+        (tmp_path / f"{name}.csv").write_text("".join(f"{x}\n" for x in lines), encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(1, 6000 // splits)))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        got = [(r["file"].rsplit("/", 1)[1][0], r["row_no"], r["value"]) for r in numbered_lines(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    assert sorted(got) == [(name, i, x) for name, lines in texts.items() for i, x in enumerate(lines, 1)]
