@@ -8,14 +8,16 @@ from dataclasses import dataclass, field
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
-HIDDEN = frozenset("script style template noscript head title svg math iframe object canvas audio video textarea select datalist".split())
+HIDDEN = frozenset("script style template noscript head title svg annotation annotation-xml iframe canvas audio video textarea select datalist".split())
 #: Elements whose content runs to their end tag, whatever is in it.
 RAW = frozenset("script style textarea title noscript iframe".split())
-#: Elements that are part of the text of the block around them.
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter output progress q ruby rb rp rt "
-    "s samp small span strike strong sub sup time tt u var wbr button input".split()
+#: Elements whose start ends an open paragraph.
+ENDS_P = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hgroup li listing main menu nav ol p pre search section summary table ul xmp".split()
 )
+#: Elements that are blocks of their own; all others, unknown ones too, are part of the text around them.
+BLOCKS = ENDS_P | frozenset("html body caption colgroup legend optgroup option tbody td tfoot th thead tr".split())
 #: What an element's start closes, if open, up to an element that holds it.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
@@ -40,7 +42,8 @@ class Node:
 
 
 def parse(page: str) -> list[Node]:
-    """Blocks in page order; the first is the page itself. Hidden content isn't there."""
+    """Blocks in page order; the first is the page itself. Hidden content isn't there; the text of formulas
+    and of embedded objects stands in the block around them."""
     nodes = [Node("#page", "", -1, 0)]
     # Open elements: tag, block they belong to, whether the tag is hidden.
     stack: list[tuple[str, int]] = [("#page", 0)]
@@ -83,20 +86,22 @@ def parse(page: str) -> list[Node]:
             if tag == "br":
                 text(" ")
             else:
-                close({tag}, WALLS if tag in INLINE or tag in ("p", "li") else frozenset())
+                close({tag}, WALLS if tag not in BLOCKS | HIDDEN or tag in ("p", "li") else frozenset())
             continue
         if tag in VOID:
+            if tag == "hr" and not hidden:
+                close({"p"}, WALLS)
             text(" " if tag == "br" else "")
             if tag not in ("br", "hr") and not hidden:
                 nodes[stack[-1][1]].inline += 1
             continue
-        if tag not in INLINE:
-            if tag not in HIDDEN:
-                close({"p"}, WALLS)
-            if tag in CLOSES:
-                close(CLOSES[tag], HOLDS[tag])
+        # What is hidden ends nothing outside.
+        if tag in ENDS_P and not hidden:
+            close({"p"}, WALLS)
+        if tag in CLOSES and not hidden:
+            close(CLOSES[tag], HOLDS[tag])
         owner = stack[-1][1]
-        if tag in INLINE or tag in HIDDEN or hidden:
+        if tag not in BLOCKS or hidden:
             nodes[owner].inline += not hidden
         else:
             words = " ".join(next(filter(None, a[1:]), "") for a in ATTRIBUTE.findall(m[3])) if m[3] else ""

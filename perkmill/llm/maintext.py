@@ -74,16 +74,20 @@ def features(nodes: list[Node]) -> np.ndarray:
         inherits = [*words[p], *groups[p][5:12]]
         above[i] = np.maximum(above[p], inherits)
     total = max(size[0], 1.0)
+    place = [0] * n
+    for x in nodes:
+        for k, child in enumerate(x.children):
+            place[child] = k
     out = np.zeros((n, 15))
     for i, x in enumerate(nodes):
         kin = nodes[x.parent].children if x.parent >= 0 else [i]
-        k = kin.index(i) if len(kin) < 50 else -1
+        k = place[i]
         length = max(size[i], 1.0)
         around = max(size[x.parent], 1.0) if x.parent >= 0 else length
         out[i] = (
             math.log1p(size[i]), math.log1p(own[i]), links[i] / length, stops[i] / length, size[i] / tags[i], paragraphs[i],
             len(x.children), x.depth, k / len(kin), math.log1p(len(kin)), size[i] / total, size[i] / around,
-            math.log1p(size[kin[k - 1]]) if k > 0 else -1.0, math.log1p(size[kin[k + 1]]) if 0 <= k < len(kin) - 1 else -1.0, tags[i],
+            math.log1p(size[kin[k - 1]]) if k > 0 else -1.0, math.log1p(size[kin[k + 1]]) if k < len(kin) - 1 else -1.0, tags[i],
         )
     return np.concatenate([np.array(groups, float), np.array(words, float), above, out], axis=1)
 
@@ -112,8 +116,12 @@ def made_page(rng: random.Random, texts: list[str]) -> str:
     def some(*kinds: str) -> str:
         return rng.choice(kinds)
 
+    def many(usual: int) -> int:
+        """Now and then as many siblings as long pages have."""
+        return rng.randint(50, 300) if rng.random() < 0.02 else usual
+
     def menu() -> str:
-        items = "".join(f'<li><a href="/{k}">{line(1, 3)}</a></li>' for k in range(rng.randint(2, 9)))
+        items = "".join(f'<li><a href="/{k}">{line(1, 3)}</a></li>' for k in range(many(rng.randint(2, 9))))
         return some(f"<nav><ul>{items}</ul></nav>", f"<nav class=main-nav>{items}</nav>", f'<div class="{some("menu", "navbar", "site-navigation", "breadcrumbs", "pagination")}"><ul>{items}</ul></div>', f'<div role="navigation"><ul>{items}</ul></div>')
 
     def header() -> str:
@@ -139,7 +147,7 @@ def made_page(rng: random.Random, texts: list[str]) -> str:
 
     def comments() -> str:
         tag = some("div", "section", "li", "article")
-        each = "".join(f'<{tag} class="comment">{some("", f"<b>{line(1, 2)}</b>", f"<h4>{line(1, 2)}</h4>")}<p>{line(3, 60)}</p></{tag}>' for _ in range(rng.randint(1, 6)))
+        each = "".join(f'<{tag} class="comment">{some("", f"<b>{line(1, 2)}</b>", f"<h4>{line(1, 2)}</h4>")}<p>{line(3, 60)}</p></{tag}>' for _ in range(many(rng.randint(1, 6))))
         return f'<{(t := some("div", "section"))} {some("id", "class")}="{some("comments", "comment-list", "responses", "discussion", "reader-comments")}">{some("", f"<h3>{line(1, 2)}</h3>")}{each}</{t}>'
 
     def footer() -> str:
@@ -150,7 +158,7 @@ def made_page(rng: random.Random, texts: list[str]) -> str:
         parts = []
         if rng.random() < 0.8:
             parts.append(f"<{(h := some('h1', 'h1', 'h2'))} data-main>{line(1, 10)}</{h}>")
-        for _ in range(rng.choice([1, 1, 2, 3, 5, 8, 14])):
+        for _ in range(many(rng.choice([1, 1, 2, 3, 5, 8, 14]))):
             long = rng.choice(texts) if rng.random() < 0.75 else line(1, 6)
             kind = rng.random()
             if kind < 0.8:
@@ -221,16 +229,18 @@ def extract(model: Boosted, pages: list[str]) -> list[str]:
 
 def train(pages: DataFrame, html: str = "html", page_id: str = "page_id") -> Boosted:
     """Learns from the paragraphs of at most `SAMPLE_PAGES` pages, those with the lowest hashes of
-    their id; ids are chosen first, so only the chosen pages leave the executors."""
-    ids = pages.filter(F.col(html).isNotNull() & F.col(page_id).isNotNull()).select(page_id).orderBy(F.xxhash64(page_id), page_id).limit(SAMPLE_PAGES)
+    their id; ids are chosen first, so only the chosen pages leave the executors. Of rows that share an
+    id one page is; an empty table gives a model of made text alone."""
+    known = pages.filter(F.col(html).isNotNull() & F.col(page_id).isNotNull())
+    ids = known.select(page_id).distinct().orderBy(F.xxhash64(page_id), page_id).limit(SAMPLE_PAGES)
     chosen = [r[0] for r in ids.collect()]
-    rows = pages.filter(F.col(page_id).isin(chosen) & F.col(html).isNotNull()).select(html).limit(SAMPLE_PAGES).collect() if chosen else []
+    rows = known.filter(F.col(page_id).isin(chosen)).groupBy(page_id).agg(F.min(html).alias("_html")).select("_html").collect() if chosen else []
     texts = {" ".join("".join(c for c in n.content if isinstance(c, str)).split()) for r in rows for n in parse(r[0]) if n.tag == "p"}
     return learn([t.replace("&", "&amp;").replace("<", "&lt;") for t in texts if t])
 
 
 def main_text(spark: SparkSession, model: Boosted, html: Column) -> Column:
-    """The main text of a whole page; null and empty pages have none."""
+    """The main text of a whole page; null and empty pages have none, repeated rows each their own."""
     ready_for_python(spark)
 
     @F.arrow_udf("string")
