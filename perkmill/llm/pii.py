@@ -19,8 +19,9 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,10 @@ KINDS = ("email", "ip", "card", "phone")
 CONTEXT, REFUSED = "context", "refused"
 #: Rounds of scoring, threshold of a pattern, distinct seeds it needs, words of context on either side.
 ROUNDS, BELIEVED, LEAST_SEEDS, CONTEXT_WORDS = 3, 0.8, 5, 2
+#: Longer words of a context go by a hash, of this base; it has an inverse modulo 2**64.
+LONG_WORD, BASE = 64, 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 2**64)
+_SPACES = np.array([chr(c).isspace() for c in range(0x3002)])
 
 # Fixed patterns. Each is written so that a run that can't match is passed once.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -124,38 +129,105 @@ def shape(token: str) -> str:
     return "<number>" if sum(c.isdigit() for c in token) >= 7 else "<short>"
 
 
-def patterns(text: str, start: int, end: int) -> list[str]:
+class Surroundings:
+    """The words around places of a text, however long they are and however far apart.
+
+    Word boundaries are found once. A word of more than `LONG_WORD` characters goes by a hash of all of
+    it: sums of its characters times powers of `BASE`, from running sums over the text, so that parts of
+    one very long word around very many places still take one pass.
+    """
+
+    def __init__(self, text: str):
+        self.text = text
+        self.codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        inside = np.ones(len(self.codes) + 2, bool)
+        inside[[0, -1]] = False
+        inside[1:-1] = ~_SPACES[np.minimum(self.codes, len(_SPACES) - 1)]
+        self.starts = np.flatnonzero(inside[1:-1] & ~inside[:-2])
+        self.ends = np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
+        self.sums: np.ndarray | None = None
+
+    def name(self, start: int, end: int) -> str:
+        if end - start <= LONG_WORD:
+            return self.text[start:end].lower()
+        if self.sums is None:
+            n = len(self.codes)
+            lower = self.codes + np.where((self.codes > 64) & (self.codes < 91), 32, 0).astype(np.uint32)
+            powers = np.full(n, BASE, np.uint64)
+            powers[:1] = 1
+            np.cumprod(powers, out=powers)
+            self.sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(lower.astype(np.uint64) * powers, out=self.sums[1:])
+        # Divided by the power at its start, a word's sum is the same wherever it stands.
+        total = (int(self.sums[end]) - int(self.sums[start])) * pow(INVERSE, start, 2**64) % 2**64
+        return f"#{end - start}:{total:x}"
+
+    def before(self, place: int, n: int) -> list[str]:
+        """The last `n` words before a place, one that it stands in up to there."""
+        last = int(np.searchsorted(self.starts, place))
+        first = max(0, last - n)
+        return [self.name(a, min(b, place)) for a, b in zip(self.starts[first:last].tolist(), self.ends[first:last].tolist(), strict=True)]
+
+    def after(self, place: int) -> str:
+        """The word after a place, the rest of one that it stands in; none at the end."""
+        k = int(np.searchsorted(self.ends, place, "right"))
+        return self.name(max(int(self.starts[k]), place), int(self.ends[k])) if k < len(self.ends) else ""
+
+
+def patterns(around: Surroundings, start: int, end: int) -> list[str]:
     """Contexts of a place with the shape of what stands there: the words before it, and those on
     either side, in lower case."""
-    before = text[max(0, start - 80) : start].lower().split()[-CONTEXT_WORDS:]
-    after = text[end : end + 40].lower().split()[:1]
+    before = around.before(start, CONTEXT_WORDS)
     if not before:
         return []
-    own = shape(text[start:end])
-    return [f"{' '.join(before)} {own}", f"{before[-1]} {own} {' '.join(after)}"]
+    own = shape(around.text[start:end])
+    return [f"{' '.join(before)} {own}", f"{before[-1]} {own} {around.after(end)}"]
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans put together where they overlap, by start."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], b)
+        else:
+            out.append((a, b))
+    return out
 
 
 def entities(text: str) -> list[dict]:
+    """Entities of a text (`found_entities`), with the words around them taken only where there are any."""
+    around: list[Surroundings] = []
+
+    def contexts(start: int, end: int) -> list[str]:
+        if not around:
+            around.append(Surroundings(text))
+        return patterns(around[0], start, end)
+
+    return found_entities(text, contexts)
+
+
+def found_entities(text: str, contexts: Callable[[int, int], list[str]]) -> list[dict]:
     """Base spans and candidates of a text with their contexts; candidates overlap no base span. A token
     that overlaps a run of digit groups has that run's start as its `place`, all others their own."""
     matched = list(checked(text))
     base = [(k, a, b) for k, a, b, good in matched if good]
     out = [
-        {"kind": KINDS[k], "start": a, "end": b, "place": a, "run": False, "name": digest(text[a:b]), "patterns": patterns(text, a, b)}
+        {"kind": KINDS[k], "start": a, "end": b, "place": a, "run": False, "name": digest(text[a:b]), "patterns": contexts(a, b)}
         for k, a, b in base
     ]
-    taken = sorted((a, b) for _, a, b in base)
-    refused = sorted((a, b) for k, a, b, good in matched if not good and refuses(k, text[a:b]))
+    taken = merged([(a, b) for _, a, b in base])
+    refused = merged([(a, b) for k, a, b, good in matched if not good and refuses(k, text[a:b])])
     groups = list(runs(text, taken))
 
     def last(spans: list[tuple[int, int]], a: int, b: int) -> tuple[int, int] | None:
-        """The last of the spans that start before `b`, if it ends after `a`."""
+        """Of spans apart from each other the last that starts before `b`, if it ends after `a`."""
         return spans[i - 1] if (i := bisect(spans, (b, -1))) > 0 and spans[i - 1][1] > a else None
 
     def candidate(a: int, b: int, place: int, run: bool) -> None:
         if sum(c.isalnum() for c in text[a:b]) >= 5:
             kind = REFUSED if last(refused, a, b) else CONTEXT
-            out.append({"kind": kind, "start": a, "end": b, "place": place, "run": run, "name": digest(text[a:b]), "patterns": patterns(text, a, b)})
+            out.append({"kind": kind, "start": a, "end": b, "place": place, "run": run, "name": digest(text[a:b]), "patterns": contexts(a, b)})
 
     for m in TOKEN.finditer(text):
         raw = m[0].strip(".,;:!?()[]{}\"'<>")
@@ -266,26 +338,31 @@ def personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     return out.select(F.col(doc_id).alias("doc_id"), shown.alias("spans"))
 
 
+def mask(text: str, spans: list[dict]) -> str:
+    """`text` with spans (`rank`, `start`, `end`) replaced by their kinds."""
+    pieces, at = [], 0
+    for s in sorted(spans, key=lambda s: (s["start"], -s["end"], s["rank"])):
+        if s["start"] >= at:
+            pieces += [text[at : s["start"]], f"[{(*KINDS, CONTEXT)[s['rank']].upper()}]"]
+        # What an overlapping span has beyond the one before it goes too.
+        at = max(at, s["end"])
+    return "".join([*pieces, text[at:]])
+
+
 def masked(docs: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:
     """`docs` with every span in `text` replaced by its kind in brackets; of overlapping spans the one
     that starts first (then the longest) is replaced whole and the rest of the others left out.
     `length` names a column that holds the text's code points; it follows. A null text stays null."""
     out, spans = redetected(docs, text)
-    labels = F.array(*[F.lit(f"[{k.upper()}]") for k in (*KINDS, CONTEXT)])
-    order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("last"), s["rank"].alias("rank"))))
-
-    def step(acc: Column, s: Column) -> Column:
-        end = -s["last"]
-        piece = F.substring(F.col(text), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return (
-            F.when(s["start"] >= acc["at"], F.struct(F.concat(acc["out"], piece, labels[s["rank"]]).alias("out"), end.alias("at")))
-            # What an overlapping span has beyond the one before it goes too.
-            .otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], end).alias("at")))
-        )
-
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
-    whole = F.aggregate(order, zero, step, lambda acc: F.concat(acc["out"], F.substring(F.col(text), (acc["at"] + 1).cast("int"), F.length(text))))
-    clean = out.withColumn(text, F.when(F.size(spans) > 0, whole).otherwise(F.col(text)))
+
+    @F.arrow_udf("string")
+    def run(texts: pa.Array, found: pa.Array) -> pa.Array:
+        pairs = zip(texts.to_pylist(), found.to_pylist(), strict=True)
+        return pa.array([t if t is None else mask(t, s) for t, s in pairs], pa.string())
+
+    # Only texts with spans go through Python once more.
+    some = F.size(spans) > 0
+    clean = out.withColumn(text, F.when(some, run(F.when(some, F.col(text)), F.when(some, F.col(spans)))).otherwise(F.col(text)))
     if length:
         kind = dict(docs.dtypes)[length]
         clean = clean.withColumn(length, F.when(F.size(spans) > 0, F.length(text).cast(kind)).otherwise(F.col(length)))
