@@ -3,16 +3,22 @@
 A token is a run of at least `MIN_TOKEN` characters of the usual encodings. Its encoding is inferred
 from its characters, which become numbers in that alphabet. Three tests ask whether these could be
 drawn uniformly and independently: chi-squared uniformity, runs about the middle, and correlation of
-neighbours. A token that any of them rejects (at `ALPHA`, Bonferroni) isn't random.
+neighbours.
 
 Short tokens pass such tests easily, so a token is also tested against the opposite hypothesis, that it
-is made of words, names and numbers (`wordlike`, which tells tokens of 20 characters apart). Digits make
-no words; a token of digits alone is tested against a choice from half of the alphabet only: the share
-of equal pairs of symbols then has a mean and a spread that shrinks with length. A token that the battery
-rejects has a p-value of 1. Over all tokens of the corpus, for each encoding and doubling of length by
-itself, the Benjamini-Hochberg step keeps the share of false discoveries below `RATE`.
-
-Everything is Spark expressions; only the counts of p-values in fixed bins reach the driver.
+is made of words, names and numbers (`wordlike`, fitted to the corpus' own shorter tokens, which tells
+tokens of 20 characters apart). Digits make no words; a token of digits alone is tested against a choice
+from half of the alphabet only: the share of equal pairs of symbols then has a mean and a spread that
+shrinks with length.
+
+All four make one p-value: that of the opposite hypothesis, divided by the battery's (three times the
+least of its three p-values) over `SOFT` where that's below 1; where the battery's is below `ALPHA`, it's 1.
+A token that the battery doubts loses evidence, one that it rejects all; and as a p-value only grows by
+this, the control holds. Over all tokens of the corpus, for each encoding and doubling of length by itself, the
+Benjamini-Hochberg step keeps the share of false discoveries below `RATE`.
+
+Everything is Spark expressions; only counts of p-values in fixed bins and of pairs of characters reach
+the driver.
 """
 
 from __future__ import annotations
@@ -23,8 +29,8 @@ from pyspark.sql import functions as F
 from perkmill.functions.lineage import cut
 
 from .common import exact_text, let, read
-from .spans import matches
-from .wordlike import evidence
+from .spans import matches, overlapped
+from .wordlike import Chains, pairs_of_short_tokens
 
 # Fixed patterns of the base kinds.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -34,7 +40,8 @@ KINDS = ("assign", "access", "hex", "random")
 
 MIN_TOKEN = 20
 TOKEN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}+"
-ALPHA, RATE = 0.01, 0.01
+#: Below `SOFT` the battery's p-value raises a token's, below `ALPHA` it rejects the token.
+SOFT, ALPHA, RATE = 0.1, 0.01, 0.01
 #: p-values are counted in bins of a quarter of a decade, down to 1e-20.
 BINS, PER_DECADE = 80, 4
 #: More than the length classes of an encoding.
@@ -134,48 +141,45 @@ def statistics(t: Column) -> Column:
 
 
 def verdict(t: Column) -> Column:
+    """`random` (the battery doesn't reject it), `against`: decades that the three tests take from its
+    evidence; `half`: -log10 of its p-value against a choice from half of the alphabet."""
     least = F.least(upper_tail(t["chi"]), 2 * upper_tail(F.abs(t["runs"])), 2 * upper_tail(F.abs(t["serial"])))
     p = F.greatest(upper_tail(-t["half"]), F.lit(1e-300))
     return F.struct(
         (3 * least >= ALPHA).alias("random"),
+        F.greatest(F.lit(0.0), F.log10(SOFT / F.greatest(3 * least, F.lit(1e-300)))).alias("against"),
         F.floor(F.log2(t["n"])).cast("int").alias("length_class"),
-        F.least(F.lit(BINS), F.floor(-PER_DECADE * F.log10(p))).cast("int").alias("bin"),
         (-F.log10(p)).alias("half"),
     )
 
 
-def battery(token: Column) -> Column:
-    """Struct `random` (no test rejects it), `length_class`, `bin` (of its p-value against half an alphabet)."""
-    return let(symbols(token), lambda a: let(counted(a), lambda b: let(moments(b), lambda c: let(statistics(c), verdict))))
-
-
-def judged(token: Column) -> Column:
-    """Struct `random`, `length_class` (of the token's encoding), `bin` (of its p-value; 0 if the battery
-    rejects it, which only makes the p-value larger, so that the control over all tokens holds)."""
+def judged(token: Column, chains: Chains) -> Column:
+    """Struct `length_class` (of the token's encoding), `bin` (of its p-value, up to `BINS`; 0 if the battery
+    rejects it)."""
 
     def both(b: Column) -> Column:
         own = F.struct(
             let(moments(b), lambda c: let(statistics(c), verdict)).alias("t"),
-            evidence(b["x"], b["k"], [alphabet for _, alphabet, _ in ENCODINGS]).alias("words"),
+            chains.evidence(b["x"], b["k"]).alias("words"),
             b["k"].cast("int").alias("k"),
         )
         return let(own, placed)
 
     def placed(o: Column) -> Column:
-        place = F.when(o["k"] == len(DIGITS), o["t"]["half"]).otherwise(o["words"])
-        bin_ = F.greatest(F.lit(0), F.least(F.lit(BINS), F.floor(PER_DECADE * place))).cast("int")
+        place = F.when(o["k"] == len(DIGITS), o["t"]["half"]).otherwise(o["words"]) - o["t"]["against"]
         return F.struct(
-            o["t"]["random"].alias("random"),
             (o["k"] * CLASSES + o["t"]["length_class"]).alias("length_class"),
-            F.when(o["t"]["random"], bin_).otherwise(0).alias("bin"),
+            F.when(o["t"]["random"], F.greatest(F.lit(0), F.least(F.lit(BINS), F.floor(PER_DECADE * place))).cast("int")).otherwise(0).alias("bin"),
         )
 
     return let(symbols(token), lambda a: let(counted(a), both))
 
 
 def scanned(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """`keep`, base spans and tested tokens of each row, written out: texts are read once."""
+    """`keep`, base spans and tested tokens of each row, written out. Texts are read twice: for the chains,
+    then for the tokens."""
     body = exact_text(text)
+    chains = Chains([alphabet for _, alphabet, _ in ENCODINGS], pairs_of_short_tokens(docs, text))
     assign = F.filter(matches(body, ASSIGN), lambda m: F.length(F.regexp_extract(m["match"], ASSIGN, 2)) >= 12)
 
     def kind(spans: Column, rank: int) -> Column:
@@ -184,7 +188,7 @@ def scanned(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     base = F.concat(kind(assign, 0), kind(matches(body, ACCESS), 1), kind(matches(body, HEX), 2))
     tokens = F.transform(
         matches(body, TOKEN),
-        lambda m: F.struct(m["start"].alias("start"), F.lit(3).alias("rank"), m["end"].alias("end"), judged(m["match"]).alias("t")),
+        lambda m: F.struct(m["start"].alias("start"), F.lit(3).alias("rank"), m["end"].alias("end"), judged(m["match"], chains).alias("t")),
     )
     return cut(docs.select(*keep, F.array_sort(base).alias("_base"), tokens.alias("_tokens")))
 
@@ -208,12 +212,13 @@ def found_in(scans: DataFrame, lowest: dict[int, int]) -> DataFrame:
     """Adds `_spans`: base spans and the discoveries that overlap none of them, by start and kind."""
     if lowest:
         edges = F.create_map(*[F.lit(x) for pair in sorted(lowest.items()) for x in pair])
-        good = lambda t: t["t"]["random"] & F.coalesce(t["t"]["bin"] >= F.element_at(edges, t["t"]["length_class"]), F.lit(False))
+        good = lambda t: (t["t"]["bin"] > 0) & F.coalesce(t["t"]["bin"] >= F.element_at(edges, t["t"]["length_class"]), F.lit(False))
     else:
         good = lambda t: F.lit(False)
     base = F.col("_base")
-    apart = lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-    own = F.transform(F.filter("_tokens", lambda t: good(t) & apart(t)), lambda t: F.struct(t["start"], t["rank"], t["end"]))
+    found = F.filter("_tokens", good)
+    apart = overlapped(found, base, lambda meets: F.filter(found, lambda t: ~meets(t)))
+    own = F.transform(apart, lambda t: F.struct(t["start"], t["rank"], t["end"]))
     return scans.withColumn("_spans", F.array_sort(F.concat(base, own.cast("array<struct<start:bigint,rank:int,end:bigint>>"))))
 
 

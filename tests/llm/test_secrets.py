@@ -3,10 +3,12 @@ import math
 import random
 import re
 import string
+import time
+from collections import Counter
 
 from pyspark.sql import functions as F
 
-from perkmill.llm import secrets
+from perkmill.llm import secrets, spans, wordlike
 
 
 def brute(text):
@@ -23,8 +25,11 @@ def tail(z):
     return math.erfc(z / math.sqrt(2)) / 2
 
 
-def brute_battery(token):
-    """(random, p-value against half an alphabet) in plain Python."""
+CHAINS = wordlike.Chains([a for _, a, _ in secrets.ENCODINGS], {("", "q"): 900, ("q", "z"): 5000, ("z", "7"): 400, ("7", "Q"): 30})
+
+
+def brute_judged(token):
+    """(length class of its encoding, -log10 of its p-value in bins, or 0) in plain Python."""
     for pattern, alphabet, fold in secrets.ENCODINGS:
         if re.search(pattern, token):
             break
@@ -42,7 +47,14 @@ def brute_battery(token):
     serial = (sum((a - mean) * (b - mean) for a, b in zip(x, x[1:], strict=False)) / spread + 1 / n) * math.sqrt(n) if spread else secrets.NEVER
     half = 2 / k
     z = ((squares - n) / (n * (n - 1)) - half) / math.sqrt(2 * half * (1 - half) / (n * (n - 1)))
-    return 3 * min(tail(chi), 2 * tail(abs(runs)), 2 * tail(abs(serial))) >= secrets.ALPHA, tail(-z)
+    battery = 3 * min(tail(chi), 2 * tail(abs(runs)), 2 * tail(abs(serial)))
+    if k == 10:
+        own = -math.log10(max(tail(-z), 1e-300))
+    else:
+        chance = [CHAINS.chances(a, alphabet)[alphabet.index(b)] for a, b in zip(["", *s], s, strict=False)]
+        own = max(0.0, -sum(math.log10(q * k) for q in chance) - math.log10(len(secrets.ENCODINGS)))
+    place = secrets.PER_DECADE * (own - max(0.0, math.log10(secrets.SOFT / max(battery, 1e-300))))
+    return k * secrets.CLASSES + int(math.log2(n)), place if battery >= secrets.ALPHA else 0.0, battery
 
 
 def tokens():
@@ -52,14 +64,73 @@ def tokens():
     return [*out, "a" * 30, "ab" * 20, "therethingandthation" * 3, "some-long-words-in-a-path_and/so-on", "A" * 19 + "=="]
 
 
-def test_battery(spark):
+def test_judged_equals_plain_python(spark):
+    """Encodings, the three tests, the chains and how they make one p-value."""
     df = spark.createDataFrame([(t,) for t in tokens()], "t string")
-    for r in df.select("t", secrets.battery(df.t).alias("b")).collect():
-        good, p = brute_battery(r.t)
-        assert r.b.random == good, r.t
-        assert r.b.length_class == int(math.log2(len(r.t.replace("=", ""))))
-        place = -secrets.PER_DECADE * math.log10(max(p, 1e-300))
-        assert abs(place - round(place)) < 1e-4 or r.b.bin == min(secrets.BINS, math.floor(place)), r.t
+    bins, doubted = set(), 0
+    for r in df.select("t", secrets.judged(df.t, CHAINS).alias("b")).collect():
+        length_class, place, battery = brute_judged(r.t)
+        assert r.b.length_class == length_class, r.t
+        want = max(0, min(secrets.BINS, math.floor(place)))
+        near = abs(place - round(place)) < 1e-2 or abs(battery - secrets.ALPHA) < 1e-5
+        assert r.b.bin == want or (near and abs(r.b.bin - want) <= 1), (r.t, place)
+        bins.add(want)
+        doubted += secrets.ALPHA <= battery < secrets.SOFT
+    assert len(bins) > 12 and doubted
+
+
+def test_pairs_of_the_corpus_fit_the_chains(spark):
+    docs = spark.createDataFrame([(1, "abcdefghij k ab-9cd/Efgh x abcdefghijklmnopqrst"), (1, "abcdefghij"), (2, None), (3, "")], "doc_id int, text string")
+    want = Counter()
+    for t in ("abcdefghij", "ab-9cd/Efgh", "abcdefghij"):
+        want.update(zip(["", *t], t, strict=False))
+    assert wordlike.pairs_of_short_tokens(docs, "text") == want
+    fitted = wordlike.Chains(["ab"], {("a", "b"): 10**9})
+    assert fitted.chances("a", "ab")[1] > 0.9 > 0.5 < wordlike.Chains(["ab"]).chances("b", "ab")[0]
+
+
+def running(values, step):
+    out = []
+    for v in values:
+        out.append(v if not out else step(out[-1], v))
+    return out
+
+
+def test_running_folds(spark):
+    rng = random.Random(2)
+    rows = [([rng.randint(-5, 9) for _ in range(n)],) for n in (0, 1, 2, 3, 4, 5, 9, 10, 11, 100, 1000)]
+    df = spark.createDataFrame(rows, "v array<bigint>")
+    got = df.select("v", spans.scan(df.v, lambda a, x: a + x).alias("s"), spans.scan(df.v, lambda a, x: F.greatest(a, x)).alias("m")).collect()
+    for r in got:
+        assert r.s == running(r.v, lambda a, x: a + x) and r.m == running(r.v, max)
+
+
+def test_overlaps(spark):
+    rng = random.Random(7)
+    span = lambda: (a := rng.randint(0, 40), a + rng.randint(1, 9))
+    rows = [(sorted(span() for _ in range(rng.randint(0, 8))), [span() for _ in range(6)]) for _ in range(200)]
+    kind = "array<struct<start:bigint,end:bigint>>"
+    df = spark.createDataFrame(rows, f"known {kind}, asked {kind}")
+    got = df.select("known", "asked", spans.overlapped(df.asked, df.known, lambda meets: F.transform("asked", meets)).alias("o")).collect()
+    for r in got:
+        assert r.o == [any(k.start < a.end and a.start < k.end for k in r.known) for a in r.asked]
+
+
+def test_long_texts_of_many_matches(spark):
+    """Time in proportion to the text: 1 and 4 MB of hashes."""
+    rng = random.Random(1)
+
+    def run(size):
+        text = " ".join(f"{rng.getrandbits(160):040x}" for _ in range(size // 41))
+        df = spark.createDataFrame([(1, text)], "doc_id int, text string")
+        start = time.perf_counter()
+        (r,) = secrets.secrets(df).select("doc_id", F.size("base").alias("n"), F.size("spans").alias("m")).collect()
+        assert r.n == r.m == size // 41
+        return time.perf_counter() - start
+
+    run(200_000)
+    one, four = run(1_000_000), run(4_000_000)
+    assert four < 45 and four < 8 * one
 
 
 def test_query(spark, sf_dir):
@@ -95,7 +166,7 @@ def test_rates_and_edges(spark):
 
 
 def test_discoveries_hold_the_rate(spark):
-    df = spark.range(1).select(F.array(*[F.struct(F.struct(F.lit(True).alias("random"), F.lit(5).alias("length_class"), F.lit(b).alias("bin")).alias("t")) for b in [0] * 90 + [16] * 10]).alias("_tokens"))
+    df = spark.range(1).select(F.array(*[F.struct(F.struct(F.lit(5).alias("length_class"), F.lit(b).alias("bin")).alias("t")) for b in [0] * 90 + [16] * 10]).alias("_tokens"))
     # 100 tests, 10 of them at 1e-4: the step passes from p = 0.001 * 10 / 100 on, the 12th bin's edge.
     assert secrets.discoveries(df, 0.01) == {5: 12}
     assert secrets.discoveries(df.limit(0)) == {}
