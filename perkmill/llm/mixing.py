@@ -97,10 +97,10 @@ def budgets(sources: DataFrame, target: float = TARGET_ENTROPY, most_passes: flo
 
 
 def mix(docs: DataFrame, tokens: str, source: str, doc_id: str, target: float = TARGET_ENTROPY, most_passes: float = MOST_PASSES, cover: bool = False, total: int | None = None) -> DataFrame:
-    """`row`, `pass` (from 0), `block` (from 0): which rows the mix holds, and where.
+    """`row`, `id`, `source`, `tokens`, `pass` (from 0), `block` (from 0): which rows the mix holds, and where.
 
-    `docs` has `tokens`, `source` (null is a source of its own), `doc_id` and `row`, a number of its
-    own for each row. A row without tokens goes with its source's permutations like any other; a source
+    `docs` has `tokens`, `source` (null is a source of its own), `doc_id` and `row`, which tells each row
+    from the others. A row without tokens goes with its source's permutations like any other; a source
     without any tokens isn't in the mix. A budget that ends inside a document leaves it out.
     """
     name = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
@@ -118,10 +118,10 @@ def mix(docs: DataFrame, tokens: str, source: str, doc_id: str, target: float =
     plan = cut(plan)
     blocks = max(1, math.ceil((plan.agg(F.sum("size")).first()[0] or 0) / BLOCK))
     placed = rows.join(plan, "source").withColumn("pass", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("passes"))))
-    # In [0, 1): the place in this pass of the source; rows with the same id differ by their number.
+    # In [0, 1): the place in this pass of the source; rows with the same id differ by what tells them apart.
     place = F.xxhash64(F.lit(SEED), "source", "pass", "id", "row").bitwiseAND(F.lit(2**52 - 1)) / float(2**52)
     placed = placed.withColumn("place", place).withColumn("cell", F.floor(F.col("place") * F.col("cells")))
-    whole = placed.filter(F.col("pass") < F.col("passes")).select("row", "pass", "place", "length")
+    whole = placed.filter(F.col("pass") < F.col("passes")).select("row", "id", "source", "tokens", "pass", "place", "length")
     last = placed.filter((F.col("pass") == F.col("passes")) & (F.col("rest") > 0))
     cells = last.groupBy("source", "cell").agg(F.sum("tokens").alias("in_cell"))
     before = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -132,12 +132,26 @@ def mix(docs: DataFrame, tokens: str, source: str, doc_id: str, target: float =
     # A source's whole passes, then its part of one, stretch over all blocks in this order.
     chosen = whole.unionByName(part.select(whole.columns))
     block = F.floor((F.col("pass") + F.col("place")) / F.col("length") * blocks)
-    return chosen.select("row", F.col("pass").cast("int").alias("pass"), F.least(block, F.lit(blocks - 1)).cast("bigint").alias("block"))
+    named = F.when(F.col("source") != "", F.substr("source", F.lit(2))).alias("source")
+    return chosen.select("row", "id", named, "tokens", F.col("pass").cast("int").alias("pass"), F.least(block, F.lit(blocks - 1)).cast("bigint").alias("block"))
 
 
-def numbered(docs: DataFrame, source: str, doc_id: str, text: str) -> DataFrame:
-    """`docs`' ids, sources and token counts with a number for each row, written out."""
-    return cut(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_tokens(F.col(text)).alias("tokens"), F.monotonically_increasing_id().alias("row")))
+#: Copies of a row that are made from its count at a time.
+COPIES = 1 << 16
+
+
+def told_apart(docs: DataFrame, source: str, doc_id: str, text: str) -> DataFrame:
+    """`docs`' ids, sources and token counts with a `row` for each: the row's content and its number among
+    the rows that are alike in everything. It's the same however the table is split or ordered.
+
+    Such rows are counted and written out as often as they occur, so none need to be ordered.
+    """
+    one = docs.select(row_key(docs, text).alias("key"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_tokens(F.col(text)).alias("tokens"))
+    alike = one.groupBy("key", "doc_id", "source", "tokens").agg(F.count(F.lit(1)).alias("n"))
+    parts = alike.withColumn("first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(COPIES).cast("bigint"))))
+    copies = F.explode(F.sequence(F.col("first"), F.least(F.col("first") + COPIES, F.col("n")) - 1))
+    each = parts.withColumn("copy", copies)
+    return cut(each.select("doc_id", "source", "tokens", F.struct("key", "copy").alias("row")))
 
 
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", target: float = TARGET_ENTROPY, most_passes: float = MOST_PASSES, cover: bool = True) -> DataFrame:
@@ -145,16 +159,10 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: s
     read twice. Rows that are alike in everything are repeated together."""
     key, times = free(docs, "row_key", "times")
     keyed = docs.withColumn(key, row_key(docs, text))
-    rows = cut(
-        keyed.select(
-            F.col(key).alias("key"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
-            n_tokens(F.col(text)).alias("tokens"), F.monotonically_increasing_id().alias("row"),
-        )
-    )
-    chosen = mix(rows, "tokens", "source", "doc_id", target, most_passes, cover).join(rows.select("row", "key"), "row")
+    rows = told_apart(docs, source, doc_id, text)
+    chosen = mix(rows, "tokens", "source", "doc_id", target, most_passes, cover).select(F.col("row.key").alias("key"))
     often = cut(chosen.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("times")))
-    alike = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    one = keyed if alike.isEmpty() else keyed.dropDuplicates([key])
+    one = keyed if rows.filter(F.col("row.copy") > 0).isEmpty() else keyed.dropDuplicates([key])
     # The narrow side is hashed, so that texts needn't be sorted.
     out = one.join(often.select(F.col("key").alias(key), F.col("times").alias(times)).hint("shuffle_hash"), key)
     return out.withColumn(times, F.explode(F.array_repeat(F.lit(0), F.col(times)))).select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -167,7 +175,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     (from 1, the place in its block).
     """
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    rows = numbered(docs, "source", "doc_id", "text")
-    chosen = mix(rows, "tokens", "source", "doc_id").join(rows, "row")
+    rows = told_apart(docs, "source", "doc_id", "text")
+    chosen = mix(rows, "tokens", "source", "doc_id")
     order = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(SEED), "row", "pass"), "row", "pass")
-    return chosen.select("doc_id", "source", F.col("tokens").alias("n_tokens"), "pass", "block", F.row_number().over(order).alias("slot"))
+    return chosen.select(F.col("id").alias("doc_id"), "source", F.col("tokens").alias("n_tokens"), "pass", "block", F.row_number().over(order).alias("slot"))
