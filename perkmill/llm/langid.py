@@ -21,6 +21,8 @@ from .common import exact_text, read, ready_for_python
 UNKNOWN = "und"
 #: Texts of each language that are learned from at most, and windows of each such text.
 SAMPLE_TEXTS, SAMPLE_WINDOWS = 200, 4
+#: Languages that are learned at most, the most frequent ones: a dirty column may hold any number of values.
+MOST_LANGS = 256
 #: Bytes of a window, and windows that go through the network at a time.
 WINDOW, BATCH = 256, 128
 HELD_OUT_MODULUS = 5
@@ -177,11 +179,13 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
 
     The sample is the lowest hashes of doc_id: languages are counted first, so that only about the
     needed share of ids is gathered, and only the chosen texts leave the executors. A null language
-    isn't learned from, nor a text without letters; of rows with the same id and language one text is.
+    isn't learned from, nor a text without letters; of rows with the same id and language one text is. Of
+    more than `MOST_LANGS` languages the most frequent are learned.
     """
     rows = docs.select(F.col(doc_id).alias("i"), F.col(lang).alias("l"), F.col(text).alias("t"))
-    rows = rows.filter(F.col("l").isNotNull() & F.col("i").isNotNull() & ~held_out(F.col("i").cast("string")))
-    counts = {r.l: r.n for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = rows.filter(F.col("l").isNotNull() & F.col("i").isNotNull() & ~held_out(F.col("i").cast("string")) & F.col("t").rlike(r"\p{L}"))
+    often = rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(MOST_LANGS)
+    counts = {r.l: r.n for r in often.collect()}
     if not counts:
         return None
     # A language keeps the hashes below its share, with a margin that makes too few unlikely.
@@ -193,14 +197,13 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
         if len(chosen.setdefault(r.l, [])) < SAMPLE_TEXTS and r.i not in chosen[r.l]:
             chosen[r.l].append(r.i)
     ids = [i for own in chosen.values() for i in own]
-    window = F.col("t").isNotNull() & F.col("t").rlike(r"\p{L}")
-    texts = rows.filter(F.col("i").isin(ids) & window).groupBy("i", "l").agg(F.min("t").alias("t")).collect()
+    texts = rows.filter(F.col("i").isin(ids)).groupBy("i", "l").agg(F.min("t").alias("t")).collect()
     return fit([(r.t, r.l) for r in texts])
 
 
 def predicted(spark: SparkSession, net: Net | None, text: Column) -> Column:
     """Struct `lang_pred`, `score` of whole texts. Null, or no letter at all, or nothing to learn
-    from: `und` with score 0."""
+    from: `und` with score 0. Repeated rows are predicted alike; an empty table stays empty."""
     ready_for_python(spark)
 
     @F.arrow_udf("lang_pred string, score double")

@@ -1,15 +1,20 @@
 """SimHash near-duplicates: fingerprints, an inverted index on their byte positions, components.
 
 Two 64-bit fingerprints that differ in at most `MOST_BITS` = 3 bits differ in at most 3 of their 8
-bytes, so they share at least 5 positional bytes. The index posts every distinct fingerprint under
-each set of `POSTED` = 4 byte positions that a cover needs so that any 5 shared positions hold one
-whole set. Fingerprints meet in a posting; a pair whose tally of shared positional bytes is under 5
-is passed over, and the rest are compared bit by bit.
-
-A posting with more than `LARGE` fingerprints isn't paired. Its fingerprints agree in 32 bits, so any
-linked two agree but for 3 of the other 32 bits: each is grouped under every choice of 3 bits left
-out. The at most 8 members of such a group are all within 3 bits of each other, so linking them to
-the smallest gives the same components, in a number of rows proportional to the posting.
+bytes, so the tally of positional bytes that they share is at least 5, the guaranteed minimum. Posting
+single bytes and adding up a pair's tally would meet nearly every pair of a large corpus, since a
+posting of one byte holds a 256th of it. The index posts sets of `POSTED` = 4 positions instead, a cover:
+any 5 shared positions hold one whole set. A pair meets in a posting only if its tally is at least 4, and
+every pair with the minimum does; that is the count filter, and it's decided before any two fingerprints
+are put side by side. Of pairs that met, those whose tally is under 5 are passed over, and the rest
+verified bit by bit.
+
+A posting with more than `LARGE` fingerprints isn't paired. What it doesn't fix are 4 bytes, and linked
+two share one of these too: its members are posted again under each of them, 5 bytes a posting. One
+that is still too large leaves 24 bits open, of which linked two agree but for 3: its members are grouped
+under every choice of 3 bits left out. The at most 8 members of such a group are all within 3 bits of
+each other, so linking them to the smallest gives the same components, in a number of rows proportional
+to the posting.
 
 Components come from rounds of smallest neighbour and pointer jumping, each written out.
 """
@@ -94,44 +99,67 @@ def shared_bytes(x: Column, y: Column) -> Column:
     return functools.reduce(lambda a, b: a + b, [(z.bitwiseAND(F.lit(mask_of((i,)))) == 0).cast("int") for i in range(BYTES)])
 
 
+def masks_of(sets: list[tuple[int, ...]]) -> Column:
+    return F.array(*[F.lit(mask_of(s)) for s in sets])
+
+
 def postings(prints: DataFrame) -> DataFrame:
     """`fp` under each set of the cover: `part` numbers the set, `post` holds its bytes."""
-    masks = F.array(*[F.lit(mask_of(s)) for s in cover()])
-    keyed = prints.select("fp", F.posexplode(masks).alias("part", "mask"))
+    keyed = prints.select("fp", F.posexplode(masks_of(cover())).alias("part", "mask"))
     return keyed.select("fp", F.col("part").cast("int").alias("part"), F.col("fp").bitwiseAND(F.col("mask")).alias("post"))
 
 
-def links(spark: SparkSession, prints: DataFrame, large: int = LARGE) -> DataFrame:
-    """`a`, `b`, a > b: pairs of the distinct `fp` whose components equal those of all pairs within
-    `MOST_BITS` bits."""
-    index = cut(postings(prints))
+def postings_of_large(members: DataFrame) -> DataFrame:
+    """Members of large postings under each further byte: `part` numbers their set and that byte."""
+    sets = cover()
+    further = F.array(*[masks_of([(*s, p) for p in range(BYTES) if p not in s]) for s in sets])
+    keyed = members.select("fp", "part", F.posexplode(F.get(further, F.col("part"))).alias("k", "mask"))
+    return keyed.select("fp", (F.col("part") * BYTES + F.col("k")).cast("int").alias("part"), F.col("fp").bitwiseAND(F.col("mask")).alias("post"))
+
+
+def split_by_size(index: DataFrame, large: int) -> tuple[DataFrame, DataFrame | None]:
+    """Postings of at most `large` members, and the rest, if any."""
     big = cut(index.groupBy("part", "post").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > large).select("part", "post"))
-    some_big = not big.isEmpty()
-    small = index.join(big, ["part", "post"], "left_anti") if some_big else index
-    left, right = small.alias("x"), small.alias("y")
+    if big.isEmpty():
+        return index, None
+    return index.join(big, ["part", "post"], "left_anti"), index.join(big, ["part", "post"], "left_semi")
+
+
+def pairs_of(index: DataFrame) -> DataFrame:
+    """`a`, `b`, a > b: the pairs in a posting that are linked."""
+    left, right = index.alias("x"), index.alias("y")
     x, y = F.col("x.fp"), F.col("y.fp")
     close = (x > y) & (shared_bytes(x, y) >= SHARED) & (F.bit_count(x.bitwiseXOR(y)) <= MOST_BITS)
     pairs = left.join(right, (F.col("x.part") == F.col("y.part")) & (F.col("x.post") == F.col("y.post")) & close)
-    found = pairs.select(x.alias("a"), y.alias("b"))
-    if some_big:
-        found = found.unionByName(links_of_large(index.join(big, ["part", "post"])))
+    return pairs.select(x.alias("a"), y.alias("b"))
+
+
+def links(spark: SparkSession, prints: DataFrame, large: int = LARGE) -> DataFrame:
+    """`a`, `b`, a > b: pairs of the distinct `fp` whose components equal those of all pairs within
+    `MOST_BITS` bits."""
+    small, big = split_by_size(cut(postings(prints)), large)
+    found = pairs_of(small)
+    if big is not None:
+        again, too_big = split_by_size(cut(postings_of_large(big)), large)
+        found = found.unionByName(pairs_of(again))
+        if too_big is not None:
+            found = found.unionByName(links_of_large(too_big))
     return found.distinct()
 
 
 def links_of_large(members: DataFrame) -> DataFrame:
-    """Each member of a posting linked to the smallest that agrees with it but for 3 bits."""
-    cases = []
-    for positions in cover():
-        rest = [8 * p + i for p in range(BYTES) if p not in positions for i in range(8)]
-        masks = []
-        for three in combinations(rest, MOST_BITS):
-            bits = ~sum(1 << b for b in three)
-            bits &= (1 << 64) - 1
-            masks.append(bits - (1 << 64) if bits >> 63 else bits)
-        cases.append(masks)
+    """Each member of a posting of 5 bytes linked to the smallest that agrees with it but for 3 bits."""
     spark = members.sparkSession
+    rows = []
+    for number, positions in enumerate(cover()):
+        others = [p for p in range(BYTES) if p not in positions]
+        for k, fixed in enumerate(others):
+            rest = [8 * p + i for p in others if p != fixed for i in range(8)]
+            for three in combinations(rest, MOST_BITS):
+                bits = ~sum(1 << b for b in three) & ((1 << 64) - 1)
+                rows.append((number * BYTES + k, bits - (1 << 64) if bits >> 63 else bits))
     # A table of fixed size: one row for each posting set and choice of bits.
-    masks = spark.createDataFrame([(k, m) for k, own in enumerate(cases) for m in own], "part int, left_out bigint")
+    masks = spark.createDataFrame(rows, "part int, left_out bigint")
     cells = members.join(F.broadcast(masks), "part").select("fp", "left_out", F.col("fp").bitwiseAND(F.col("left_out")).alias("cell"))
     groups = cells.distinct().groupBy("left_out", "cell").agg(F.min("fp").alias("b"), F.collect_set("fp").alias("all"))
     return groups.select(F.explode("all").alias("a"), "b").filter(F.col("a") > F.col("b"))

@@ -139,7 +139,7 @@ def packed(vectors: DataFrame, group: str, size: int) -> tuple[DataFrame, int]:
 
     n = vectors.count()
     groups = max(1, math.ceil(n / size))
-    keyed = vectors.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int")).withColumn("dim", F.size("vector"))
+    keyed = vectors.withColumn("group", F.pmod(F.xxhash64("id", "vector"), F.lit(groups)).cast("int")).withColumn("dim", F.size("vector"))
     return keyed.groupBy("group", "dim").applyInPandas(pack, "group int, dim int, ids binary, data binary").withColumnRenamed("group", group), groups
 
 

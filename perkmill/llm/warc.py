@@ -17,7 +17,6 @@ import gzip
 import hashlib
 import io
 import math
-import uuid
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -26,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from perkmill.functions.lineage import cut, shared_folder
+from perkmill.functions.lineage import cut, new_folder
 
 from .common import exact_text, read, ready_for_python
 
@@ -252,7 +251,7 @@ INDEXED = pa.schema([*[f for f in RUN if f.name != "run"], pa.field("index_part"
 def archived(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Writes `pages` to archives in the shared folder and returns the index of what they hold, with
     each capture's `position` in the order of all (from 1)."""
-    path = f"{shared_folder(spark)}/perkmill/{uuid.uuid4().hex}-warc"
+    path = new_folder(spark)
     rows = write_archives(pages, path)
     index = cut(merged_index(cut(read_archives(spark, path)), rows))
     # A row for each range: their sizes add up to where each begins.

@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -61,3 +62,45 @@ def test_no_labels(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert langid.train(docs) is None and langid.train(docs.limit(0)) is None
     assert docs.select(langid.predicted(spark, None, docs.text).alias("p")).first().p == ("und", 0.0)
+
+
+def plain_score(net, text):
+    """Prediction and score of one text, one window, filter and place at a time."""
+    raw = text.encode()
+    total = [0.0] * len(net.langs)
+    for at in range(0, max(len(raw), 1), langid.WINDOW):
+        window = raw[at : at + langid.WINDOW].lower()
+        padded = [*window, *[0] * (langid.WINDOW - len(window))]
+        hidden = []
+        for k in net.widths:
+            for f in range(net.filters):
+                best = -math.inf
+                for p in range(langid.WINDOW - k + 1):
+                    x = [float(v) for b in padded[p : p + k] for v in net.w["embed"][b]]
+                    best = max(best, sum(a * float(b) for a, b in zip(x, net.w[f"conv{k}"][:, f], strict=True)))
+                hidden.append(max(0.0, best + float(net.w[f"bias{k}"][f])))
+        z = [sum(h * float(w) for h, w in zip(hidden, net.w["out"][:, j], strict=True)) + float(net.w["out_bias"][j]) for j in range(len(net.langs))]
+        e = [math.exp(v - max(z)) for v in z]
+        for j, v in enumerate(e):
+            total[j] += v / sum(e) * sum(b != 0 for b in window)
+    best = max(range(len(total)), key=lambda j: total[j])
+    return net.langs[best], total[best] / sum(total)
+
+
+def test_scores_equal_a_plain_forward_pass():
+    net = langid.Net(["a", "b", "c"], widths=(2, 3), filters=4, size=3)
+    texts = ["short", "Ünïcode ТЕКСТ", "x" * 300 + " and MORE " * 30, "q"]
+    got = list(langid._scored(net, texts))
+    for text, (lang, score) in zip(texts, got, strict=True):
+        want, value = plain_score(net, text)
+        assert lang == want and abs(score - value) < 1e-4
+
+
+def test_many_values_of_the_language_column(spark, monkeypatch):
+    """The most frequent languages are learned; a language whose first texts have no letters is, too."""
+    monkeypatch.setattr(langid, "MOST_LANGS", 2)
+    monkeypatch.setattr(langid, "SAMPLE_TEXTS", 5)
+    rows = [(i, "the cat and the dog", "en") for i in range(60)] + [(100 + i, "12 34" if i < 90 else "der hund", "de") for i in range(120)]
+    rows += [(300 + i, f"word {i}", f"dirt{i}") for i in range(20)]
+    net = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert net.langs == ["de", "en"]

@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from perkmill.llm import maintext
+from perkmill.llm import dom, maintext
 from perkmill.llm.boosting import Boosted
 from perkmill.llm.dom import blocks, parse
 
@@ -102,3 +102,45 @@ def test_edge_rows(spark, model):
     assert [r.out for r in got[:2]] == ["", ""] and got[2].out == "plain words only"
     assert got[3].out == got[4].out == "\n\n".join(["T"] + ["word, word."] * 20_000)
     assert maintext.train(df.limit(0)) is not None
+
+
+def texts_of(html):
+    return [" ".join("".join(c for c in n.content if isinstance(c, str)).split()) for n in dom.parse(html)]
+
+
+@pytest.mark.parametrize(
+    "html,want",
+    [
+        ("<p>Look <svg><path/><text>label</text></svg> here</p>", "Look here"),
+        ("<p>Look <svg><p>label</p><rect></svg> here</p>", "Look here"),
+        ("<p>one <picture><source srcset=x><img src=y></picture> two</p>", "one two"),
+        ("<p>one <nobr>two</nobr> <my-tag>three</my-tag> <custom>four</p>", "one two three four"),
+        ("<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then</p>", "if x=1 then"),
+        ("<p>if <math><mi>x<mo>=<annotation encoding=tex>x=1</annotation></math> then</p>", "if x= then"),
+        ("<p>see <object data=f.pdf>the <b>file</b></object> now</p>", "see the file now"),
+        ("<p>pick <select><option>a<option>b<optgroup><option>c</select> one</p>", "pick one"),
+    ],
+)
+def test_what_is_inside_a_paragraph_leaves_it_whole(html, want):
+    assert dom.blocks(dom.parse(html), [True] * len(dom.parse(html))) == want
+    assert [t for t in texts_of(html) if t] == [want]
+
+
+def test_block_elements_end_a_paragraph():
+    for tag in ("div", "ul", "table", "h2", "section", "pre"):
+        assert [n.tag for n in dom.parse(f"<p>one<{tag}>two")][1:] == ["p", tag]
+        assert dom.parse(f"<p>one<{tag}>two")[2].parent == 0
+
+
+@pytest.mark.parametrize("n", [40, 49, 50, 51, 150, 700])
+def test_siblings_of_any_number(n):
+    """Position and neighbours' sizes of every sibling, against their definition."""
+    page = "<div>" + "".join(f"<p>{'w' * (1 + 7 * i % 23)}</p>" for i in range(n)) + "</div>"
+    nodes = dom.parse(page)
+    x = maintext.features(nodes)
+    at = x.shape[1] - 15
+    size = [len(node.content[0]) for node in nodes[2:]]
+    for i in range(n):
+        row = x[2 + i, at:]
+        assert row[8] == pytest.approx(i / n) and row[9] == pytest.approx(np.log1p(n))
+        assert row[12] == pytest.approx(np.log1p(size[i - 1]) if i else -1) and row[13] == pytest.approx(np.log1p(size[i + 1]) if i + 1 < n else -1)
