@@ -129,6 +129,9 @@ def starting(kept: DataFrame, clusters: int, seed: int, scale: int = SCALE) -> l
     return [whole(np.array([r.v]), scale)[0].tolist() for r in rows]
 
 
+ASSIGNED = "vec_id long, cluster int, distance long"
+
+
 def clustered(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", clusters: int = CLUSTERS, rounds: int = ROUNDS, size: int = SIZE, seed: int = SEED) -> tuple[DataFrame, list[list[int]]]:
     """`vec_id`, `cluster`, `distance` (squared, of whole numbers) of every usable vector, written out, and
     the final centroids.
@@ -142,7 +145,9 @@ def clustered(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
     ready_for_python(spark)
     kept = cut(vectors.filter(usable(vector, size)).select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("vector")))
     centroids = starting(kept, clusters, seed)
-    for _ in range(rounds if centroids else 0):
+    if not centroids:
+        return spark.createDataFrame([], ASSIGNED), []
+    for _ in range(rounds):
         sums = _sums(kept, Tournament(centroids), size)
         centroids = [[sums[c, d] // sums[c, -1] for d in range(size)] if (c, -1) in sums else old for c, old in enumerate(centroids)]
     tournament = Tournament(centroids)
@@ -154,7 +159,7 @@ def clustered(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
             far = [int(d) if d < 2**63 else None for d in tournament.distances(x, champion).tolist()] if len(x) else []
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(champion, pa.int32()), pa.array(far, pa.int64())], ["vec_id", "cluster", "distance"])
 
-    return cut(kept.mapInArrow(assign, "vec_id long, cluster int, distance long")), centroids
+    return cut(kept.mapInArrow(assign, ASSIGNED)), centroids
 
 
 def op13_bisectors(spark: SparkSession, sf_dir: str) -> DataFrame:
