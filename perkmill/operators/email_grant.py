@@ -17,9 +17,9 @@ TITLE_ROWS = 2
 
 def email_list_ingest(raw: DataFrame) -> DataFrame:
     """Cleaned entries: the rows below the title rows that hold an address. Rows without a number
-    (`row_no`, from 1) are taken as entries."""
-    if "row_no" in raw.columns:
-        raw = raw.filter(F.col("row_no") > TITLE_ROWS)
+    (`line_no`, from 1) are taken as entries."""
+    if "line_no" in raw.columns:
+        raw = raw.filter(F.col("line_no") > TITLE_ROWS)
     return raw.withColumn("email", clean_email("email_raw")).filter(F.col("email").contains("@")).drop("email_raw")
 
 

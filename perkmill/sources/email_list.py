@@ -12,7 +12,7 @@ COLUMNS = "a string, b string, c string, email_raw string"
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """`file`, `row_no` (from 1 in each file) and `value` of every line, blank ones too, the same however
+    """`file`, `line_no` (from 1 in each file) and `value` of every line, blank ones too, the same however
     the files are split for reading.
 
     A split begins at a byte of its file. The lines of each are counted, the counts added up along the
@@ -29,12 +29,12 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     splits = lines.groupBy("file", "split").agg(F.min("place").alias("first"), F.count("*").alias("lines"))
     earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     starts = splits.select("file", "split", "first", F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("before"))
-    row_no = F.col("before") + F.col("place") - F.col("first") + 1
-    return lines.join(starts, ["file", "split"]).select("file", row_no.alias("row_no"), "value")
+    line_no = F.col("before") + F.col("place") - F.col("first") + 1
+    return lines.join(starts, ["file", "split"]).select("file", line_no.alias("line_no"), "value")
 
 
 def read_email_list(spark: SparkSession, path: str) -> DataFrame:
-    """`row_no` and `email_raw` of every line, title rows included; a field with a line break in it isn't
+    """`line_no` and `email_raw` of every line, title rows included; a field with a line break in it isn't
     known."""
     fields = F.from_csv("value", COLUMNS)
-    return numbered_lines(spark, path).select("row_no", fields["email_raw"].alias("email_raw"))
+    return numbered_lines(spark, path).select("line_no", fields["email_raw"].alias("email_raw"))

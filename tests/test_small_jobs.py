@@ -215,7 +215,7 @@ def test_rows_of_a_list_by_position(spark, tmp_path, splits):
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(1, 6000 // splits)))
         spark.conf.set("spark.sql.files.openCostInBytes", "0")
-        got = [(r["file"].rsplit("/", 1)[1][0], r["row_no"], r["value"]) for r in numbered_lines(spark, str(tmp_path)).collect()]
+        got = [(r["file"].rsplit("/", 1)[1][0], r["line_no"], r["value"]) for r in numbered_lines(spark, str(tmp_path)).collect()]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
         spark.conf.set("spark.sql.files.openCostInBytes", before[1])
