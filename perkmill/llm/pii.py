@@ -34,6 +34,8 @@ KINDS = ("email", "ip", "card", "phone")
 CONTEXT, REFUSED = "context", "refused"
 #: Rounds of scoring, threshold of a pattern, distinct seeds it needs, words of context on either side.
 ROUNDS, BELIEVED, LEAST_SEEDS, CONTEXT_WORDS = 3, 0.8, 5, 2
+#: Row groups of masked texts.
+ROW_GROUP_BYTES = 16 << 20
 #: Longer words of a context go by a hash, of this base; it has an inverse modulo 2**64.
 LONG_WORD, BASE = 64, 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2**64)
@@ -304,18 +306,6 @@ def all_spans(entity: str, named: str) -> Column:
     return F.concat(base, F.transform(found, lambda s: F.struct(F.lit(len(KINDS)).alias("rank"), s["start"].alias("start"), s["end"].alias("end"))))
 
 
-def redetected(docs: DataFrame, text: str) -> tuple[DataFrame, str]:
-    """`docs` and a column with every span of each row. What contexts tell of a text is joined to it by
-    the text's digest, and the rest found again, so that no text is written on the way: `docs` is read
-    twice."""
-    spark = docs.sparkSession
-    entity, key, spans = free(docs, "entity", "text_key", "spans")
-    keyed = docs.withColumn(key, F.sha2(exact_text(text), 256)).withColumn(entity, found(spark, F.col(text)))
-    rows = cut(keyed.select(key, entity).filter(F.size(entity) > 0))
-    named = cut(with_spans(rows, entity, key).select(F.col("row").alias(key), F.col("spans").alias(spans)))
-    return keyed.join(named.hint("shuffle_hash"), key, "left").withColumn(spans, all_spans(entity, spans)).drop(entity, key), spans
-
-
 def detected(docs: DataFrame, text: str, keep: list[str]) -> tuple[DataFrame, str]:
     """`keep` and a column with every span (`rank`, `start`, `end`) of each row, by kind, then start.
 
@@ -353,20 +343,29 @@ def masked(docs: DataFrame, text: str = "text", length: str | None = None) -> Da
     """`docs` with every span in `text` replaced by its kind in brackets; of overlapping spans the one
     that starts first (then the longest) is replaced whole and the rest of the others left out.
     `length` names a column that holds the text's code points; it follows. A null text stays null."""
-    out, spans = redetected(docs, text)
+    spark = docs.sparkSession
+    key, clean = free(docs, "text_key", "masked")
+    keyed = docs.withColumn(key, F.sha2(exact_text(text), 256))
+    texts = keyed.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    # What's found is written without the texts, and texts with spans are met again by their digest.
+    rows = cut(texts.select("key", found(spark, F.col("text")).alias("entity")).filter(F.size("entity") > 0))
+    named = with_spans(rows, "entity", "key").select(F.col("row").alias("key"), F.col("spans").alias("named"))
+    marks = rows.dropDuplicates(["key"]).join(named, "key", "left").select("key", all_spans("entity", "named").alias("spans"))
+    marks = cut(marks.filter(F.size("spans") > 0))
 
     @F.arrow_udf("string")
     def run(texts: pa.Array, found: pa.Array) -> pa.Array:
-        pairs = zip(texts.to_pylist(), found.to_pylist(), strict=True)
-        return pa.array([t if t is None else mask(t, s) for t, s in pairs], pa.string())
+        return pa.array([mask(t, s) for t, s in zip(texts.to_pylist(), found.to_pylist(), strict=True)], pa.string())
 
-    # Only texts with spans go through Python once more.
-    some = F.size(spans) > 0
-    clean = out.withColumn(text, F.when(some, run(F.when(some, F.col(text)), F.when(some, F.col(spans)))).otherwise(F.col(text)))
+    once = texts.join(marks, "key").dropDuplicates(["key"])
+    done = cut(once.select(F.col("key").alias(key), run("text", "spans").alias(clean)), ROW_GROUP_BYTES)
+    # The narrow side is hashed, so that texts needn't be sorted.
+    out = keyed.join(done.hint("shuffle_hash"), key, "left")
     if length:
         kind = dict(docs.dtypes)[length]
-        clean = clean.withColumn(length, F.when(F.size(spans) > 0, F.length(text).cast(kind)).otherwise(F.col(length)))
-    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
+        out = out.withColumn(length, F.coalesce(F.length(clean).cast(kind), F.col(length)))
+    out = out.withColumn(text, F.coalesce(clean, text))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,4 +63,4 @@ def test_run_keeps_clean_documents(spark, sf_dir):
 def test_registered():
     entry = importlib.import_module("__spark_entry__")
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert len(names) == 11 and langid.UNKNOWN == "und"
+    assert len(names) == 14 and langid.UNKNOWN == "und"
