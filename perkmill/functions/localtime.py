@@ -48,18 +48,22 @@ def with_local_time(df: DataFrame, utc: str, p: Params) -> DataFrame:
     return df.withColumn("local_at", local_time(utc, p.tz_offset_hours))
 
 
+EPOCH = datetime(1970, 1, 1)
+
+
 @dataclass(frozen=True)
 class Windows:
     """Rules by elementary interval. All starts and ends of windows cut time into intervals that each
     window holds whole or not at all; `rows` has a row per rule and interval of its window (`interval`
-    is its number, `part_no` 0 is a rule's first), `cuts` is the sorted array of the starts and ends.
+    is its number, `part_no` 0 is a rule's first), `cuts` are the starts and ends in order, as times since
+    `EPOCH`.
 
     The rows of an interval are at most the rules, and a rule's rows at most twice the rules, however
     long its window is.
     """
 
     rows: DataFrame
-    cuts: Column
+    cuts: tuple[timedelta, ...]
 
     def where(self, condition: Column) -> Windows:
         return Windows(self.rows.filter(condition), self.cuts)
@@ -71,6 +75,10 @@ class Windows:
         """Each rule once, without its window."""
         return self.rows.filter(F.col("part_no") == 0).drop("interval", "part_no", "from_at", "until_at")
 
+    def place(self, at: str) -> Column:
+        """Number of the interval that a time lies in."""
+        return place_in(F.array(*map(F.lit, self.cuts)), F.col(at) - ntz(EPOCH)) if self.cuts else F.lit(None).cast("int")
+
 
 def place_in(cuts: Column, at: Column) -> Column:
     """How many of the sorted `cuts` lie at or before `at`, by halving; null without cuts or time."""
@@ -87,50 +95,48 @@ def place_in(cuts: Column, at: Column) -> Column:
     return F.when(at.isNotNull() & (F.size(cuts) > 0), F.aggregate(halvings, start, halve, lambda span: span["low"]))
 
 
-def _placed(df: DataFrame, cuts: Column, **times: Column) -> DataFrame:
-    """`df` with the place of each of `times` among the cuts."""
-    # A subquery may not stand inside a higher-order function, so the cuts pass through a column.
-    return df.withColumn("_cuts", cuts).withColumns({name: place_in(F.col("_cuts"), at) for name, at in times.items()}).drop("_cuts")
-
-
 def windows_of(rules: DataFrame) -> Windows:
     """Windows from `from_date` to `to_date`, both ends within; a rule whose window is empty or open at
-    an end is in none. The rows are written out: Spark then knows their true size, and broadcasts them
-    while it is small instead of shuffling what meets them."""
+    an end is in none.
+
+    Rules are a shop's settings, so the driver may know their starts and ends, two for each at most. The
+    rows are written out: Spark then knows their true size, and broadcasts them while it is small instead
+    of shuffling what meets them.
+    """
     just_after = F.col("to_date").cast("timestamp_ntz") + F.make_dt_interval(secs=F.lit(0.000001))
-    ruled = (
+    ruled = cut(
         rules.filter(F.col("from_date") <= F.col("to_date"))
         .withColumn("from_at", F.col("from_date").cast("timestamp_ntz"))
         .withColumn("until_at", just_after)
         .drop("from_date", "to_date")
     )
-
-    def cuts_of(df: DataFrame) -> Column:
-        ends = df.select(F.explode(F.array("from_at", "until_at")).alias("at"))
-        return ends.agg(F.sort_array(F.collect_set("at"))).scalar()
-
-    placed = _placed(ruled, cuts_of(ruled), _first=F.col("from_at"), _after=F.col("until_at"))
-    inside = F.sequence(F.col("_first"), F.col("_after") - 1)
-    rows = cut(placed.select("*", F.posexplode(inside).alias("part_no", "interval")).drop("_first", "_after"))
-    return Windows(rows, cuts_of(rows))
+    ends = ruled.select((F.col("from_at") - ntz(EPOCH)).alias("a"), (F.col("until_at") - ntz(EPOCH)).alias("b")).distinct()
+    windows = Windows(ruled, tuple(sorted({t for r in ends.collect() for t in (r.a, r.b)})))
+    inside = F.sequence(windows.place("from_at"), windows.place("until_at") - 1)
+    return Windows(cut(ruled.select("*", F.posexplode(inside).alias("part_no", "interval"))), windows.cuts)
 
 
 def match_windows(rows: DataFrame, windows: Windows) -> DataFrame:
     """Every row (with its `local_at`) with every rule whose window holds it."""
-    placed = _placed(rows, windows.cuts, interval=F.col("local_at"))
+    placed = rows.withColumn("interval", windows.place("local_at"))
     return placed.join(windows.rows, "interval").drop("interval", "part_no", "from_at", "until_at")
 
 
 def within_span(rows: DataFrame, utc: str, windows: Windows, p: Params) -> DataFrame:
     """Rows between the first start and the last end of all windows: a coarse bound on the stored
     column, which lets the scan skip what no rule can reach."""
-    shift = F.make_dt_interval(hours=F.lit(p.tz_offset_hours))
-    first = windows.rows.agg(F.min("from_at") - shift).scalar()
-    last = windows.rows.agg(F.max("until_at") - shift).scalar()
-    return rows.filter(within(rows, utc, first, last))
+    if not windows.cuts:
+        return rows.filter(F.lit(False))
+    return rows.filter(within(rows, utc, *(ntz(utc_of(t, p)) for t in (windows.cuts[0], windows.cuts[-1]))))
+
+
+def utc_of(local: timedelta, p: Params) -> datetime:
+    """The UTC time of a local time since `EPOCH`; the first or last there is where it lies beyond."""
+    shifted = local - timedelta(hours=p.tz_offset_hours)
+    return EPOCH + max(datetime.min - EPOCH, min(datetime.max - EPOCH, shifted))
 
 
 def in_any_window(rows: DataFrame, windows: Windows) -> DataFrame:
     """Rows that at least one rule window holds."""
-    placed = _placed(rows, windows.cuts, interval=F.col("local_at"))
+    placed = rows.withColumn("interval", windows.place("local_at"))
     return placed.join(windows.rows.select("interval").distinct(), "interval", "left_semi").drop("interval")

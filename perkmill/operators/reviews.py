@@ -6,7 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lineage import cut
-from ..functions.localtime import Windows, day_of, in_any_window, match_windows, ntz, with_local_time, within, within_span
+from ..functions.localtime import (
+    EPOCH,
+    Windows,
+    day_of,
+    in_any_window,
+    match_windows,
+    ntz,
+    utc_of,
+    with_local_time,
+    within,
+    within_span,
+)
 from ..functions.money import amount
 from ..functions.running import running_totals
 from ..functions.text import review_chars
@@ -104,9 +115,9 @@ def likes_since(
     reached = marks.groupBy(*key).agg(F.max("upto").alias("upto"))
     state = cut(rules.join(reached, key, "left").select(*key, F.coalesce("upto", "from_at").alias("counted")))
     settled = ntz(p.since_hours(p.like_lag_hours))
-    shift = F.make_dt_interval(hours=F.lit(p.tz_offset_hours))
-    first, last = (state.agg(f - shift).scalar() for f in (F.min("counted"), F.max("until_at")))
-    likes = with_local_time(_likes(action, within(action, "created_at", first, last)), "created_at", p).drop("created_at")
+    ends = state.agg(F.min(F.col("counted") - ntz(EPOCH)).alias("a"), F.max(F.col("until_at") - ntz(EPOCH)).alias("b")).first()
+    reach = F.lit(False) if ends.a is None else within(action, "created_at", ntz(utc_of(ends.a, p)), ntz(utc_of(ends.b, p)))
+    likes = with_local_time(_likes(action, reach), "created_at", p).drop("created_at")
     met = match_windows(likes, windows.select("review_campaign_id")).join(state, "review_campaign_id")
     new = met.filter(F.col("local_at") >= F.col("counted")).groupBy(*key, "review_id")
     new = cut(new.agg(F.count_if(F.col("local_at") < settled).alias("settled"), F.count("*").alias("num_like")))
