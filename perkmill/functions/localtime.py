@@ -110,15 +110,16 @@ def windows_of(rules: DataFrame) -> Windows:
         .withColumn("until_at", just_after)
         .drop("from_date", "to_date")
     )
-    ends = ruled.select((F.col("from_at") - ntz(EPOCH)).alias("a"), (F.col("until_at") - ntz(EPOCH)).alias("b")).distinct()
+    ends = ruled.select((F.col("from_at") - ntz(EPOCH)).alias("a"), (F.col("until_at") - ntz(EPOCH)).alias("b"))
     windows = Windows(ruled, tuple(sorted({t for r in ends.collect() for t in (r.a, r.b)})))
     inside = F.sequence(windows.place("from_at"), windows.place("until_at") - 1)
     return Windows(cut(ruled.select("*", F.posexplode(inside).alias("part_no", "interval"))), windows.cuts)
 
 
 def match_windows(rows: DataFrame, windows: Windows) -> DataFrame:
-    """Every row (with its `local_at`) with every rule whose window holds it."""
-    placed = rows.withColumn("interval", windows.place("local_at"))
+    """Every row with every rule whose window holds it. Rows have their `local_at`, or their `interval`
+    from `in_any_window`, so that what joins to them on the way isn't placed again."""
+    placed = rows if "interval" in rows.columns else rows.withColumn("interval", windows.place("local_at"))
     return placed.join(windows.rows, "interval").drop("interval", "part_no", "from_at", "until_at")
 
 
@@ -137,6 +138,6 @@ def utc_of(local: timedelta, p: Params) -> datetime:
 
 
 def in_any_window(rows: DataFrame, windows: Windows) -> DataFrame:
-    """Rows that at least one rule window holds."""
+    """Rows that at least one rule window holds, with their `interval`."""
     placed = rows.withColumn("interval", windows.place("local_at"))
-    return placed.join(windows.rows.select("interval").distinct(), "interval", "left_semi").drop("interval")
+    return placed.join(windows.rows.select("interval").distinct(), "interval", "left_semi")

@@ -112,9 +112,10 @@ def root_orders(suborder: DataFrame, orders: DataFrame, p: Params) -> DataFrame:
 
 
 def orders_in_windows(orders: DataFrame, windows: Windows, p: Params) -> DataFrame:
-    """Complete orders that some rule's window holds."""
+    """Complete orders that some rule's window holds, with the `interval` of their local creation time in
+    its place."""
     reachable = complete_orders(within_span(orders, "created_at", windows, p))
-    return in_any_window(with_local_time(reachable, "created_at", p).drop("created_at"), windows)
+    return in_any_window(with_local_time(reachable, "created_at", p).drop("created_at"), windows).drop("local_at")
 
 
 def wanted_suborders(

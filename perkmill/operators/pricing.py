@@ -14,18 +14,15 @@ _PRICE, _QTY = "decimal(22,8)", "decimal(15,0)"
 
 
 def bundle_price(item: DataFrame, bundle: DataFrame) -> DataFrame:
-    """Item rows with the price and quantity that count once a bundle row applies. Items without a
-    bundle skip the join."""
+    """Item rows with the price and quantity that count once a bundle row applies. Items are read once;
+    those without a bundle meet none, and are spread over the join's tasks by their suborder."""
     terms = bundle.select(*BUNDLE_KEY, "saving", F.col("qty").alias("bundle_qty"), F.lit(True).alias("bundled"))
-    whole = F.col("bundle_id").isNotNull() & F.col("bundle_type").isNotNull()
-    priced = lambda price, qty: {"eff_price": price.cast(_PRICE), "eff_qty": qty.cast("long")}
-    single = item.filter(~whole).withColumns(priced(F.col("price"), F.col("qty")))
     in_bundle = F.col("bundled").isNotNull()
     kept = (1 - F.col("saving").cast("decimal(8,4)")) * F.col("price").cast("decimal(18,4)")
     price = F.when(in_bundle, kept).otherwise(F.col("price"))
     qty = F.when(in_bundle, F.col("bundle_qty").cast("long") * F.col("qty")).otherwise(F.col("qty"))
-    joined = item.filter(whole).join(terms, BUNDLE_KEY, "left").withColumns(priced(price, qty))
-    return single.unionByName(joined.select(single.columns))
+    joined = item.join(terms, BUNDLE_KEY, "left")
+    return joined.select(*item.columns, price.cast(_PRICE).alias("eff_price"), qty.cast("long").alias("eff_qty"))
 
 
 def countable_items(item: DataFrame, excluded_products: tuple[int, ...]) -> DataFrame:
@@ -36,14 +33,12 @@ def countable_items(item: DataFrame, excluded_products: tuple[int, ...]) -> Data
 def items_of(item: DataFrame, wanted: DataFrame) -> DataFrame:
     """Items of the wanted suborders. They are looked up before anything folds or shuffles them: the
     items of a look-back are few among those of all time. Hand over `wanted` written out, since it is
-    read for its bounds too."""
-    keys = wanted.select(*SUBORDER_KEY).distinct()
-    return between_ids(item, "order_id", wanted).join(keys, SUBORDER_KEY, "left_semi")
+    read for its bounds too; it holds a suborder about once, so its keys go to the look-up as they are."""
+    return between_ids(item, "order_id", wanted).join(wanted.select(*SUBORDER_KEY), SUBORDER_KEY, "left_semi")
 
 
 def bundles_of(bundle: DataFrame, wanted: DataFrame) -> DataFrame:
-    keys = wanted.select("suborder_id").distinct()
-    return between_ids(bundle, "suborder_id", wanted).join(keys, "suborder_id", "left_semi")
+    return between_ids(bundle, "suborder_id", wanted).join(wanted.select("suborder_id"), "suborder_id", "left_semi")
 
 
 def goods_value(item: DataFrame, bundle: DataFrame) -> DataFrame:

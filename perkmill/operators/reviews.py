@@ -69,7 +69,7 @@ def in_some_window(review: DataFrame, windows: Windows, p: Params) -> DataFrame:
     """Approved reviews, members' or not, that some rule's window holds, without their texts."""
     approved = review.filter(F.col("status_id") == 1).select("review_id", "product_id", "status_id", *_dated(review))
     reachable = with_local_time(within_span(approved, "created_at", windows, p), "created_at", p)
-    return in_any_window(reachable, windows).drop("local_at")
+    return in_any_window(reachable, windows).drop("local_at", "interval")
 
 
 def of_holders(reviews: DataFrame, account: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from ..functions.bounds import between_ids
 from ..functions.lineage import cut
 from ..functions.localtime import Windows, windows_of
 from ..functions.running import hot_keys
+from ..functions.together import together
 from ..operators import accrual, campaign, email_grant, ledger, order_count, referral, reviews, tiers
 from ..operators.pricing import countable_items, suborder_amount
 from ..params import FPOINT, Params
@@ -97,9 +98,9 @@ def campaign_windows(active: DataFrame, p: Params) -> Windows:
 
 def campaign_winners(t: Tables, active: DataFrame, p: Params) -> DataFrame:
     """Orders no campaign has paid, which is known before their items are read, with their rule."""
+    windows, lists = together(active.sparkSession, lambda: campaign_windows(active, p), lambda: campaign_lists(active))
     per_rule = campaign.campaign_order_agg(
-        t["suborder_item"], t["suborder_bundle"], t["suborder"], t["orders"], t["product"],
-        campaign_windows(active, p), campaign_lists(active), p, t["ledger"],
+        t["suborder_item"], t["suborder_bundle"], t["suborder"], t["orders"], t["product"], windows, lists, p, t["ledger"]
     )
     return campaign.one_campaign_per_order(campaign.rule_order_match(per_rule))
 
@@ -107,8 +108,10 @@ def campaign_winners(t: Tables, active: DataFrame, p: Params) -> DataFrame:
 def campaign_state(t: Tables, active: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     """Judged orders and their ledger rows."""
     winners = cut(campaign_winners(t, active, p))
-    judged = campaign.judge(winners, t["account"], t["tier_rule"])
-    return judged, campaign.campaign_ledger(judged, p, hot_keys(winners, CUSTOMER))
+    judged, hot = together(
+        winners.sparkSession, lambda: campaign.judge(winners, t["account"], t["tier_rule"]), lambda: hot_keys(winners, CUSTOMER)
+    )
+    return judged, campaign.campaign_ledger(judged, p, hot)
 
 
 def run_campaign(t: Tables, p: Params) -> JobResult:
@@ -148,8 +151,8 @@ def review_matches(t: Tables, p: Params) -> DataFrame:
 def review_state(fresh: DataFrame, t: Tables) -> tuple[DataFrame, DataFrame]:
     """Judged reviews and the paid ones with running balances."""
     fresh = cut(fresh)
-    judged = reviews.judge(fresh, t["account"])
-    return judged, reviews.review_balance(judged, hot_keys(fresh, CUSTOMER))
+    judged, hot = together(fresh.sparkSession, lambda: reviews.judge(fresh, t["account"]), lambda: hot_keys(fresh, CUSTOMER))
+    return judged, reviews.review_balance(judged, hot)
 
 
 def _review_result(judged: DataFrame, balances: DataFrame, job: str, p: Params) -> JobResult:

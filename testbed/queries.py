@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from perkmill.functions.lineage import cut
 from perkmill.functions.localtime import Windows, match_windows, ntz, windows_of, with_local_time
+from perkmill.functions.together import together
 from perkmill.operators import accounts, accrual, campaign, email_grant, ledger, order_count, pricing, referral, reviews, tiers
 from perkmill.params import ATTR_COMPANY, CHEAPEST, HIGHEST, PROMO_FPOINT, PROMO_FREESHIP, Params
 from perkmill.plans import jobs
@@ -538,21 +539,26 @@ def local_window(t: Shop, p: Params) -> DataFrame:
 
 @query
 def reject_report(t: Shop, p: Params) -> DataFrame:
-    """Rejects of all jobs."""
-    known = email_grant.known_entries(email_grant.email_list_ingest(t["email_list"]), t["account"])
-    ordinals = jobs.order_ordinals(t, p)
-    payable = cut(order_count.payable_rules(t["order_count_rule"], p))
-    counted = order_count.judge(order_count.order_count_rewards(ordinals, payable, p), t["account"])
-    parts = [
-        accrual.reject_rows(jobs.accrual_judged(t, p)),
-        campaign.reject_rows(_campaign_judged(t, p)),
-        order_count.reject_rows(counted),
-        referral.reject_rows(jobs.referral_rewards(t, p)),
-        jobs.run_reviews(t, REVIEW_PARAMS).rejects,
-        tiers.upgrade_rejects(_upgrades(t, p)),
-        tiers.backfill_rejects(tiers.freeship_backfill(t["account"], p)),
-        email_grant.reject_rows(known),
-    ]
+    """Rejects of all jobs, found side by side."""
+    listed = lambda: email_grant.known_entries(email_grant.email_list_ingest(t["email_list"]), t["account"])
+
+    def counted() -> DataFrame:
+        ordinals = lambda: jobs.order_ordinals(t, p)
+        payable = lambda: cut(order_count.payable_rules(t["order_count_rule"], p))
+        rewards = order_count.order_count_rewards(*together(t.spark, ordinals, payable), p)
+        return order_count.judge(rewards, t["account"])
+
+    parts = together(
+        t.spark,
+        lambda: campaign.reject_rows(_campaign_judged(t, p)),
+        lambda: accrual.reject_rows(jobs.accrual_judged(t, p)),
+        lambda: order_count.reject_rows(counted()),
+        lambda: referral.reject_rows(jobs.referral_rewards(t, p)),
+        lambda: jobs.run_reviews(t, REVIEW_PARAMS).rejects,
+        lambda: tiers.upgrade_rejects(_upgrades(t, p)),
+        lambda: tiers.backfill_rejects(tiers.freeship_backfill(t["account"], p)),
+        lambda: email_grant.reject_rows(listed()),
+    )
     return out(reduce(DataFrame.unionByName, parts), "job:s customer_id ref_id reason:s")
 
 

@@ -171,6 +171,9 @@ def test_the_ledger_comes_before_items(spark, stored, table, params, monkeypatch
     orders, wanted = seen
     assert "price" not in orders + wanted and "LeftAnti" in wanted
     assert "LeftAnti" not in plan(winners)
+    # Items and bundles are read once, and their orders' intervals are known.
+    assert plan(winners).count("ReadSchema: struct<suborder_id:bigint,order_id:bigint,product_id:bigint,price") == 1
+    assert "local_at" not in plan(winners) and "aggregate(sequence" not in plan(winners)
 
 
 FACTS = ["orders", "suborder", "review", "review_action"]
