@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from perkmill.llm import ranking
 from perkmill.llm.ranking import KINDS, LEAST_GOOD, RIDGE, STATISTICS, features, fit, loss, op12_ranking, preferences, quantile, scored, train
@@ -127,3 +128,98 @@ def test_nothing_to_learn_from(spark):
         assert model is None
         assert [r.s for r in docs.select(scored(spark, model, docs["text"]).alias("s")).collect()] == [0.5, 0.5]
     assert train(docs.limit(0), spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int")) is None
+
+
+def some_documents(good: int, bad: int, seed: int = 7) -> tuple[list, list]:
+    """Texts of both classes that overlap, so that no line parts them; labels of all."""
+    rng = random.Random(seed)
+    plain, odd = ["some", "plain", "Words,", "read", "well."], ["##", "$$ 12", "x%", "&&", "read"]
+    text = lambda often: "".join((rng.choice(plain) if rng.random() < often else rng.choice(odd)) + rng.choice("  \n") for _ in range(rng.randint(4, 20)))
+    docs = [(k, text(0.7)) for k in range(good)] + [(10_000 + k, text(0.4)) for k in range(bad)]
+    return docs, [(i, int(i < 10_000)) for i, _ in docs]
+
+
+def learnable(docs: list) -> list:
+    return sorted((i, t) for i, t in docs if zlib.crc32(str(i).encode()) % 5)
+
+
+def test_every_labelled_document_counts(spark):
+    """More than 2,000 of a class: the threshold is the quantile of all, and each has a say in the weights."""
+    docs, labels = some_documents(3000, 300)
+    df, marks = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    model = train(df, marks)
+    kept = learnable(docs)
+    x = features(pa.array([t for _, t in kept], pa.string()))
+    is_good = np.array([i < 10_000 for i, _ in kept])
+    assert is_good.sum() > 2000
+    good, bad = x[is_good], x[~is_good]
+    assert model.threshold == pytest.approx(quantile(good @ model.weights, bad @ model.weights, len(bad) / len(kept)), abs=1e-9)
+    places = {r.doc_id: r.p for r in df.select("doc_id", F.xxhash64("doc_id").bitwiseAND(2**40 - 1).alias("p")).collect()}
+    block = np.array([places[i] % 2 for i, _ in kept])  # 2,600 documents are two blocks
+    scale = ranking.scale_of(x.std(axis=0))
+    parts = [(x[is_good & (block == b)], x[~is_good & (block == b)]) for b in (0, 1)]
+    plain = ranking.newton(lambda w: sum(ranking.pair_sums(g, b, scale, w) for g, b in parts), x.shape[1]) * scale
+    assert model.weights == pytest.approx(plain, rel=1e-5, abs=1e-7)
+    # The same however the tables are split.
+    again = train(df.repartition(7, "text"), marks.repartition(3))
+    assert np.array_equal(again.weights, model.weights) and again.threshold == model.threshold
+
+
+def test_one_block_is_the_plain_fit(spark):
+    docs, labels = some_documents(120, 60)
+    model = train(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"))
+    good, bad = (features(pa.array([t for i, t in learnable(docs) if (i < 10_000) == k], pa.string())) for k in (True, False))
+    plain = fit(good, bad, len(bad) / (len(good) + len(bad)))
+    assert model.weights == pytest.approx(plain.weights, rel=1e-6, abs=1e-9) and model.threshold == pytest.approx(plain.threshold, abs=1e-9)
+
+
+@pytest.mark.parametrize(("good", "bad"), [(200, 3), (3, 200), (150, 140)])
+def test_blocks_hold_everything(spark, monkeypatch, good, bad):
+    """Each document counts once and has a partner, also where one class is rare and sums are added in levels."""
+    monkeypatch.setattr(ranking, "BLOCK", 16)
+    monkeypatch.setattr(ranking, "LEAST", 2)
+    monkeypatch.setattr(ranking, "WIDE", 2)
+    rows = [(i, q, float(i)) for q, n in ((1, good), (0, bad)) for i in range(1000 * q, 1000 * q + n)]
+    df = spark.createDataFrame(rows, "i long, q int, v double").withColumn("place", F.xxhash64("i").bitwiseAND(2**40 - 1))
+
+    @F.arrow_udf("binary")
+    def filled(v: pa.Array) -> pa.Array:
+        return pa.array([np.full(137, x).tobytes() for x in v.to_pylist()], pa.binary())
+
+    blocks, n, rare, copies = ranking._dealt(df.withColumn("x", filled("v")), good, bad)
+    found = {1: [], 0: []}
+    for r in blocks.collect():
+        sides = {1: ranking._matrix(r.good)[:, 0], 0: ranking._matrix(r.bad)[:, 0]}
+        assert sum(map(len, sides.values())) < 16 * 6
+        for q in (1, 0):
+            if len(sides[1 - q]):
+                found[q] += [(v, q != rare or r.number % copies == 0) for v in sides[q]]
+    assert blocks.count() <= n and n > 2
+    for q in (1, 0):
+        assert {v for v, _ in found[q]} == {v for _, k, v in rows if k == q}
+    everything = ranking._summed(blocks, n, lambda number, g, b: sum(np.array([len(x), x[:, 0].sum()]) for q, x in ((1, g), (0, b)) if q != rare or number % copies == 0))
+    assert everything.tolist() == [len(rows), sum(v for _, _, v in rows)]
+
+
+def test_threshold_of_any_number(spark):
+    """The counted quantile is that of all utilities, with equal ones, zeros of both signs and negative ones."""
+    rng = np.random.default_rng(11)
+    for good, bad, share in (
+        (rng.normal(1, 1, 300), rng.normal(-1, 1, 90), 0.25),
+        (np.array([0.0, -0.0, 0.0, 5]), np.array([-1.0, 0.0, -0.0]), 0.5),
+        (np.array([2.0, 2.0]), np.array([2.0]), 1 / 3),
+        (np.array([-3.0, -1e-300]), np.array([-1e300, -4.0]), 0.5),
+        (np.array([1.0]), np.array([0.0]), 0.9),
+    ):
+        rows = [(int(k), q) for q, u in ((1, good), (0, bad)) for k in ranking.order_key(u)]
+        got = ranking.threshold_of(spark.createDataFrame(rows, "key long, q int"), len(good), len(bad), share)
+        assert got == quantile(good, bad, share)
+
+
+def test_of_an_id_with_several_texts_the_least_is_learned(spark):
+    docs, labels = some_documents(40, 40)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int")
+    alone = train(spark.createDataFrame(docs, "doc_id long, text string"), marks)
+    more = docs + [(i, t + "z more") for i, t in docs[::3]] + docs[:9]
+    model = train(spark.createDataFrame(more, "doc_id long, text string"), marks)
+    assert np.array_equal(model.weights, alone.weights) and model.threshold == alone.threshold
