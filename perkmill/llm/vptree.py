@@ -7,8 +7,10 @@ whose k-th nearest so far is at the distance t, can't find anything nearer on th
 median m if |d - m| > t. `factor` relaxes that: a side is passed over if |d - m| > factor * t. With
 factor 1 the search is exact, below it passes over more.
 
-Shards are bounded in rows, and each becomes one row that holds its tree. Queries are packed into
-blocks, and each block meets each shard once; what comes back is at most k rows a query and shard.
+Vectors are dealt over cells, and a task builds the trees of a cell, one for each shard of bounded
+rows. The queries are copied once for each cell, not for each shard, and stream past its trees in
+blocks; what comes back is at most k rows a query and cell. Nothing is joined: the planner takes
+copies for one row each, and would send all of them through the driver to broadcast them.
 """
 
 from __future__ import annotations
@@ -17,20 +19,22 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-
-from perkmill.functions.lineage import cut
+from pyspark.sql.types import ArrayType, FloatType
 
 from .common import read, ready_for_python
 
-#: Vectors of a shard and queries of a block, about; points of a leaf.
-SHARD_ROWS, BLOCK_ROWS, LEAF = 4096, 1024, 48
+#: Vectors of a shard and queries of a block at most, about; points of a leaf.
+SHARD_ROWS, BLOCK_ROWS, LEAF = 4096, 4096, 48
+#: Cells, if the shards are as many. Bytes of a cell's vectors, as doubles: more of them make more cells; and of a block's.
+CELLS, CELL_BYTES, BLOCK_BYTES = 64, 64 << 20, 8 << 20
 #: Recall at this factor is measured in the tests; 1 is exact.
 FACTOR = 0.8
 NEIGHBOURS, QUERY_MODULUS = 5, 50
+#: Points that all queries of a block are compared with at a time.
+PIECE = 256
 
 
 class Tree:
@@ -69,37 +73,75 @@ class Tree:
 
     def search(self, queries: np.ndarray, same: np.ndarray, names: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
         """Rows and distances of the k nearest to each query, without rows whose name is the query's
-        (`same`). Missing ones are row -1 at an infinite distance. Ties go to the smaller row."""
+        (`same`). Missing ones are row -1 at an infinite distance. Ties go to the smaller row.
+
+        All vantage points are offered first, then the leaf each query falls into. What is found there
+        bounds the way through the tree, which meets each node once for all queries that reach it.
+        """
         n = len(queries)
         best = np.full((n, k), -1)
         far = np.full((n, k), np.inf)
-
-        def offer(active: np.ndarray, rows: np.ndarray, d: np.ndarray) -> None:
-            d = np.where(names[rows][None, :] == same[active][:, None], np.inf, d)
-            rows = np.where(np.isinf(d), -1, np.broadcast_to(rows, d.shape))
-            all_d, all_r = np.concatenate([far[active], d], axis=1), np.concatenate([best[active], rows], axis=1)
-            order = np.lexsort((all_r, all_d), axis=1)[:, :k]
-            far[active], best[active] = np.take_along_axis(all_d, order, 1), np.take_along_axis(all_r, order, 1)
+        every = np.arange(n)
+
+        def offer(active: np.ndarray, rows: np.ndarray, c: np.ndarray) -> None:
+            worst = far[active, -1]
+            floor = 1 - worst * worst / 2 - 1e-12  # a hair's breadth less, for rounding
+            if np.isinf(worst).any() and len(rows) > k:
+                c[names[rows][None, :] == same[active][:, None]] = -np.inf
+                floor = np.maximum(floor, np.partition(c, -k, axis=1)[:, -k] - 1e-12)
+            who, which = np.nonzero(c >= floor[:, None])
+            q, r, d = active[who], rows[which], distance(c[who, which])
+            nearer = (d < far[q, -1]) | ((d == far[q, -1]) & (r < best[q, -1]))
+            nearer &= names[r] != same[q]
+            q, r, d = q[nearer], r[nearer], d[nearer]
+            if not len(q):
+                return
+            own, found = np.unique(q, return_counts=True)
+            all_q = np.concatenate([np.repeat(own, k), q])
+            all_d, all_r = np.concatenate([far[own].ravel(), d]), np.concatenate([best[own].ravel(), r])
+            order = np.lexsort((all_r, all_d, all_q))
+            start = np.cumsum(found + k) - found - k
+            first = order[start[:, None] + np.arange(k)]
+            far[own], best[own] = all_d[first], all_r[first]
+
+        def offer_leaf(node: int, active: np.ndarray) -> None:
+            asked = queries if len(active) == n else queries[active]
+            for a in range(0, len(self.rows[node]), PIECE):  # a leaf of equal points may hold any number
+                rows = self.rows[node][a : a + PIECE]
+                offer(active, rows, asked @ self.unit[rows].T)
+
+        point, median = np.array(self.point), np.array(self.median)
+        inside, outside = np.array(self.inside), np.array(self.outside)
+        column = np.cumsum(point >= 0) - 1
+        vantage = point[point >= 0]
+        c = queries @ self.unit[vantage].T
+        to = distance(c)
+        if len(vantage):
+            offer(every, vantage, c)
+
+        home, on = np.zeros(n, int), every
+        while len(on := on[point[home[on]] >= 0]):
+            at = home[on]
+            home[on] = np.where(to[on, column[at]] <= median[at], inside[at], outside[at])
+        by_home = np.argsort(home, kind="stable")
+        for active in np.split(by_home, np.flatnonzero(np.diff(home[by_home])) + 1):
+            if len(active):
+                offer_leaf(int(home[active[0]]), active)
 
         def visit(node: int, active: np.ndarray) -> None:
-            if not len(active):
-                return
-            if self.point[node] < 0:
-                if len(self.rows[node]):
-                    offer(active, self.rows[node], distance(queries[active] @ self.unit[self.rows[node]].T))
+            if point[node] < 0:
+                active = active[home[active] != node]
+                if len(active):
+                    offer_leaf(node, active)
                 return
-            d = distance(queries[active] @ self.unit[self.point[node]])
-            offer(active, np.array([self.point[node]]), d[:, None])
-            near_in = d <= self.median[node]
-            sides = self.inside[node], self.outside[node]
-            for inner in (True, False):
-                visit(sides[0 if inner else 1], active[near_in == inner])
-            # A hair's breadth more, for rounding.
-            cross = np.abs(d - self.median[node]) <= factor * far[active, k - 1] + 1e-7
-            for inner in (True, False):
-                visit(sides[1 if inner else 0], active[(near_in == inner) & cross])
-
-        visit(0, np.arange(n))
+            beyond = to[active, column[node]] - median[node]
+            for side, beyond in ((inside[node], beyond), (outside[node], -beyond)):
+                # A hair's breadth more, for rounding.
+                reached = active[beyond <= factor * far[active, k - 1] + 1e-7]
+                if len(reached):
+                    visit(side, reached)
+
+        visit(0, every)
         return best, far
 
 
@@ -113,34 +155,64 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & ~F.exists(vector, bad) & F.exists(vector, lambda x: x != 0)
 
 
-def as_matrix(vectors) -> np.ndarray:
-    return np.array([np.asarray(v, np.float64) for v in vectors])
+def scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows as doubles, and their lengths. Scaling by the largest component keeps very long and very
+    short ones from overflowing."""
+    x = x.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x, np.sqrt((x * x).sum(axis=1))
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Of rows of `a` and `b`, from the vectors as they are. Scaling by the largest component keeps
-    very long and very short ones from overflowing."""
-    a, b = a / np.abs(a).max(axis=1, keepdims=True), b / np.abs(b).max(axis=1, keepdims=True)
-    return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
+    """Of rows of `a` and `b`, from the vectors as they are."""
+    (a, long_a), (b, long_b) = scaled(a), scaled(b)
+    return (a * b).sum(axis=1) / (long_a * long_b)
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)
-    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-
-
-def packed(vectors: DataFrame, group: str, size: int) -> tuple[DataFrame, int]:
-    """One row for each group and dimension: `ids` and `data` (doubles) as bytes, by id. And the number
-    of groups."""
-
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("id", kind="stable")
-        return pd.DataFrame({"group": [rows["group"].iloc[0]], "dim": [rows["dim"].iloc[0]], "ids": [rows["id"].to_numpy(np.int64).tobytes()], "data": [as_matrix(rows["vector"]).tobytes()]})
-
-    n = vectors.count()
-    groups = max(1, math.ceil(n / size))
-    keyed = vectors.withColumn("group", F.pmod(F.xxhash64("id", "vector"), F.lit(groups)).cast("int")).withColumn("dim", F.size("vector"))
-    return keyed.groupBy("group", "dim").applyInPandas(pack, "group int, dim int, ids binary, data binary").withColumnRenamed("group", group), groups
+    x, long = scaled(x)
+    return x / long[:, None]
+
+
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], bool, np.ndarray, np.ndarray]]:
+    """Of sorted rows those of one dimension, cell and kind in a batch: dimension and cell, whether they are
+    queries, ids and vectors."""
+    for batch in batches:
+        dim, cell, asks, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("dim", "cell", "asks", "id"))
+        new = (np.diff(dim) != 0) | (np.diff(cell) != 0) | (asks[1:] != asks[:-1])
+        edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(ids)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            if a < b:
+                vectors = batch.column("vector").slice(a, b - a).flatten().to_numpy(zero_copy_only=False)
+                yield (int(dim[a]), int(cell[a])), bool(asks[a]), ids[a:b].copy(), vectors.reshape(b - a, -1).copy()
+
+
+class Cell:
+    """Trees over the vectors of a cell: shards of about as many, at most `SHARD_ROWS`."""
+
+    def __init__(self, ids: list[np.ndarray], vectors: list[np.ndarray]):
+        ids, raw = np.concatenate(ids), np.concatenate(vectors)
+        order = np.argsort(ids, kind="stable")
+        n = math.ceil(len(ids) / SHARD_ROWS)
+        # Dealt out by turns: neighbouring ids may be alike.
+        self.shards = [(ids[rows], raw[rows]) for rows in (order[i::n] for i in range(n))]
+        self.trees = [Tree(unit_rows(x)) for _, x in self.shards]
+
+    def search(self, ids: list[np.ndarray], vectors: list[np.ndarray], k: int, factor: float) -> pa.RecordBatch:
+        """The k nearest of the cell to each query: by score, ties to the smaller id."""
+        q_ids, q_raw = np.concatenate(ids), np.concatenate(vectors)
+        unit, found = unit_rows(q_raw), []
+        for (names, raw), tree in zip(self.shards, self.trees, strict=True):
+            best, _ = tree.search(unit, q_ids, names, k, factor)
+            who, which = np.nonzero(best >= 0)
+            rows = best[who, which]
+            found.append((who, names[rows], cosine(q_raw[who], raw[rows])))
+        who, near, score = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((near, -score, who))
+        who = who[order]
+        order = order[np.arange(len(who)) - np.searchsorted(who, who) < k]
+        who = np.concatenate([f[0] for f in found])[order]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (q_ids[who], near[order], score[order])], ["query_id", "vec_id", "score"])
 
 
 FOUND = "query_id bigint, vec_id bigint, score double"
@@ -152,35 +224,44 @@ def nearest(spark: SparkSession, vectors: DataFrame, queries: Column, k: int = N
 
     Unusable vectors (null, zero, or with a null or non-finite component) and null ids take no part.
     Only vectors of the same dimension are compared. Rows that repeat an id and vector are one; an id
-    with several vectors has a point for each, and none of them is its own neighbour.
+    with several vectors has a point for each, and none of them is its own neighbour. `vectors` is read
+    three times: counted, dealt out as points, and searched for queries.
     """
     ready_for_python(spark)
-    known = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), queries.alias("asked"))
-    known = cut(known.filter(F.col("id").isNotNull() & usable(F.col("vector"))).distinct())
-    shards, n_shards = packed(known.select("id", "vector"), "shard", SHARD_ROWS)
-    blocks, _ = packed(known.filter("asked").select("id", "vector"), "block", BLOCK_ROWS)
-    asked = blocks.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
-    # Every block is asked of every shard of its dimension: the stated queries against all rows.
-    pairs = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
-    met = pairs.join(cut(shards), ["dim", "shard"])
+    kind = vectors.select(vector_col).schema[0].dataType
+    single = isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType)  # half the bytes, and the same numbers
+    known = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<float>" if single else "array<double>").alias("vector"), queries.alias("asked"))
+    known = known.filter(F.col("id").isNotNull() & usable(F.col("vector")))
+    n, components = known.agg(F.count("*"), F.sum(F.size("vector").cast("bigint"))).first()
+    cells = max(1, min(CELLS, math.ceil(n / SHARD_ROWS)), math.ceil(8 * (components or 0) / CELL_BYTES))
+    points = known.select("id", "vector").distinct().withColumn("cell", F.pmod(F.xxhash64("id", "vector"), F.lit(cells)).cast("int"))
+    asked = known.filter("asked").select("id", "vector").distinct()
+    # Every query is asked of every cell of its dimension: the stated queries against all rows.
+    copies = asked.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
+    met = points.withColumn("asks", F.lit(False)).unionByName(copies.withColumn("asks", F.lit(True))).withColumn("dim", F.size("vector"))
+    # More partitions than cells, for few cells to meet in one.
+    dealt = met.repartition(4 * cells, "dim", "cell").sortWithinPartitions("dim", "cell", "asks")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, of = None, None
-        for batch in batches:
-            for r in batch.to_pylist():
-                ids = np.frombuffer(r["ids"], np.int64)
-                raw = np.frombuffer(r["data"]).reshape(len(ids), -1)
-                if of != (r["dim"], r["shard"]):
-                    tree, of = Tree(unit_rows(raw)), (r["dim"], r["shard"])
-                q_ids = np.frombuffer(r["q_ids"], np.int64)
-                q_raw = np.frombuffer(r["q_data"]).reshape(len(q_ids), -1)
-                best, _ = tree.search(unit_rows(q_raw), q_ids, ids, k, factor)
-                who, which = np.nonzero(best >= 0)
-                rows = best[who, which]
-                columns = [q_ids[who], ids[rows], cosine(q_raw[who], raw[rows])]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
-
-    found = met.sortWithinPartitions("dim", "shard").mapInArrow(search, FOUND)
+        at, cell, ids, held = None, None, [], []
+        for key, asks, some, x in runs(batches):
+            if key != at:
+                if cell and ids:
+                    yield cell.search(ids, held, k, factor)
+                at, cell, ids, held = key, None, [], []
+            if asks and not cell:
+                if not ids:  # nothing of this dimension in the cell
+                    continue
+                cell, ids, held = Cell(ids, held), [], []
+            ids.append(some)
+            held.append(x)
+            if cell and sum(map(len, ids)) >= min(BLOCK_ROWS, BLOCK_BYTES // (8 * at[0])):
+                yield cell.search(ids, held, k, factor)
+                ids, held = [], []
+        if cell and ids:
+            yield cell.search(ids, held, k, factor)
+
+    found = dealt.mapInArrow(search, FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -66,3 +66,39 @@ def test_edge_rows(spark):
     got = sorted(tuple(r) for r in vptree.nearest(spark, df, F.col("vec_id") % 50 == 0).collect())
     assert got == [(0, 1, 9, 1.0), (0, 2, 50, 1.0), (0, 3, 7, 0.0), (50, 1, 0, 1.0), (50, 2, 9, 1.0), (50, 3, 7, 0.0)]
     assert vptree.nearest(spark, df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_nothing_is_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(vptree, "SHARD_ROWS", 16)
+    x = clustered(2000)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    found = vptree.nearest(spark, df, F.col("vec_id") % 50 == 0)
+    assert len(found.collect()) == 200
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "Broadcast" not in plan
+
+
+def test_cells_blocks_and_dimensions_are_all_met(spark, monkeypatch):
+    """Single and double precision, two dimensions, many cells and shards, and blocks that end between batches."""
+    monkeypatch.setattr(vptree, "SHARD_ROWS", 64)
+    monkeypatch.setattr(vptree, "BLOCK_ROWS", 30)
+    rows = [(i, v) for dim in (4, 8) for i, v in enumerate(clustered(1500, dim).astype(np.float32).tolist(), 10000 * dim)]
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+        got = {}
+        for r in vptree.nearest(spark, df, F.col("vec_id") % 10 == 0, factor=1.0).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+        assert len(got) == 300
+        for dim in (4, 8):
+            own = [r for r in rows if len(r[1]) == dim]
+            want = brute([i for i, _ in own], np.array([v for _, v in own]), [i for i, _ in own if i % 10 == 0], 5)
+            for i, near in want.items():
+                assert [(n, j) for n, j, _ in sorted(got[i])] == [(n, j) for n, (j, _) in enumerate(near, 1)]
+                assert np.allclose([s for _, _, s in sorted(got[i])], [s for _, s in near], rtol=1e-12)
+
+
+def test_equal_points_come_by_id(spark, monkeypatch):
+    monkeypatch.setattr(vptree, "SHARD_ROWS", 700)
+    df = spark.createDataFrame([(i, [1.0, 0.0, 0.0] if i % 4 else [0.0, 1.0, 0.5]) for i in range(2000)], "vec_id long, embedding array<float>")
+    got = vptree.nearest(spark, df, F.col("vec_id").isin(1, 1000)).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.vec_id) for r in got] == [(1, j) for j in (2, 3, 5, 6, 7)] + [(1000, j) for j in (0, 4, 8, 12, 16)]
