@@ -27,7 +27,7 @@ from pyspark.sql.types import ArrayType, FloatType
 from .common import read, ready_for_python
 
 #: Vectors of a shard and queries of a block at most, about; points of a leaf.
-SHARD_ROWS, BLOCK_ROWS, LEAF = 4096, 4096, 48
+SHARD_ROWS, BLOCK_ROWS, LEAF = 4096, 2048, 48
 #: Cells, if the shards are as many. Bytes of a cell's vectors, as doubles: more of them make more cells; and of a block's.
 CELLS, CELL_BYTES, BLOCK_BYTES = 64, 64 << 20, 8 << 20
 #: Recall at this factor is measured in the tests; 1 is exact.
@@ -128,20 +128,20 @@ class Tree:
             if len(active):
                 offer_leaf(int(home[active[0]]), active)
 
-        def visit(node: int, active: np.ndarray) -> None:
-            if point[node] < 0:
-                active = active[home[active] != node]
-                if len(active):
-                    offer_leaf(node, active)
-                return
-            beyond = to[active, column[node]] - median[node]
-            for side, beyond in ((inside[node], beyond), (outside[node], -beyond)):
-                # A hair's breadth more, for rounding.
-                reached = active[beyond <= factor * far[active, k - 1] + 1e-7]
-                if len(reached):
-                    visit(side, reached)
-
-        visit(0, every)
+        # Nodes to visit, those who may have to, and how far beyond the border they lie. (No function that
+        # calls itself: it would keep its arrays until Python looks for cycles.)
+        waiting = [(0, every, np.zeros(n))]
+        while waiting:
+            node, active, beyond = waiting.pop()
+            # A hair's breadth more, for rounding.
+            active = active[beyond <= factor * far[active, k - 1] + 1e-7]
+            if not len(active):
+                continue
+            if point[node] >= 0:
+                beyond = to[active, column[node]] - median[node]
+                waiting += [(outside[node], active, -beyond), (inside[node], active, beyond)]
+            elif len(active := active[home[active] != node]):
+                offer_leaf(node, active)
         return best, far
 
 
@@ -202,9 +202,12 @@ class Cell:
         """The k nearest of the cell to each query: by score, ties to the smaller id."""
         q_ids, q_raw = np.concatenate(ids), np.concatenate(vectors)
         unit, found = unit_rows(q_raw), []
+        so_far = np.full((len(q_ids), k), np.inf)
         for (names, raw), tree in zip(self.shards, self.trees, strict=True):
-            best, _ = tree.search(unit, q_ids, names, k, factor)
-            who, which = np.nonzero(best >= 0)
+            best, far = tree.search(unit, q_ids, names, k, factor)
+            so_far = np.sort(np.concatenate([so_far, far], axis=1), axis=1)[:, :k]
+            # Only what no k others of the cell are nearer than, and a hair's breadth more, for rounding.
+            who, which = np.nonzero((best >= 0) & (far * far <= so_far[:, -1:] ** 2 + 1e-12))
             rows = best[who, which]
             found.append((who, names[rows], cosine(q_raw[who], raw[rows])))
         who, near, score = (np.concatenate(x) for x in zip(*found, strict=True))
